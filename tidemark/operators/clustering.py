@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import nearest, safe_std
@@ -40,16 +40,14 @@ def feature_moments(df: DataFrame, columns: tuple[str, ...] = TRIP_FEATURES) ->
     )
 
 
-def standardise(df: DataFrame, moments: DataFrame, columns: tuple[str, ...] = TRIP_FEATURES) -> DataFrame:
-    """Replace features by standard scores; the one-row moments enter as a scalar subquery."""
-    m = moments.select(F.struct("*").alias("m")).scalar()
-    return df.withColumns({c: (F.col(c) - m.getField(f"mean_{c}")) / m.getField(f"std_{c}") for c in columns})
+def standardise(df: DataFrame, moments: Row, columns: tuple[str, ...] = TRIP_FEATURES) -> DataFrame:
+    """Replace features by standard scores. The moments are one row of ``feature_moments``, taken as literals."""
+    return df.withColumns({c: (F.col(c) - moments[f"mean_{c}"]) / moments[f"std_{c}"] for c in columns})
 
 
-def destandardise(centres: DataFrame, moments: DataFrame, columns: tuple[str, ...] = TRIP_FEATURES) -> DataFrame:
+def destandardise(centres: DataFrame, moments: Row, columns: tuple[str, ...] = TRIP_FEATURES) -> DataFrame:
     """Centres back on the original scale."""
-    m = moments.select(F.struct("*").alias("m")).scalar()
-    return centres.withColumns({c: F.col(c) * m.getField(f"std_{c}") + m.getField(f"mean_{c}") for c in columns})
+    return centres.withColumns({c: F.col(c) * moments[f"std_{c}"] + moments[f"mean_{c}"] for c in columns})
 
 
 def assign(df: DataFrame, columns: tuple[str, ...], centres: list[list[float]]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.bounds import BROADCAST_ROWS, fits_broadcast
+from tidemark.plans.bounds import BROADCAST_ROWS, Size, fits_broadcast
 
 SALTS = 16
 
@@ -17,16 +17,17 @@ def enrich(
     left_key: str,
     right_key: str,
     keep: dict[str, str],
-    proof: DataFrame | None = None,
+    proof: DataFrame | Size | None = None,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Add ``keep`` (dimension column to new name) by left join; rows without a match keep NULLs.
 
     The dimension is broadcast only after a bounded count. ``proof`` is a cheaper
-    table whose row count bounds that of ``dim`` (the groups of an aggregate can
-    not outnumber the dimension their key comes from). Past the limit the join
-    shuffles on (key, salt), so a hot or NULL key spreads over ``salts`` tasks.
+    table, or its size if measured before, whose row count bounds that of ``dim``
+    (the groups of an aggregate can not outnumber the dimension their key comes
+    from). Past the limit the join shuffles on (key, salt), so a hot or NULL key
+    spreads over ``salts`` tasks.
     """
     side = dim.select(F.col(right_key).alias("_key"), *[F.col(c).alias(name) for c, name in keep.items()])
     if fits_broadcast(side if proof is None else proof, max_rows):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import vocabulary as v
 from tidemark.functions.columns import guarded_z, ratio, share_pct
 from tidemark.operators.joins import enrich
+from tidemark.plans.bounds import Size
 
 Rule = tuple[Column, str]
 
@@ -33,7 +34,9 @@ def reference_stats(df: DataFrame, key: str, value: str, clean: Column) -> DataF
     )
 
 
-def z_score(df: DataFrame, stats: DataFrame, key: str, value: str, proof: DataFrame | None = None) -> DataFrame:
+def z_score(
+    df: DataFrame, stats: DataFrame, key: str, value: str, proof: DataFrame | Size | None = None
+) -> DataFrame:
     """Join the statistics of the row's key and add ``z_score``."""
     joined = enrich(df, stats, key, key, {"mean_total": "mean_total", "std_total": "std_total"}, proof)
     return joined.withColumn("z_score", guarded_z(F.col(value), F.col("mean_total"), F.col("std_total")))

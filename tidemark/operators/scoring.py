@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import label
 from tidemark.operators.joins import enrich
+from tidemark.plans.bounds import Size
 from tidemark.vocabulary import LABEL_MAP
 
 
@@ -16,7 +17,7 @@ def score_by_lookup(
     key: str = "PULocationID",
     cluster: str = "cluster_pca",
     mapping: dict = LABEL_MAP,
-    proof: DataFrame | None = None,
+    proof: DataFrame | Size | None = None,
 ) -> DataFrame:
     """Add ``prediction`` and ``cluster_label`` to rows with a location; NULL for unknown zones."""
     scored = enrich(df.where(F.col(key).isNotNull()), clusters, key, key, {cluster: "prediction"}, proof)

@@ -33,9 +33,11 @@ def measure(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Size:
     return Size(row["n"], row["b"])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when the whole of ``df`` was counted and lies within both limits."""
-    size = measure(df, max_rows)
+def fits_broadcast(
+    proof: DataFrame | Size, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """True when the whole of the table was counted and lies within both limits."""
+    size = proof if isinstance(proof, Size) else measure(proof, max_rows)
     return size.rows <= max_rows and size.bytes <= max_bytes
 
 

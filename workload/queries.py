@@ -19,7 +19,7 @@ from tidemark.operators.schema import schema_diff
 from tidemark.plans.bounds import cut, run_dir
 from tidemark.plans.layout import file_stats, zorder_rewrite
 from tidemark.plans.ordered import rolling_mean
-from tidemark.sources.files import ingest, one_path, read_csv_dimension, stream_dir
+from tidemark.sources.files import read_csv_dimension, stream_dir
 from tidemark.sources.rescue import rescue, rescue_json
 from tidemark.streaming.metrics import lateness_what_if
 from tidemark.streaming.sinks import (
@@ -71,7 +71,7 @@ class Flow:
 
     def __init__(self, spark: SparkSession, sf_dir: str, name: str):
         self.spark, self.sf_dir, self.root = spark, sf_dir, run_dir(spark, name)
-        self.zones = w.zones(spark, sf_dir)
+        self.source = w.Source(spark, sf_dir)
 
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
@@ -89,12 +89,12 @@ class Flow:
         return self.stage("bronze", lambda: w.trip_stream(self.spark, self.sf_dir))
 
     def silver(self) -> Stage:
-        return self.stage("silver", lambda: w.silver_of(self.stream("bronze"), self.zones))
+        return self.stage("silver", lambda: k.without_zone(self.located("bronze"), w.TIMES))
 
     def located(self, layer: str | None = None) -> DataFrame:
         """Watermarked, located trips from a stored layer, or straight from the input files."""
         source = self.stream(layer) if layer else w.trip_stream(self.spark, self.sf_dir)
-        return w.locate(k.with_event_time(source, w.TIMES, PICKUP), self.zones)
+        return self.source.locate(k.with_event_time(source, w.TIMES, PICKUP))
 
     def kpi(self, rows: DataFrame) -> DataFrame:
         out = k.window_kpi(rows, PICKUP, ["pickup_borough"], KPI_AGGS)
@@ -106,16 +106,16 @@ class Flow:
         return read_latest_version(self.spark, self.path("stats"))
 
     def store_clusters(self) -> DataFrame:
-        write_version(w.zone_clusters(self.spark, self.sf_dir), self.path("clusters"), 0)
+        write_version(self.source.zone_clusters, self.path("clusters"), 0)
         return read_latest_version(self.spark, self.path("clusters"))
 
     def flagged_stream(self, rows: DataFrame, stats: DataFrame) -> DataFrame:
-        return k.without_zone(w.with_flags(rows, stats, self.zones), w.TIMES)
+        return k.without_zone(self.source.flag(rows, stats), w.TIMES)
 
     def routed(self, layer: str | None = None, stats: DataFrame | None = None) -> Stage:
         """Gold and quarantine from one pass, as two partitions of one sink."""
         if stats is None:
-            stats = self.store_stats(w.silver(self.spark, self.sf_dir))
+            stats = self.store_stats(self.source.silver)
         sink = FileSink(self.path("routed"), ("route",))
 
         def build() -> DataFrame:
@@ -128,17 +128,8 @@ class Flow:
         return self.read("routed").where(F.col("route") == name).drop("route")
 
 
-def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.route(w.flagged(spark, sf_dir))[0]
-
-
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clusters = w.zone_clusters(spark, sf_dir)
-    return sc.score_by_lookup(_gold(spark, sf_dir), clusters, proof=w.zones(spark, sf_dir))
-
-
 def _shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(dr.share_by_batch(_classified(spark, sf_dir), BATCH, "cluster_label"))
+    return cut(dr.share_by_batch(w.Source(spark, sf_dir).classified, BATCH, "cluster_label"))
 
 
 def _business(df: DataFrame) -> DataFrame:
@@ -171,7 +162,7 @@ def rescued_json(spark, sf_dir):
 
 @query
 def dim_zones_csv(spark, sf_dir):
-    path, dim = run_dir(spark, "zones_csv"), w.zones(spark, sf_dir)
+    path, dim = run_dir(spark, "zones_csv"), w.Source(spark, sf_dir).zones
     dim.write.option("header", True).csv(path)
     return read_csv_dimension(spark, path, dim.schema)
 
@@ -243,7 +234,7 @@ def layer_ratio(spark, sf_dir):
 
 @query
 def watermark_loss_whatif(spark, sf_dir):
-    late = w.trips_late(spark, sf_dir)
+    late = w.Source(spark, sf_dir).trips_late
     return r6(lateness_what_if(late, "arrival_batch", "pickup", ["1 minute", "5 minutes", "60 minutes"]))
 
 
@@ -256,7 +247,7 @@ def stages_end_to_end(spark, sf_dir):
 
     def classify() -> DataFrame:
         gold = flow.stream("routed").where(F.col("route") == "gold").drop("route")
-        return sc.score_by_lookup(gold, clusters, proof=flow.zones)
+        return flow.source.score(gold, clusters)
 
     def kpi() -> DataFrame:
         return flow.kpi(k.with_event_time(flow.stream("silver"), [PICKUP], PICKUP))
@@ -284,7 +275,7 @@ def stages_end_to_end(spark, sf_dir):
 
 
 def _kpi_batch(spark, sf_dir):
-    return k.window_kpi(w.silver(spark, sf_dir), PICKUP, ["pickup_borough"], KPI_AGGS)
+    return k.window_kpi(w.Source(spark, sf_dir).silver, PICKUP, ["pickup_borough"], KPI_AGGS)
 
 
 @query
@@ -299,21 +290,21 @@ def kpi_window_summary(spark, sf_dir):
 
 @query
 def kpi_ci95(spark, sf_dir):
-    return r6(k.mean_ci(w.silver(spark, sf_dir), "pickup_borough", "total_amount", "stream")).orderBy("pickup_borough")
+    return r6(k.mean_ci(w.Source(spark, sf_dir).silver, "pickup_borough", "total_amount", "stream")).orderBy("pickup_borough")
 
 
 @query
 def kpi_compare(spark, sf_dir):
-    dim = w.zones(spark, sf_dir)
-    past = w.locate(w.history(spark, sf_dir), dim)
-    sides = {"stream": w.silver(spark, sf_dir), "batch": past}
+    src = w.Source(spark, sf_dir)
+    sides = {"stream": src.silver, "batch": src.locate(src.history)}
     kpis = [k.mean_ci(df, "pickup_borough", "total_amount", name) for name, df in sides.items()]
     return r6(k.compare_sources(*kpis, key="pickup_borough"))
 
 
 @query
 def tip_rate_by_borough(spark, sf_dir):
-    wide = w.locate(w.trips_wide(spark, sf_dir), w.zones(spark, sf_dir))
+    src = w.Source(spark, sf_dir)
+    wide = src.locate(src.trips_wide)
     parts = {
         "fare": ["fare_amount"],
         "tip": ["tip_amount"],
@@ -325,13 +316,13 @@ def tip_rate_by_borough(spark, sf_dir):
 
 @query
 def point_lookup_count(spark, sf_dir):
-    hits = w.trips(spark, sf_dir).where("PULocationID = 24")
+    hits = w.Source(spark, sf_dir).trips.where("PULocationID = 24")
     return hits.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def schema_compare(spark, sf_dir):
-    return schema_diff(w.trips(spark, sf_dir), w.history(spark, sf_dir))
+    return schema_diff(w.Source(spark, sf_dir).trips, w.Source(spark, sf_dir).history)
 
 
 @query
@@ -345,13 +336,13 @@ def latency_summary(spark, sf_dir):
 
 @query
 def borough_stats(spark, sf_dir):
-    return r6(w.borough_stats(w.silver(spark, sf_dir)))
+    return r6(w.Source(spark, sf_dir).stats)
 
 
 @query
 def quality_flagged(spark, sf_dir):
     return r6(
-        w.flagged(spark, sf_dir).select(
+        w.Source(spark, sf_dir).flagged.select(
             "trip_id", "pickup_borough", "mean_total", "std_total", "z_score", "quality_flag"
         )
     )
@@ -359,41 +350,41 @@ def quality_flagged(spark, sf_dir):
 
 @query
 def quality_dashboard(spark, sf_dir):
-    return r6(q.quality_summary(w.flagged(spark, sf_dir)))
+    return r6(q.quality_summary(w.Source(spark, sf_dir).flagged))
 
 
 @query
 def reject_rate_by_batch(spark, sf_dir):
-    return r6(q.quality_summary(w.flagged(spark, sf_dir), (BATCH,)))
+    return r6(q.quality_summary(w.Source(spark, sf_dir).flagged, (BATCH,)))
 
 
 @query
 def anomaly_distribution(spark, sf_dir):
-    return q.anomaly_distribution(w.flagged(spark, sf_dir))
+    return q.anomaly_distribution(w.Source(spark, sf_dir).flagged)
 
 
 @query
 def flag_coverage(spark, sf_dir):
-    return q.flag_coverage(w.flagged(spark, sf_dir))
+    return q.flag_coverage(w.Source(spark, sf_dir).flagged)
 
 
 @query
 def dashboard_delta(spark, sf_dir):
-    return r6(q.dashboard_delta(w.flagged(spark, sf_dir), BATCH, 15, 31))
+    return r6(q.dashboard_delta(w.Source(spark, sf_dir).flagged, BATCH, 15, 31))
 
 
 @query
 def reject_rate_since(spark, sf_dir):
-    return r6(q.quality_summary(w.flagged(spark, sf_dir).where(F.col(BATCH) >= 16)))
+    return r6(q.quality_summary(w.Source(spark, sf_dir).flagged.where(F.col(BATCH) >= 16)))
 
 
 @query
 def quarantine_recall(spark, sf_dir):
-    return r6(q.recall(w.flagged(spark, sf_dir), "sim_is_corrupted"))
+    return r6(q.recall(w.Source(spark, sf_dir).flagged, "sim_is_corrupted"))
 
 
 def _repaired(spark, sf_dir):
-    return q.repair(q.route(w.flagged(spark, sf_dir))[1])
+    return q.repair(w.Source(spark, sf_dir).quarantine)
 
 
 @query
@@ -402,8 +393,8 @@ def quarantine_repair(spark, sf_dir):
 
 
 def _reinjected(spark, sf_dir):
-    gold, rejected = q.route(w.flagged(spark, sf_dir))
-    return q.reinjected(gold, q.repair(rejected))
+    src = w.Source(spark, sf_dir)
+    return q.reinjected(src.gold, q.repair(src.quarantine))
 
 
 @query
@@ -419,10 +410,8 @@ def gold_with_outliers(spark, sf_dir):
 
 @query
 def extra_rules(spark, sf_dir):
-    dim, narrow = w.zones(spark, sf_dir), w.silver(spark, sf_dir)
-    wide = w.locate(w.trips_wide(spark, sf_dir), dim)
-    rules = [*q.taxi_rules(), *q.extra_rules()]
-    flagged = w.with_flags(wide, w.borough_stats(narrow), dim, rules)
+    src = w.Source(spark, sf_dir)
+    flagged = src.flag(src.locate(src.trips_wide), src.stats, [*q.taxi_rules(), *q.extra_rules()])
     return flagged.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -432,21 +421,21 @@ def ratio_assertion(spark, sf_dir):
     located = F.count("pickup_borough") / F.count(F.lit(1))
     return r6(
         q.check_ranges(
-            w.flagged(spark, sf_dir), {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
+            w.Source(spark, sf_dir).flagged, {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
         )
     )
 
 
 @query
 def anomaly_rate_sliding(spark, sf_dir):
-    odd = w.flagged(spark, sf_dir).where(F.col("quality_flag") == v.ANOMALIE_STATISTIQUE)
+    odd = w.Source(spark, sf_dir).flagged.where(F.col("quality_flag") == v.ANOMALIE_STATISTIQUE)
     return k.sliding_counts(odd, PICKUP, [], {"n_anomalies": F.lit(True)}, "50 minutes", "10 minutes")
 
 
 @query
 def anomaly_rate_rolling(spark, sf_dir):
     odd = F.count_if(F.col("quality_flag") == v.ANOMALIE_STATISTIQUE)
-    rates = w.flagged(spark, sf_dir).groupBy(BATCH).agg((odd / F.count(F.lit(1))).alias("rate"))
+    rates = w.Source(spark, sf_dir).flagged.groupBy(BATCH).agg((odd / F.count(F.lit(1))).alias("rate"))
     return r6(rolling_mean(cut(rates), BATCH, "rate", 5, "rolling_rate"))
 
 
@@ -455,64 +444,64 @@ def anomaly_rate_rolling(spark, sf_dir):
 
 @query
 def zone_features(spark, sf_dir):
-    return r6(cl.zone_features(w.trips(spark, sf_dir)))
+    return r6(cl.zone_features(w.Source(spark, sf_dir).trips))
 
 
 @query
 def cluster_profile(spark, sf_dir):
-    return r6(sc.cluster_profile(w.zone_clusters(spark, sf_dir)))
+    return r6(sc.cluster_profile(w.Source(spark, sf_dir).zone_clusters))
 
 
 @query
 def derived_labels(spark, sf_dir):
-    profile = cut(sc.cluster_profile(w.zone_clusters(spark, sf_dir)))
+    profile = cut(sc.cluster_profile(w.Source(spark, sf_dir).zone_clusters))
     return sc.derive_labels(profile).select("prediction", "n_zones", "cluster_label")
 
 
 @query
 def score_lookup(spark, sf_dir):
-    return _classified(spark, sf_dir).select("trip_id", "PULocationID", "prediction", "cluster_label")
+    return w.Source(spark, sf_dir).classified.select("trip_id", "PULocationID", "prediction", "cluster_label")
 
 
 @query
 def cluster_label(spark, sf_dir):
-    classified = _classified(spark, sf_dir)
+    classified = w.Source(spark, sf_dir).classified
     return classified.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def cluster_distribution(spark, sf_dir):
-    return sc.cluster_distribution(_classified(spark, sf_dir))
+    return sc.cluster_distribution(w.Source(spark, sf_dir).classified)
 
 
 @query
 def score_unmatched(spark, sf_dir):
-    return _classified(spark, sf_dir).where(F.col("prediction").isNull()).agg(F.count(F.lit(1)).alias("n_unmatched"))
+    return w.Source(spark, sf_dir).classified.where(F.col("prediction").isNull()).agg(F.count(F.lit(1)).alias("n_unmatched"))
 
 
 @query
 def score_validation(spark, sf_dir):
     # The check of a model on its first 200 complete rows is a top-k report.
-    rows = _gold(spark, sf_dir).select("trip_id", "PULocationID", *cl.TRIP_FEATURES).na.drop()
+    src = w.Source(spark, sf_dir)
+    rows = src.gold.select("trip_id", "PULocationID", *cl.TRIP_FEATURES).na.drop()
     sample = cl.first_rows(rows, "trip_id", 200)
-    clusters = w.zone_clusters(spark, sf_dir)
-    return sc.cluster_distribution(sc.score_by_lookup(sample, clusters, proof=w.zones(spark, sf_dir)))
+    return sc.cluster_distribution(src.score(sample, src.zone_clusters))
 
 
 @query
 def latest_batch_dist(spark, sf_dir):
-    counts = _classified(spark, sf_dir).groupBy(BATCH, "cluster_label").agg(F.count(F.lit(1)).alias("n"))
+    counts = w.Source(spark, sf_dir).classified.groupBy(BATCH, "cluster_label").agg(F.count(F.lit(1)).alias("n"))
     return dr.latest_batch(cut(counts), BATCH)
 
 
 @query
 def drift_monitor(spark, sf_dir):
-    return r6(dr.share_by_batch(_classified(spark, sf_dir), BATCH, "cluster_label"))
+    return r6(dr.share_by_batch(w.Source(spark, sf_dir).classified, BATCH, "cluster_label"))
 
 
 @query
 def drift_baseline(spark, sf_dir):
-    return r6(dr.drift_baseline(dr.share_by_batch(_classified(spark, sf_dir), BATCH, "cluster_label"), BATCH))
+    return r6(dr.drift_baseline(dr.share_by_batch(w.Source(spark, sf_dir).classified, BATCH, "cluster_label"), BATCH))
 
 
 @query
@@ -534,12 +523,12 @@ def drift_alerts(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    return cl.trip_features(w.silver(spark, sf_dir), keep=("trip_id",))
+    return cl.trip_features(w.Source(spark, sf_dir).trips, keep=("trip_id",))
 
 
 def _scaled(spark, sf_dir):
     features = _features(spark, sf_dir)
-    moments = cut(cl.feature_moments(features))
+    moments = cl.feature_moments(features).first()
     return cl.standardise(features, moments), moments
 
 
@@ -602,7 +591,7 @@ def kmeans_ml(spark, sf_dir):
 
 @query
 def zone_clusters_ml(spark, sf_dir):
-    features = cut(cl.zone_features(w.trips(spark, sf_dir), clean=True))
+    features = cut(cl.zone_features(w.Source(spark, sf_dir).trips, clean=True))
     scored = cl.train_zone_model(features).transform(features)
     return r6(scored.select("PULocationID", *cl.ZONE_FEATURES, "cluster_pca"))
 
@@ -628,14 +617,14 @@ def score_model_stream(spark, sf_dir):
 def _scattered(spark, sf_dir, name: str, files: int) -> str:
     """Trips stored the way many micro-batches leave them: in many small files."""
     path = run_dir(spark, name)
-    w.trips(spark, sf_dir).repartition(files).write.parquet(path)
+    w.Source(spark, sf_dir).trips.repartition(files).write.parquet(path)
     return path
 
 
 @query
 def zorder_compact(spark, sf_dir):
     path = run_dir(spark, "zorder_compact")
-    zorder_rewrite(w.trips(spark, sf_dir), [PICKUP, "PULocationID"], path, files=4)
+    zorder_rewrite(w.Source(spark, sf_dir).trips, [PICKUP, "PULocationID"], path, files=4)
     return r6(_business(spark.read.parquet(path)))
 
 

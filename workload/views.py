@@ -6,13 +6,16 @@ engines see the same input rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.clustering import zone_features
 from tidemark.operators.joins import enrich
-from tidemark.operators.kpi import with_event_time, without_zone
-from tidemark.operators.quality import clean_rows, flag, reference_stats, taxi_rules, z_score
+from tidemark.operators.quality import clean_rows, flag, reference_stats, route, taxi_rules, z_score
+from tidemark.operators.scoring import score_by_lookup
+from tidemark.plans.bounds import Size, measure
 from tidemark.sources.files import ingest, one_path
 
 TIMES = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
@@ -85,68 +88,87 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(table(spark, sf_dir, "events"), TRIPS)
+class Source:
+    """The views of one data directory. The zone table is measured once and bounds every lookup."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def trips_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(table(spark, sf_dir, "events"), TRIPS_LATE)
+    @cached_property
+    def zones(self) -> DataFrame:
+        return zones(self.spark, self.sf_dir)
 
+    @cached_property
+    def zone_size(self) -> Size:
+        return measure(self.zones)
 
-def trips_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(trips(spark, sf_dir), WIDE, keep=True)
+    @cached_property
+    def trips(self) -> DataFrame:
+        return project(table(self.spark, self.sf_dir, "events"), TRIPS)
 
+    @cached_property
+    def trips_late(self) -> DataFrame:
+        return project(table(self.spark, self.sf_dir, "events"), TRIPS_LATE)
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(table(spark, sf_dir, "lineitem"), HISTORY)
+    @cached_property
+    def trips_wide(self) -> DataFrame:
+        return project(self.trips, WIDE, keep=True)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        return project(table(self.spark, self.sf_dir, "lineitem"), HISTORY)
 
-def locate(df: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """Add the pick-up borough and zone."""
-    return enrich(df, zone_dim, "PULocationID", "LocationID", {"Borough": "pickup_borough", "Zone": "pickup_zone"})
+    @cached_property
+    def silver(self) -> DataFrame:
+        return self.locate(self.trips)
 
+    @cached_property
+    def stats(self) -> DataFrame:
+        return borough_stats(self.silver)
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return locate(trips(spark, sf_dir), zones(spark, sf_dir))
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return self.flag(self.silver, self.stats)
 
+    @cached_property
+    def gold(self) -> DataFrame:
+        return route(self.flagged)[0]
 
-def borough_stats(silver_rows: DataFrame) -> DataFrame:
-    return reference_stats(silver_rows, "pickup_borough", "total_amount", clean_rows())
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return route(self.flagged)[1]
 
+    @cached_property
+    def zone_clusters(self) -> DataFrame:
+        """The clustered dimension; zone 23 is absent from the model on purpose."""
+        features = zone_features(self.trips).where(F.col("PULocationID") != 23)
+        cluster = "CASE WHEN PULocationID = 24 THEN 1 ELSE CAST(PULocationID % 4 AS INT) END"
+        return features.join(self.zones, F.col("PULocationID") == F.col("LocationID")).select(
+            *features.columns, "Borough", "Zone", F.expr(cluster).alias("cluster_pca")
+        )
 
-def with_flags(silver_rows: DataFrame, stats: DataFrame, zone_dim: DataFrame, rules=None) -> DataFrame:
-    """Score and flag; boroughs come from the zone table, so that table bounds the statistics."""
-    scored = z_score(silver_rows, stats, "pickup_borough", "total_amount", proof=zone_dim)
-    return flag(scored, rules or taxi_rules())
+    @cached_property
+    def classified(self) -> DataFrame:
+        return self.score(self.gold, self.zone_clusters)
 
+    def locate(self, df: DataFrame) -> DataFrame:
+        """Add the pick-up borough and zone."""
+        keep = {"Borough": "pickup_borough", "Zone": "pickup_zone"}
+        return enrich(df, self.zones, "PULocationID", "LocationID", keep, self.zone_size)
 
-def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver(spark, sf_dir)
-    return with_flags(rows, borough_stats(rows), zones(spark, sf_dir))
+    def flag(self, rows: DataFrame, stats: DataFrame, rules=None) -> DataFrame:
+        """Score and flag; there are no more boroughs than zones."""
+        return flag(z_score(rows, stats, "pickup_borough", "total_amount", self.zone_size), rules or taxi_rules())
 
+    def score(self, rows: DataFrame, clusters: DataFrame) -> DataFrame:
+        return score_by_lookup(rows, clusters, proof=self.zone_size)
 
-def zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clustered dimension; zone 23 is absent from the model on purpose."""
-    dim = zones(spark, sf_dir)
-    features = zone_features(trips(spark, sf_dir))
-    return (
-        features.where(F.col("PULocationID") != 23)
-        .join(dim, F.col("PULocationID") == F.col("LocationID"))
-        .select(
-            *features.columns,
-            "Borough",
-            "Zone",
-            F.expr("CASE WHEN PULocationID = 24 THEN 1 ELSE CAST(PULocationID % 4 AS INT) END").alias("cluster_pca"),
-        )
-    )
+
+def borough_stats(silver: DataFrame) -> DataFrame:
+    return reference_stats(silver, "pickup_borough", "total_amount", clean_rows())
 
 
 def trip_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Trips ingested incrementally from the event files, with lineage columns."""
     raw = ingest(spark, one_path(sf_dir, "events.parquet"), table(spark, sf_dir, "events").schema, **options)
     return raw.selectExpr(*[f"{sql} AS {name}" for name, sql in TRIPS.items()], "ingestion_timestamp", "source_file")
-
-
-def silver_of(bronze: DataFrame, zone_dim: DataFrame) -> DataFrame:
-    """Type, watermark and locate; event times are stored without a zone."""
-    return without_zone(locate(with_event_time(bronze, TIMES, TIMES[0]), zone_dim), TIMES)
