@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -38,7 +38,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH = "sim_batch_id"
 PICKUP = "tpep_pickup_datetime"
-KPI_AGGS = {"trip_count": F.count(F.lit(1)), "avg_total_amount": F.avg("total_amount")}
 LLOYD_PASSES = 6
 
 _registry: dict[str, Query] = {}
@@ -63,6 +62,10 @@ def r6(df: DataFrame) -> DataFrame:
     )
 
 
+def kpi_aggs() -> dict[str, Column]:
+    return {"trip_count": F.count(F.lit(1)), "avg_total_amount": F.avg("total_amount")}
+
+
 # -- stages shared by the streaming queries ---------------------------------------------------
 
 
@@ -97,7 +100,7 @@ class Flow:
         return self.source.locate(k.with_event_time(source, w.TIMES, PICKUP))
 
     def kpi(self, rows: DataFrame) -> DataFrame:
-        out = k.window_kpi(rows, PICKUP, ["pickup_borough"], KPI_AGGS)
+        out = k.window_kpi(rows, PICKUP, ["pickup_borough"], kpi_aggs())
         return k.without_zone(out, ["window_start", "window_end"])
 
     def store_stats(self, silver: DataFrame) -> DataFrame:
@@ -275,7 +278,7 @@ def stages_end_to_end(spark, sf_dir):
 
 
 def _kpi_batch(spark, sf_dir):
-    return k.window_kpi(w.Source(spark, sf_dir).silver, PICKUP, ["pickup_borough"], KPI_AGGS)
+    return k.window_kpi(w.Source(spark, sf_dir).silver, PICKUP, ["pickup_borough"], kpi_aggs())
 
 
 @query
