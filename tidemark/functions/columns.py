@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,32 +48,33 @@ def safe_std(std: Column) -> Column:
     return F.greatest(F.coalesce(F.nullif(std, F.lit(0.0)), F.lit(1.0)), F.lit(1e-6))
 
 
-def squared_distance(features: list[str], centre: list[float]) -> Column:
-    return reduce(
-        lambda a, b: a + b,
-        [(F.col(f) - F.lit(float(x))) * (F.col(f) - F.lit(float(x))) for f, x in zip(features, centre, strict=True)],
-    )
+def squared_distance(features: list[str], centre: list[float]) -> str:
+    """SQL text of the squared Euclidean distance to a fixed centre."""
+    gaps = [f"(`{f}` - ({float(x)!r}D))" for f, x in zip(features, centre, strict=True)]
+    return " + ".join(f"{g} * {g}" for g in gaps)
 
 
 def nearest(features: list[str], centres: list[list[float]]) -> Column:
-    """Struct of squared distance and id of the closest centre; the lowest id wins a tie."""
+    """Struct of squared distance and id of the closest centre; the lowest id wins a tie.
+
+    Built as one SQL text: k-means rebuilds it in every pass.
+    """
     options = [
-        F.struct(squared_distance(features, c).alias("distance2"), F.lit(i).alias("cluster"))
-        for i, c in enumerate(centres)
+        f"named_struct('distance2', {squared_distance(features, c)}, 'cluster', {i})" for i, c in enumerate(centres)
     ]
-    return options[0] if len(options) == 1 else F.least(*options)
+    return F.expr(options[0] if len(options) == 1 else f"least({', '.join(options)})")
 
 
-def zorder_key(ranks: list[Column], bits: int) -> Column:
+def zorder_key(ranks: list[str], bits: int) -> Column:
     """Interleave the low ``bits`` bits of integer rank columns, first column lowest."""
     if bits * len(ranks) > 62:
         raise ValueError("bits * columns must stay within 62")
     parts = [
-        F.shiftleft(F.shiftright(r.cast("bigint"), bit).bitwiseAND(F.lit(1)), bit * len(ranks) + at)
+        f"shiftleft(shiftright(CAST(`{r}` AS BIGINT), {bit}) & 1L, {bit * len(ranks) + at})"
         for bit in range(bits)
         for at, r in enumerate(ranks)
     ]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    return F.expr(" | ".join(parts))
 
 
 def seconds(duration: str) -> int:

@@ -53,7 +53,18 @@ def psi(
     twice: pass a written or ``cut`` frame.
     """
     base = shares.where(F.col(batch) <= batches).agg(*_shares(pool)).select(F.struct(*pool).alias("base")).scalar()
-    terms = [psi_term(F.col(f"pct_{lbl}") / 100, base.getField(lbl), eps) for lbl in pool]
+    return _scored(shares, batch, {lbl: base.getField(lbl) for lbl in pool}, eps)
+
+
+def psi_against(
+    shares: DataFrame, batch: str, baseline: dict[str, float], eps: float = v.PSI_EPS
+) -> DataFrame:
+    """Index and verdict per batch against a stored baseline of label to share."""
+    return _scored(shares, batch, {lbl: F.lit(float(share)) for lbl, share in baseline.items()}, eps)
+
+
+def _scored(shares: DataFrame, batch: str, base: dict[str, Column], eps: float) -> DataFrame:
+    terms = [psi_term(F.col(f"pct_{lbl}") / 100, share, eps) for lbl, share in base.items()]
     scored = shares.select(batch, reduce(lambda a, b: a + b, terms).alias("psi"))
     return scored.withColumn("verdict", verdict(F.col("psi")))
 

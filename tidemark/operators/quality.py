@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import vocabulary as v
@@ -182,7 +182,15 @@ def reinjected(gold: DataFrame, repaired: DataFrame) -> DataFrame:
     return gold.withColumn("is_outlier", F.lit(False)).unionByName(back)
 
 
-def check_ranges(df: DataFrame, checks: dict[str, tuple[Column, float, float]]) -> DataFrame:
+Checks = dict[str, tuple[Column, float, float]]
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    passed = F.coalesce(F.col("value").between(F.col("low"), F.col("high")), F.lit(False))
+    return rows.withColumn("passed", passed)
+
+
+def check_ranges(df: DataFrame, checks: Checks) -> DataFrame:
     """One row per named aggregate with its value, bounds and outcome; one pass for all."""
     wide = df.agg(*[expr.cast("double").alias(name) for name, (expr, _, _) in checks.items()])
     rows = F.array(
@@ -196,5 +204,17 @@ def check_ranges(df: DataFrame, checks: dict[str, tuple[Column, float, float]])
             for name, (_, low, high) in checks.items()
         ]
     )
-    passed = F.coalesce(F.col("value").between(F.col("low"), F.col("high")), F.lit(False))
-    return wide.select(F.inline(rows)).withColumn("passed", passed)
+    return _judged(wide.select(F.inline(rows)))
+
+
+def observe_ranges(df: DataFrame, checks: Checks) -> tuple[DataFrame, Observation]:
+    """Collect the checked aggregates while ``df`` is written, without a second pass."""
+    seen = Observation()
+    return df.observe(seen, *[expr.cast("double").alias(name) for name, (expr, _, _) in checks.items()]), seen
+
+
+def judge_ranges(spark: SparkSession, seen: Observation, checks: Checks) -> DataFrame:
+    """Check table of an observed frame, once it has been written."""
+    values = seen.get
+    rows = [(name, values[name], float(low), float(high)) for name, (_, low, high) in checks.items()]
+    return _judged(spark.createDataFrame(rows, "check_name string, value double, low double, high double"))

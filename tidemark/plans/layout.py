@@ -28,7 +28,9 @@ def _as_number(df: DataFrame, name: str) -> Column:
 def add_zorder_key(df: DataFrame, columns: list[str], bits: int = 8, name: str = "_zkey") -> DataFrame:
     """Rank each column into quantile buckets and interleave the ranks.
 
-    One pass with bounded sketches finds the cut points of all columns. NULL and NaN take the last bucket.
+    One pass with bounded sketches finds the cut points of all columns. Ranks are
+    stretched over all ``bits``, so a column of few values counts as much as one of
+    many. NULL and NaN take the last rank.
     """
     numbered = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
     buckets = 2**bits - 1
@@ -42,7 +44,10 @@ def add_zorder_key(df: DataFrame, columns: list[str], bits: int = 8, name: str =
         outputCols=[f"_r{i}" for i in range(len(columns))],
         handleInvalid="keep",
     ).transform(numbered)
-    key = zorder_key([F.col(f"_r{i}") for i in range(len(columns))], bits)
+    ranked = ranked.withColumns(
+        {f"_r{i}": F.floor(F.col(f"_r{i}") * buckets / (len(s) - 1)) for i, s in enumerate(splits)}
+    )
+    key = zorder_key([f"_r{i}" for i in range(len(columns))], bits)
     return ranked.withColumn(name, key).select(*df.columns, name)
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidemark.operators.drift import psi_against, retrain_signal, share_by_batch
+from tidemark.vocabulary import PSI_EPS
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -88,3 +91,22 @@ def read_latest_version(spark: SparkSession, path: str) -> DataFrame:
 def snapshots(path: str) -> BatchWriter:
     """Complete-mode writer: each batch stores the whole, bounded result as a new version."""
     return lambda df, batch_id: write_version(df, path, batch_id)
+
+
+def drift_history(path: str, category: str, baseline: dict[str, float], eps: float = PSI_EPS) -> BatchWriter:
+    """Store the stability index of every micro-batch; read it back with ``read_drift_history``.
+
+    The baseline holds one share per label, so it travels as literals.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        shares = share_by_batch(df.withColumn("_at", F.lit(batch_id)), "_at", category, tuple(baseline))
+        by_batch(path)(psi_against(shares, "_at", baseline, eps).drop("_at"), batch_id)
+
+    return write
+
+
+def read_drift_history(spark: SparkSession, path: str) -> DataFrame:
+    """Stored indices with the consecutive-breach counter and the retrain signal."""
+    history = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return retrain_signal(history, "batch_id")

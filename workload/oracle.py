@@ -217,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
     last = LLOYD_PASSES
     sql = {
         "bronze_ingest": f"SELECT {COLS}, 'events.parquet' AS source_name FROM trips",
-        "rescued_data": """SELECT event_id, CAST(user_id AS INT) AS user_id, event_type, round(value, 6) AS value,
+        "rescued_data": """SELECT event_id, ts, CAST(user_id AS INT) AS user_id, event_type, round(value, 6) AS value,
   CAST(to_json(struct_pack(props := props)) AS VARCHAR) AS _rescued_data FROM events""",
         "rescued_json": """SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k,
   CAST(NULL AS VARCHAR) AS _rescued_data FROM events""",
@@ -252,7 +252,7 @@ def oracle_sql() -> dict[str, str]:
   round(CASE WHEN sum(total_amount) > 0 THEN sum(extra + improvement_surcharge) / sum(total_amount) ELSE 0 END, 6)
     AS surcharge_rate FROM wide GROUP BY pickup_borough""",
         "point_lookup_count": "SELECT count(*) AS n FROM trips WHERE PULocationID = 24",
-        "schema_compare": f"""SELECT coalesce(l.name, r.name) AS name, l.kind AS left_type, r.kind AS right_type,
+        "schema_diff": f"""SELECT coalesce(l.name, r.name) AS name, l.kind AS left_type, r.kind AS right_type,
   CASE WHEN r.kind IS NULL THEN 'only_left' WHEN l.kind IS NULL THEN 'only_right'
     WHEN l.kind = r.kind THEN 'same' ELSE 'type_mismatch' END AS status,
   l.filled AS left_filled, r.filled AS right_filled
@@ -342,7 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "trip_sample": f"SELECT trip_id, {_r(*FEATURES[:4])}, passenger_count FROM features ORDER BY trip_id LIMIT 200",
         "feature_moments": f"SELECT {_r(*[f'{p}_{c}' for p in ('mean', 'std') for c in FEATURES])} FROM moments",
         "zorder_compact": BUSINESS,
-        "file_layout": """SELECT 'before' AS layout, CAST(40 AS BIGINT) AS n_files, count(*) AS n_rows FROM trips
+        "file_stats": """SELECT 'before' AS layout, CAST(40 AS BIGINT) AS n_files, count(*) AS n_rows FROM trips
   UNION ALL SELECT 'after', CAST(4 AS BIGINT), count(*) FROM trips""",
     }
     out = {name: _with(body) for name, body in sql.items()}

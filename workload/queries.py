@@ -14,10 +14,10 @@ from tidemark.operators import clustering as cl
 from tidemark.operators import drift as dr
 from tidemark.operators import kpi as k
 from tidemark.operators import quality as q
+from tidemark.operators import schema as sch
 from tidemark.operators import scoring as sc
-from tidemark.operators.schema import schema_diff
+from tidemark.plans import layout as lay
 from tidemark.plans.bounds import cut, run_dir
-from tidemark.plans.layout import file_stats, zorder_rewrite
 from tidemark.plans.ordered import rolling_mean
 from tidemark.sources.files import read_csv_dimension, stream_dir
 from tidemark.sources.rescue import rescue, rescue_json
@@ -153,8 +153,8 @@ def bronze_ingest(spark, sf_dir):
 @query
 def rescued_data(spark, sf_dir):
     events = w.table(spark, sf_dir, "events")
-    wanted = spark.createDataFrame([], "event_id bigint, user_id int, event_type string, value double").schema
-    return r6(rescue(events.drop("ts"), wanted))
+    ddl = "event_id bigint, ts timestamp_ntz, user_id int, event_type string, value double"
+    return r6(rescue(events, spark.createDataFrame([], ddl).schema))
 
 
 @query
@@ -324,8 +324,8 @@ def point_lookup_count(spark, sf_dir):
 
 
 @query
-def schema_compare(spark, sf_dir):
-    return schema_diff(w.Source(spark, sf_dir).trips, w.Source(spark, sf_dir).history)
+def schema_diff(spark, sf_dir):
+    return sch.schema_diff(w.Source(spark, sf_dir).trips, w.Source(spark, sf_dir).history)
 
 
 @query
@@ -627,16 +627,16 @@ def _scattered(spark, sf_dir, name: str, files: int) -> str:
 @query
 def zorder_compact(spark, sf_dir):
     path = run_dir(spark, "zorder_compact")
-    zorder_rewrite(w.Source(spark, sf_dir).trips, [PICKUP, "PULocationID"], path, files=4)
+    lay.zorder_rewrite(w.Source(spark, sf_dir).trips, [PICKUP, "PULocationID"], path, files=4)
     return r6(_business(spark.read.parquet(path)))
 
 
 @query
-def file_layout(spark, sf_dir):
+def file_stats(spark, sf_dir):
     before, after = _scattered(spark, sf_dir, "layout", 40), run_dir(spark, "layout")
-    zorder_rewrite(spark.read.parquet(before), [PICKUP, "PULocationID"], after, files=4)
+    lay.zorder_rewrite(spark.read.parquet(before), [PICKUP, "PULocationID"], after, files=4)
     rows = [
-        file_stats(spark, p).select(F.lit(tag).alias("layout"), "n_files", "n_rows")
+        lay.file_stats(spark, p).select(F.lit(tag).alias("layout"), "n_files", "n_rows")
         for tag, p in (("before", before), ("after", after))
     ]
     return rows[0].unionByName(rows[1])
