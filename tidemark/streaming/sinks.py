@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,24 @@ from tidemark.vocabulary import PSI_EPS
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def unsorted_partition_writes(open_files: int = 16) -> Iterator[None]:
+    """Let a task keep one file open per partition value instead of sorting all its rows by that value.
+
+    A query copies the session's settings when it starts, so the setting is put back
+    right after. Past ``open_files`` values Spark falls back to the sort.
+    """
+    key, spark = "spark.sql.maxConcurrentOutputFileWriters", SparkSession.getActiveSession()
+    if spark is None or int(spark.conf.get(key, "0")) > 0:
+        yield
+        return
+    spark.conf.set(key, str(open_files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 @dataclass(frozen=True)
 class FileSink:
     """Append to a directory; the sink's own log makes reads exactly-once."""
@@ -24,9 +43,11 @@ class FileSink:
     format: str = "parquet"
 
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        return writer.format(self.format).start(self.path)
+        writer = writer.format(self.format)
+        if not self.partition_by:
+            return writer.start(self.path)
+        with unsorted_partition_writes():
+            return writer.partitionBy(*self.partition_by).start(self.path)
 
 
 @dataclass(frozen=True)
