@@ -32,6 +32,13 @@ def test_running(frame, series, block, inclusive):
         assert got[b][1] == (max(past) if past else None)
 
 
+def test_null_and_huge_order_values_are_kept(spark):
+    big = 2**60
+    df = spark.createDataFrame([(None, 5), (big, 1), (big + 1, 2), (big + 2, 3)], "b bigint, x int")
+    out = running(df, "b", {"s": ("sum", F.col("x"))}, block=2)
+    assert {r["b"]: r["s"] for r in out.collect()} == {None: 5, big: 6, big + 1: 8, big + 2: 11}
+
+
 @pytest.mark.parametrize("block", [3, 100_000])
 def test_positions_and_rolling_mean(frame, series, block):
     assert [r["rn"] for r in row_numbers(frame, "b", block=block).orderBy("b").collect()] == list(range(1, 121))

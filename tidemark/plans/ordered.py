@@ -21,6 +21,11 @@ _COMBINE = {
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def _block_of(at: Column, width: int) -> Column:
+    """Whole-number block of an integer column; no detour over doubles."""
+    return (at - F.pmod(at, F.lit(width))).cast("bigint")
+
+
 def running(
     df: DataFrame,
     order: str,
@@ -31,9 +36,10 @@ def running(
     """Add running ``sum``, ``max`` or ``min`` columns; ``order`` is a unique integer column.
 
     ``values`` maps the new column to (kind, expression). With ``inclusive=False``
-    only earlier rows count. ``df`` is read twice: pass a written or ``cut`` frame.
+    only earlier rows count. A row with NULL ``order`` comes first. ``df`` is read
+    twice: pass a written or ``cut`` frame.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
+    blocked = df.withColumn("_block", _block_of(F.col(order), block))
     upto = Window.partitionBy("_block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1
     )
@@ -45,11 +51,11 @@ def running(
         blocked.groupBy("_block")
         .agg(*[_AGG[kind](expr).alias(f"_t_{name}") for name, (kind, expr) in values.items()])
         .select(
-            "_block",
+            F.col("_block").alias("_of"),
             *[_AGG[kind](F.col(f"_t_{name}")).over(earlier).alias(f"_b_{name}") for name, (kind, _) in values.items()],
         )
     )
-    return local.join(before, "_block").select(
+    return local.join(before, F.col("_block").eqNullSafe(F.col("_of"))).select(
         *df.columns,
         *[_COMBINE[kind](F.col(f"_b_{name}"), F.col(f"_in_{name}")).alias(name) for name, (kind, _) in values.items()],
     )
@@ -70,8 +76,8 @@ def rolling_mean(
     """
     numbered = row_numbers(df, order, "_rn", block)
     width = max(block, rows)
-    home = F.floor(F.col("_rn") / F.lit(width))
-    spill = F.floor((F.col("_rn") + F.lit(rows - 1)) / F.lit(width))
+    home = _block_of(F.col("_rn"), width)
+    spill = _block_of(F.col("_rn") + F.lit(rows - 1), width)
     last = Window.partitionBy("_at").orderBy("_rn").rowsBetween(-(rows - 1), Window.currentRow)
     return (
         numbered.withColumn("_at", F.explode(F.array_distinct(F.array(home, spill))))
