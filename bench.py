@@ -19,8 +19,10 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tidemark.operators.kpi import with_event_time  # noqa: E402
 from tidemark.plans.bounds import run_dir  # noqa: E402
-from tidemark.sources.files import ingest  # noqa: E402
+from tidemark.plans.layout import zorder_rewrite  # noqa: E402
+from tidemark.sources.files import ingest, stream_dir  # noqa: E402
 from tidemark.streaming.sinks import FileSink  # noqa: E402
 from tidemark.streaming.stages import Stage, run_stage  # noqa: E402
 from tidemark.vocabulary import SATURATION_S  # noqa: E402
@@ -82,25 +84,35 @@ def timed(work) -> float:
 
 
 def ingest_sweep(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]:
-    """Mean seconds of one availableNow run that picks up one new file of ``rate`` rows."""
+    """Mean seconds of one availableNow run over one new file of ``rate`` rows: ingest, then silver."""
     out = {}
-    trips = w.Source(spark, sf_dir).trips.withColumn("_n", F.col("trip_id"))
+    source = w.Source(spark, sf_dir)
     for rate in RATES:
         root = run_dir(spark, f"sweep-{rate}")
-        build = lambda root=root: ingest(spark, f"{root}/in/*", trips.drop("_n").schema)
-        stage = Stage("bronze", build, FileSink(f"{root}/out"), f"{root}/checkpoint")
-        spent = []
+        schema = source.trips.schema
+        bronze = Stage(
+            "bronze", lambda: ingest(spark, f"{root}/in/*", schema), FileSink(f"{root}/bronze"), f"{root}/cp_bronze"
+        )
+        silver = Stage(
+            "silver",
+            lambda: source.locate(with_event_time(stream_dir(spark, f"{root}/bronze"), w.TIMES, w.TIMES[0])),
+            FileSink(f"{root}/silver"),
+            f"{root}/cp_silver",
+        )
+        spent: dict[str, list[float]] = {"ingest": [], "silver": []}
         for i in range(runs):
-            part = trips.where((F.col("_n") >= i * rate) & (F.col("_n") < (i + 1) * rate)).drop("_n")
+            part = source.trips.where(F.col("trip_id").between(i * rate, (i + 1) * rate - 1))
             part.coalesce(1).write.parquet(f"{root}/in/{i}")
-            spent.append(timed(lambda: run_stage(stage)))
-        out[f"ingest_run_rate_{rate}"] = round(sum(spent) / runs, 3)
-        out[f"ingest_saturated_rate_{rate}"] = float(sum(s > SATURATION_S for s in spent))
+            spent["ingest"].append(timed(lambda: run_stage(bronze)))
+            spent["silver"].append(timed(lambda: run_stage(silver)))
+        for layer, seconds in spent.items():
+            out[f"{layer}_run_rate_{rate}"] = round(sum(seconds) / runs, 3)
+        out[f"saturated_runs_rate_{rate}"] = float(sum(s > SATURATION_S for s in spent["ingest"]))
     return out
 
 
 def silver_runs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
-    """One silver run over the stored bronze layer, zone table as it is and cached."""
+    """One silver run over the whole stored bronze layer, zone table as it is and cached."""
     out = {}
     for tag in ("plain", "cached"):
         flow = Flow(spark, sf_dir, f"silver-{tag}")
@@ -112,6 +124,22 @@ def silver_runs(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     return out
 
 
+def compaction(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    """A table of 1,000 rows in 40 files into one Z-ordered file, and a filtered scan before and after."""
+    before, after = run_dir(spark, "compact"), run_dir(spark, "compact")
+    columns = [w.TIMES[0], "PULocationID"]
+    w.Source(spark, sf_dir).trips.orderBy("trip_id").limit(1000).repartition(40).write.parquet(before)
+
+    def scan(path: str) -> None:
+        spark.read.parquet(path).where("PULocationID = 24").count()
+
+    return {
+        "scan_40_files": timed(lambda: scan(before)),
+        "zorder_1000_rows": timed(lambda: zorder_rewrite(spark.read.parquet(before), columns, after, files=1)),
+        "scan_1_file": timed(lambda: scan(after)),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
@@ -122,7 +150,7 @@ def main() -> None:
         consume(todo[name](spark, sf_dir))
     spent = {name: timed(lambda name=name: consume(todo[name](spark, sf_dir))) for name in names}
     total = round(sum(spent.values()), 3)
-    runs_spent = {**ingest_sweep(spark, sf_dir, runs), **silver_runs(spark, sf_dir)}
+    runs_spent = {**ingest_sweep(spark, sf_dir, runs), **silver_runs(spark, sf_dir), **compaction(spark, sf_dir)}
     print(
         json.dumps(
             {

@@ -14,11 +14,11 @@ from tidemark.streaming.sinks import (
     FileSink,
     TableSink,
     by_batch,
-    drift_history,
     latest_per_key,
     read_drift_history,
     read_latest_version,
     snapshots,
+    write_drift_history,
     write_version,
 )
 from tidemark.streaming.stages import Stage, run_stage, start_stage, stop_started
@@ -253,7 +253,7 @@ def test_drift_history_counts_breaches_across_micro_batches(box, spark):
     def labelled():
         return box.source(max_files=1).withColumn("c", F.when(F.col("x") > 0, "A").otherwise("B"))
 
-    run_stage(box.stage(labelled, BatchSink(drift_history(f"{box.path}/psi", "c", {"A": 0.5, "B": 0.5}))))
+    run_stage(box.stage(labelled, BatchSink(write_drift_history(f"{box.path}/psi", "c", {"A": 0.5, "B": 0.5}))))
     rows = read_drift_history(spark, f"{box.path}/psi").orderBy("batch_id").collect()
     assert [r["consecutive"] for r in rows] == [0, 0, 1, 2, 3, 0]
     assert [r["batch_id"] for r in rows if r["retrain"]] == [4]

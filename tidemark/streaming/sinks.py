@@ -114,7 +114,7 @@ def snapshots(path: str) -> BatchWriter:
     return lambda df, batch_id: write_version(df, path, batch_id)
 
 
-def drift_history(path: str, category: str, baseline: dict[str, float], eps: float = PSI_EPS) -> BatchWriter:
+def write_drift_history(path: str, category: str, baseline: dict[str, float], eps: float = PSI_EPS) -> BatchWriter:
     """Store the stability index of every micro-batch; read it back with ``read_drift_history``.
 
     The baseline holds one share per label, so it travels as literals.

@@ -338,6 +338,10 @@ def oracle_sql() -> dict[str, str]:
     ELSE 0 END AS consecutive FROM (
     SELECT *, psi >= 0.25 AS breach, row_number() OVER (ORDER BY sim_batch_id)
       - row_number() OVER (PARTITION BY psi >= 0.25 ORDER BY sim_batch_id) AS island FROM psi))""",
+        "drift_history": f"""SELECT CAST(0 AS BIGINT) AS batch_id, round(psi, 6) AS psi,
+  CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'drift' END AS verdict,
+  psi >= 0.25 AS breach, CASE WHEN psi >= 0.25 THEN 1 ELSE 0 END AS consecutive, false AS retrain
+  FROM (SELECT {PSI} AS psi FROM (SELECT *, {SHARES} FROM (SELECT count(*) AS n, {COUNTS} FROM classified)), base b)""",
         "trip_features": f"SELECT trip_id, {_r(*FEATURES)} FROM scaled",
         "trip_sample": f"SELECT trip_id, {_r(*FEATURES[:4])}, passenger_count FROM features ORDER BY trip_id LIMIT 200",
         "feature_moments": f"SELECT {_r(*[f'{p}_{c}' for p in ('mean', 'std') for c in FEATURES])} FROM moments",

@@ -27,8 +27,10 @@ from tidemark.streaming.sinks import (
     FileSink,
     by_batch,
     latest_per_key,
+    read_drift_history,
     read_latest_version,
     snapshots,
+    write_drift_history,
     write_version,
 )
 from tidemark.streaming.stages import Stage, run_stage, run_stages
@@ -522,6 +524,22 @@ def drift_alerts(spark, sf_dir):
     return r6(dr.retrain_signal(dr.psi(_shares(spark, sf_dir), BATCH), BATCH))
 
 
+@query
+def drift_history(spark, sf_dir):
+    flow = Flow(spark, sf_dir, "drift_history")
+    clusters, shares = flow.store_clusters(), _shares(spark, sf_dir)
+    baseline = {r["label"]: r["share"] for r in dr.drift_baseline(shares, BATCH).collect()}
+    stats = flow.store_stats(flow.source.silver)
+
+    def classify() -> DataFrame:
+        gold = flow.source.flag(flow.located(), stats).where(F.col("quality_flag") == v.VALIDE)
+        return flow.source.score(gold, clusters)
+
+    sink = BatchSink(write_drift_history(flow.path("psi"), "cluster_label", baseline))
+    run_stage(flow.stage("psi", classify, sink))
+    return r6(read_drift_history(spark, flow.path("psi")))
+
+
 # -- clustering -------------------------------------------------------------------------------
 
 
