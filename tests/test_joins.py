@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import enrich
 from tidemark.plans.bounds import Size, fits_broadcast, measure
+from tidemark.streaming.sinks import FileSink
+from tidemark.streaming.stages import Stage, run_stage
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +57,20 @@ def test_hot_key_spreads(facts, dim, spark):
     assert len(parts) > 2 and max(r["count"] for r in parts) < 600
 
 
-def test_measure_stops_past_the_limit(spark):
-    assert measure(spark.range(100), 10).rows == 11
+def test_large_dimension_on_a_stream(facts, dim, spark, tmp_path):
+    facts.write.parquet(f"{tmp_path}/facts")
+    stream = spark.readStream.schema(facts.schema).parquet(f"{tmp_path}/facts")
+
+    def build():
+        return enrich(stream, dim, "k", "key", {"name": "label"}, max_rows=5)
+
+    run_stage(Stage("salted", build, FileSink(f"{tmp_path}/out"), f"{tmp_path}/cp"))
+    assert counted(spark.read.parquet(f"{tmp_path}/out")) == counted(enrich(facts, dim, "k", "key", {"name": "label"}))
+
+
+def test_measure(spark):
+    df = spark.createDataFrame([(1, "abc", [1]), (2, None, None)], "a int, b string, c array<int>")
+    assert measure(df) == Size(2, 2 * (8 + 8) + 3 + len('{"c":[1]}') + len("{}"))
+    assert measure(df.limit(0)) == Size(0, 0)
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
     assert not fits_broadcast(Size(3, 10**9))

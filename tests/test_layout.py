@@ -41,6 +41,13 @@ def test_hot_bucket_fills_several_files(spark, tmp_path):
     assert len(sizes) == 6 and max(r["count"] for r in sizes) < 2500
 
 
+def test_adaptive_execution_sizes_the_files(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id", "CAST(id % 50 AS INT) AS a", "CAST(id % 9 AS INT) AS b")
+    zorder_rewrite(df, ["a", "b"], f"{tmp_path}/z")
+    row = file_stats(spark, f"{tmp_path}/z").first()
+    assert row["n_rows"] == 5000 and 1 <= row["n_files"] <= 4
+
+
 def test_null_and_unsupported_columns(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (None, 2)], "a int, b int")
     zorder_rewrite(df, ["a", "b"], f"{tmp_path}/n", files=1)

@@ -1,5 +1,9 @@
 """Every registered query with SQL gives the rows DuckDB gives."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import connect, difference
 
@@ -23,6 +27,12 @@ def test_query_matches_sql(spark, small, con, name):
     assert difference(entry_point.queries()[name](spark, small), con, ORACLE[name]) is None
 
 
+def test_import_needs_no_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert len(e.queries()) > len(e.oracle_sql()) > 60"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, timeout=120).returncode == 0
+
+
 def test_entry(spark):
     rows = entry_point.entry(spark)
     assert rows.columns == ["window_start", "window_end", "pickup_borough", "trip_count", "avg_total_amount"]

@@ -69,6 +69,7 @@ def lloyd(
     init: list[list[float]],
     max_iter: int = 20,
     tol: float = 1e-4,
+    keep: bool = True,
 ) -> tuple[list[list[float]], DataFrame]:
     """K-means by repeated passes; returns the centres and the rows with their last assignment.
 
@@ -78,7 +79,7 @@ def lloyd(
     that last pass, before the centres moved.
     """
     centres = used = [list(map(float, c)) for c in init]
-    points = df.persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
     try:
         for _ in range(max_iter):
             used = centres
@@ -94,7 +95,8 @@ def lloyd(
             if moved < tol:
                 break
     finally:
-        points.unpersist()
+        if keep:
+            points.unpersist()
     return centres, assign(df, columns, used)
 
 

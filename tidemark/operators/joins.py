@@ -23,7 +23,7 @@ def enrich(
 ) -> DataFrame:
     """Add ``keep`` (dimension column to new name) by left join; rows without a match keep NULLs.
 
-    The dimension is broadcast only after a bounded count. ``proof`` is a cheaper
+    The dimension is broadcast only after it was counted. ``proof`` is a cheaper
     table, or its size if measured before, whose row count bounds that of ``dim``
     (the groups of an aggregate can not outnumber the dimension their key comes
     from). Past the limit the join shuffles on (key, salt), so a hot or NULL key

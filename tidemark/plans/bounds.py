@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -15,29 +17,37 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Size:
-    """Rows and rough bytes seen; never more than one row past the limit is read."""
+    """Rows and rough bytes of a whole table."""
 
     rows: int
     bytes: int
 
 
-def measure(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Size:
-    row = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b"),
-        )
-        .first()
-    )
+def _width(field: T.StructField) -> Column:
+    """Rough bytes of one value."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return F.lit(8)
+
+
+def measure(df: DataFrame) -> Size:
+    """Count the whole table in one distributed aggregation.
+
+    A LIMIT before the count would send up to that many rows of every partition to one task.
+    """
+    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields], F.lit(8))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return Size(row["n"], row["b"])
 
 
 def fits_broadcast(
     proof: DataFrame | Size, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """True when the whole of the table was counted and lies within both limits."""
-    size = proof if isinstance(proof, Size) else measure(proof, max_rows)
+    """True when the table, counted as a whole, lies within both limits."""
+    size = proof if isinstance(proof, Size) else measure(proof)
     return size.rows <= max_rows and size.bytes <= max_bytes
 
 
