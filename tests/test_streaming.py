@@ -21,7 +21,7 @@ from tidemark.streaming.sinks import (
     write_drift_history,
     write_version,
 )
-from tidemark.streaming.stages import Stage, run_stage, start_stage, stop_started
+from tidemark.streaming.stages import ROCKSDB_STATE, Stage, run_stage, start_stage, stop_started
 
 T0 = datetime(2024, 1, 1, 12)
 DDL = "id int, ts timestamp, x double"
@@ -96,6 +96,17 @@ def test_window_drops_only_rows_of_closed_windows(box):
     assert sum(r.groupBy().sum("dropped_by_watermark").first()[0] for r in reports) == 1
 
 
+def test_settings_of_one_stage(box, spark):
+    conf = {**ROCKSDB_STATE, "spark.sql.shuffle.partitions": "2"}
+    before = {key: spark.conf.get(key, None) for key in conf}
+    reports = run_late_files(box, box.stage(box.windows, conf=conf))
+    assert {r["window_start"].minute: r["n"] for r in box.read().collect()} == {30: 2}
+    assert sum(r.groupBy().sum("dropped_by_watermark").first()[0] for r in reports) == 1
+    assert {key: spark.conf.get(key, None) for key in conf} == before
+    state = spark.read.format("state-metadata").load(f"{box.path}/_cp/s").first()
+    assert state["numPartitions"] == 2
+
+
 def test_stateless_stage_keeps_late_rows(box):
     run_late_files(box, box.stage(lambda: k.with_event_time(box.source(), ["ts"], "ts", "5 minutes")))
     assert box.read().count() == 4
@@ -215,7 +226,7 @@ def test_continuous_trigger_and_stop(box, spark):
     box.add("b", [at(2, 2)])
     query.processAllAvailable()
     assert box.read("live").count() == 2
-    assert progress_frame(spark, query).groupBy().sum("num_input_rows").first()[0] == 2
+    assert progress_frame(query).groupBy().sum("num_input_rows").first()[0] == 2
     other = spark.readStream.format("rate").load().writeStream.format("noop").start()
     try:
         assert stop_started(spark) == ["live"]

@@ -20,8 +20,9 @@ PROGRESS = (
 )
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+def progress_frame(query: StreamingQuery) -> DataFrame:
     """All retained progress reports of a query, not only the last."""
+    spark = SparkSession.active()
     rows = []
     for report in query.recentProgress:
         p = json.loads(report.json)

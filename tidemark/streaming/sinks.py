@@ -17,21 +17,19 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 
 @contextmanager
-def unsorted_partition_writes(open_files: int = 16) -> Iterator[None]:
-    """Let a task keep one file open per partition value instead of sorting all its rows by that value.
-
-    A query copies the session's settings when it starts, so the setting is put back
-    right after. Past ``open_files`` values Spark falls back to the sort.
-    """
-    key, spark = "spark.sql.maxConcurrentOutputFileWriters", SparkSession.getActiveSession()
-    if spark is None or int(spark.conf.get(key, "0")) > 0:
-        yield
-        return
-    spark.conf.set(key, str(open_files))
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the start of one query, which copies them; put back right after."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 @dataclass(frozen=True)
@@ -43,11 +41,14 @@ class FileSink:
     format: str = "parquet"
 
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
-        writer = writer.format(self.format)
-        if not self.partition_by:
-            return writer.start(self.path)
-        with unsorted_partition_writes():
-            return writer.partitionBy(*self.partition_by).start(self.path)
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        return writer.format(self.format).start(self.path)
+
+    def conf(self) -> dict[str, str]:
+        # A task keeps one file open per partition value instead of sorting all its rows by that
+        # value. Past this many values Spark falls back to the sort.
+        return {"spark.sql.maxConcurrentOutputFileWriters": "16"} if self.partition_by else {}
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,9 @@ class TableSink:
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
         return writer.format(self.format).toTable(self.name)
 
+    def conf(self) -> dict[str, str]:
+        return {}
+
 
 @dataclass(frozen=True)
 class BatchSink:
@@ -70,6 +74,9 @@ class BatchSink:
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
         return writer.foreachBatch(self.write).start()
 
+    def conf(self) -> dict[str, str]:
+        return {}
+
 
 def by_batch(path: str, partition_by: tuple[str, ...] = ()) -> BatchWriter:
     """Write each micro-batch to its own ``batch_id=N`` directory; a replay overwrites it."""

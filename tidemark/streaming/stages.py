@@ -9,16 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.streaming.metrics import progress_frame
-from tidemark.streaming.sinks import BatchSink, FileSink, TableSink
+from tidemark.streaming.sinks import BatchSink, FileSink, TableSink, settings
 
 AVAILABLE_NOW = {"availableNow": True}
 
+# Keeps large state on local disk instead of the executor's heap.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
+
 _started: set[str] = set()
 
 
 @dataclass(frozen=True)
 class Stage:
-    """One streaming query. Each stage owns its checkpoint."""
+    """One streaming query. Each stage owns its checkpoint.
+
+    ``conf`` holds session settings for this query only, such as the number of state
+    partitions, fixed at the first start, or the state store.
+    """
 
     name: str
     build: Callable[[], DataFrame]
@@ -26,18 +37,20 @@ class Stage:
     checkpoint: str
     mode: str = "append"
     trigger: dict = field(default_factory=lambda: dict(AVAILABLE_NOW))
+    conf: dict[str, str] = field(default_factory=dict)
 
 
 def start_stage(stage: Stage) -> StreamingQuery:
     """Start a stage without waiting; needed for continuous triggers."""
+    df = stage.build()
     writer = (
-        stage.build()
-        .writeStream.queryName(stage.name)
+        df.writeStream.queryName(stage.name)
         .outputMode(stage.mode)
         .option("checkpointLocation", stage.checkpoint)
         .trigger(**stage.trigger)
     )
-    query = stage.sink.start(writer)
+    with settings(df.sparkSession, {**stage.sink.conf(), **stage.conf}):
+        query = stage.sink.start(writer)
     _started.add(str(query.id))
     return query
 
@@ -45,16 +58,8 @@ def start_stage(stage: Stage) -> StreamingQuery:
 def run_stage(stage: Stage) -> DataFrame:
     """Run a stage to the end of the available input and return its progress, one row per micro-batch."""
     query = start_stage(stage)
-    spark = query_session(stage, query)
     query.awaitTermination()
-    return progress_frame(spark, query)
-
-
-def query_session(stage: Stage, query: StreamingQuery) -> SparkSession:
-    session = SparkSession.getActiveSession()
-    if session is None:
-        raise RuntimeError(f"no active session for stage {stage.name} ({query.id})")
-    return session
+    return progress_frame(query)
 
 
 def run_stages(stages: Iterable[Stage]) -> dict[str, DataFrame]:
