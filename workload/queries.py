@@ -295,7 +295,8 @@ def kpi_window_summary(spark, sf_dir):
 
 @query
 def kpi_ci95(spark, sf_dir):
-    return r6(k.mean_ci(w.Source(spark, sf_dir).silver, "pickup_borough", "total_amount", "stream")).orderBy("pickup_borough")
+    silver = w.Source(spark, sf_dir).silver
+    return r6(k.mean_ci(silver, "pickup_borough", "total_amount", "stream")).orderBy("pickup_borough")
 
 
 @query
@@ -424,11 +425,8 @@ def extra_rules(spark, sf_dir):
 def ratio_assertion(spark, sf_dir):
     valid = F.count_if(F.col("quality_flag") == v.VALIDE) / F.count(F.lit(1))
     located = F.count("pickup_borough") / F.count(F.lit(1))
-    return r6(
-        q.check_ranges(
-            w.Source(spark, sf_dir).flagged, {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
-        )
-    )
+    checks = {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
+    return r6(q.check_ranges(w.Source(spark, sf_dir).flagged, checks))
 
 
 @query
@@ -481,7 +479,8 @@ def cluster_distribution(spark, sf_dir):
 
 @query
 def score_unmatched(spark, sf_dir):
-    return w.Source(spark, sf_dir).classified.where(F.col("prediction").isNull()).agg(F.count(F.lit(1)).alias("n_unmatched"))
+    unmatched = w.Source(spark, sf_dir).classified.where(F.col("prediction").isNull())
+    return unmatched.agg(F.count(F.lit(1)).alias("n_unmatched"))
 
 
 @query
