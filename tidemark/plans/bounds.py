@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -52,13 +51,8 @@ def fits_broadcast(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.gettempdir()
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the session's warehouse where that is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -75,3 +69,10 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(run_dir(spark, "checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back; columnar, for tables of many rows."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,17 +1,22 @@
-"""Running and rolling values over a global order, without one task holding the whole order.
+"""Running, neighbouring and rolling values over a global order, without one task holding the whole order.
 
-A window with no PARTITION BY moves every row to one task. Here the order column
-is cut into blocks of ``block`` consecutive values. With unique integer order
-values a block holds at most ``block`` rows, so a window inside a block is
-bounded; the totals of earlier blocks are added from a table of one row per block.
+A window with no PARTITION BY moves every row to one task. Here quantiles of the
+order column cut the rows into blocks of about ``block`` rows each, however
+sparse or clustered the values are. A window inside a block is bounded; what
+other blocks contribute comes from a table of one row per block.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 100_000
+#: Blocks at most. A table of this many rows is ordered by one task; larger inputs get larger blocks.
+MAX_BLOCKS = 2_048
 
 _COMBINE = {
     "sum": lambda before, here: F.coalesce(before, F.lit(0)) + F.coalesce(here, F.lit(0)),
@@ -21,11 +26,47 @@ _COMBINE = {
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def with_blocks(df: DataFrame, order: str, block: int = BLOCK, name: str = "_block") -> DataFrame:
+    """Add the number of the block that a row's order value falls in; equal values share one, NULL comes first."""
+    number = df.select(F.col(order).cast("double").alias("_at"))
+    rows = number.agg(F.count("_at")).first()[0]
+    n = min(MAX_BLOCKS, math.ceil(rows / block))
+    if n <= 1:
+        return df.withColumn(name, F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    cuts = number.approxQuantile("_at", [i / n for i in range(1, n)], 1 / (4 * n))
+    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    ranked = Bucketizer(splits=splits, inputCol="_at", outputCol="_rank", handleInvalid="keep").transform(
+        df.withColumn("_at", F.col(order).cast("double"))
+    )
+    at = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_rank").cast("int"))
+    return ranked.withColumn(name, at).drop("_at", "_rank")
+
+
 def _block_of(at: Column, width: int) -> Column:
-    """Whole-number block of an integer column; no detour over doubles."""
+    """Whole-number block of a dense integer column; no detour over doubles."""
     return (at - F.pmod(at, F.lit(width))).cast("bigint")
 
 
+def followers(df: DataFrame, order: str, name: str, block: int = BLOCK) -> DataFrame:
+    """Add the next larger value of the unique integer column ``order``, NULL after the last.
+
+    ``df`` is read several times: pass a written or ``cut`` frame.
+    """
+    blocked = with_blocks(df, order, block)
+    later = Window.orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    edges = (
+        blocked.groupBy("_block")
+        .agg(F.min(order).alias("_low"))
+        .select(F.col("_block").alias("_of"), F.min("_low").over(later).alias("_after"))
+    )
+    inside = F.lead(order).over(Window.partitionBy("_block").orderBy(order))
+    return (
+        blocked.withColumn("_inside", inside)
+        .join(edges, F.col("_block") == F.col("_of"))
+        .select(*df.columns, F.coalesce("_inside", "_after").alias(name))
+    )
+
+
 def running(
     df: DataFrame,
     order: str,
@@ -39,7 +80,7 @@ def running(
     only earlier rows count. A row with NULL ``order`` comes first. ``df`` is read
     twice: pass a written or ``cut`` frame.
     """
-    blocked = df.withColumn("_block", _block_of(F.col(order), block))
+    blocked = with_blocks(df, order, block)
     upto = Window.partitionBy("_block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1
     )
