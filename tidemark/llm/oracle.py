@@ -38,3 +38,54 @@ SELECT doc_id, size, source_size, target,
   ((epochs + CASE WHEN ahead + size / 2 <= lft AND ahead < lft THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM a
 """
+
+
+def _print(text: str) -> str:
+    """The fingerprint of an SQL text expression; list comprehensions read the same in every DuckDB version."""
+    leaves = "array_to_string(['.' || substr(sha256(l), 1, 8) for l in regexp_extract_all(p, '(?s).{1,64}')], '')"
+    paragraphs = "string_split(s, chr(10))"
+    node = f"sha256(array_to_string([sha256(p) for p in {paragraphs}], ''))"
+    branch = f"array_to_string([substr(sha256(p), 1, 8) || '=' || {leaves} for p in {paragraphs}], ';')"
+    sections = f"string_split({text}, chr(10) || chr(10))"
+    return (
+        f"sha256(array_to_string([{node} for s in {sections}], '')) || '|' || "
+        f"array_to_string([substr({node}, 1, 8) || ':' || {branch} for s in {sections}], '/')"
+    )
+
+
+def _like(a: str, b: str) -> str:
+    leaves = [f"list_distinct(regexp_extract_all({x}, '\\.([0-9a-f]{{8}})', 1))" for x in (a, b)]
+    total = f"(len({leaves[0]}) + len({leaves[1]}))"
+    return (
+        f"CASE WHEN split_part({a}, '|', 1) = split_part({b}, '|', 1) THEN 1.0::DOUBLE ELSE least("
+        f"len(list_intersect({leaves[0]}, {leaves[1]}))::DOUBLE * 2.0::DOUBLE / greatest({total}, 1), "
+        f"1 - 1.0::DOUBLE / ({total} + 2)) END"
+    )
+
+
+SQL["op1_merkle_fingerprints"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents),
+n AS (
+  SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following
+  FROM d WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (
+  SELECT *, substr(text, 1, (n_chars - n_chars // 2)::BIGINT) || substr(following, 1, (n_chars // 2)::BIGINT) AS edited FROM n),
+p AS (
+  SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_print("text")} AS fingerprint,
+    {_print("edited")} AS edited_fingerprint, {_print("following")} AS next_print
+  FROM e),
+b AS (
+  SELECT *, string_split(split_part(fingerprint, '|', 2), '/') AS x, string_split(split_part(edited_fingerprint, '|', 2), '/') AS y
+  FROM p),
+f AS (
+  SELECT *, CASE WHEN split_part(fingerprint, '|', 1) <> split_part(edited_fingerprint, '|', 1)
+    THEN list_position([x[i] IS DISTINCT FROM y[i] for i in range(1, greatest(len(x), len(y)) + 1)], true) END AS at
+  FROM b),
+g AS (SELECT *, string_split(coalesce(x[at], ''), ';') AS u, string_split(coalesce(y[at], ''), ';') AS v FROM f)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  {_like("fingerprint", "edited_fingerprint")} AS near_edited, {_like("fingerprint", "next_print")} AS near_next,
+  (at - 1)::INTEGER AS edit_section,
+  CASE WHEN at IS NOT NULL THEN
+    list_position([u[i] IS DISTINCT FROM v[i] for i in range(1, greatest(len(u), len(v)) + 1)], true) - 1 END::INTEGER AS edit_paragraph
+FROM g
+"""

@@ -31,6 +31,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_merkle_fingerprints(spark, sf_dir):
+    from tidemark.llm import fingerprints
+
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_patched_blocks(spark, sf_dir):
+    from public_tokenizers import path
+
+    from tidemark.llm import token_blocks
+
+    return token_blocks.token_files(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+@query
+def op7_vertical_jaccard(spark, sf_dir):
+    from tidemark.llm import jaccard
+
+    return jaccard.link_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op8_isolation_rules(spark, sf_dir):
+    from tidemark.llm import anomalies
+
+    out = anomalies.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(*base, "score")
+
+
 @query
 def op9_exponential_mix(spark, sf_dir):
     from tidemark.llm import mixing
