@@ -79,13 +79,13 @@ b AS (
   FROM p),
 f AS (
   SELECT *, CASE WHEN split_part(fingerprint, '|', 1) <> split_part(edited_fingerprint, '|', 1)
-    THEN list_position([x[i] IS DISTINCT FROM y[i] for i in range(1, greatest(len(x), len(y)) + 1)], true) END AS at
+    THEN list_position([x[i] IS DISTINCT FROM y[i] for i in range(1, greatest(len(x), len(y)) + 1)], true) END AS spot
   FROM b),
-g AS (SELECT *, string_split(coalesce(x[at], ''), ';') AS u, string_split(coalesce(y[at], ''), ';') AS v FROM f)
+g AS (SELECT *, string_split(coalesce(x[spot], ''), ';') AS u, string_split(coalesce(y[spot], ''), ';') AS v FROM f)
 SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
   {_like("fingerprint", "edited_fingerprint")} AS near_edited, {_like("fingerprint", "next_print")} AS near_next,
-  (at - 1)::INTEGER AS edit_section,
-  CASE WHEN at IS NOT NULL THEN
+  (spot - 1)::INTEGER AS edit_section,
+  CASE WHEN spot IS NOT NULL THEN
     list_position([u[i] IS DISTINCT FROM v[i] for i in range(1, greatest(len(u), len(v)) + 1)], true) - 1 END::INTEGER AS edit_paragraph
 FROM g
 """
