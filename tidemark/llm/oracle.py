@@ -89,3 +89,21 @@ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     list_position([u[i] IS DISTINCT FROM v[i] for i in range(1, greatest(len(u), len(v)) + 1)], true) - 1 END::INTEGER AS edit_paragraph
 FROM g
 """
+
+
+# Control strings and the characters that a turn's marks add are those of the template.
+SQL["op3_reply_tree_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, regexp_replace(text, '(\\*)(<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|\[ANS\]|\[ROLE=|\[/ROLE\])', '\1\\\2', 'g') AS body
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(length(body) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 11
+    ELSE 16 + length(coalesce(CAST(to_json(role) AS VARCHAR), 'null')) END))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""

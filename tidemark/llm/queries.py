@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.bounds import stored
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _registry: dict[str, Query] = {}
@@ -38,6 +40,28 @@ def op1_merkle_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii_label_model(spark, sf_dir):
+    from tidemark.llm import pii
+
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_reply_tree_chat(spark, sf_dir):
+    from tidemark.llm import chat
+
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    # Stored once: the positions of turns are read by every join.
+    formatted = chat.format_trees(stored(chat.as_tree(turns), "chat_turns"))
+    least = F.when(F.col("tree") != -(2**63), F.col("tree"))
+    return chat.digests(formatted).withColumn("conv_id", least).drop("tree")
+
+
 @query
 def op5_patched_blocks(spark, sf_dir):
     from public_tokenizers import path
