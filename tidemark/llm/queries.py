@@ -62,6 +62,19 @@ def op3_reply_tree_chat(spark, sf_dir):
     return chat.digests(formatted).withColumn("conv_id", least).drop("tree")
 
 
+@query
+def op4_evidence_fusion(spark, sf_dir):
+    from tidemark.llm import language
+
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.TextModel.fit(docs.select("lang", "text"))
+    columns = ["lang", "confidence", "text_lang", "kept"]
+    none = F.lit(None).cast("bigint")
+    of_docs = language.identify_documents(docs, model).select(F.col("id").alias("doc_id"), none.alias("page_id"), *columns)
+    of_pages = language.identify_pages(pages, model).select(none.alias("doc_id"), F.col("id").alias("page_id"), *columns)
+    return of_docs.unionByName(of_pages)
+
+
 @query
 def op5_patched_blocks(spark, sf_dir):
     from public_tokenizers import path
