@@ -84,6 +84,16 @@ def op5_patched_blocks(spark, sf_dir):
     return token_blocks.token_files(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
 
 
+@query
+def op6_suffix_pieces(spark, sf_dir):
+    from public_tokenizers import path
+
+    from tidemark.llm import pieces
+
+    model = path("piece_bpe_32k.model")
+    return pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model, with_text=False)
+
+
 @query
 def op7_vertical_jaccard(spark, sf_dir):
     from tidemark.llm import jaccard
