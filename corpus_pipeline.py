@@ -1,23 +1,62 @@
 """Five stages from documents to token ids; each is one of the operators in ``tidemark.llm``.
 
 language ID -> n-gram Jaccard join (one document of each group stays) -> personal data -> mixing -> SentencePiece.
+Every stage but the last returns the columns of ``documents``. Rows are told apart by where they are stored, so
+repeated ids do no harm.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import jaccard, language, mixing, pieces, pii
+from tidemark.llm.rows import ADDRESS, addressed, without
 from tidemark.plans.bounds import run_dir
 
+#: Near duplicates: shingles of five words, similarity of 80 percent or more.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found go on."""
+    found = language.identify_documents(addressed(docs), extra=ADDRESS)
+    rejected = found.where(~F.col("kept"))
+    return without(docs, rejected)
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: one with the smallest id."""
+    groups = jaccard.link_groups(addressed(docs), SHINGLE_WORDS, SIMILAR_PERCENT, extra=ADDRESS)
+    return without(docs, groups.where(~F.col("keep")))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data give way to their kind."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint"))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return mixing.apply_mix(docs, mixing.mix(docs, quality=mixing.document_quality(labels)))
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, checked by decoding them."""
+    from public_tokenizers import path
+
+    model = path("piece_bpe_32k.model")
+    return pieces.decode(pieces.encode(docs, model), model, with_text=False)
+
+
 STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", join_near_copies),
+    ("personal_data", redact_personal_data),
     ("mix_sources", mix_sources),
+    ("sentence_pieces", encode_pieces),
 ]
 
 #: Trained models and an external tokenizer have no SQL; the stages are tested against brute force.
@@ -28,8 +67,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents; every stage's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = run_dir(spark, "corpus")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         path = f"{root}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -108,8 +108,8 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _describe(n: int, percent: int, with_set: bool):
-    """Tasks turn texts into (doc_id, size, two digests, signatures or shingles)."""
+def _describe(n: int, percent: int, with_set: bool, extra: list[str]):
+    """Tasks turn texts into (doc_id, size, two digests, signatures or shingles, extra columns as they are)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(percent)
@@ -126,8 +126,9 @@ def _describe(n: int, percent: int, with_set: bool):
                 flat = np.concatenate([*values, np.zeros(0, np.uint64)])
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, len(sets)), pa.array(size), pa.array(_as_long(digest[:, 0].copy())),
-                     pa.array(_as_long(digest[:, 1].copy())), pa.ListArray.from_arrays(bound, pa.array(_as_long(flat)))],
-                    ["doc_id", "n", "hi", "lo", "parts"],
+                     pa.array(_as_long(digest[:, 1].copy())), pa.ListArray.from_arrays(bound, pa.array(_as_long(flat))),
+                     *(batch.column(c).slice(start, len(sets)) for c in extra)],
+                    ["doc_id", "n", "hi", "lo", "parts", *extra],
                 )
 
     return describe
@@ -136,9 +137,10 @@ def _describe(n: int, percent: int, with_set: bool):
 _DESCRIBED = "doc_id bigint, n bigint, hi bigint, lo bigint, parts array<bigint>"
 
 
-def described(docs: DataFrame, words: int, percent: int, with_set: bool) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_describe(words, percent, with_set), _DESCRIBED)
+def described(docs: DataFrame, words: int, percent: int, with_set: bool, extra: tuple[str, ...] = ()) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *extra)
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
+    return rows.mapInArrow(_describe(words, percent, with_set, list(extra)), _DESCRIBED + kinds)
 
 
 def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
@@ -312,13 +314,16 @@ def _across(groups: DataFrame, families: DataFrame, sets: DataFrame, percent: in
     return total.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
-def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, keep) of every row; ``keep`` marks one row of each component."""
-    rows = described(docs, words, percent, with_set=False).withColumn("row", F.monotonically_increasing_id())
+def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, keep) of every row, and ``extra`` columns of ``docs`` as they are.
+
+    ``keep`` marks one row of each component, one with the smallest id.
+    """
+    rows = described(docs, words, percent, with_set=False, extra=extra).withColumn("row", F.monotonically_increasing_id())
     # Row numbers are fixed once the rows are written.
     rows = stored(rows, "jaccard_rows")
     key = ["n", "hi", "lo"]
-    classes = rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    classes = rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = stored(classes, "jaccard_classes")
     again = rows.select("row", *key).join(classes.where("copies > 1"), key).where("row <> rep").select("row")
     reps = rows.where("n > 0").join(again, "row", "left_anti")
@@ -333,12 +338,12 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     links = _within(families, sets, percent).unionByName(_across(groups, families, sets, percent))
     labels = components(links)
     # From rows to classes to components; a component's id is the smallest id of all its rows.
-    whole = classes.join(labels, F.col("rep") == F.col("row"), "left").select(*key, "rep", "low", F.coalesce("root", "rep").alias("root"))
+    whole = classes.join(labels, F.col("rep") == F.col("row"), "left").select(*key, "least", F.coalesce("root", "rep").alias("root"))
     whole = stored(whole, "jaccard_wholes")
-    least = whole.groupBy("root").agg(F.min("low").alias("component_id"), F.min(F.struct(F.col("low").isNull(), "low", "rep"))["rep"].alias("first"))
-    named = whole.join(least, "root").select(*key, "component_id", "first", "rep")
-    plain = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keep"))
-    grouped = rows.where("n > 0").select("doc_id", "row", *key).join(named, key)
+    least = whole.groupBy("root").agg(F.min("least").alias("of_all"))
+    named = whole.join(least, "root").select(*key, F.col("of_all.doc_id").alias("component_id"), F.col("of_all.row").alias("first"))
+    plain = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keep"), *extra)
+    grouped = rows.where("n > 0").select("doc_id", "row", *key, *extra).join(named, key)
     return grouped.select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first")).alias("keep")
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first")).alias("keep"), *extra
     ).unionByName(plain)

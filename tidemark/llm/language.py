@@ -122,7 +122,7 @@ class TextModel:
         return np.column_stack([s * scale for s in sums]) if sums else np.zeros((len(texts), 0)), n
 
 
-def _evidence(model: TextModel, web: bool):
+def _evidence(model: TextModel, web: bool, extra: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -144,6 +144,7 @@ def _evidence(model: TextModel, web: bool):
                     "domain": pa.array(domain[start:end], pa.string()), "suffix": pa.array(suffix[start:end], pa.string()),
                     "declared": pa.array(declared[start:end], pa.string()), "n": pa.array(n.astype(np.int64)),
                     "ratio": pa.array(list(ratio), pa.list_(pa.float64())),
+                    **{c: batch.column(c).slice(start, len(part)) for c in extra},
                 })
 
     return run
@@ -164,10 +165,12 @@ def page_evidence(pages: DataFrame, model: TextModel) -> DataFrame:
     return rows.mapInArrow(_evidence(model, True), _EVIDENCE)
 
 
-def document_evidence(docs: DataFrame, model: TextModel, id_col: str = "doc_id") -> DataFrame:
-    """Documents declare a language in their table; their source stands for a host."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), "text", F.col("source").alias("host"), F.lower(F.substring("lang", 1, 3)).alias("declared"))
-    return rows.mapInArrow(_evidence(model, False), _EVIDENCE)
+def document_evidence(docs: DataFrame, model: TextModel, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Documents declare a language in their table; their source stands for a host. ``extra`` columns stay as they are."""
+    declared = F.lower(F.substring("lang", 1, 3)).alias("declared")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", F.col("source").alias("host"), declared, *extra)
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
+    return rows.mapInArrow(_evidence(model, False, extra), _EVIDENCE + kinds)
 
 
 def _shares(sums: Column, base: Column) -> Column:
@@ -230,10 +233,10 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     )
 
 
-def identify_documents(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
+def identify_documents(docs: DataFrame, model: TextModel | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """(id, lang, confidence, text_lang, kept) of every row of ``docs`` (doc_id, text, lang, source)."""
     model = model or TextModel.fit(docs.select("lang", "text"))
-    return fuse(stored(document_evidence(docs, model), "language_documents"), model)
+    return fuse(stored(document_evidence(docs, model, extra), "language_documents"), model)
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:

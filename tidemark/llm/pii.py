@@ -277,6 +277,22 @@ def find(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cut_out(kind: str, probability):
+    """A text as pieces: the gap before a match, the match, and whether it goes."""
+
+    def good(before: Column, hit: Column) -> Column:
+        return probability(hit, before) >= SURE if kind == ADDED else valid(F.lit(kind), hit)
+
+    def piece(gap: Column, hit: Column) -> Column:
+        goes = hit.isNotNull() & good(F.substring(gap, -CONTEXT, CONTEXT), hit)
+        return F.struct(gap.alias("g"), F.coalesce(hit, F.lit("")).alias("h"), F.coalesce(goes, F.lit(False)).alias("ok"))
+
+    def cut(s: Column) -> Column:
+        return F.zip_with(F.split(s, PATTERNS[kind], -1), F.regexp_extract_all(s, F.lit(PATTERNS[kind]), F.lit(0)), piece)
+
+    return cut
+
+
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Put ``[KIND]`` in place of every span, kind after kind; the classifier is trained on all of ``docs`` first.
 
@@ -289,21 +305,11 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for kind in (*BASE, ADDED):
         if kind == ADDED and probability is None:
             continue
-
-        def good(before: Column, hit: Column, kind=kind) -> Column:
-            return probability(hit, before) >= SURE if kind == ADDED else valid(F.lit(kind), hit)
-
-        def cut(s: Column, kind=kind, good=good) -> Column:
-            gaps, hits = F.split(s, PATTERNS[kind], -1), F.regexp_extract_all(s, F.lit(PATTERNS[kind]), F.lit(0))
-            return F.zip_with(gaps, hits, lambda g, h: F.struct(
-                g.alias("g"), F.coalesce(h, F.lit("")).alias("h"),
-                (h.isNotNull() & good(F.substring(g, -CONTEXT, CONTEXT), h)).alias("ok"),
-            ))
-
-        pieces = F.when(_worth_a_look(F.col("_new"), kind), _let(_prepared(F.col("_new"), kind), cut))
+        pieces = F.when(_worth_a_look(F.col("_new"), kind), _let(_prepared(F.col("_new"), kind), _cut_out(kind, probability)))
         joined = F.array_join(F.transform("_p", lambda x: F.concat(x["g"], F.when(x["ok"], F.lit(f"[{kind.upper()}]")).otherwise(x["h"]))), "")
         n = F.size(F.filter("_p", lambda x: x["ok"]))
         out = out.withColumn("_p", pieces).withColumn("_n", F.when(F.col("_p").isNotNull(), n).otherwise(0))
-        out = out.withColumn("_new", F.when(F.col("_n") > 0, _restored(joined)).otherwise(F.col("_new"))).withColumn("_hits", F.col("_hits") + F.col("_n"))
+        out = out.withColumn("_new", F.when(F.col("_n") > 0, _restored(joined)).otherwise(F.col("_new")))
+        out = out.withColumn("_hits", F.col("_hits") + F.col("_n"))
     changed = F.when(F.col("_hits") > 0, F.col("_new")).otherwise(F.col(text_col))
     return out.withColumn(text_col, changed).drop("_new", "_hits", "_p", "_n")

@@ -1,7 +1,7 @@
 """Two-pass external shuffle into shards, with DataFrame functions only.
 
 Pass one scatters the rows uniformly into buckets that fit in memory, by a seeded hash of the row's id and of the
-place it was read from (so that a repeated id spreads too). Pass two gathers a bucket into one array, applies the
+place it is stored at (so that a repeated id spreads too). Pass two gathers a bucket into one array, applies the
 Fisher-Yates shuffle to it (Spark's ``shuffle``) and writes it. The buckets follow each other; the shuffled order
 is cut into shards whose row counts differ by at most one.
 
@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import ADDRESS, addressed
 from tidemark.plans.bounds import run_dir, stored
 
 SHARDS = 40
@@ -31,9 +32,9 @@ def row_size(text: str) -> Column:
 
 
 def scatter(docs: DataFrame, buckets: int, seed: int, id_col: str) -> DataFrame:
-    """Number the rows by the task and place they are read at, and deal them to buckets by a seeded hash."""
-    row = docs.withColumn("_row", F.monotonically_increasing_id())
-    return row.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("_row")), F.lit(buckets)).cast("int"))
+    """Number the rows by a seeded hash of their id and address, and deal them to buckets."""
+    row = F.xxhash64(F.lit(seed), F.col(id_col), *ADDRESS)
+    return docs.withColumn("_row", row).withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.lit(buckets)).cast("int"))
 
 
 def shuffle_into_shards(
@@ -47,18 +48,20 @@ def shuffle_into_shards(
 ) -> None:
     """Write ``docs`` to ``path`` as folders ``shard=N``, each row with its ``slot``.
 
-    ``docs`` must give the same rows in the same tasks when it is read again, as files do: a count of ids comes
-    before the rows are moved. Write other frames with ``stored`` first. Text is moved once.
+    A count by bucket comes before the rows are moved, so the scatter depends on ids and on where rows are stored, not on the
+    tasks that read them. Text is moved once.
     """
+    names = docs.columns
+    docs = addressed(docs)
     size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_size(text_col)), F.lit(0))).first()
     rows, buckets = size[0], max(1, math.ceil(size[1] / bucket_bytes))
-    per_bucket = scatter(docs.select(id_col), buckets, seed, id_col).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    per_bucket = scatter(docs.select(id_col, *ADDRESS), buckets, seed, id_col).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     per_bucket = stored(per_bucket, "shard_buckets")
     # One short row per bucket, not per document.
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = per_bucket.select(F.col("_bucket").alias("_of"), before.alias("_start"))
 
-    record = F.struct("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    record = F.struct("_row", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"))
     gathered = (
         scatter(docs, buckets, seed, id_col)
         .groupBy("_bucket")

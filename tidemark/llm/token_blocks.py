@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -126,20 +127,59 @@ def read_ids(data: bytes, first: int, last: int, block: int = BLOCK) -> np.ndarr
 
 
 _pools: dict[str, IdPool] = {}
+#: Words of these characters only are lower-cased and parted here as the tokenizer does it; others go to it whole.
+_PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 
 
-def _pool(vocabulary: str) -> IdPool:
-    """Encoder of this worker; words part at white space, which the tokenizer drops anyway."""
-    if vocabulary not in _pools:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+def word_encoder(vocabulary: str) -> IdPool:
+    """Encoder of lists of words. Words part at white space, which the tokenizer drops anyway.
 
-        known = Tokenizer.from_file(vocabulary)
+    Plain words share their parts (letters, digits, signs): "Word," and "word" need one part each to be encoded. The
+    parts of a slice go to the tokenizer in one text; a part's last id is one that ends a word.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    known = Tokenizer.from_file(vocabulary)
+    ends = np.zeros(known.get_vocab_size(), bool)
+    ends[[i for token, i in known.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def whole(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in known.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
+
+    def together(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        runs = [" ".join(parts[i : i + 1000]) for i in range(0, len(parts), 1000)]
+        flat = np.concatenate([np.array(e.ids, np.int32) for e in known.encode_batch_fast(runs, add_special_tokens=False)])
+        last = np.flatnonzero(ends[flat])
+        if len(last) != len(parts) or not ends[flat[-1]]:
+            return whole(parts)
+        return flat, np.diff(np.concatenate([[-1], last]))
+
+    pieces = IdPool(together)
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [i for i, w in enumerate(words) if _PLAIN(w) and "<|" not in w]
+        if len(plain) == len(words):
+            return pieces([_PARTS(w.lower()) for w in words])
+        odd = sorted(set(range(len(words))) - set(plain))
+        flat = [pieces([_PARTS(words[i].lower()) for i in plain]), whole([words[i] for i in odd])]
+        length = np.zeros(len(words), np.int64)
+        length[plain], length[odd] = flat[0][1], flat[1][1]
+        start = np.cumsum(length) - length
+        ids = np.zeros(int(length.sum()), np.int32)
+        for rows, (own, n) in zip((plain, odd), flat):
+            ids[np.repeat(start[rows] - (np.cumsum(n) - n), n) + np.arange(len(own))] = own
+        return ids, length
+
+    return IdPool(encode)
 
-        def encode(words: list[str]):
-            return (e.ids for e in known.encode_batch_fast(words, add_special_tokens=False))
 
-        _pools[vocabulary] = IdPool(encode)
+def _pool(vocabulary: str) -> IdPool:
+    """The encoder of this worker."""
+    if vocabulary not in _pools:
+        _pools[vocabulary] = word_encoder(vocabulary)
     return _pools[vocabulary]
 
 
@@ -253,8 +293,9 @@ def read_token_files(manifest: DataFrame, path: str) -> DataFrame:
     order = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
     before = manifest.select("file", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))
     named = manifest.select("file", "doc_ids", "counts").join(before, "file")
-    # The manifest is small beside the files: a fixed number of tasks keeps them from being read by one.
-    spread = named.repartition(max(1, manifest.count()), "file")
+    # The manifest is small beside the files. A number of tasks and a key of their own keep it from being read by
+    # one task: adaptive execution would join the few rows together.
+    spread = named.repartition(max(1, manifest.count()), F.xxhash64("file"))
     return spread.mapInArrow(_read_back(path), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

@@ -5,7 +5,8 @@ Texts are taken in slices of a few MB, so the memory of a task does not depend o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -86,10 +87,12 @@ class Words:
 class IdPool:
     """Ids of units (words) seen so far. Units repeat a lot, so only new ones are encoded, all of a slice at once.
 
+    ``encode`` returns all ids of a list of units and the number of ids of each.
+
     The pool starts anew when it holds ``limit`` ids; long units are never kept. This changes speed, not results.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], limit: int = 3_000_000, longest: int = 48):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 3_000_000, longest: int = 48):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.clear()
 
@@ -102,9 +105,7 @@ class IdPool:
 
     def _add(self, new: list[str]) -> int:
         """Append the ids of new units; returns the number of the first one."""
-        parts = [np.asarray(x, np.int32) for x in self.encode(new)]
-        length = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate(parts)
+        flat, length = self.encode(new)
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(flat), np.int32)])
         if self.units + len(new) > len(self.start):
@@ -124,15 +125,16 @@ class IdPool:
         if self.used > self.limit:
             self.clear()
         flat = [u for units in texts for u in units]
-        get = self.at.get
-        number = np.fromiter((get(u, -1) for u in flat), np.int64, len(flat))
+        number = np.fromiter(map(self.at.get, flat, repeat(-1)), np.int64, len(flat))
         missing = np.flatnonzero(number < 0)
         if len(missing):
-            new = list(dict.fromkeys(flat[i] for i in missing))
+            unseen = [flat[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unseen))
             first = self._add(new)
-            own = dict(zip(new, range(first, first + len(new))))
-            number[missing] = np.fromiter((own[flat[i]] for i in missing), np.int64, len(missing))
-            self.at.update((u, n) for u, n in own.items() if len(u) <= self.longest)
+            self.at.update(zip(new, range(first, first + len(new))))
+            number[missing] = np.fromiter(map(self.at.__getitem__, unseen), np.int64, len(missing))
+            for u in [u for u in new if len(u) > self.longest]:
+                del self.at[u]
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         length = self.length[number]
         total = int(length.sum())
