@@ -90,7 +90,8 @@ def first_difference(a: Column, b: Column) -> Column:
 
     branches = [F.substring_index(x, "|", -1) for x in (a, b)]
     section = at(*branches, "/")
-    inner = [F.coalesce(F.get(F.split(x, "/"), section), F.lit("")) for x in branches]
+    # Without the section's own node, which differs whenever one of its paragraphs does.
+    inner = [F.substring_index(F.coalesce(F.get(F.split(x, "/"), section), F.lit("")), ":", -1) for x in branches]
     return F.when(root(a) != root(b), F.struct(section.alias("section"), at(*inner, ";").alias("paragraph")))
 
 

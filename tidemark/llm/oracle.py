@@ -81,7 +81,7 @@ f AS (
   SELECT *, CASE WHEN split_part(fingerprint, '|', 1) <> split_part(edited_fingerprint, '|', 1)
     THEN list_position([x[i] IS DISTINCT FROM y[i] for i in range(1, greatest(len(x), len(y)) + 1)], true) END AS spot
   FROM b),
-g AS (SELECT *, string_split(coalesce(x[spot], ''), ';') AS u, string_split(coalesce(y[spot], ''), ';') AS v FROM f)
+g AS (SELECT *, string_split(split_part(coalesce(x[spot], ''), ':', 2), ';') AS u, string_split(split_part(coalesce(y[spot], ''), ':', 2), ';') AS v FROM f)
 SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
   {_like("fingerprint", "edited_fingerprint")} AS near_edited, {_like("fingerprint", "next_print")} AS near_next,
   (spot - 1)::INTEGER AS edit_section,
