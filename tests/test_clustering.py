@@ -102,3 +102,15 @@ def test_saved_model_scores_the_stream_as_the_batch(spark, small, tmp_path):
     streamed = spark.read.parquet(f"{tmp_path}/out")
     batch = model.transform(rows).select("trip_id", "prediction")
     assert streamed.exceptAll(batch).count() == 0 and streamed.count() == batch.count()
+
+
+def test_twenty_passes_beat_six(spark, medium):
+    from tidemark.operators import clustering as cl
+    from workload import queries as w
+
+    scaled, _ = w._scaled(spark, medium)
+    init = cl.first_centres(scaled, "trip_id", cl.TRIP_FEATURES, 4)
+    few, many = (
+        cl.inertia(cl.lloyd(scaled, cl.TRIP_FEATURES, init, max_iter=n)[1]).first()["inertia"] for n in (6, w.LLOYD_PASSES)
+    )
+    assert w.LLOYD_PASSES == 20 and many < few

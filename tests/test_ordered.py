@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import verdict
 from tidemark.operators.drift import psi, retrain_signal, share_by_batch, streaks
-from tidemark.plans.ordered import rolling_mean, row_numbers, running
+from tidemark.plans.ordered import followers, rolling_mean, row_numbers, running, with_blocks
 
 
 @pytest.fixture(scope="module")
@@ -75,5 +76,31 @@ def test_retrain_after_three(spark):
     rows = [(1, 0.3), (2, 0.25), (3, 0.1), (4, 0.4), (5, 0.4), (6, 0.4), (7, 0.4)]
     df = spark.createDataFrame([(b, p, "x") for b, p in rows], "b int, psi double, verdict string")
     got = {r["b"]: (r["consecutive"], r["retrain"]) for r in retrain_signal(df, "b").collect()}
-    assert [got[b][0] for b in range(1, 8)] == [1, 2, 0, 1, 2, 3, 4]
-    assert sorted(b for b in got if got[b][1]) == [6, 7]
+    assert [got[b][0] for b in range(1, 8)] == [1, 2, 0, 1, 2, 3, 1]
+    assert sorted(b for b in got if got[b][1]) == [6]
+
+
+def test_baseline_is_of_the_first_batches_that_exist(spark):
+    for first in (0, 100):
+        rows = [(first + b, c) for b in range(8) for c in ("A" * 3 + "B" if b < 5 else "B" * 4)]
+        shares = share_by_batch(spark.createDataFrame(rows, "batch int, c string"), "batch", "c", ("A", "B"))
+        got = [r["verdict"] for r in psi(shares, "batch", 5, ("A", "B")).orderBy("batch").collect()]
+        assert got == ["stable"] * 5 + ["drift"] * 3
+    assert spark.range(1).select(verdict(F.lit(None).cast("double"))).first()[0] is None
+
+
+@pytest.mark.parametrize("spread", [1, 10**6, 2**50])
+def test_blocks_go_by_rows_not_by_values(spark, spread):
+    df = spark.range(2000).selectExpr(f"id * {spread}L AS b")
+    sizes = [r["count"] for r in with_blocks(df, "b", 100).groupBy("_block").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 200
+
+
+def test_followers(spark):
+    values = random.Random(8).sample(range(-(10**12), 10**12), 500)
+    df = spark.createDataFrame([(v,) for v in values], "b bigint")
+    for block in (7, 100_000):
+        got = {r["b"]: r["next"] for r in followers(df, "b", "next", block).collect()}
+        ordered = sorted(values)
+        assert got == dict(zip(ordered, [*ordered[1:], None]))
+    assert followers(df.where("b IS NULL"), "b", "next").collect() == []

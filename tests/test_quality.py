@@ -114,6 +114,27 @@ def test_repair(spark):
     assert sorted(r["id"] for r in back.collect()) == [1, 3]
 
 
+def test_swapped_rows_are_judged_again(spark):
+    rows = [(1, v.INVERSION_TEMPS, 9.0), (2, v.INVERSION_TEMPS, 0.1), (3, v.VALIDE, 0.0), (4, v.DISTANCE_NULLE, 9.0)]
+    df = spark.createDataFrame(rows, "id int, quality_flag string, z_score double").withColumns(
+        {"tpep_pickup_datetime": F.lit(T0), "tpep_dropoff_datetime": F.lit(T0 - timedelta(minutes=7))}
+    )
+    got = {r["id"]: (r["quality_flag"], r["is_outlier"]) for r in q.repaired_gold(df).collect()}
+    assert got == {1: (v.ANOMALIE_STATISTIQUE, True), 2: (v.VALIDE, False), 3: (v.VALIDE, False)}
+
+
+def test_clean_gold_has_no_outliers_and_reads_the_facts_once(spark, small):
+    from workload import views
+    from workload.queries import registry
+
+    clean = registry()["gold_clean"](spark, small)
+    z = views.Source(spark, small).flagged.select("trip_id", "z_score")
+    assert clean.join(z, "trip_id").where("abs(z_score) > 3").count() == 0
+    text = clean._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    # Once for the rows, once for the statistics.
+    assert text.count("events.parquet") == 2
+
+
 def test_recall(spark):
     rows = [(v.VALIDE, True), (v.VALIDE, False), ("X", True), ("X", True), ("X", False)]
     r = q.recall(spark.createDataFrame(rows, "quality_flag string, truth boolean"), "truth").first()

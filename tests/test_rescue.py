@@ -15,6 +15,13 @@ def test_extra_and_unfit_values_are_kept(spark):
     assert got[2]["n"] is None and json.loads(got[2]["_rescued_data"]) == {"n": "n/a"}
 
 
+def test_casts_that_lose_something_are_not_taken(spark):
+    df = spark.sql("SELECT 1 AS id, 2.7D AS n, TIMESTAMP'2024-01-02 03:04:05' AS d UNION ALL SELECT 2, 3D, TIMESTAMP'2024-01-02 00:00:00'")
+    got = {r["id"]: r for r in rescue(df, schema(spark, "id int, n int, d date")).collect()}
+    assert (got[1]["n"], got[1]["d"]) == (None, None) and set(json.loads(got[1]["_rescued_data"])) == {"n", "d"}
+    assert got[2]["n"] == 3 and str(got[2]["d"]) == "2024-01-02" and got[2]["_rescued_data"] is None
+
+
 def test_nothing_left_over(spark):
     df = spark.createDataFrame([(1, None)], "id int, more string")
     assert rescue(df, schema(spark, "id int")).first()["_rescued_data"] is None

@@ -1,3 +1,4 @@
+import dataclasses
 import time
 from datetime import datetime, timedelta
 
@@ -14,6 +15,7 @@ from tidemark.streaming.sinks import (
     FileSink,
     TableSink,
     by_batch,
+    committed,
     latest_per_key,
     read_drift_history,
     read_latest_version,
@@ -135,7 +137,35 @@ def test_complete_mode_keeps_whole_snapshots(box):
 
     run_late_files(box, box.stage(counts, BatchSink(snapshots(f"{box.path}/snap")), "complete"))
     assert {r["odd"]: r["count"] for r in read_latest_version(box.spark, f"{box.path}/snap").collect()} == {0: 2, 1: 2}
-    assert box.read("snap").select("version").distinct().count() == 3
+    assert committed(box.spark, f"{box.path}/snap").select("batch_id").distinct().count() == 3
+
+
+def test_versions_survive_a_new_checkpoint_and_uncommitted_attempts(box, spark):
+    """Batch ids start again with a new checkpoint; the newest commit wins, and what was not committed is not read."""
+    keys, path = ["id"], f"{box.path}/up"
+
+    def stage(cp):
+        box.add(cp, [at(i, i, float(i + (100 if cp == "b" else 0))) for i in range(3)])
+        made = box.stage(lambda: box.source(max_files=1, lineage=False).select("id", "x"), BatchSink(by_batch(path)))
+        return dataclasses.replace(made, checkpoint=f"{made.checkpoint}_{cp}", name=cp)
+
+    run_stage(stage("a"))
+    assert {r["id"]: r["x"] for r in latest_per_key(spark, path, keys).collect()} == {0: 0.0, 1: 1.0, 2: 2.0}
+    run_stage(stage("b"))
+    want = {0: 100.0, 1: 101.0, 2: 102.0}
+    assert {r["id"]: r["x"] for r in latest_per_key(spark, path, keys).collect()} == want
+    assert committed(spark, path).select("run").distinct().count() == 2
+    run = committed(spark, path).first()["run"]
+    spark.sql("SELECT CAST(0 AS INT) AS id, -1D AS x").write.parquet(f"{path}/data/run={run}/batch_id=9/attempt=ahalf")
+    assert {r["id"]: r["x"] for r in latest_per_key(spark, path, keys).collect()} == want
+
+
+def test_progress_is_complete_beyond_a_hundred_batches(box, spark):
+    for i in range(105):
+        box.add(str(i), [at(i % 60, i)])
+    progress = run_stage(box.stage(lambda: box.source(max_files=1, lineage=False)), f"{box.path}/progress")
+    assert progress.count() == 105 and progress.agg(F.sum("num_input_rows")).first()[0] == 105
+    assert spark.read.parquet(f"{box.path}/progress").count() == 105
 
 
 def test_file_sink_refuses_update_and_raw_complete(box):
@@ -178,7 +208,7 @@ def test_crash_between_write_and_commit(box):
         run_stage(stage)
     run_stage(stage)
     assert calls == [0, 0]
-    assert sorted(r["id"] for r in box.read("out").collect()) == [1, 2]
+    assert sorted(r["id"] for r in committed(box.spark, f"{box.path}/out").collect()) == [1, 2]
 
 
 def test_one_pass_routes_equal_two_filters(box):
@@ -253,7 +283,7 @@ def test_refreshed_statistics_reach_the_next_batch(box, spark):
     write_version(spark.sql("SELECT 1 AS id, 20 AS m"), stats, 2)
     box.add("b", [at(2, 1)])
     run_stage(stage)
-    assert sorted(r["m"] for r in box.read("out").collect()) == [10, 20]
+    assert sorted(r["m"] for r in committed(spark, f"{box.path}/out").collect()) == [10, 20]
 
 
 def test_drift_history_counts_breaches_across_micro_batches(box, spark):
@@ -264,7 +294,8 @@ def test_drift_history_counts_breaches_across_micro_batches(box, spark):
     def labelled():
         return box.source(max_files=1).withColumn("c", F.when(F.col("x") > 0, "A").otherwise("B"))
 
-    run_stage(box.stage(labelled, BatchSink(write_drift_history(f"{box.path}/psi", "c", {"A": 0.5, "B": 0.5}))))
+    spark.createDataFrame([("A", 0.5), ("B", 0.5)], "label string, share double").write.parquet(f"{box.path}/base")
+    run_stage(box.stage(labelled, BatchSink(write_drift_history(f"{box.path}/psi", "c", f"{box.path}/base"))))
     rows = read_drift_history(spark, f"{box.path}/psi").orderBy("batch_id").collect()
     assert [r["consecutive"] for r in rows] == [0, 0, 1, 2, 3, 0]
     assert [r["batch_id"] for r in rows if r["retrain"]] == [4]

@@ -40,7 +40,8 @@ def psi_term(current: Column, base: Column, eps: float = PSI_EPS) -> Column:
 
 
 def verdict(value: Column, moderate: float = PSI_MODERATE, drift: float = PSI_DRIFT) -> Column:
-    return F.when(value < moderate, "stable").when(value < drift, "moderate").otherwise("drift")
+    """NULL for a NULL value: without a baseline there is no verdict."""
+    return F.when(value < moderate, "stable").when(value < drift, "moderate").when(value >= drift, "drift")
 
 
 def safe_std(std: Column) -> Column:

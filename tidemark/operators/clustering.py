@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import nearest, safe_std
+from tidemark.plans.bounds import stored
 
-# Feature columns of the two models.
+# Feature columns of the two models, and the bounds of a plausible trip below.
 TRIP_FEATURES = ("trip_distance", "fare_amount", "total_amount", "tip_amount", "passenger_count")
 ZONE_FEATURES = ("avg_distance", "avg_fare", "avg_tip", "trips_count", "green_taxi_ratio")
 
@@ -94,10 +95,12 @@ def lloyd(
             moved = math.sqrt(sum((a - b) ** 2 for new, old in zip(centres, used) for a, b in zip(new, old)))
             if moved < tol:
                 break
+        # Written while the rows are at hand: later reads need neither the source nor the cache.
+        assigned = stored(assign(points, columns, used), "lloyd") if keep else assign(df, columns, used)
     finally:
         if keep:
             points.unpersist()
-    return centres, assign(df, columns, used)
+    return centres, assigned
 
 
 def centre_frame(like: DataFrame, columns: tuple[str, ...], centres: list[list[float]]) -> DataFrame:

@@ -27,6 +27,12 @@ def share_by_batch(df: DataFrame, batch: str, category: str, pool: tuple[str, ..
     )
 
 
+def _first(shares: DataFrame, batch: str, batches: int) -> DataFrame:
+    """Rows of the first batches that exist, whatever their ids; ``shares`` has one row per batch."""
+    last = shares.orderBy(F.asc_nulls_last(batch)).limit(batches).agg(F.max(batch)).scalar()
+    return shares.where(F.col(batch) <= last)
+
+
 def _shares(pool: tuple[str, ...]) -> list[Column]:
     return [(F.avg(f"pct_{lbl}") / 100).alias(lbl) for lbl in pool]
 
@@ -35,7 +41,7 @@ def drift_baseline(
     shares: DataFrame, batch: str, batches: int = v.BASELINE_BATCHES, pool: tuple[str, ...] = v.LABELS
 ) -> DataFrame:
     """Unweighted mean share per label over the first batches, one row per label."""
-    wide = shares.where(F.col(batch) <= batches).agg(*_shares(pool))
+    wide = _first(shares, batch, batches).agg(*_shares(pool))
     pairs = F.array(*[F.struct(F.lit(lbl).alias("label"), F.col(lbl).alias("share")) for lbl in pool])
     return wide.select(F.inline(pairs))
 
@@ -50,9 +56,9 @@ def psi(
     """Population stability index and verdict per batch.
 
     The baseline is a scalar subquery over ``shares``, which is therefore read
-    twice: pass a written or ``cut`` frame.
+    more than once: pass a written or ``cut`` frame.
     """
-    base = shares.where(F.col(batch) <= batches).agg(*_shares(pool)).select(F.struct(*pool).alias("base")).scalar()
+    base = _first(shares, batch, batches).agg(*_shares(pool)).select(F.struct(*pool).alias("base")).scalar()
     return _scored(shares, batch, {lbl: base.getField(lbl) for lbl in pool}, eps)
 
 
@@ -97,10 +103,12 @@ def streaks(df: DataFrame, order: str, predicate: Column, name: str = "consecuti
 def retrain_signal(
     scored: DataFrame, batch: str, limit: float = v.PSI_DRIFT, after: int = v.RETRAIN_AFTER
 ) -> DataFrame:
-    """Breach history with the consecutive-breach counter and the retrain signal."""
+    """Breach history with the consecutive-breach counter and the retrain signal, after which the count starts anew."""
     breach = F.col("psi") >= limit
+    run = F.col("consecutive")
     return (
         streaks(scored.withColumn("breach", breach), batch, F.col("breach"))
-        .withColumn("retrain", F.col("consecutive") >= after)
+        .withColumn("consecutive", F.when(run > 0, (run - 1) % after + 1).otherwise(run))
+        .withColumn("retrain", F.col("consecutive") == after)
         .select(batch, "psi", "verdict", "breach", "consecutive", "retrain")
     )

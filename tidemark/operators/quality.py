@@ -157,25 +157,38 @@ def repair(
     dropoff: str = "tpep_dropoff_datetime",
     max_duration: str = "24 hours",
     flag_col: str = "quality_flag",
+    z_limit: float = 3.0,
 ) -> DataFrame:
-    """Decide what happens to each rejected row.
+    """Decide what happens to each row, in one pass.
 
-    Inverted times are swapped when the resulting duration is plausible, statistical
-    outliers come back marked ``is_outlier``, everything else stays in quarantine.
+    Inverted times are swapped when the resulting duration is plausible. The flag stood for the first rule that
+    held, so a swapped row is judged by the rule that comes after it as well: its flag becomes valid or outlier.
+    Statistical outliers come back marked ``is_outlier``, valid rows stay gold, all others stay in quarantine.
     """
     early, late = F.least(pickup, dropoff), F.greatest(pickup, dropoff)
     swap = (F.col(flag_col) == v.INVERSION_TEMPS) & (late <= early + F.expr(f"INTERVAL {max_duration}"))
-    outlier = F.col(flag_col) == v.ANOMALIE_STATISTIQUE
+    beyond = F.coalesce(F.abs("z_score") > z_limit, F.lit(False)) if "z_score" in flagged.columns else F.lit(False)
+    judged = F.when(beyond, v.ANOMALIE_STATISTIQUE).otherwise(v.VALIDE)
+    outlier = (F.col(flag_col) == v.ANOMALIE_STATISTIQUE) | (swap & beyond)
     return flagged.withColumns(
         {
             pickup: F.when(swap, early).otherwise(F.col(pickup)),
             dropoff: F.when(swap, late).otherwise(F.col(dropoff)),
+            flag_col: F.when(swap, judged).otherwise(F.col(flag_col)),
             "is_outlier": outlier,
-            "disposition": F.when(swap, "swapped").when(outlier, "kept_as_outlier").otherwise("quarantined"),
+            "disposition": F.when(swap, "swapped")
+            .when(outlier, "kept_as_outlier")
+            .when(F.col(flag_col) == v.VALIDE, "gold")
+            .otherwise("quarantined"),
         }
     )
 
 
+def repaired_gold(flagged: DataFrame) -> DataFrame:
+    """Gold rows and repaired ones from one pass over the flagged rows; filter on ``is_outlier`` for the clean view."""
+    return repair(flagged).where(F.col("disposition") != "quarantined").drop("disposition")
+
+
 def reinjected(gold: DataFrame, repaired: DataFrame) -> DataFrame:
     """Gold rows together with the repaired ones; filter on ``is_outlier`` for the clean view."""
     back = repaired.where(F.col("disposition") != "quarantined").drop("disposition")

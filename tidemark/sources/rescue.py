@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 RESCUED = "_rescued_data"
 
 
 def rescue(df: DataFrame, pinned: StructType, name: str = RESCUED) -> DataFrame:
-    """Project onto the pinned schema; other fields, and values that do not cast, go to a JSON column.
+    """Project onto the pinned schema; other fields, and values that do not cast or lose by it, go to a JSON column.
 
     Works on streams. Read the files with their superset schema (``mergeSchema``)
     first. The JSON is NULL where nothing was left over.
@@ -26,6 +26,9 @@ def rescue(df: DataFrame, pinned: StructType, name: str = RESCUED) -> DataFrame:
             kept.append(raw)
             continue
         typed = raw.try_cast(field.dataType)
+        if not isinstance(have[field.name], StringType):
+            # A value that does not come back from the cast has lost something: 2.7 as a whole number, a time as a date.
+            typed = F.when(typed.try_cast(have[field.name]).eqNullSafe(raw), typed)
         kept.append(typed.alias(field.name))
         left.append(F.when(typed.isNull(), raw).alias(field.name))
     left += [F.col(f"`{c}`") for c in have if c not in pinned.fieldNames()]

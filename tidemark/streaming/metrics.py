@@ -13,6 +13,8 @@ from tidemark.operators.joins import enrich
 from tidemark.plans.bounds import cut
 from tidemark.plans.ordered import running
 
+#: Reports that a query keeps, about 1 KB each.
+KEPT_REPORTS = 100_000
 PROGRESS = (
     "batch_id bigint, num_input_rows bigint, batch_duration_ms bigint, input_rows_per_s double, "
     "processed_rows_per_s double, add_batch_ms bigint, planning_ms bigint, dropped_by_watermark bigint, "
@@ -21,10 +23,19 @@ PROGRESS = (
 
 
 def progress_frame(query: StreamingQuery) -> DataFrame:
-    """All retained progress reports of a query, not only the last."""
+    """All progress reports of a query's run, one row per micro-batch.
+
+    ``run_stage`` raises the number that Spark keeps to ``KEPT_REPORTS``. A gap in the batch ids, or as many
+    reports as are kept, means that some are lost; that is an error, not a shorter table. For a query that runs on
+    and on, store the reports in between with ``append_progress``.
+    """
     spark = SparkSession.active()
     rows = []
-    for report in query.recentProgress:
+    reports = query.recentProgress
+    ids = sorted({json.loads(r.json)["batchId"] for r in reports})
+    if len(reports) >= KEPT_REPORTS or (ids and ids[-1] - ids[0] + 1 != len(ids)):
+        raise RuntimeError(f"{len(reports)} progress reports for batches {ids[0]} to {ids[-1]}: some are lost")
+    for report in reports:
         p = json.loads(report.json)
         spent, state = p.get("durationMs", {}), p.get("stateOperators", [])
         rows.append(
@@ -44,6 +55,11 @@ def progress_frame(query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(rows, PROGRESS)
 
 
+def append_progress(progress: DataFrame, path: str, stage: str) -> None:
+    """Add a run's reports to a stored table of all runs; one row per micro-batch, with the stage and the time."""
+    progress.withColumns({"stage": F.lit(stage), "stored_at": F.current_timestamp()}).write.mode("append").parquet(path)
+
+
 def ingest_totals(progress: DataFrame) -> DataFrame:
     """Micro-batches, rows, mean duration and mean throughput of a run."""
     return progress.agg(

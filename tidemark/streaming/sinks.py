@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.drift import psi_against, retrain_signal, share_by_batch
+from tidemark.plans.bounds import cut
 from tidemark.vocabulary import PSI_EPS
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -78,42 +81,64 @@ class BatchSink:
         return {}
 
 
+COMMITS = "_run string, batch_id bigint, _attempt string, _at bigint"
+
+
 def by_batch(path: str, partition_by: tuple[str, ...] = ()) -> BatchWriter:
-    """Write each micro-batch to its own ``batch_id=N`` directory; a replay overwrites it."""
+    """Write each micro-batch to a directory of its own attempt, then commit it by one row in a table beside the data.
+
+    Nothing is overwritten: a reader sees a batch once its row is there, and a replay commits a newer attempt. The
+    run is the query's id, which its checkpoint keeps, so batch ids that start again do not hide later versions.
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/batch_id={batch_id}")
+        spark, attempt = df.sparkSession, f"a{uuid.uuid4().hex}"
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(f"{path}/data/run={run}/batch_id={batch_id}/attempt={attempt}")
+        row = spark.createDataFrame([(run, batch_id, attempt, time.time_ns())], COMMITS)
+        row.coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
     return write
 
 
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the newest committed attempt of every batch, with ``run``, ``batch_id`` and ``committed_at``.
+
+    The commit table has one row per micro-batch; the join prunes the directories it does not name.
+    """
+    commits = spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    newest = commits.groupBy("_run", "batch_id").agg(F.max(F.struct("_at", "_attempt")).alias("_last"))
+    named = newest.select("_run", F.col("batch_id").alias("_batch"), "_last.*")
+    rows = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data")
+    on = (F.col("run") == F.col("_run")) & (F.col("batch_id") == F.col("_batch")) & (F.col("attempt") == F.col("_attempt"))
+    return rows.join(named, on).drop("_run", "_batch", "attempt", "_attempt").withColumnRenamed("_at", "committed_at")
+
+
 def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current row per key of a ``by_batch`` directory.
+    """Row per key as committed last.
 
     ``max_by`` combines on the map side, so a key updated in every batch is not gathered in one task.
     """
-    versions = spark.read.parquet(path)
-    values = [c for c in versions.columns if c not in (*keys, "batch_id")]
+    versions = committed(spark, path)
+    values = [c for c in versions.columns if c not in (*keys, "run", "batch_id", "committed_at")]
     return (
         versions.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+        .agg(F.max_by(F.struct(*values), "committed_at").alias("_last"))
         .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values])
     )
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Store a whole snapshot beside earlier ones, so that readers never see a half-written one replaced."""
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    """Store and commit a whole snapshot beside earlier ones."""
+    by_batch(path)(df, version)
 
 
 def read_latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """Newest snapshot of a ``write_version`` directory, pruned by a scalar subquery."""
-    snapshots = spark.read.parquet(path)
-    newest = snapshots.agg(F.max("version")).scalar()
-    return snapshots.where(F.col("version") == newest).drop("version")
+    """Newest committed snapshot, whatever its number."""
+    snapshots = committed(spark, path)
+    newest = spark.read.schema(COMMITS).parquet(f"{path}/commits").agg(F.max("_at")).scalar()
+    return snapshots.where(F.col("committed_at") == newest).drop("run", "batch_id", "committed_at")
 
 
 def snapshots(path: str) -> BatchWriter:
@@ -121,13 +146,14 @@ def snapshots(path: str) -> BatchWriter:
     return lambda df, batch_id: write_version(df, path, batch_id)
 
 
-def write_drift_history(path: str, category: str, baseline: dict[str, float], eps: float = PSI_EPS) -> BatchWriter:
+def write_drift_history(path: str, category: str, baseline_path: str, eps: float = PSI_EPS) -> BatchWriter:
     """Store the stability index of every micro-batch; read it back with ``read_drift_history``.
 
-    The baseline holds one share per label, so it travels as literals.
+    The baseline is a stored table of one share per label. Every batch reads it, so a new one counts from then on.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        baseline = {r["label"]: r["share"] for r in df.sparkSession.read.parquet(baseline_path).collect()}
         shares = share_by_batch(df.withColumn("_at", F.lit(batch_id)), "_at", category, tuple(baseline))
         by_batch(path)(psi_against(shares, "_at", baseline, eps).drop("_at"), batch_id)
 
@@ -136,5 +162,5 @@ def write_drift_history(path: str, category: str, baseline: dict[str, float], ep
 
 def read_drift_history(spark: SparkSession, path: str) -> DataFrame:
     """Stored indices with the consecutive-breach counter and the retrain signal."""
-    history = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return retrain_signal(history, "batch_id")
+    history = committed(spark, path).select(F.col("batch_id").cast("bigint").alias("batch_id"), "psi", "verdict")
+    return retrain_signal(cut(history), "batch_id")

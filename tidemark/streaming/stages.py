@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.streaming.metrics import progress_frame
+from tidemark.streaming.metrics import KEPT_REPORTS, append_progress, progress_frame
 from tidemark.streaming.sinks import BatchSink, FileSink, TableSink, settings
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -55,11 +55,19 @@ def start_stage(stage: Stage) -> StreamingQuery:
     return query
 
 
-def run_stage(stage: Stage) -> DataFrame:
-    """Run a stage to the end of the available input and return its progress, one row per micro-batch."""
-    query = start_stage(stage)
-    query.awaitTermination()
-    return progress_frame(query)
+def run_stage(stage: Stage, progress_path: str | None = None) -> DataFrame:
+    """Run a stage to the end of the available input and return its progress, one row per micro-batch.
+
+    With ``progress_path`` the progress is also added to the table stored there.
+    """
+    # Spark reads this setting from the session whenever it adds a report, so it holds until the end of the run.
+    with settings(SparkSession.active(), {"spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS)}):
+        query = start_stage(stage)
+        query.awaitTermination()
+    progress = progress_frame(query)
+    if progress_path:
+        append_progress(progress, progress_path, stage.name)
+    return progress
 
 
 def run_stages(stages: Iterable[Stage]) -> dict[str, DataFrame]:

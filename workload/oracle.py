@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import re
 
-from tidemark.vocabulary import FLAGS, LABEL_MAP, LABELS
-from workload.queries import LLOYD_PASSES
-from workload.views import HISTORY, TRIPS, TRIPS_LATE, WIDE
+from workload.views import ARRIVAL, BILL, HISTORY, TRIPS, TRIPS_LATE, WIDE
 
 FEATURES = ["trip_distance", "fare_amount", "total_amount", "tip_amount", "passenger_count"]
 COLS = ", ".join(TRIPS)
+PASSES = 20
+# Fixed values, stated again so that the check does not lean on the library.
+LABEL_MAP = {0: "BANLIEUE_REG", 1: "LONG_COURRIER", 2: "HUB_URBAIN", 3: "PREMIUM_LUXE"}
+LABELS = tuple(LABEL_MAP.values())
+FLAGS = (
+    "MONTANT_NEGATIF", "DISTANCE_NULLE", "DISTANCE_ABERRANTE", "LOCATION_NULLE", "INVERSION_TEMPS",
+    "ANOMALIE_STATISTIQUE", "VALIDE",
+)
 
 
 def _select(columns: dict[str, str], source: str, star: str = "") -> str:
@@ -47,6 +53,7 @@ CTES = {
     "silver": """SELECT t.*, z.Borough AS pickup_borough, z.Zone AS pickup_zone
   FROM trips t LEFT JOIN zones z ON t.PULocationID = z.LocationID""",
     "wide": _select(WIDE, "silver", "silver.*, "),
+    "bill": _select(BILL, "wide", "wide.*, "),
     "stats": """SELECT pickup_borough, avg(total_amount) AS mean_total, stddev_samp(total_amount) AS std_total,
   count(*) AS n_samples FROM silver WHERE total_amount > 0 AND total_amount < 500 AND trip_distance > 0
   AND trip_distance < 100 AND pickup_borough IS NOT NULL GROUP BY pickup_borough""",
@@ -60,6 +67,17 @@ CTES = {
   FROM silver GROUP BY ALL""",
     "closed": """SELECT * FROM kpi
   WHERE window_end <= (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM silver)""",
+    "arrivals": f"SELECT event_id AS trip_id, ts, {ARRIVAL} AS arrival FROM events",
+    # A batch drops rows of windows that had closed when the batch before it began: two arrivals back.
+    "lateness": """SELECT a.trip_id, a.arrival, b.seen - INTERVAL '5 minutes' AS late FROM arrivals a LEFT JOIN (
+    SELECT arrival, max(newest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen
+    FROM (SELECT arrival, max(ts) AS newest FROM arrivals GROUP BY arrival)) b ON a.arrival = b.arrival""",
+    "arrived": """SELECT time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) AS window_start,
+  time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) + INTERVAL '10 minutes' AS window_end,
+  pickup_borough, count(*) AS trip_count, avg(total_amount) AS avg_total_amount
+  FROM silver JOIN lateness USING (trip_id)
+  WHERE late IS NULL OR time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) + INTERVAL '10 minutes' > late
+  GROUP BY ALL""",
     "zone_features": """SELECT PULocationID, avg(trip_distance) AS avg_distance, avg(fare_amount) AS avg_fare,
   avg(tip_amount) AS avg_tip, count(*) AS trips_count,
   avg(CASE WHEN VendorID = 2 THEN 1.0 ELSE 0.0 END::DOUBLE) AS green_taxi_ratio
@@ -75,7 +93,8 @@ CTES = {
     "classified": f"SELECT *, {LABEL_CASE} AS cluster_label FROM matched",
     "counts": f"SELECT sim_batch_id, count(*) AS n, {COUNTS} FROM classified GROUP BY sim_batch_id",
     "shares": f"SELECT *, {SHARES} FROM counts",
-    "base": f"SELECT {BASE} FROM shares WHERE sim_batch_id <= 5",
+    "base": f"""SELECT {BASE} FROM shares
+  WHERE sim_batch_id IN (SELECT DISTINCT sim_batch_id FROM shares ORDER BY sim_batch_id LIMIT 5)""",
     "psi_raw": f"SELECT sim_batch_id, {PSI} AS psi FROM shares, base b",
     "psi": """SELECT *, CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'drift' END AS verdict
   FROM psi_raw""",
@@ -88,7 +107,9 @@ CTES = {
     "repaired": """SELECT trip_id, total_amount,
   CASE WHEN swapped THEN tpep_dropoff_datetime ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
   CASE WHEN swapped THEN tpep_pickup_datetime ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime,
-  quality_flag, quality_flag = 'ANOMALIE_STATISTIQUE' AS is_outlier,
+  CASE WHEN swapped AND abs(z_score) > 3 THEN 'ANOMALIE_STATISTIQUE' WHEN swapped THEN 'VALIDE' ELSE quality_flag
+    END AS quality_flag,
+  quality_flag = 'ANOMALIE_STATISTIQUE' OR (swapped AND abs(z_score) > 3) AS is_outlier,
   CASE WHEN swapped THEN 'swapped' WHEN quality_flag = 'ANOMALIE_STATISTIQUE' THEN 'kept_as_outlier'
     ELSE 'quarantined' END AS disposition
   FROM (SELECT *, quality_flag = 'INVERSION_TEMPS'
@@ -135,7 +156,7 @@ def _lloyd() -> str:
         "m0 AS MATERIALIZED (SELECT 1.0::DOUBLE AS moved)",
         "u0 AS MATERIALIZED (SELECT * FROM c0)",
     ]
-    for i in range(1, LLOYD_PASSES + 1):
+    for i in range(1, PASSES + 1):
         # Once the centres rest, later passes repeat the last used and last computed ones.
         out += [
             f"""u{i} AS MATERIALIZED (SELECT c.cluster, {', '.join(
@@ -155,6 +176,16 @@ def _r(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
 
+def _alerts(batch: str, source: str) -> str:
+    """Breaches in a row; the third in a row calls for training, and the count starts anew."""
+    return f"""SELECT {batch}, {_r('psi')}, verdict, breach,
+  CASE WHEN run > 0 THEN CAST((run - 1) % 3 + 1 AS BIGINT) ELSE 0 END AS consecutive, run > 0 AND run % 3 = 0 AS retrain
+  FROM (SELECT *, CASE WHEN breach THEN row_number() OVER (PARTITION BY breach, island ORDER BY {batch})
+    ELSE 0 END AS run FROM (
+    SELECT *, psi >= 0.25 AS breach, row_number() OVER (ORDER BY {batch})
+      - row_number() OVER (PARTITION BY psi >= 0.25 ORDER BY {batch}) AS island FROM {source}))"""
+
+
 def _rounded(kpi: str) -> str:
     return f"SELECT window_start, window_end, pickup_borough, trip_count, {_r('avg_total_amount')} FROM {kpi}"
 
@@ -214,18 +245,33 @@ def _described(types: dict[str, str], view: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     lloyd = _lloyd()
-    last = LLOYD_PASSES
+    last = PASSES
     sql = {
         "bronze_ingest": f"SELECT {COLS}, 'events.parquet' AS source_name FROM trips",
         "rescued_data": """SELECT event_id, ts, CAST(user_id AS INT) AS user_id, event_type, round(value, 6) AS value,
   CAST(to_json(struct_pack(props := props)) AS VARCHAR) AS _rescued_data FROM events""",
-        "rescued_json": """SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k,
-  CAST(NULL AS VARCHAR) AS _rescued_data FROM events""",
+        "rescued_json": """SELECT event_id,
+  CASE event_id % 7 WHEN 0 THEN CAST(json_extract(props, '$.k') AS INT) WHEN 2 THEN 5 END AS k,
+  CASE event_id % 7 WHEN 1 THEN '{"k":"x"}' WHEN 2 THEN '{"extra":"{\\"a\\":[1,2]}"}' WHEN 4 THEN 'not json'
+    WHEN 6 THEN '{"k":"99999999999"}' END AS _rescued_data FROM events""",
+        "ingest_totals": """SELECT count(DISTINCT event_id % 125) AS micro_batches, count(*) AS rows,
+  CAST(0 AS BIGINT) AS dropped_by_watermark FROM events""",
+        "classified_stream": "SELECT trip_id, PULocationID, prediction, cluster_label FROM classified",
+        "table_chain": f"SELECT {COLS}, pickup_borough, pickup_zone FROM silver",
+        "anomaly_rate_stream": """SELECT window_start, window_start + INTERVAL '50 minutes' AS window_end,
+  CAST(count(*) AS BIGINT) AS n_anomalies FROM (
+  SELECT time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) - i * INTERVAL '10 minutes' AS window_start, late
+  FROM flagged JOIN lateness USING (trip_id), (SELECT unnest([0, 1, 2, 3, 4]) AS i)
+  WHERE quality_flag = 'ANOMALIE_STATISTIQUE')
+  WHERE late IS NULL OR window_start + INTERVAL '50 minutes' > late
+  GROUP BY window_start
+  HAVING window_start + INTERVAL '50 minutes' <= (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM trips)""",
         "dim_zones_csv": "SELECT * FROM zones",
         "silver_stream": f"SELECT {COLS}, pickup_borough, pickup_zone FROM silver",
-        "kpi_window_stream": _rounded("closed"),
+        "kpi_window_stream": _rounded("arrived") + """ WHERE window_end <=
+  (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM trips)""",
         "kpi_window_batch": _rounded("kpi"),
-        "kpi_upsert": _rounded("kpi"),
+        "kpi_upsert": _rounded("arrived"),
         "kpi_complete": _rounded("kpi"),
         "gold_stream": f"{ROUTE} WHERE quality_flag = 'VALIDE'",
         "quarantine_stream": f"{ROUTE} WHERE quality_flag <> 'VALIDE'",
@@ -244,13 +290,16 @@ def oracle_sql() -> dict[str, str]:
         "kpi_ci95": _ci("silver", "stream"),
         "kpi_compare": f"{_ci('silver', 'stream')} UNION ALL {_ci(PAST, 'batch')}",
         "tip_rate_by_borough": """SELECT pickup_borough, count(*) AS n,
-  count(*) FILTER (abs(total_amount - (fare_amount + tip_amount + mta_tax + extra + improvement_surcharge)) < 0.01)
-    AS n_balanced,
-  round(CASE WHEN sum(total_amount) > 0 THEN sum(fare_amount) / sum(total_amount) ELSE 0 END, 6) AS fare_rate,
-  round(CASE WHEN sum(total_amount) > 0 THEN sum(tip_amount) / sum(total_amount) ELSE 0 END, 6) AS tip_rate,
-  round(CASE WHEN sum(total_amount) > 0 THEN sum(mta_tax) / sum(total_amount) ELSE 0 END, 6) AS tax_rate,
-  round(CASE WHEN sum(total_amount) > 0 THEN sum(extra + improvement_surcharge) / sum(total_amount) ELSE 0 END, 6)
-    AS surcharge_rate FROM wide GROUP BY pickup_borough""",
+  count(*) FILTER (abs(billed - (fare_amount + tip_amount + mta_tax + extra + improvement_surcharge + tolls_amount
+    + congestion_surcharge + airport_fee + cbd_congestion_fee)) < 0.01) AS n_balanced,
+  round(CASE WHEN sum(billed) > 0 THEN sum(fare_amount) / sum(billed) ELSE 0 END, 6) AS fare_rate,
+  round(CASE WHEN sum(billed) > 0 THEN sum(tip_amount) / sum(billed) ELSE 0 END, 6) AS tip_rate,
+  round(CASE WHEN sum(billed) > 0 THEN sum(mta_tax) / sum(billed) ELSE 0 END, 6) AS tax_rate,
+  round(CASE WHEN sum(billed) > 0 THEN sum(tolls_amount) / sum(billed) ELSE 0 END, 6) AS toll_rate,
+  round(CASE WHEN sum(billed) > 0 THEN sum(extra + improvement_surcharge + congestion_surcharge) / sum(billed) ELSE 0
+    END, 6) AS surcharge_rate,
+  round(CASE WHEN sum(billed) > 0 THEN sum(airport_fee + cbd_congestion_fee) / sum(billed) ELSE 0 END, 6) AS fee_rate
+  FROM bill GROUP BY pickup_borough""",
         "point_lookup_count": "SELECT count(*) AS n FROM trips WHERE PULocationID = 24",
         "schema_diff": f"""SELECT coalesce(l.name, r.name) AS name, l.kind AS left_type, r.kind AS right_type,
   CASE WHEN r.kind IS NULL THEN 'only_left' WHEN l.kind IS NULL THEN 'only_right'
@@ -323,7 +372,7 @@ def oracle_sql() -> dict[str, str]:
         "cluster_distribution": "SELECT prediction, count(*) AS n FROM classified GROUP BY prediction",
         "score_unmatched": "SELECT count(*) AS n_unmatched FROM classified WHERE prediction IS NULL",
         "score_validation": f"""SELECT prediction, count(*) AS n FROM (SELECT * FROM classified
-  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)} ORDER BY trip_id LIMIT 200) GROUP BY prediction""",
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)}) GROUP BY prediction""",
         "latest_batch_dist": """SELECT sim_batch_id, cluster_label, count(*) AS n FROM classified
   WHERE sim_batch_id = (SELECT max(sim_batch_id) FROM classified) GROUP BY sim_batch_id, cluster_label""",
         "drift_monitor": f"""SELECT sim_batch_id, n, {', '.join(LABELS)},
@@ -333,21 +382,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "drift_psi": f"SELECT sim_batch_id, {_r('psi')}, verdict FROM psi",
         "drift_onset": "SELECT min(sim_batch_id) AS onset_batch FROM psi WHERE psi >= 0.25",
-        "drift_alerts": f"""SELECT sim_batch_id, {_r('psi')}, verdict, breach, consecutive, consecutive >= 3 AS retrain
-  FROM (SELECT *, CASE WHEN breach THEN row_number() OVER (PARTITION BY breach, island ORDER BY sim_batch_id)
-    ELSE 0 END AS consecutive FROM (
-    SELECT *, psi >= 0.25 AS breach, row_number() OVER (ORDER BY sim_batch_id)
-      - row_number() OVER (PARTITION BY psi >= 0.25 ORDER BY sim_batch_id) AS island FROM psi))""",
-        "drift_history": f"""SELECT CAST(0 AS BIGINT) AS batch_id, round(psi, 6) AS psi,
-  CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'drift' END AS verdict,
-  psi >= 0.25 AS breach, CASE WHEN psi >= 0.25 THEN 1 ELSE 0 END AS consecutive, false AS retrain
-  FROM (SELECT {PSI} AS psi FROM (SELECT *, {SHARES} FROM (SELECT count(*) AS n, {COUNTS} FROM classified)), base b)""",
+        "drift_alerts": _alerts("sim_batch_id", "psi"),
+        "drift_history": _alerts("batch_id", f"""(SELECT *, CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate'
+    ELSE 'drift' END AS verdict FROM (
+    SELECT batch_id, {PSI} AS psi FROM (SELECT *, {SHARES} FROM (
+      SELECT CAST(dense_rank() OVER (ORDER BY arrival) - 1 AS BIGINT) AS batch_id, n, {', '.join(LABELS)} FROM (
+        SELECT arrival, count(*) AS n, {COUNTS} FROM classified JOIN arrivals USING (trip_id) GROUP BY arrival))), base b))"""),
         "trip_features": f"SELECT trip_id, {_r(*FEATURES)} FROM scaled",
-        "trip_sample": f"SELECT trip_id, {_r(*FEATURES[:4])}, passenger_count FROM features ORDER BY trip_id LIMIT 200",
+        "trip_sample": f"SELECT trip_id, {_r(*FEATURES[:4])}, passenger_count FROM features",
         "feature_moments": f"SELECT {_r(*[f'{p}_{c}' for p in ('mean', 'std') for c in FEATURES])} FROM moments",
         "zorder_compact": BUSINESS,
-        "file_stats": """SELECT 'before' AS layout, CAST(40 AS BIGINT) AS n_files, count(*) AS n_rows FROM trips
-  UNION ALL SELECT 'after', CAST(4 AS BIGINT), count(*) FROM trips""",
+        "file_stats": """SELECT 'before' AS layout, CAST(ceil(count(*) / 250.0) AS BIGINT) AS n_files, count(*) AS n_rows
+  FROM trips UNION ALL SELECT 'after', CAST(ceil(count(*) / 100000.0) AS BIGINT), count(*) FROM trips""",
     }
     out = {name: _with(body) for name, body in sql.items()}
     out["watermark_loss_whatif"] = _with(_late(), SEEN)

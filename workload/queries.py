@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -19,12 +20,14 @@ from tidemark.operators import scoring as sc
 from tidemark.plans import layout as lay
 from tidemark.plans.bounds import cut, run_dir
 from tidemark.plans.ordered import rolling_mean
-from tidemark.sources.files import read_csv_dimension, stream_dir
+from tidemark.sources.files import ingest, read_csv_dimension, stream_dir, stream_table
 from tidemark.sources.rescue import rescue, rescue_json
+from tidemark.streaming.metrics import ingest_totals as totals
 from tidemark.streaming.metrics import lateness_what_if
 from tidemark.streaming.sinks import (
     BatchSink,
     FileSink,
+    TableSink,
     by_batch,
     latest_per_key,
     read_drift_history,
@@ -39,8 +42,11 @@ from workload import views as w
 Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH = "sim_batch_id"
+INGEST_FILES = 125
 PICKUP = "tpep_pickup_datetime"
-LLOYD_PASSES = 6
+LLOYD_PASSES = 20
+#: Rows of a full file and of the small files that micro-batches leave.
+FULL_FILE_ROWS, SMALL_FILE_ROWS = 100_000, 250
 
 _registry: dict[str, Query] = {}
 
@@ -77,6 +83,7 @@ class Flow:
     def __init__(self, spark: SparkSession, sf_dir: str, name: str):
         self.spark, self.sf_dir, self.root = spark, sf_dir, run_dir(spark, name)
         self.source = w.Source(spark, sf_dir)
+        self.files: int | None = None
 
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
@@ -88,7 +95,20 @@ class Flow:
         return stream_dir(self.spark, self.path(layer))
 
     def stage(self, name: str, build: Callable[[], DataFrame], sink=None, mode: str = "append") -> Stage:
-        return Stage(name, build, sink or FileSink(self.path(name)), f"{self.root}/_checkpoints/{name}", mode)
+        # As many state partitions as cores, fixed at the first start.
+        conf = {"spark.sql.shuffle.partitions": str(self.spark.sparkContext.defaultParallelism)}
+        sink = sink or FileSink(self.path(name))
+        return Stage(name, build, sink, f"{self.root}/_checkpoints/{name}", mode, conf=conf)
+
+    def arrivals(self) -> DataFrame:
+        """Trips in many micro-batches, as they arrive; staged once for a flow."""
+        if self.files is None:
+            self.files = w.stage_arrivals(self.spark, self.sf_dir, self.path("arrivals"))
+        return w.arrival_stream(self.spark, self.sf_dir, self.path("arrivals"), self.files)
+
+    def by_arrival(self) -> DataFrame:
+        """Watermarked, located trips, one arrival a micro-batch."""
+        return self.source.locate(k.with_event_time(self.arrivals(), w.TIMES, PICKUP))
 
     def bronze(self) -> Stage:
         return self.stage("bronze", lambda: w.trip_stream(self.spark, self.sf_dir))
@@ -162,7 +182,8 @@ def rescued_data(spark, sf_dir):
 @query
 def rescued_json(spark, sf_dir):
     events = w.table(spark, sf_dir, "events").select("event_id", "props")
-    return rescue_json(events, "props", spark.createDataFrame([], "k int").schema)
+    payload = events.withColumn("props", F.expr(w.PAYLOAD))
+    return rescue_json(payload, "props", spark.createDataFrame([], "k int").schema)
 
 
 @query
@@ -182,7 +203,7 @@ def silver_stream(spark, sf_dir):
 @query
 def kpi_window_stream(spark, sf_dir):
     flow = Flow(spark, sf_dir, "kpi_window_stream")
-    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.located())))
+    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.by_arrival())))
     return r6(flow.read("kpi"))
 
 
@@ -190,7 +211,7 @@ def kpi_window_stream(spark, sf_dir):
 def kpi_upsert(spark, sf_dir):
     flow = Flow(spark, sf_dir, "kpi_upsert")
     sink = BatchSink(by_batch(flow.path("kpi")))
-    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.located()), sink, "update"))
+    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.by_arrival()), sink, "update"))
     return r6(latest_per_key(spark, flow.path("kpi"), ["window_start", "window_end", "pickup_borough"]))
 
 
@@ -243,6 +264,60 @@ def watermark_loss_whatif(spark, sf_dir):
     return r6(lateness_what_if(late, "arrival_batch", "pickup", ["1 minute", "5 minutes", "60 minutes"]))
 
 
+@query
+def ingest_totals(spark, sf_dir):
+    """Progress of a run of 125 micro-batches, from the stored table of all runs."""
+    flow = Flow(spark, sf_dir, "ingest_totals")
+    events = w.table(spark, sf_dir, "events").withColumn("part", F.col("event_id") % INGEST_FILES)
+    events.repartition(INGEST_FILES, "part").write.partitionBy("part").parquet(flow.path("in"))
+    stage = flow.stage("raw", lambda: ingest(spark, flow.path("in"), events.drop("part").schema, max_files=1))
+    run_stage(stage, flow.path("progress"))
+    return totals(flow.read("progress")).select("micro_batches", "rows", "dropped_by_watermark")
+
+
+@query
+def classified_stream(spark, sf_dir):
+    """Every classified row of the stream, scored from the stored clusters."""
+    flow = Flow(spark, sf_dir, "classified_stream")
+    run_stage(flow.routed())
+    clusters = flow.store_clusters()
+
+    def classify() -> DataFrame:
+        gold = flow.stream("routed").where(F.col("route") == "gold").drop("route")
+        return flow.source.score(gold, clusters)
+
+    run_stage(flow.stage("classified", classify))
+    return flow.read("classified").select("trip_id", "PULocationID", "prediction", "cluster_label")
+
+
+@query
+def table_chain(spark, sf_dir):
+    """Bronze as a catalog table, and silver from that table as a stream."""
+    flow = Flow(spark, sf_dir, "table_chain")
+    name = f"bronze_{flow.root.rsplit('-', 1)[-1]}"
+    bronze = flow.stage("bronze", lambda: w.trip_stream(spark, sf_dir), TableSink(name))
+    silver = flow.stage("silver", lambda: k.without_zone(
+        flow.source.locate(k.with_event_time(stream_table(spark, name), w.TIMES, PICKUP)), w.TIMES))
+    run_stages([bronze, silver])
+    return flow.read("silver").select(*w.TRIPS, "pickup_borough", "pickup_zone")
+
+
+@query
+def anomaly_rate_stream(spark, sf_dir):
+    """Sliding anomaly counts as a stream, one arrival a micro-batch; closed windows only."""
+    flow = Flow(spark, sf_dir, "anomaly_rate_stream")
+    stats = flow.store_stats(flow.source.silver)
+
+    def build() -> DataFrame:
+        odd = flow.source.flag(flow.by_arrival(), stats).where(F.col("quality_flag") == v.ANOMALIE_STATISTIQUE)
+        counts = odd.groupBy(F.window(PICKUP, "50 minutes", "10 minutes")).agg(F.count(F.lit(1)).alias("n_anomalies"))
+        flat = counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n_anomalies")
+        return k.without_zone(flat, ["window_start", "window_end"])
+
+    run_stage(flow.stage("odd", build))
+    return flow.read("odd")
+
+
 @query
 def stages_end_to_end(spark, sf_dir):
     flow = Flow(spark, sf_dir, "stages")
@@ -310,20 +385,23 @@ def kpi_compare(spark, sf_dir):
 @query
 def tip_rate_by_borough(spark, sf_dir):
     src = w.Source(spark, sf_dir)
-    wide = src.locate(src.trips_wide)
     parts = {
         "fare": ["fare_amount"],
         "tip": ["tip_amount"],
         "tax": ["mta_tax"],
-        "surcharge": ["extra", "improvement_surcharge"],
+        "toll": ["tolls_amount"],
+        "surcharge": ["extra", "improvement_surcharge", "congestion_surcharge"],
+        "fee": ["airport_fee", "cbd_congestion_fee"],
     }
-    return r6(k.component_rates(wide, "pickup_borough", "total_amount", parts))
+    return r6(k.component_rates(src.locate(src.trips_billed), "pickup_borough", "billed", parts))
 
 
 @query
 def point_lookup_count(spark, sf_dir):
-    hits = w.Source(spark, sf_dir).trips.where("PULocationID = 24")
-    return hits.agg(F.count(F.lit(1)).alias("n"))
+    # On the stored, Z-ordered layer, where the filter reaches the scan and skips row groups.
+    path, trips = run_dir(spark, "point_lookup"), w.Source(spark, sf_dir).trips
+    lay.zorder_rewrite(trips, [PICKUP, "PULocationID"], path, files=_files(trips, FULL_FILE_ROWS))
+    return spark.read.parquet(path).where("PULocationID = 24").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -399,8 +477,7 @@ def quarantine_repair(spark, sf_dir):
 
 
 def _reinjected(spark, sf_dir):
-    src = w.Source(spark, sf_dir)
-    return q.reinjected(src.gold, q.repair(src.quarantine))
+    return q.repaired_gold(w.Source(spark, sf_dir).flagged)
 
 
 @query
@@ -485,11 +562,9 @@ def score_unmatched(spark, sf_dir):
 
 @query
 def score_validation(spark, sf_dir):
-    # The check of a model on its first 200 complete rows is a top-k report.
     src = w.Source(spark, sf_dir)
     rows = src.gold.select("trip_id", "PULocationID", *cl.TRIP_FEATURES).na.drop()
-    sample = cl.first_rows(rows, "trip_id", 200)
-    return sc.cluster_distribution(src.score(sample, src.zone_clusters))
+    return sc.cluster_distribution(src.score(rows, src.zone_clusters))
 
 
 @query
@@ -527,14 +602,14 @@ def drift_alerts(spark, sf_dir):
 def drift_history(spark, sf_dir):
     flow = Flow(spark, sf_dir, "drift_history")
     clusters, shares = flow.store_clusters(), _shares(spark, sf_dir)
-    baseline = {r["label"]: r["share"] for r in dr.drift_baseline(shares, BATCH).collect()}
+    dr.drift_baseline(shares, BATCH).write.parquet(flow.path("baseline"))
     stats = flow.store_stats(flow.source.silver)
 
     def classify() -> DataFrame:
-        gold = flow.source.flag(flow.located(), stats).where(F.col("quality_flag") == v.VALIDE)
+        gold = flow.source.flag(flow.by_arrival(), stats).where(F.col("quality_flag") == v.VALIDE)
         return flow.source.score(gold, clusters)
 
-    sink = BatchSink(write_drift_history(flow.path("psi"), "cluster_label", baseline))
+    sink = BatchSink(write_drift_history(flow.path("psi"), "cluster_label", flow.path("baseline")))
     run_stage(flow.stage("psi", classify, sink))
     return r6(read_drift_history(spark, flow.path("psi")))
 
@@ -566,7 +641,8 @@ def trip_features(spark, sf_dir):
 
 @query
 def trip_sample(spark, sf_dir):
-    return r6(cl.first_rows(_features(spark, sf_dir), "trip_id", 200))
+    # Unscaled features; of all rows, as a sample would grow no model at scale.
+    return r6(_features(spark, sf_dir))
 
 
 @query
@@ -634,24 +710,30 @@ def score_model_stream(spark, sf_dir):
 # -- layout -----------------------------------------------------------------------------------
 
 
-def _scattered(spark, sf_dir, name: str, files: int) -> str:
+def _files(df: DataFrame, rows: int) -> int:
+    return max(1, math.ceil(df.count() / rows))
+
+
+def _scattered(spark, sf_dir, name: str) -> str:
     """Trips stored the way many micro-batches leave them: in many small files."""
-    path = run_dir(spark, name)
-    w.Source(spark, sf_dir).trips.repartition(files).write.parquet(path)
+    path, trips = run_dir(spark, name), w.Source(spark, sf_dir).trips
+    trips.repartition(_files(trips, SMALL_FILE_ROWS)).write.parquet(path)
     return path
 
 
 @query
 def zorder_compact(spark, sf_dir):
     path = run_dir(spark, "zorder_compact")
-    lay.zorder_rewrite(w.Source(spark, sf_dir).trips, [PICKUP, "PULocationID"], path, files=4)
+    trips = w.Source(spark, sf_dir).trips
+    lay.zorder_rewrite(trips, [PICKUP, "PULocationID"], path, files=_files(trips, FULL_FILE_ROWS))
     return r6(_business(spark.read.parquet(path)))
 
 
 @query
 def file_stats(spark, sf_dir):
-    before, after = _scattered(spark, sf_dir, "layout", 40), run_dir(spark, "layout")
-    lay.zorder_rewrite(spark.read.parquet(before), [PICKUP, "PULocationID"], after, files=4)
+    before, after = _scattered(spark, sf_dir, "layout"), run_dir(spark, "layout")
+    stored = spark.read.parquet(before)
+    lay.zorder_rewrite(stored, [PICKUP, "PULocationID"], after, files=_files(stored, FULL_FILE_ROWS))
     rows = [
         lay.file_stats(spark, p).select(F.lit(tag).alias("layout"), "n_files", "n_rows")
         for tag, p in (("before", before), ("after", after))

@@ -52,6 +52,9 @@ TRIPS_LATE = {
     "value": "value",
 }
 
+# A trip arrives with its day; one in twenty arrives three days late.
+ARRIVAL = "CAST(day(ts) + CASE WHEN event_id % 20 = 15 THEN 3 ELSE 0 END AS INT)"
+
 # Columns of the full schema, added to trips.
 WIDE = {
     "store_and_fwd_flag": "CASE WHEN trip_id % 61 = 0 THEN 'Y' ELSE 'N' END",
@@ -59,8 +62,24 @@ WIDE = {
         ELSE CAST(0.5 AS DOUBLE) END""",
     "mta_tax": "CASE WHEN trip_id % 73 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END",
     "improvement_surcharge": "CASE WHEN trip_id % 79 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0.3 AS DOUBLE) END",
+    "tolls_amount": "CASE WHEN trip_id % 13 = 0 THEN CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "congestion_surcharge": "CASE WHEN trip_id % 3 = 0 THEN CAST(2.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "airport_fee": "CASE WHEN trip_id % 11 = 0 THEN CAST(1.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "cbd_congestion_fee": "CASE WHEN trip_id % 7 = 0 THEN CAST(0.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+}
+
+# The total that the nine components add up to; one trip in 83 is off by a dollar.
+BILL = {
+    "billed": """fare_amount + tip_amount + mta_tax + extra + improvement_surcharge + tolls_amount
+        + congestion_surcharge + airport_fee + cbd_congestion_fee
+        + CASE WHEN trip_id % 83 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END""",
 }
 
+# Payloads as they come: fitting, unfit, nested, null, malformed, missing and too large values.
+PAYLOAD = """CASE event_id % 7 WHEN 1 THEN '{"k": "x"}' WHEN 2 THEN '{"k": 5, "extra": {"a":[1,2]}}'
+    WHEN 3 THEN '{"k": null}' WHEN 4 THEN 'not json' WHEN 5 THEN CAST(NULL AS STRING)
+    WHEN 6 THEN '{"k": 99999999999}' ELSE props END"""
+
 # A larger batch history with wider ids, standing beside the stream.
 HISTORY = {
     "PULocationID": "CAST(l_suppkey % 30 AS BIGINT)",
@@ -114,6 +133,10 @@ class Source:
     def trips_wide(self) -> DataFrame:
         return project(self.trips, WIDE, keep=True)
 
+    @cached_property
+    def trips_billed(self) -> DataFrame:
+        return project(self.trips_wide, BILL, keep=True)
+
     @cached_property
     def history(self) -> DataFrame:
         return project(table(self.spark, self.sf_dir, "lineitem"), HISTORY)
@@ -168,6 +191,28 @@ def borough_stats(silver: DataFrame) -> DataFrame:
     return reference_stats(silver, "pickup_borough", "total_amount", clean_rows())
 
 
+def stage_arrivals(spark: SparkSession, sf_dir: str, path: str, rows_per_file: int = 1_000_000) -> int:
+    """Write the events as they arrive, one folder after the other, and return the files of each arrival.
+
+    One partitioned write comes first, so that an arrival is read without the others. The file source goes by the
+    time of the files, so the arrivals are written in turn; there are as many as days.
+    """
+    events = table(spark, sf_dir, "events").withColumn("arrival", F.expr(ARRIVAL))
+    events.write.partitionBy("arrival").parquet(f"{path}_by_arrival")
+    apart = spark.read.parquet(f"{path}_by_arrival")
+    counts = {r["arrival"]: r["n"] for r in apart.groupBy("arrival").agg(F.count(F.lit(1)).alias("n")).collect()}
+    files = max(1, max(counts.values()) // rows_per_file)
+    for arrival in sorted(counts):
+        apart.where(F.col("arrival") == arrival).drop("arrival").repartition(files).write.parquet(f"{path}/{arrival:04d}")
+    return files
+
+
+def arrival_stream(spark: SparkSession, sf_dir: str, path: str, files: int) -> DataFrame:
+    """Staged arrivals as trips, one arrival a micro-batch."""
+    raw = ingest(spark, f"{path}/*", table(spark, sf_dir, "events").schema, max_files=files)
+    return raw.selectExpr(*[f"{sql} AS {name}" for name, sql in TRIPS.items()], "ingestion_timestamp", "source_file")
+
+
 def trip_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Trips ingested incrementally from the event files, with lineage columns."""
     raw = ingest(spark, one_path(sf_dir, "events.parquet"), table(spark, sf_dir, "events").schema, **options)
