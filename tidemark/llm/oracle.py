@@ -107,3 +107,22 @@ SELECT conv_id, count(*) AS n_turns,
     ELSE 16 + length(coalesce(CAST(to_json(role) AS VARCHAR), 'null')) END))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+# All pairs that share a shingle, and the closure of their links; for small tables.
+SQL["op7_vertical_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 3
+    THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y),
+l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 90 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS d, doc_id AS c FROM w UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.d)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, k.c AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) k ON k.d = w.doc_id
+"""
