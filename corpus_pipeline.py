@@ -47,8 +47,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Token ids of every document, checked by decoding them."""
     from public_tokenizers import path
 
-    model = path("piece_bpe_32k.model")
-    return pieces.decode(pieces.encode(docs, model), model, with_text=False)
+    return pieces.encode_and_read_back(docs, path("piece_bpe_32k.model"))
 
 
 STAGES = [

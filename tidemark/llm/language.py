@@ -37,6 +37,8 @@ EFFECTIVE = 150
 #: Weight of the level above in the smoothing of hosts and of declared values, in rows.
 SMOOTH = 5.0
 SURE = 0.6
+#: Bytes of text that are counted at once.
+SLICE = 1 << 20
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -69,17 +71,17 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, text number) of all letter trigrams; white space, digits and signs are alike."""
     buf = _FOLD[np.frombuffer(b"  ".join(texts) + b"  ", np.uint8)]
     length = np.array([len(t) + 2 for t in texts], np.int64)
-    owner = np.repeat(np.arange(len(texts)), length)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), length)
     x = buf.astype(np.uint32)
     three = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
     good = (buf[1:-1] != 32) & (owner[:-2] == owner[2:])
-    return ((three[good] * np.uint32(2654435761)) >> np.uint32(19)).astype(np.int64), owner[1:-1][good]
+    return ((three[good] * np.uint32(2654435761)) >> np.uint32(19)).astype(np.int32), owner[1:-1][good]
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
-        for start, texts in slices(batch.column("text").to_pylist()):
+        for start, texts in slices(batch.column("text").to_pylist(), SLICE):
             bucket, owner = grams(texts)
             names = sorted(set(langs[start : start + len(texts)]))
             code = np.array([names.index(x) for x in langs[start : start + len(texts)]])
@@ -136,7 +138,7 @@ def _evidence(model: TextModel, web: bool, extra: tuple[str, ...] = ()):
                 hosts = [_host(u) for u in hosts]
             domain = [".".join(h.split(".")[-2:]) if h else None for h in hosts]
             suffix = [h.rsplit(".", 1)[-1] if h and "." in h else None for h in hosts]
-            for start, part in slices(texts):
+            for start, part in slices(texts, SLICE):
                 ratio, n = model.likelihoods(part)
                 end = start + len(part)
                 yield pa.RecordBatch.from_pydict({

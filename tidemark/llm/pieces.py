@@ -35,7 +35,7 @@ from tidemark.llm.units import SLICE_BYTES, IdPool
 
 BLANK = "▁"
 #: Characters that are indexed at once, and the length from which a unit is relaxed with a queue.
-BATCH_CHARS, LONG_UNIT = 400_000, 256
+BATCH_CHARS, LONG_UNIT = 200_000, 256
 _UNIT = re.compile(r" +[^ \n]*|\n+[^ \n]*")
 
 
@@ -260,7 +260,7 @@ class Codec:
         self.v = Vocabulary(path)
         matcher = Matcher(self.v)
         # A unit's first character stands for itself (line end) or for a blank.
-        self.pool = IdPool(lambda units: matcher.segment([u.replace(" ", BLANK) for u in units]))
+        self.pool = IdPool(lambda units: matcher.segment([u.replace(" ", BLANK) for u in units]), limit=2_000_000)
 
     def units(self, text: str | None) -> list[str]:
         """What the text is cut into, with the blank that the model puts first."""
@@ -279,6 +279,7 @@ class Codec:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+_ENCODED = "doc_id bigint, n_ids bigint, ids array<int>"
 _codecs: dict[str, Codec] = {}
 
 
@@ -289,56 +290,63 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def _encode(path: str):
+def _encode(path: str, read_back: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(path)
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
+            texts, docs = batch.column("text"), batch.column("doc_id")
             begin = 0
             while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and (end == begin or size < SLICE_BYTES):
-                    size += len(texts[end] or "")
-                    end += 1
-                flat, n = known.encode(texts[begin:end])
+                part, size = [], 0
+                while begin + len(part) < len(texts) and (not part or size < SLICE_BYTES):
+                    part.append(texts[begin + len(part)].as_py())
+                    size += len(part[-1] or "")
+                flat, n = known.encode(part)
                 edge = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(begin, end - begin), pa.array(n), pa.ListArray.from_arrays(edge, pa.array(flat))],
-                    ["doc_id", "n_ids", "ids"],
-                )
-                begin = end
+                columns = {
+                    "doc_id": docs.slice(begin, len(part)), "n_ids": pa.array(n),
+                    "ids": pa.ListArray.from_arrays(edge, pa.array(flat)),
+                }
+                if read_back:
+                    columns |= _described(known, np.split(flat, edge[1:-1]))
+                yield pa.RecordBatch.from_pydict(columns)
+                begin += len(part)
+        # What was kept of this task's words is given back: workers live on.
+        known.pool.clear()
 
     return run
 
 
+def _described(known: Codec, each: list[np.ndarray]) -> dict[str, pa.Array]:
+    """A checksum of every document's ids, and a digest of what they decode to."""
+    return {
+        "ids_crc32": pa.array([zlib.crc32(x.astype("<u4")) for x in each], pa.int64()),
+        "decoded_sha256": pa.array([hashlib.sha256(known.decode(x).encode()).hexdigest() for x in each], pa.string()),
+    }
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_ids, ids) of every whole text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_encode(model), "doc_id bigint, n_ids bigint, ids array<int>")
+    return rows.mapInArrow(_encode(model), _ENCODED)
+
+
+def encode_and_read_back(docs: DataFrame, model: str) -> DataFrame:
+    """(doc_id, n_ids, ids, ids_crc32, decoded_sha256): encoded and decoded in the same task."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInArrow(_encode(model, True), f"{_ENCODED}, ids_crc32 bigint, decoded_sha256 string")
 
 
-def _decode(path: str, with_text: bool):
+def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(path)
         for batch in batches:
-            texts, sums, crc = [], [], []
-            for row in batch.column("ids"):
-                ids = row.values.to_numpy(zero_copy_only=False)
-                text = known.decode(ids)
-                sums.append(hashlib.sha256(text.encode()).hexdigest())
-                crc.append(zlib.crc32(ids.astype("<u4")))
-                if with_text:
-                    texts.append(text)
-            out = {"doc_id": batch.column("doc_id"), "n_ids": batch.column("n_ids"), "ids": batch.column("ids"),
-                   "ids_crc32": pa.array(crc, pa.int64()), "decoded_sha256": pa.array(sums, pa.string())}
-            if with_text:
-                out["decoded"] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_pydict(out)
+            texts = [known.decode(row.values.to_numpy(zero_copy_only=False)) for row in batch.column("ids")]
+            yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
     return run
 
 
-def decode(encoded: DataFrame, model: str, with_text: bool = True) -> DataFrame:
-    """Add what the ids decode to: a checksum of the ids, a digest of the text, and the text itself if wanted."""
-    kind = "doc_id bigint, n_ids bigint, ids array<int>, ids_crc32 bigint, decoded_sha256 string"
-    return encoded.mapInArrow(_decode(model, with_text), kind + ", decoded string" * with_text)
+def decode(encoded: DataFrame, model: str) -> DataFrame:
+    """Add ``decoded``, the text of the ids."""
+    return encoded.mapInArrow(_decode(model), f"{_ENCODED}, decoded string")

@@ -90,8 +90,7 @@ def op6_suffix_pieces(spark, sf_dir):
 
     from tidemark.llm import pieces
 
-    model = path("piece_bpe_32k.model")
-    return pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model, with_text=False)
+    return pieces.encode_and_read_back(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
 
 
 @query

@@ -173,7 +173,19 @@ def word_encoder(vocabulary: str) -> IdPool:
             ids[np.repeat(start[rows] - (np.cumsum(n) - n), n) + np.arange(len(own))] = own
         return ids, length
 
-    return IdPool(encode)
+    return WordEncoder(encode, pieces)
+
+
+class WordEncoder(IdPool):
+    """Words over parts; both are forgotten together."""
+
+    def __init__(self, encode, parts: IdPool):
+        self.parts = parts
+        super().__init__(encode)
+
+    def clear(self) -> None:
+        super().clear()
+        self.parts.clear()
 
 
 def _pool(vocabulary: str) -> IdPool:
@@ -232,6 +244,8 @@ def _write_files(vocabulary: str, path: str, end_id: int, share: float, file_ids
                     out, part = None, part + 1
         if out is not None:
             yield done()
+        # What was kept of this task's words is given back: workers live on.
+        pool.clear()
 
     return write
 

@@ -10,7 +10,7 @@ from itertools import repeat
 
 import numpy as np
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
