@@ -2,14 +2,15 @@
 
 A document's set is its distinct n-word shingles, as 64-bit hashes; the hash order is the global order. Vertical
 partitioning cuts this order into K fragments, the same for all documents of about one size. Two sets that differ
-in at most D shingles differ in at most D fragments, so with K > D some fragment is equal in both: equal fragments
-propose pairs, and every document signs only as many fragments (D + 1 and its empty ones) as that needs. Overlaps
-are then counted fragment by fragment and summed per pair; the sum alone decides.
+in at most D shingles differ in at most D fragments, so with K > D some fragments are equal in both: equal fragments
+propose pairs, and every document signs only as many fragments (D + 3 that are not empty) as leaves three equal ones.
+What shares fewer is not compared. Overlaps are then counted fragment by fragment and summed per pair; the sum alone decides.
 
 Equal sets are one class and are joined once. Proposed documents are gathered around the one they share most
-fragments with; such a family is compared in blocks of bounded size, whose tasks return a spanning forest of the
-links they find and never the pairs. Pairs across families are listed one by one. All links between different sets
-are found, whatever the size of a group; the work in a family grows with its square over the block size.
+fragments with; such a family, and every group with an equal fragment that several families meet in, is compared in
+blocks of bounded size, whose tasks return a spanning forest of the links they find and never the pairs. All links
+between different sets are found, whatever the size of a group; the rows copied for a family grow with its square
+over the block size.
 
 Nulls and edge cases: a null or empty text, or one without words, has an empty set and links with nothing; with
 fewer words than n, the whole sequence is the one shingle; a null id is a document whose component has no smaller
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.units import Words, mix64, slices
@@ -32,10 +33,12 @@ from tidemark.plans.bounds import stored
 WORDS, PERCENT = 3, 90
 #: Sizes up to the next power of this share their fragments.
 LEVEL_RATIO = 1.25
+#: Equal fragments that linked sets share at least; fewer are chance, such as a passage that many documents have.
+SHARED = 3
 #: Documents and shingles of one side of a block.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
-#: Columns of the indicator matrix that is counted at once, and fragments in which listed pairs are counted.
-COLUMNS, FRAGMENTS = 4096, 8
+#: Shingles of one fragment of the order when overlaps are counted.
+COLUMNS = 4096
 _ODD = np.uint64(0xA24BAED4963EE407)
 
 
@@ -86,16 +89,14 @@ class Levels:
             if not allowed:
                 continue
             most = difference(top, top, self.percent)
-            k = most + 4 + most // 4
+            k = most + SHARED + 3 + most // 5
             fragment = ((s >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
             start = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
             full = fragment[start]
             value = np.add.reduceat(mix64(s), start)
-            # Enough fragments that, after all differences and empty ones, an equal one with shingles is left.
-            index = np.arange(1, len(full) + 1)
-            enough = np.flatnonzero(index > allowed)
-            if len(enough):
-                count = int(enough[0]) + 1
+            # Enough fragments with shingles that, after all differences, SHARED equal ones are left.
+            count = allowed + SHARED
+            if len(full) >= count:
                 out.append(mix64(value[:count] + (full[:count].astype(np.uint64) + np.uint64(level * 1_000_003)) * _ODD))
             else:
                 # Too few fragments with shingles: every shingle by itself proposes pairs.
@@ -195,7 +196,7 @@ def _compare(percent: int):
                 found.extend(spanning_links(np.array(rows), sets, percent))
 
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("family", "i", "j"))))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
             parts = batch.column("parts")
             for at, (k, row) in enumerate(zip(keys, batch.column("row").to_pylist())):
                 if k != key:
@@ -260,7 +261,16 @@ def _proposals(reps: DataFrame) -> DataFrame:
     signed = reps.select("row", F.explode("parts").alias("sig"))
     by = Window.partitionBy("sig")
     met = signed.select("row", F.count(F.lit(1)).over(by).alias("c"), F.bit_xor(F.xxhash64("row")).over(by).alias("g")).where("c > 1")
-    return stored(met.groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups")
+    groups = stored(met.groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups")
+    return _with_partners(groups)
+
+
+def _with_partners(groups: DataFrame) -> DataFrame:
+    """Without the rows that share fewer fragments than linked sets do, and the groups they leave with one row."""
+    enough = groups.groupBy("row").agg(F.sum("weight").alias("w")).where(F.col("w") >= SHARED).select("row")
+    left = stored(groups.join(enough, "row"), "jaccard_partners")
+    several = left.groupBy("g", "c").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("g", "c")
+    return stored(left.join(several, ["g", "c"]), "jaccard_partners")
 
 
 def _families(groups: DataFrame) -> DataFrame:
@@ -277,41 +287,25 @@ def _families(groups: DataFrame) -> DataFrame:
     return roots(stored(best.select("row", F.col("best.to").alias("to")), "jaccard_hubs")).withColumnRenamed("to", "family")
 
 
-def _within(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside families, from blocks of chunk pairs; a chunk's size is bounded in rows and in shingles."""
-    sizes = sets.select("row", "n").join(families, "row")
-    chunks = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("m > 1")
+def _mixed(groups: DataFrame, families: DataFrame) -> DataFrame:
+    """(key, row) of the groups whose rows are of several families."""
+    member = groups.join(families, "row")
+    several = member.groupBy("g", "c").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y")
+    mixed = _with_partners(member.join(several, ["g", "c"]).select("g", "c", "row", "weight"))
+    return mixed.select(F.xxhash64("g", "c").alias("key"), "row")
+
+
+def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the rows of every key, from blocks of chunk pairs; a chunk is bounded in rows and in shingles."""
+    sized = stored(members.join(sets.select("row", "n"), "row"), "jaccard_members")
+    chunks = sized.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("m > 1")
     number = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    placed = families.join(chunks.select("family", number.alias("k")), "family")
+    placed = sized.select("key", "row").join(chunks.select("key", number.alias("k")), "key")
     own = F.pmod(F.xxhash64("row"), F.col("k")).cast("int")
     spread = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    keyed = spread.select("row", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    blocks = keyed.join(sets.select("row", "parts"), "row").repartition("family", "i", "j")
-    return blocks.sortWithinPartitions("family", "i", "j").mapInArrow(_compare(percent), "a bigint, b bigint")
-
-
-def _across(groups: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between rows of different families that have an equal fragment: partial overlaps, summed per pair."""
-    member = groups.join(families, "row").join(sets.select("row", "n"), "row")
-    parts = member.groupBy("g", "c", "family").agg(F.count(F.lit(1)).alias("m"))
-    main = parts.groupBy("g", "c").agg(F.max(F.struct("m", "family")).alias("main"), F.count(F.lit(1)).alias("f")).where("f > 1")
-    mixed = stored(member.join(main.select("g", "c", F.col("main.family").alias("main")), ["g", "c"]), "jaccard_mixed")
-    few = mixed.where("family <> main").select("g", "c", F.col("row").alias("x"), F.col("family").alias("fx"), F.col("n").alias("nx"))
-    rest = mixed.select("g", "c", F.col("row").alias("y"), F.col("family").alias("fy"), F.col("n").alias("ny"))
-    alike = (F.col("fx") != F.col("fy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    pairs = few.join(rest, ["g", "c"]).where(alike)
-    pairs = stored(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "jaccard_pairs")
-
-    fragment = F.transform(
-        F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
-        lambda f: F.struct(f.alias("f"), F.filter("parts", lambda h: F.pmod(h, F.lit(FRAGMENTS)) == f).alias("s")),
-    )
-    cut = sets.select("row", "n", F.explode(fragment).alias("p")).select("row", "n", "p.f", "p.s")
-    left = pairs.join(cut.select(F.col("row").alias("a"), F.col("n").alias("na"), "f", F.col("s").alias("sa")), "a")
-    right = cut.select(F.col("row").alias("b"), F.col("n").alias("nb"), "f", F.col("s").alias("sb"))
-    partial = left.join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
-    total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return total.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    keyed = spread.select("row", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    blocks = keyed.join(sets.select("row", "parts"), "row").repartition("key", "i", "j")
+    return blocks.sortWithinPartitions("key", "i", "j").mapInArrow(_compare(percent), "a bigint, b bigint")
 
 
 def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -330,13 +324,18 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ext
 
     groups = _proposals(reps)
     families = _families(groups)
-    involved = stored(rows.join(families.select("row"), "row").select("row", "doc_id", *key), "jaccard_involved")
-    wanted = docs.join(involved.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = described(wanted, words, percent, with_set=True).join(involved.select("row", *key), key)
-    sets = stored(sets.select("row", "n", "parts").dropDuplicates(["row"]), "jaccard_sets")
-
-    links = _within(families, sets, percent).unionByName(_across(groups, families, sets, percent))
-    labels = components(links)
+    involved = stored(
+        rows.join(families.select("row"), "row").select("row", F.col("doc_id").alias("_id"), F.col("hi").alias("_hi"), F.col("lo").alias("_lo")),
+        "jaccard_involved",
+    )
+    # Texts meet the rows that need their sets once, by id; rows of one id are told apart by their digests. A merge
+    # join at every size, so that small tables show what large ones need.
+    wanted = docs.select("doc_id", "text").join(involved.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    sets = described(wanted, words, percent, with_set=True, extra=("row", "_hi", "_lo"))
+    sets = stored(sets.where("hi = _hi AND lo = _lo").select("row", "n", "parts"), "jaccard_sets")
+
+    members = families.select(F.col("family").alias("key"), "row").unionByName(_mixed(groups, families))
+    labels = components(_compared(members, sets, percent))
     # From rows to classes to components; a component's id is the smallest id of all its rows.
     whole = classes.join(labels, F.col("rep") == F.col("row"), "left").select(*key, "least", F.coalesce("root", "rep").alias("root"))
     whole = stored(whole, "jaccard_wholes")
