@@ -20,15 +20,16 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found go on."""
-    found = language.identify_documents(addressed(docs), extra=ADDRESS)
-    rejected = found.where(~F.col("kept"))
-    return without(docs, rejected)
+    rows = addressed(docs)
+    found = language.identify_documents(rows, extra=ADDRESS)
+    return without(rows, found.where(~F.col("kept")))
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: one with the smallest id."""
-    groups = jaccard.link_groups(addressed(docs), SHINGLE_WORDS, SIMILAR_PERCENT, extra=ADDRESS)
-    return without(docs, groups.where(~F.col("keep")))
+    rows = addressed(docs)
+    groups = jaccard.link_groups(rows, SHINGLE_WORDS, SIMILAR_PERCENT, extra=ADDRESS)
+    return without(rows, groups.where(~F.col("keep")))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

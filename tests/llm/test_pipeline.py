@@ -11,6 +11,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 import public_tokenizers
 from llm import brute
+from tidemark.llm.rows import addressed, without
 
 
 @pytest.fixture(scope="module")
@@ -82,6 +83,44 @@ def test_odd_rows_pass_through_all_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []
 
 
+PLANTED = [(9001, "0101 ### 0202", None, None, None), (9002, "zq " * 3, None, None, None), (9002, "zq " * 3, None, None, None)]
+
+
+def _frames(spark, small):
+    """The same documents, odd ones among them, as frames that have no file of their own."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id < 60")
+    planted = spark.createDataFrame(PLANTED, docs.schema)
+    twice = spark.createDataFrame([(1,), (2,)], "_n int")
+    return {
+        "union": docs.unionByName(planted).unionByName(docs.where("doc_id < 20")),
+        "local": spark.createDataFrame(docs.collect() + PLANTED + docs.where("doc_id < 20").collect(), docs.schema),
+        "join": docs.crossJoin(twice).select(docs.columns),
+        # The address of the file's row is that of both copies.
+        "explode": docs.withColumn("_n", F.explode(F.array(F.lit(1), F.lit(2)))).select(docs.columns),
+    }
+
+
+@pytest.mark.parametrize("kind", ["union", "local", "join", "explode"])
+def test_stages_take_frames_without_files(spark, small, tmp_path, kind):
+    docs = _frames(spark, small)[kind]
+    docs.write.parquet(f"{tmp_path}/docs")
+    filed = spark.read.parquet(f"{tmp_path}/docs")
+    whole = lambda df: sorted(map(str, df.collect()))
+    spoken = whole(corpus_pipeline.identify_language(spark, docs, small))
+    assert spoken == whole(corpus_pipeline.identify_language(spark, filed, small))
+    if kind in ("union", "local"):
+        assert not any("doc_id=9001" in r for r in spoken)
+    left = corpus_pipeline.join_near_copies(spark, docs, small).collect()
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(r["doc_id"] for r in left) == sorted({c for _, _, c in brute.groups(rows, 5, 80)})
+
+
+def test_rows_without_an_address_are_not_matched(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    with pytest.raises(ValueError):
+        without(docs, addressed(docs))
+
+
 def test_queries_are_registered():
     names = entry_point.queries()
     assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
