@@ -41,7 +41,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.apply_mix(docs, mixing.mix(docs, quality=mixing.document_quality(labels)))
+    rows = addressed(docs)
+    return mixing.apply_mix(rows, mixing.mix(rows, quality=mixing.document_quality(labels), by_text=True))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -408,6 +408,26 @@ def test_better_documents_are_taken_first(spark):
     assert taken[0] > 3 * taken[1] > 0
 
 
+def test_the_decided_mix_is_applied_row_by_row(spark, tmp_path):
+    """Null and repeated ids of one size, of which the mix takes some: each row as often as it was decided."""
+    rows = [(None, f"n{i} " + "w " * 9, "a") for i in range(60)] + [(7, f"r{i} " + "w " * 9, "a") for i in range(41)]
+    rows += [(100 + i, "w " * 10, "b") for i in range(90)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for by_text in (False, True):
+        mixed = mixing.mix(docs, weights=(3, 5), by_text=by_text)
+        decided = mixed.groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t")).collect()
+        applied = {r["source"]: r["n"] for r in mixing.apply_mix(docs, mixed).groupBy("source").agg((10 * F.count(F.lit(1))).alias("n")).collect()}
+        assert applied == {r["source"]: r["n"] for r in decided}
+        assert all(abs(applied[r["source"]] - r["t"]) <= 5 for r in decided)
+        assert 0 < mixed.where("source = 'a' AND times = 0").count() < 101
+    # Which null ids are taken depends on their texts.
+    few = mixing.mix(docs, weights=(1, 9), by_text=True).where("doc_id IS NULL AND source = 'a'")
+    assert {r["times"] for r in few.select("times").distinct().collect()} == {0, 1}
+    with pytest.raises(ValueError):
+        mixing.apply_mix(docs.unionByName(docs), mixed)
+
+
 # -- sharding ---------------------------------------------------------------------------------
 
 

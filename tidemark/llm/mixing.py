@@ -8,7 +8,8 @@ left of its target is filled by documents in the order of their exponential keys
 Nulls and edge cases: a null text has no words; a null source is a source of its own, last in order; a null or
 non-positive quality counts as 1; documents without words are taken in every whole epoch and give no words;
 a source without words has target 0; repeated rows with one id are separate documents with equal keys, ordered
-by size; an empty table gives an empty result. Columns of the input that clash are not used.
+by size and then by a hash of where they are stored, and so are rows with a null id (with ``by_text``, only those
+whose texts are equal too); an empty table gives an empty result. Columns of the input that clash are not used.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import ADDRESS, addressed, plain_scan
 from tidemark.plans.bounds import stored
-from tidemark.plans.ordered import with_blocks
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 #: Cells that a source's key range is cut into before its documents are summed up. Only the one cell in which
-#: the budget ends is ordered row by row.
+#: the budget ends is ordered by key, id and size.
 CELLS = 4096
 
 
@@ -96,24 +97,34 @@ def mix(
     max_epochs: int = MAX_EPOCHS,
     seed: int = 11,
     cells: int = CELLS,
+    by_text: bool = False,
 ) -> DataFrame:
-    """How often every document is taken: (doc_id, source, size, source_size, target, times, taken).
+    """How often every document is taken: (doc_id, source, size, source_size, target, times, taken) and its address.
 
     ``quality`` has one row (doc_id, quality) per rated document; the others count as 1. A document enters the
     fractional selection when at least half of it fits into what is left, so a source misses its target by half
-    a document at most.
+    a document at most. ``by_text`` derives the keys from id and text, so that null and repeated ids have keys of
+    their own. Addresses are those of ``docs`` if it has them (``addressed``).
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"))
+    if not set(ADDRESS) <= set(docs.columns):
+        docs = addressed(docs.select(id_col, text_col, source_col))
+    name = F.col(id_col)
+    if by_text:
+        name = F.concat_ws(":", F.coalesce(name.cast("string"), F.lit("null")), F.md5(F.coalesce(text_col, F.lit(""))))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+        uniform(name, seed).alias("u"), *ADDRESS,
+    )
     if quality is not None:
         rated = quality.groupBy("doc_id").agg(F.max("quality").alias("quality"))
         rows = rows.join(rated, "doc_id", "left")
     else:
         rows = rows.withColumn("quality", F.lit(1.0))
     good = F.when(F.col("quality") > 0, F.col("quality")).otherwise(F.lit(1.0))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / good
+    key = -F.log(F.col("u")) / good
     # The share of keys below this one if all had weight 1: cells hold about equally many documents.
     cell = F.least(F.floor((1 - F.exp(-F.col("key"))) * cells), F.lit(cells - 1)).cast("int")
-    rows = stored(rows.withColumn("key", key).withColumn("cell", cell).drop("quality"), "mix_rows")
+    rows = stored(rows.withColumn("key", key).withColumn("cell", cell).drop("quality", "u"), "mix_rows")
 
     per_cell = stored(rows.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix_cells")
     sizes = per_cell.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n_docs"))
@@ -132,17 +143,52 @@ def mix(
         F.col("source").alias("_source"), F.col("cell").alias("_cell"), "before", "source_size", "target", "epochs", "left",
         ((F.col("before") < F.col("left")) & (F.col("before") + F.col("words") >= F.col("left"))).alias("cut"),
     )
-    joined = rows.join(edges, same & (F.col("cell") == F.col("_cell")))
-    upto = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = joined.where("cut").withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(upto), F.lit(0)))
-    taken = inside.withColumn("extra", (F.col("ahead") + F.col("size") / 2 <= F.col("left")) & (F.col("ahead") < F.col("left")))
-    whole = joined.where(~F.col("cut")).withColumn("extra", F.col("before") < F.col("left"))
+    in_cell = same & (F.col("cell") == F.col("_cell"))
+    ends = _ends(rows.join(edges.where("cut"), in_cell))
+    joined = rows.join(edges, in_cell).join(ends, F.col("source").eqNullSafe(F.col("_of")), "left")
+    # What comes before the end is taken, what comes after is not; of the rows at the end, as many as fit.
+    place, end = F.struct(*_ORDER), F.struct(*[F.col(f"_end.{c}").alias(c) for c in _ORDER])
+    among = F.coalesce(F.col("cut") & (F.col("_end.m") > 0) & place.eqNullSafe(end), F.lit(False))
+    inside = F.col("_end").isNull() | (place < end)
+    sure = joined.where(~among).withColumn("extra", F.when(F.col("cut"), inside).otherwise(F.col("before") < F.col("left")))
+    some = _first_rows(joined.where(among), cells)
     times = F.col("epochs") + F.col("extra").cast("bigint")
-    return (
-        taken.drop("ahead")
-        .unionByName(whole)
-        .select("doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"), *ADDRESS]
+    return sure.select(*columns).unionByName(some.select(*columns))
+
+
+_ORDER = ("key", "doc_id", "size")
+
+
+def _ends(inside: DataFrame) -> DataFrame:
+    """(_of, _end): the first rows of every source that do not all fit, and of how many of them (m) there is room.
+
+    Once a document does not fit, none after it does: half of it reaches beyond what is left. Rows that are alike in
+    key, id and size are counted, not ordered, so a key that many rows share is one row here.
+    """
+    alike = inside.groupBy("source", "cell", *_ORDER).agg(
+        F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("left").alias("left")
     )
+    upto = Window.partitionBy("source", "cell").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))
+    fits = lambda at: (at + F.col("size") / 2 <= F.col("left")) & (at < F.col("left"))
+    floor = F.floor(F.try_divide(F.col("left") - F.col("ahead") - F.col("size") / 2, F.col("size")))
+    most = F.greatest(F.coalesce(floor, F.lit(0)), F.lit(0))
+    room = most + fits(F.col("ahead") + most * F.col("size")).cast("bigint")
+    m = F.when(F.col("size") > 0, F.least(room, F.col("n"))).otherwise(F.when(fits(F.col("ahead")), F.col("n")).otherwise(F.lit(0)))
+    short = alike.withColumn("ahead", ahead).withColumn("m", m.cast("bigint")).where("m < n")
+    return short.groupBy(F.col("source").alias("_of")).agg(F.min(F.struct(*_ORDER, "m")).alias("_end"))
+
+
+def _first_rows(alike: DataFrame, cells: int) -> DataFrame:
+    """Mark ``_end.m`` of the rows of every source by the hash of their address, counted in cells of it."""
+    rows = alike.withColumn("_part", F.pmod(F.xxhash64(*ADDRESS), F.lit(cells)))
+    per_part = rows.groupBy(F.col("source").alias("_s"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select("_s", "_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    number = F.row_number().over(Window.partitionBy("source", "_part").orderBy(*ADDRESS))
+    placed = rows.withColumn("_number", number).join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
+    return placed.withColumn("extra", F.col("_start") + F.col("_number") <= F.col("_end.m"))
 
 
 def document_quality(labels: DataFrame) -> DataFrame:
@@ -151,11 +197,15 @@ def document_quality(labels: DataFrame) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as often as they are taken; with the columns of ``docs``."""
-    # Repeated rows of an id may differ in size, so in how often they are taken: the size is part of the key.
-    picks = mixed.where("times > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), "times")
-    picks = picks.groupBy("_id", "_size", "_source").agg(F.sum("times").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    sized = docs.withColumn("_words", word_count("text"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")) & F.col("source").eqNullSafe(F.col("_source"))
-    copies = F.sequence(F.lit(1), F.ceil(F.col("_sum") / F.col("_rows")).cast("int"))
-    return sized.join(picks, on).withColumn("_copy", F.explode(copies)).select(*docs.columns)
+    """The documents as often as they are taken; with the columns of ``docs``, without addresses.
+
+    ``docs`` is what ``mix`` was given: a plain scan of files, or any frame that ``addressed`` returned.
+    """
+    if not set(ADDRESS) <= set(docs.columns):
+        if not plain_scan(docs):
+            raise ValueError("docs has no addresses: give mix and apply_mix the same addressed frame")
+        docs = addressed(docs)
+    picks = mixed.where("times > 0").select(*ADDRESS, F.col("times").cast("int").alias("_times"))
+    copies = F.sequence(F.lit(1), F.col("_times"))
+    columns = [c for c in docs.columns if c not in ADDRESS]
+    return docs.join(picks, list(ADDRESS)).withColumn("_copy", F.explode(copies)).select(*columns)

@@ -13,7 +13,7 @@ ADDRESS = ("_file", "_index")
 _ONE_TO_ONE = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
 
-def _plain_scan(df: DataFrame) -> bool:
+def plain_scan(df: DataFrame) -> bool:
     """Whether ``df`` is a scan of files with nothing over it that repeats, merges or draws rows."""
     plan = df._jdf.queryExecution().analyzed()
     if not plan.deterministic():
@@ -33,7 +33,7 @@ def addressed(df: DataFrame) -> DataFrame:
 
     Numbers by task (``monotonically_increasing_id``) change when the cluster does between two reads.
     """
-    if not _plain_scan(df):
+    if not plain_scan(df):
         df = stored(df, "addressed")
     try:
         return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
