@@ -327,6 +327,25 @@ def test_jaccard_edges(spark, odd, empty):
     assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(texts_of(odd))))
 
 
+@pytest.mark.parametrize("same", [None, 7])
+def test_texts_of_one_id_are_not_crossed(spark, monkeypatch, same):
+    """Many near copies without an id of their own: every row's text is described once more, not once for every row."""
+    rng = random.Random(8)
+    texts = [t for _ in range(12) for t in _near(rng, [f"w{i}" for i in range(400)], 60)]
+    rows = [(same, t) for t in texts]
+    seen, plain = [], jaccard.described
+
+    def counted(docs, *args, **more):
+        seen.append(docs.count())
+        return plain(docs, *args, **more)
+
+    monkeypatch.setattr(jaccard, "described", counted)
+    got = jaccard.link_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(rows)))
+    assert sum(r["keep"] for r in got) == brute.groups(rows, count=True)
+    assert seen[0] == len(rows) and 2 <= seen[1] <= len(rows)
+
+
 def test_overlaps_in_fragments():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.rows import ADDRESS, addressed
 from tidemark.llm.units import Words, mix64, slices
 from tidemark.plans.bounds import stored
 
@@ -311,9 +312,13 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_shingles, component_id, keep) of every row, and ``extra`` columns of ``docs`` as they are.
 
-    ``keep`` marks one row of each component, one with the smallest id.
+    ``keep`` marks one row of each component, one with the smallest id. Rows are told apart by the addresses of
+    ``docs``, or by those that ``addressed`` gives them.
     """
-    rows = described(docs, words, percent, with_set=False, extra=extra).withColumn("row", F.monotonically_increasing_id())
+    if not set(ADDRESS) <= set(docs.columns):
+        docs = addressed(docs.select("doc_id", "text", *extra))
+    carried = tuple(dict.fromkeys([*extra, *ADDRESS]))
+    rows = described(docs, words, percent, with_set=False, extra=carried).withColumn("row", F.monotonically_increasing_id())
     # Row numbers are fixed once the rows are written.
     rows = stored(rows, "jaccard_rows")
     key = ["n", "hi", "lo"]
@@ -324,15 +329,12 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ext
 
     groups = _proposals(reps)
     families = _families(groups)
-    involved = stored(
-        rows.join(families.select("row"), "row").select("row", F.col("doc_id").alias("_id"), F.col("hi").alias("_hi"), F.col("lo").alias("_lo")),
-        "jaccard_involved",
-    )
-    # Texts meet the rows that need their sets once, by id; rows of one id are told apart by their digests. A merge
+    involved = stored(rows.join(families.select("row"), "row").select("row", *ADDRESS), "jaccard_involved")
+    # Texts meet the rows that need their sets once, by where they are stored: ids may be null or repeat. A merge
     # join at every size, so that small tables show what large ones need.
-    wanted = docs.select("doc_id", "text").join(involved.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    sets = described(wanted, words, percent, with_set=True, extra=("row", "_hi", "_lo"))
-    sets = stored(sets.where("hi = _hi AND lo = _lo").select("row", "n", "parts"), "jaccard_sets")
+    wanted = docs.select("doc_id", "text", *ADDRESS).join(involved.hint("merge"), list(ADDRESS)).select("doc_id", "text", "row")
+    sets = described(wanted, words, percent, with_set=True, extra=("row",))
+    sets = stored(sets.select("row", "n", "parts"), "jaccard_sets")
 
     members = families.select(F.col("family").alias("key"), "row").unionByName(_mixed(groups, families))
     labels = components(_compared(members, sets, percent))
