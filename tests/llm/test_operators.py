@@ -346,6 +346,18 @@ def test_texts_of_one_id_are_not_crossed(spark, monkeypatch, same):
     assert seen[0] == len(rows) and 2 <= seen[1] <= len(rows)
 
 
+def test_frequent_fragments_are_summed_before_they_are_moved(spark, monkeypatch):
+    rows = [(i, [7, 1000 + i, 5000 + i // 2, 5000 + i // 2]) for i in range(400)] + [(400, [9]), (401, [])]
+    df = spark.createDataFrame(rows, "row bigint, parts array<bigint>")
+    whole = lambda: sorted(map(tuple, jaccard._met(df).collect()))
+    windowed = whole()
+    assert len(windowed) == 1200 and {c for _, c, _ in windowed} == {400, 4}
+    monkeypatch.setattr(jaccard, "HOT_ROWS", 100)
+    monkeypatch.setattr(jaccard, "HOT_SAMPLE", 2)
+    assert [r["sig"] for r in jaccard._frequent(df).collect()] == [7]
+    assert whole() == windowed
+
+
 def test_overlaps_in_fragments():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.rows import ADDRESS, addressed
 from tidemark.llm.units import Words, mix64, slices
-from tidemark.plans.bounds import stored
+from tidemark.plans.bounds import fits_broadcast, stored
 
 WORDS, PERCENT = 3, 90
 #: Sizes up to the next power of this share their fragments.
@@ -40,6 +40,8 @@ SHARED = 3
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 #: Shingles of one fragment of the order when overlaps are counted.
 COLUMNS = 4096
+#: A fragment that so many rows share is summed by its own path; one of so many rows is looked at to find it.
+HOT_ROWS, HOT_SAMPLE = 4096, 16
 _ODD = np.uint64(0xA24BAED4963EE407)
 
 
@@ -257,12 +259,31 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("to", "root")
 
 
-def _proposals(reps: DataFrame) -> DataFrame:
-    """(g, row, weight): groups of rows with an equal fragment; groups with the same rows are one, with their number."""
+def _frequent(rows: DataFrame) -> DataFrame:
+    """Fragments that about HOT_ROWS rows or more share, found in one of HOT_SAMPLE rows. It only chooses how they are counted."""
+    some = rows.where(F.pmod(F.xxhash64("row"), F.lit(HOT_SAMPLE)) == 0).select(F.explode("parts").alias("sig"))
+    return some.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_SAMPLE >= HOT_ROWS).select("sig")
+
+
+def _met(reps: DataFrame) -> DataFrame:
+    """(row, c, g) of every row and fragment that another row shares: the rows that do, and their joint digest."""
     signed = reps.select("row", F.explode("parts").alias("sig"))
+    number, digest = F.count(F.lit(1)), F.bit_xor(F.xxhash64("row"))
     by = Window.partitionBy("sig")
-    met = signed.select("row", F.count(F.lit(1)).over(by).alias("c"), F.bit_xor(F.xxhash64("row")).over(by).alias("g")).where("c > 1")
-    groups = stored(met.groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups")
+    frequent = stored(_frequent(reps), "jaccard_frequent")
+    if not frequent.limit(1).count():
+        return signed.select("row", number.over(by).alias("c"), digest.over(by).alias("g")).where("c > 1")
+    # A fragment that many rows share is summed before it is moved; its few sums go to the rows, not its rows to one task.
+    few = F.broadcast if fits_broadcast(frequent) else lambda df: df
+    rare = signed.join(few(frequent), "sig", "left_anti").select("row", number.over(by).alias("c"), digest.over(by).alias("g"))
+    sums = signed.join(few(frequent), "sig").groupBy("sig").agg(number.alias("c"), digest.alias("g"))
+    sums = stored(sums, "jaccard_frequent")
+    return rare.unionByName(signed.join(few(sums), "sig").select("row", "c", "g")).where("c > 1")
+
+
+def _proposals(reps: DataFrame) -> DataFrame:
+    """(g, row, weight): groups of rows with an equal fragment; groups with the same rows are one, with their number."""
+    groups = stored(_met(reps).groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups")
     return _with_partners(groups)
 
 
