@@ -201,6 +201,23 @@ def test_evidence_moves_short_texts(spark):
     assert language.visible_text("a<script>x<b></script>b<style>c</style><!-- d -->e") == "a b  e"
 
 
+def test_language_tags_are_their_primary_language(spark, monkeypatch):
+    rng = random.Random(5)
+    say = lambda bits, n=60: " ".join(rng.choice(bits) for _ in range(n))
+    en, pt = ["the", "and", "with", "which"], ["não", "uma", "com", "você"]
+    tags = {"en": ["en", "EN", "en-US", "en_GB"], "pt": ["pt-BR", "PT", "pt", " pt_PT"]}
+    rows = [(i, say({"en": en, "pt": pt}[k]), tags[k][i % 4], "s") for i in range(80) for k in [("en", "pt")[i // 40]]]
+    rows += [(100, "uma com", "pt-BR", "s"), (101, "com", "pt-BR", "s"), (102, "the", "en-US", "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    assert language.TextModel.fit(docs).languages == ["en", "pt"]
+    got = {r["id"]: r for r in language.identify_documents(docs).collect()}
+    assert all(r["kept"] for r in got.values())
+    assert all(got[i]["lang"] == k for i, k in [*((i, ("en", "pt")[i // 40]) for i in range(80)), (100, "pt"), (101, "pt"), (102, "en")])
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        language.TextModel.fit(docs)
+
+
 def test_language_edges(spark, odd, empty):
     assert language.identify_documents(empty).collect() == []
     out = language.identify_documents(odd).collect()

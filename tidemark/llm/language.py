@@ -11,8 +11,9 @@ it, or when the best language stays below ``SURE``.
 
 Nulls and edge cases: a null or empty text, and one without letters, has no text evidence; null hosts, suffixes and
 declarations count as values of their own and carry no weight if they are alike in all languages; ties go to the
-first language by name; repeated rows are judged alike; with no labelled sample every row is undetermined and
-rejected; an empty table gives an empty result; very long texts are counted in slices.
+first language by name; tags with a region or a script ('pt-BR', 'EN_us') are their primary language; repeated rows
+are judged alike; with no labelled sample every row is undetermined and rejected; an empty table gives an empty
+result; very long texts are counted in slices.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from tidemark.llm.units import slices
 from tidemark.plans.bounds import stored
 
 BUCKETS = 1 << 13
+#: Languages of the labels at most: models are held by the driver and every task, and every language is a column of the sums.
+MAX_LANGUAGES = 512
 #: Labelled documents per language that the trigram models are fitted on at most, by the hash of their text.
 FIT_ROWS = 2_000
 #: Trigrams of a text that count at most: neighbours are not independent, so longer texts do not grow surer.
@@ -92,6 +95,11 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def primary_language(tag: Column) -> Column:
+    """The primary subtag of a language tag, in lower case: 'pt-BR' and 'PT_br' are 'pt'; null if there is none."""
+    return F.nullif(F.lower(F.regexp_extract(tag.cast("string"), r"^\s*([^-_\s]*)", 1)), F.lit(""))
+
+
 class TextModel:
     """Log likelihood ratios of trigram buckets against chance, a row per language."""
 
@@ -100,8 +108,15 @@ class TextModel:
 
     @staticmethod
     def fit(labelled: DataFrame, per_language: int = FIT_ROWS) -> TextModel:
-        """``labelled`` has lang and text; counts come back as one row per language and bucket."""
-        rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+        """``labelled`` has lang and text; counts come back as one row per language and bucket.
+
+        Tags of one primary language are one language. More than MAX_LANGUAGES are refused, none is left out.
+        """
+        rows = labelled.select(primary_language(F.col("lang")).alias("lang"), "text")
+        rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+        n = rows.agg(F.count_distinct("lang")).first()[0]
+        if n > MAX_LANGUAGES:
+            raise ValueError(f"lang has {n} languages, more than {MAX_LANGUAGES}: is it a column of language tags?")
         rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
         # Only hashes are ranked; the texts of the sample are joined by them.
         chosen = rows.select("lang", "h").distinct().withColumn("r", rank).where(F.col("r") <= per_language).select("lang", "h")
@@ -169,7 +184,7 @@ def page_evidence(pages: DataFrame, model: TextModel) -> DataFrame:
 
 def document_evidence(docs: DataFrame, model: TextModel, extra: tuple[str, ...] = ()) -> DataFrame:
     """Documents declare a language in their table; their source stands for a host. ``extra`` columns stay as they are."""
-    declared = F.lower(F.substring("lang", 1, 3)).alias("declared")
+    declared = primary_language(F.col("lang")).alias("declared")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", F.col("source").alias("host"), declared, *extra)
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
     return rows.mapInArrow(_evidence(model, False, extra), _EVIDENCE + kinds)
