@@ -415,6 +415,19 @@ def test_forest_sets_odd_rows_apart():
     assert s.argmax() == 500 and s[500] > 0.6 > np.median(s)
 
 
+def test_bad_labels_move_the_threshold():
+    good = [(c, 100, 0) for c in range(1, 11)]
+    # Without bad rows: the lowest threshold that loses at most the share.
+    assert anomalies.calibrated(good, 0.2) == 8
+    # Good rows are not lost where no bad one is set apart.
+    assert anomalies.calibrated(good[:9] + [(10, 100, 5)], 0.2) == 9
+    assert anomalies.calibrated([(1, 100, 5)] + good[1:], 0.2) == 10
+    # Many bad rows under the share are worth good ones, few are not.
+    assert anomalies.calibrated(good[:6] + [(7, 1, 5000), *good[7:8], (9, 100, 1), (10, 100, 1)], 0.25) == 6
+    assert anomalies.calibrated(good[:6] + [(7, 100, 5), *good[7:8], (9, 100, 1), (10, 100, 1)], 0.2) == 8
+    assert anomalies.calibrated([], 0.2) == anomalies.BINS
+
+
 # -- mixing -----------------------------------------------------------------------------------
 
 

@@ -1,9 +1,11 @@
 """Quality rules with an isolation forest over their statistics.
 
 One pass counts what the rules need in every whole text. Trees of random splits are grown over the statistics of a
-bounded sample of documents labelled good; a document that few splits set apart is unlike them. The threshold on
-the forest's score is calibrated on all labelled rows: the lowest one that loses at most a given share of the good
-ones. A document is kept when the base rule holds and its score is not above the threshold.
+bounded sample of documents labelled good; a document that few splits set apart is unlike them. The score is not the
+forest's alone: values more than three times the spread of the sample from its middle, which no split tells apart,
+add up to 0.35 by their distance. The threshold is calibrated on all labelled rows, good and bad: a given share of the
+good ones may be lost, more only for many bad ones each. A document is kept when the base rule holds and its score is
+not above the threshold.
 
 Nulls and edge cases: a null or empty text has no words and fails the base rule; labels without a document or with a
 null quality are not used; several labels of one id count as good if one is; without good labels the forest judges
@@ -29,6 +31,8 @@ TREES, SAMPLE = 128, 256
 #: Labelled documents that the forest is fitted on at most: those with the smallest hash of their id.
 FIT_ROWS = 16_384
 LOSS = 0.002
+#: Bad rows that the threshold must set apart for every good row it loses beyond LOSS.
+PRICE = 10
 BINS = 4096
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct", "n_bars"]
@@ -148,6 +152,22 @@ def scores(x: np.ndarray, forest: list[tuple], sample: int = SAMPLE) -> np.ndarr
     return 2.0 ** (-total / len(forest) / max(average_path(sample), 1e-9))
 
 
+def calibrated(cells: list[tuple[int, int, int]], loss: float = LOSS) -> int:
+    """The highest cell of the score that is kept, from (cell, good rows, bad rows) in order.
+
+    Good rows lost within the share ``loss`` cost nothing, each one beyond it as much as PRICE bad rows kept. The
+    cheapest threshold is taken, of equal ones the highest; without bad rows the lowest within the share.
+    """
+    allowed, judged = loss * sum(good for _, good, _ in cells), any(bad for *_, bad in cells)
+    lost, passed, best, least = 0, sum(bad for *_, bad in cells), BINS, None
+    for cell, good, bad in reversed(cells):
+        cost = max(0.0, lost - allowed) * PRICE + passed
+        if least is None or cost < least or (not judged and cost <= least):
+            best, least = cell, cost
+        lost, passed = lost + good, passed - bad
+    return best
+
+
 def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, loss: float = LOSS) -> DataFrame:
     """Statistics, ``base_failed``, ``score`` and ``kept`` of every document."""
     spark = docs.sparkSession
@@ -177,15 +197,9 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, loss: fl
     cells = (
         scored.where("NOT base_failed").join(rated, "doc_id")
         .groupBy(F.ceil(F.col("score") * BINS).cast("int").alias("cell"))
-        .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count(F.lit(1)).alias("n"))
+        .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
         .orderBy("cell").collect()
     )
-    allowed = loss * sum(r["good"] for r in cells)
-    threshold, lost = 1.0, 0
-    for r in reversed(cells):
-        lost += r["good"]
-        if lost > allowed:
-            threshold = r["cell"] / BINS
-            break
+    threshold = calibrated([(r["cell"], r["good"], r["bad"]) for r in cells], loss) / BINS
     kept = ~F.col("base_failed") & (F.col("score") <= F.lit(threshold))
     return scored.withColumn("kept", kept)
