@@ -1,10 +1,12 @@
-"""N-gram Jaccard join with vertical partitioning: groups of documents that link at a similarity.
+"""N-gram Jaccard join by fragments of the shingle order: groups of documents that link at a similarity.
 
 A document's set is its distinct n-word shingles, as 64-bit hashes; the hash order is the global order. Vertical
 partitioning cuts this order into K fragments, the same for all documents of about one size. Two sets that differ
 in at most D shingles differ in at most D fragments, so with K > D some fragments are equal in both: equal fragments
 propose pairs, and every document signs only as many fragments (D + 3 that are not empty) as leaves three equal ones.
-What shares fewer is not compared. Overlaps are then counted fragment by fragment and summed per pair; the sum alone decides.
+What shares fewer is not compared. Overlaps are then counted over whole sets in blocks of documents; they alone decide.
+Vertical partitioning proper would count them by fragment and pair and sum those rows per pair, a number that grows with
+the square of a family (figures in the README); here fragments are signatures, and Spark partitions by block.
 
 Equal sets are one class and are joined once. Proposed documents are gathered around the one they share most
 fragments with; such a family, and every group with an equal fragment that several families meet in, is compared in
@@ -148,7 +150,7 @@ def described(docs: DataFrame, words: int, percent: int, with_set: bool, extra:
 
 
 def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
-    """Sizes of all intersections, counted in fragments of the hash order and summed."""
+    """Sizes of all intersections, summed over slices of the hash order that bound the memory."""
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
