@@ -134,3 +134,30 @@ def op10_two_pass_shuffle(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op11_incidence_alignment(spark, sf_dir):
+    from public_tokenizers import path
+
+    from tidemark.llm import alignment
+
+    out = alignment.align_corpus(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared", "overlap_bytes"
+    )
+
+
+@query
+def op12_additive_quality(spark, sf_dir):
+    from tidemark.llm import additive
+
+    out = additive.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op13_block_whitening(spark, sf_dir):
+    from tidemark.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
