@@ -15,8 +15,9 @@ ORACLE = entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con(small):
-    return connect(small)
+def con(medium):
+    # The size that shows rows which the smallest tables do not have.
+    return connect(medium)
 
 
 def test_registry_covers_oracle():
@@ -25,8 +26,8 @@ def test_registry_covers_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_matches_sql(spark, small, con, name):
-    assert difference(entry_point.queries()[name](spark, small), con, ORACLE[name]) is None
+def test_query_matches_sql(spark, medium, con, name):
+    assert difference(entry_point.queries()[name](spark, medium), con, ORACLE[name]) is None
 
 
 def test_import_needs_no_session():

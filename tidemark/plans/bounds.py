@@ -16,10 +16,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Size:
-    """Rows and rough bytes of a whole table."""
+    """Rows and rough bytes of a whole table, and the most rows of one non-NULL key where a key was asked for."""
 
     rows: int
     bytes: int
+    most: int | None = None
 
 
 def _width(field: T.StructField) -> Column:
@@ -32,12 +33,17 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8)
 
 
-def measure(df: DataFrame) -> Size:
-    """Count the whole table in one distributed aggregation.
+def measure(df: DataFrame, key: str | None = None) -> Size:
+    """Count the whole table, and with ``key`` the rows of every key, in one distributed aggregation.
 
     A LIMIT before the count would send up to that many rows of every partition to one task.
     """
     width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields], F.lit(8))
+    if key is not None:
+        by_key = df.groupBy(F.col(f"`{key}`").alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.sum(width).alias("_b"))
+        most = F.max(F.when(F.col("_k").isNotNull(), F.col("_n")))
+        row = by_key.agg(*[F.coalesce(c, F.lit(0)) for c in (F.sum("_n"), F.sum("_b"), most)]).first()
+        return Size(*row)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return Size(row["n"], row["b"])
 
@@ -51,8 +57,11 @@ def fits_broadcast(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or the session's warehouse where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Folder every executor can reach: ``spark.checkpoint.dir``. In local masters the session's warehouse stands in for it."""
+    set_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not set_dir and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return set_dir or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

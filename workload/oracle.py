@@ -109,7 +109,7 @@ CTES = {
   CASE WHEN swapped THEN tpep_pickup_datetime ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime,
   CASE WHEN swapped AND abs(z_score) > 3 THEN 'ANOMALIE_STATISTIQUE' WHEN swapped THEN 'VALIDE' ELSE quality_flag
     END AS quality_flag,
-  quality_flag = 'ANOMALIE_STATISTIQUE' OR (swapped AND abs(z_score) > 3) AS is_outlier,
+  quality_flag = 'ANOMALIE_STATISTIQUE' OR coalesce(swapped AND abs(z_score) > 3, false) AS is_outlier,
   CASE WHEN swapped THEN 'swapped' WHEN quality_flag = 'ANOMALIE_STATISTIQUE' THEN 'kept_as_outlier'
     ELSE 'quarantined' END AS disposition
   FROM (SELECT *, quality_flag = 'INVERSION_TEMPS'
@@ -301,6 +301,9 @@ def oracle_sql() -> dict[str, str]:
   round(CASE WHEN sum(billed) > 0 THEN sum(airport_fee + cbd_congestion_fee) / sum(billed) ELSE 0 END, 6) AS fee_rate
   FROM bill GROUP BY pickup_borough""",
         "point_lookup_count": "SELECT count(*) AS n FROM trips WHERE PULocationID = 24",
+        "lookup_large": """SELECT l_orderkey, l_linenumber, wanted, o_custkey, o_orderstatus FROM (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL
+    WHEN l_linenumber = 5 THEN -l_orderkey ELSE l_orderkey END AS wanted FROM lineitem) LEFT JOIN orders ON wanted = o_orderkey""",
         "schema_diff": f"""SELECT coalesce(l.name, r.name) AS name, l.kind AS left_type, r.kind AS right_type,
   CASE WHEN r.kind IS NULL THEN 'only_left' WHEN l.kind IS NULL THEN 'only_right'
     WHEN l.kind = r.kind THEN 'same' ELSE 'type_mismatch' END AS status,

@@ -17,6 +17,7 @@ from tidemark.operators import kpi as k
 from tidemark.operators import quality as q
 from tidemark.operators import schema as sch
 from tidemark.operators import scoring as sc
+from tidemark.operators.joins import enrich
 from tidemark.plans import layout as lay
 from tidemark.plans.bounds import cut, run_dir
 from tidemark.plans.ordered import rolling_mean
@@ -404,6 +405,14 @@ def point_lookup_count(spark, sf_dir):
     return spark.read.parquet(path).where("PULocationID = 24").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def lookup_large(spark, sf_dir):
+    """Lookup of a dimension that is not broadcast; one key holds a quarter of the facts, others have none or no match."""
+    lines = w.project(w.table(spark, sf_dir, "lineitem"), w.LOOKUPS)
+    keep = {"o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus"}
+    return enrich(lines, w.table(spark, sf_dir, "orders"), "wanted", "o_orderkey", keep, max_rows=0)
+
+
 @query
 def schema_diff(spark, sf_dir):
     return sch.schema_diff(w.Source(spark, sf_dir).trips, w.Source(spark, sf_dir).history)

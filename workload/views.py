@@ -87,6 +87,14 @@ HISTORY = {
     "total_amount": "l_extendedprice / CAST(150 AS DOUBLE)",
 }
 
+# Order lines that look up an order; a hot key, missing keys and keys without a match.
+LOOKUPS = {
+    "l_orderkey": "l_orderkey",
+    "l_linenumber": "l_linenumber",
+    "wanted": """CASE WHEN l_linenumber % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL
+        WHEN l_linenumber = 5 THEN -l_orderkey ELSE l_orderkey END""",
+}
+
 
 def project(df: DataFrame, columns: dict[str, str], keep: bool = False) -> DataFrame:
     """Apply a view's expressions; works on streams."""
@@ -119,7 +127,7 @@ class Source:
 
     @cached_property
     def zone_size(self) -> Size:
-        return measure(self.zones)
+        return measure(self.zones, "LocationID")
 
     @cached_property
     def trips(self) -> DataFrame:
