@@ -198,7 +198,8 @@ def reinjected(gold: DataFrame, repaired: DataFrame) -> DataFrame:
 Checks = dict[str, tuple[Column, float, float]]
 
 
-def _judged(rows: DataFrame) -> DataFrame:
+def judged(rows: DataFrame) -> DataFrame:
+    """Add ``passed``: whether ``value`` lies between ``low`` and ``high``; no value does not pass."""
     passed = F.coalesce(F.col("value").between(F.col("low"), F.col("high")), F.lit(False))
     return rows.withColumn("passed", passed)
 
@@ -217,7 +218,7 @@ def check_ranges(df: DataFrame, checks: Checks) -> DataFrame:
             for name, (_, low, high) in checks.items()
         ]
     )
-    return _judged(wide.select(F.inline(rows)))
+    return judged(wide.select(F.inline(rows)))
 
 
 def observe_ranges(df: DataFrame, checks: Checks) -> tuple[DataFrame, Observation]:
@@ -226,8 +227,13 @@ def observe_ranges(df: DataFrame, checks: Checks) -> tuple[DataFrame, Observatio
     return df.observe(seen, *[expr.cast("double").alias(name) for name, (expr, _, _) in checks.items()]), seen
 
 
+def observe_stream(df: DataFrame, name: str, checks: Checks) -> DataFrame:
+    """Collect the checked aggregates of every micro-batch on its way; ``stream_verdicts`` reads them from the progress."""
+    return df.observe(name, *[expr.cast("double").alias(check) for check, (expr, _, _) in checks.items()])
+
+
 def judge_ranges(spark: SparkSession, seen: Observation, checks: Checks) -> DataFrame:
     """Check table of an observed frame, once it has been written."""
     values = seen.get
     rows = [(name, values[name], float(low), float(high)) for name, (_, low, high) in checks.items()]
-    return _judged(spark.createDataFrame(rows, "check_name string, value double, low double, high double"))
+    return judged(spark.createDataFrame(rows, "check_name string, value double, low double, high double"))

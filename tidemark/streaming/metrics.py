@@ -3,56 +3,127 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions.columns import ratio, seconds
 from tidemark.operators.joins import enrich
-from tidemark.plans.bounds import cut
+from tidemark.operators.quality import Checks, judged
+from tidemark.plans.bounds import cut, run_dir
 from tidemark.plans.ordered import running
 
-#: Reports that a query keeps, about 1 KB each.
-KEPT_REPORTS = 100_000
 PROGRESS = (
     "batch_id bigint, num_input_rows bigint, batch_duration_ms bigint, input_rows_per_s double, "
     "processed_rows_per_s double, add_batch_ms bigint, planning_ms bigint, dropped_by_watermark bigint, "
-    "state_rows bigint, watermark string"
+    "state_rows bigint, watermark string, observed string"
 )
+#: Reports that are held before they are stored, about 1 KB each.
+HELD_REPORTS = 500
 
 
-def progress_frame(query: StreamingQuery) -> DataFrame:
-    """All progress reports of a query's run, one row per micro-batch.
+def _report(p: dict) -> tuple:
+    spent, state = p.get("durationMs", {}), p.get("stateOperators", [])
+    return (
+        p["batchId"],
+        p["numInputRows"],
+        p.get("batchDuration"),
+        p.get("inputRowsPerSecond"),
+        p.get("processedRowsPerSecond"),
+        spent.get("addBatch"),
+        spent.get("queryPlanning"),
+        sum(s.get("numRowsDroppedByWatermark", 0) for s in state),
+        sum(s.get("numRowsTotal", 0) for s in state),
+        p.get("eventTime", {}).get("watermark"),
+        json.dumps(p.get("observedMetrics", {})),
+    )
+
 
-    ``run_stage`` raises the number that Spark keeps to ``KEPT_REPORTS``. A gap in the batch ids, or as many
-    reports as are kept, means that some are lost; that is an error, not a shorter table. For a query that runs on
-    and on, store the reports in between with ``append_progress``.
+class ProgressLog(StreamingQueryListener):
+    """Takes each progress report of one query when it comes and stores them in runs of ``HELD_REPORTS``.
+
+    What is held does not grow with the run, and what Spark itself keeps of the past does not matter. Reports of a query
+    come in order; a missing batch id is counted in ``missing``. Without a path nothing is stored until the first
+    ``HELD_REPORTS`` are full, so short runs write nothing.
     """
-    spark = SparkSession.active()
-    rows = []
-    reports = query.recentProgress
-    ids = sorted({json.loads(r.json)["batchId"] for r in reports})
-    if len(reports) >= KEPT_REPORTS or (ids and ids[-1] - ids[0] + 1 != len(ids)):
-        raise RuntimeError(f"{len(reports)} progress reports for batches {ids[0]} to {ids[-1]}: some are lost")
-    for report in reports:
-        p = json.loads(report.json)
-        spent, state = p.get("durationMs", {}), p.get("stateOperators", [])
-        rows.append(
-            (
-                p["batchId"],
-                p["numInputRows"],
-                p.get("batchDuration"),
-                p.get("inputRowsPerSecond"),
-                p.get("processedRowsPerSecond"),
-                spent.get("addBatch"),
-                spent.get("queryPlanning"),
-                sum(s.get("numRowsDroppedByWatermark", 0) for s in state),
-                sum(s.get("numRowsTotal", 0) for s in state),
-                p.get("eventTime", {}).get("watermark"),
-            )
-        )
-    return spark.createDataFrame(rows, PROGRESS)
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path, self.own = spark, path, path is None
+        self.query: str | None = None
+        self.early: list[tuple[str, tuple]] = []
+        self.held: list[tuple] = []
+        self.last: int | None = None
+        self.stored = self.missing = 0
+        self.lock = threading.RLock()
+
+    def follow(self, query: StreamingQuery) -> None:
+        """Keep the reports of this run of ``query``; some may have come before."""
+        with self.lock:
+            self.query = str(query.runId)
+            early, self.early = self.early, []
+            for run, row in early:
+                self._take(run, row)
+
+    def _take(self, run: str, row: tuple) -> None:
+        if run != self.query:
+            return
+        if self.last is not None and row[0] > self.last + 1:
+            self.missing += row[0] - self.last - 1
+        self.last = row[0] if self.last is None else max(row[0], self.last)
+        self.held.append(row)
+        if len(self.held) >= HELD_REPORTS:
+            self._store()
+
+    def _store(self) -> None:
+        if self.held:
+            self.path = self.path or run_dir(self.spark, "progress")
+            rows, self.held = self.held, []
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+            self.stored += len(rows)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.lock:
+            run, row = str(event.progress.runId), _report(json.loads(event.progress.json))
+            if self.query is None:
+                self.early.append((run, row))
+            else:
+                self._take(run, row)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def frame(self, query: StreamingQuery, seconds: float = 5.0) -> DataFrame:
+        """All reports of the ended run. The last ones may still be on their way; Spark keeps those too."""
+        newest = query.lastProgress
+        until = time.monotonic() + seconds
+        while newest is not None and (self.last is None or self.last < newest["batchId"]) and time.monotonic() < until:
+            time.sleep(0.01)
+        with self.lock:
+            for report in query.recentProgress:
+                row = _report(json.loads(report.json))
+                if self.last is None or row[0] > self.last:
+                    self._take(self.query, row)
+            if self.missing:
+                raise RuntimeError(f"{self.missing} progress reports did not come")
+            if self.own and not self.stored:
+                return self.spark.createDataFrame(self.held, PROGRESS)
+            self._store()
+            return self.spark.read.schema(PROGRESS).parquet(self.path)
+
+
+def progress_frame(query: StreamingQuery) -> DataFrame:
+    """The progress reports that Spark still keeps of a running query, one row per report."""
+    rows = [_report(json.loads(report.json)) for report in query.recentProgress]
+    return SparkSession.active().createDataFrame(rows, PROGRESS)
 
 
 def append_progress(progress: DataFrame, path: str, stage: str) -> None:
@@ -60,6 +131,17 @@ def append_progress(progress: DataFrame, path: str, stage: str) -> None:
     progress.withColumns({"stage": F.lit(stage), "stored_at": F.current_timestamp()}).write.mode("append").parquet(path)
 
 
+def stream_verdicts(progress: DataFrame, name: str, checks: Checks) -> DataFrame:
+    """One row per micro-batch and check of the aggregates that ``observe_stream`` put on a stream under ``name``."""
+    kind = "map<string, map<string, double>>"
+    seen = progress.select("batch_id", F.from_json("observed", kind).getItem(name).alias("_seen")).where("_seen IS NOT NULL")
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("check_name"), F.col("_seen").getItem(c).alias("value"), F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
+        for c, (_, low, high) in checks.items()
+    ])
+    return judged(seen.select("batch_id", F.inline(rows)))
+
+
 def ingest_totals(progress: DataFrame) -> DataFrame:
     """Micro-batches, rows, mean duration and mean throughput of a run."""
     return progress.agg(

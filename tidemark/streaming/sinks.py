@@ -8,13 +8,24 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-
-from tidemark.operators.drift import psi_against, retrain_signal, share_by_batch
-from tidemark.plans.bounds import cut
-from tidemark.vocabulary import PSI_EPS
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+from tidemark.operators.drift import psi_against, share_by_batch
+from tidemark.operators.moments import as_statistics, merged, moments
+from tidemark.streaming.carry import Carry, run_id, run_number
+from tidemark.vocabulary import PSI_DRIFT, PSI_EPS, RETRAIN_AFTER
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -93,7 +104,7 @@ def by_batch(path: str, partition_by: tuple[str, ...] = ()) -> BatchWriter:
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark, attempt = df.sparkSession, f"a{uuid.uuid4().hex}"
-        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        run = run_id(spark)
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{path}/data/run={run}/batch_id={batch_id}/attempt={attempt}")
         row = spark.createDataFrame([(run, batch_id, attempt, time.time_ns())], COMMITS)
@@ -146,21 +157,104 @@ def snapshots(path: str) -> BatchWriter:
     return lambda df, batch_id: write_version(df, path, batch_id)
 
 
-def write_drift_history(path: str, category: str, baseline_path: str, eps: float = PSI_EPS) -> BatchWriter:
-    """Store the stability index of every micro-batch; read it back with ``read_drift_history``.
+#: Breaches in a row up to and including a batch (the count starts anew after a retrain signal), and the batch's index.
+ALERTS = StructType([StructField("consecutive", LongType()), StructField("psi", DoubleType()), StructField("verdict", StringType())])
+
 
-    The baseline is a stored table of one share per label. Every batch reads it, so a new one counts from then on.
+def write_drift_history(
+    path: str, category: str, baseline_path: str, eps: float = PSI_EPS, limit: float = PSI_DRIFT, after: int = RETRAIN_AFTER
+) -> BatchWriter:
+    """Store the stability index of every micro-batch with its alert state; read it back with ``read_drift_history``.
+
+    The baseline is a stored table of one share per label. Every batch reads it, so a new one counts from then on. The
+    counter of breaches is a state of one row, carried from batch to batch and from one checkpoint to the next; a batch
+    without classified rows has no index and leaves the counter as it is.
     """
+    history = Carry(path, ALERTS)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        baseline = {r["label"]: r["share"] for r in df.sparkSession.read.parquet(baseline_path).collect()}
+        spark = df.sparkSession
+        baseline = {r["label"]: r["share"] for r in spark.read.parquet(baseline_path).collect()}
         shares = share_by_batch(df.withColumn("_at", F.lit(batch_id)), "_at", category, tuple(baseline))
-        by_batch(path)(psi_against(shares, "_at", baseline, eps).drop("_at"), batch_id)
+        found = psi_against(shares, "_at", baseline, eps).first()
+        psi, verdict = (found["psi"], found["verdict"]) if found else (None, None)
+
+        def alert(before: DataFrame | None) -> DataFrame:
+            count = before.first()["consecutive"] if before is not None else 0
+            if psi is not None:
+                count = count % after + 1 if psi >= limit else 0
+            return spark.createDataFrame([(count, psi, verdict)], ALERTS)
+
+        history.step(spark, batch_id, alert)
+
+    return write
+
+
+def read_drift_history(spark: SparkSession, path: str, limit: float = PSI_DRIFT, after: int = RETRAIN_AFTER) -> DataFrame:
+    """Stored indices with ``run``, the consecutive-breach counter as it was then, and the retrain signal."""
+    return Carry(path, ALERTS).history(spark).where("psi IS NOT NULL").select(
+        "run", "batch_id", "psi", "verdict", (F.col("psi") >= limit).alias("breach"), "consecutive", (F.col("consecutive") == after).alias("retrain")
+    )
+
+
+def refresh_statistics(path: str, key: str, value: str, clean: Column, score: Callable[[DataFrame, DataFrame, int], None]) -> BatchWriter:
+    """Refresh the statistics of every key with each micro-batch, then hand the batch and the newest ones to ``score``.
+
+    What is kept are mergeable moments, one row per key: a batch's own moments are combined with those of the batch
+    before, so no earlier row is read again. ``score`` gets (batch, statistics, batch id).
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        own = moments(df, key, value, clean)
+        newest = statistics_carry(path, df.schema[key]).step(
+            spark, batch_id, lambda before: own if before is None else merged(before, own, key)
+        )
+        score(df, as_statistics(newest, key), batch_id)
+
+    return write
+
+
+def statistics_carry(path: str, key: StructField) -> Carry:
+    moments_kind = [StructField("n", LongType()), StructField("mean", DoubleType()), StructField("m2", DoubleType())]
+    return Carry(path, StructType([StructField(key.name, key.dataType), *moments_kind]))
+
+
+#: Newest event times up to the batch, and up to the one before it.
+SEEN = StructType([StructField("seen", TimestampType()), StructField("seen_before", TimestampType())])
+
+
+def split_late(path: str, ts: str, delay: str, window: str, on_time: BatchWriter | None = None) -> BatchWriter:
+    """Keep the rows that a windowed aggregate of this watermark would drop, for ``late_rows``, instead of losing them.
+
+    A batch drops a row when the row's window ended at or before the newest event time of all batches but the last one,
+    less the delay: the watermark that was in force when the batch before it began. Two times are carried for it. The
+    batch is read once: late and other rows are two partitions of one write, which also observes the newest time.
+    ``on_time`` gets the other rows as stored.
+    """
+    carry = Carry(path, SEEN)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark, newest = df.sparkSession, Observation()
+        before = carry.before(spark, batch_id)
+        seen, seen_before = before.first() if before is not None else (None, None)
+        start = F.window(ts, window).getField("start")
+        closed = F.lit(seen_before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        rows = df.withColumns({"window_start": start, "window_end": start + F.expr(f"INTERVAL {window}")})
+        rows = rows.withColumn("late", F.coalesce(F.col("window_end") <= closed, F.lit(False)))
+        at = f"{path}/rows/run={run_number(spark, path)}/batch_id={batch_id}"
+        observed = rows.observe(newest, F.max(ts).alias("newest"))
+        observed.write.partitionBy("late").mode("overwrite").parquet(at)
+        if on_time:
+            on_time(spark.read.schema(rows.schema).parquet(at).where(~F.col("late")).select(*df.columns), batch_id)
+        times = [t for t in (newest.get["newest"], seen) if t is not None]
+        carry.step(spark, batch_id, lambda _: spark.createDataFrame([(max(times, default=None), seen)], SEEN))
 
     return write
 
 
-def read_drift_history(spark: SparkSession, path: str) -> DataFrame:
-    """Stored indices with the consecutive-breach counter and the retrain signal."""
-    history = committed(spark, path).select(F.col("batch_id").cast("bigint").alias("batch_id"), "psi", "verdict")
-    return retrain_signal(cut(history), "batch_id")
+def late_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows that ``split_late`` set apart, with ``run``, ``batch_id`` and their closed window."""
+    added = [("window_start", TimestampType()), ("window_end", TimestampType()), ("run", IntegerType()), ("batch_id", LongType()), ("late", BooleanType())]
+    kinds = StructType([*schema.fields, *[StructField(name, kind) for name, kind in added]])
+    return spark.read.schema(kinds).parquet(f"{path}/rows").where("late").drop("late")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.streaming.metrics import KEPT_REPORTS, append_progress, progress_frame
+from tidemark.streaming.metrics import ProgressLog, append_progress
 from tidemark.streaming.sinks import BatchSink, FileSink, TableSink, settings
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -60,11 +60,16 @@ def run_stage(stage: Stage, progress_path: str | None = None) -> DataFrame:
 
     With ``progress_path`` the progress is also added to the table stored there.
     """
-    # Spark reads this setting from the session whenever it adds a report, so it holds until the end of the run.
-    with settings(SparkSession.active(), {"spark.sql.streaming.numRecentProgressUpdates": str(KEPT_REPORTS)}):
+    spark = SparkSession.active()
+    log = ProgressLog(spark)
+    spark.streams.addListener(log)
+    try:
         query = start_stage(stage)
+        log.follow(query)
         query.awaitTermination()
-    progress = progress_frame(query)
+        progress = log.frame(query)
+    finally:
+        spark.streams.removeListener(log)
     if progress_path:
         append_progress(progress, progress_path, stage.name)
     return progress

@@ -72,6 +72,13 @@ CTES = {
     "lateness": """SELECT a.trip_id, a.arrival, b.seen - INTERVAL '5 minutes' AS late FROM arrivals a LEFT JOIN (
     SELECT arrival, max(newest) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS seen
     FROM (SELECT arrival, max(ts) AS newest FROM arrivals GROUP BY arrival)) b ON a.arrival = b.arrival""",
+    "numbered": "SELECT trip_id, arrival, CAST(dense_rank() OVER (ORDER BY arrival) - 1 AS BIGINT) AS batch_id FROM arrivals",
+    "refreshed": """SELECT batch_id, pickup_borough, count(*) AS n_samples, avg(total_amount) AS mean_total,
+  stddev_samp(total_amount) AS std_total
+  FROM (SELECT DISTINCT batch_id FROM numbered) b JOIN (SELECT silver.*, batch_id AS came FROM silver JOIN numbered USING (trip_id)) r
+    ON r.came <= b.batch_id
+  WHERE total_amount > 0 AND total_amount < 500 AND trip_distance > 0 AND trip_distance < 100 AND pickup_borough IS NOT NULL
+  GROUP BY ALL""",
     "arrived": """SELECT time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) AS window_start,
   time_bucket(INTERVAL '10 minutes', tpep_pickup_datetime) + INTERVAL '10 minutes' AS window_end,
   pickup_borough, count(*) AS trip_count, avg(total_amount) AS avg_total_amount
@@ -270,6 +277,21 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream": f"SELECT {COLS}, pickup_borough, pickup_zone FROM silver",
         "kpi_window_stream": _rounded("arrived") + """ WHERE window_end <=
   (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM trips)""",
+        "late_rows": """SELECT trip_id, batch_id, time_bucket(INTERVAL '10 minutes', ts) AS window_start,
+  time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end
+  FROM lateness JOIN numbered USING (trip_id) JOIN arrivals USING (trip_id)
+  WHERE time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' <= late""",
+        "stats_refresh": f"""SELECT batch_id, pickup_borough, {_r('mean_total', 'std_total')}, n_samples,
+  count(total_id) AS n_rows, count(*) FILTER (total_id IS NOT NULL AND abs(
+    CASE WHEN std_total > 0 THEN (total_amount - mean_total) / std_total ELSE 0 END) > 3) AS n_anomalies
+  FROM refreshed LEFT JOIN (SELECT trip_id AS total_id, total_amount, batch_id, pickup_borough
+    FROM silver JOIN numbered USING (trip_id)) USING (batch_id, pickup_borough) GROUP BY ALL""",
+        "ratio_assertion_stream": """SELECT batch_id, check_name, round(value, 6) AS value, low, 0.95::DOUBLE AS high,
+  value >= low AND value <= 0.95 AS passed FROM (
+  SELECT batch_id, 'valid_share' AS check_name, count(*) FILTER (quality_flag = 'VALIDE') / count(*)::DOUBLE AS value,
+    0.70::DOUBLE AS low FROM flagged JOIN numbered USING (trip_id) GROUP BY batch_id
+  UNION ALL SELECT batch_id, 'located_share', count(pickup_borough) / count(*)::DOUBLE, 0.85::DOUBLE
+    FROM flagged JOIN numbered USING (trip_id) GROUP BY batch_id)""",
         "kpi_window_batch": _rounded("kpi"),
         "kpi_upsert": _rounded("arrived"),
         "kpi_complete": _rounded("kpi"),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from tidemark import vocabulary as v
 from tidemark.operators import clustering as cl
@@ -24,20 +24,22 @@ from tidemark.plans.ordered import rolling_mean
 from tidemark.sources.files import ingest, read_csv_dimension, stream_dir, stream_table
 from tidemark.sources.rescue import rescue, rescue_json
 from tidemark.streaming.metrics import ingest_totals as totals
-from tidemark.streaming.metrics import lateness_what_if
+from tidemark.streaming.metrics import lateness_what_if, stream_verdicts
 from tidemark.streaming.sinks import (
     BatchSink,
     FileSink,
     TableSink,
-    by_batch,
-    latest_per_key,
     read_drift_history,
     read_latest_version,
+    refresh_statistics,
     snapshots,
+    split_late,
     write_drift_history,
     write_version,
 )
+from tidemark.streaming.sinks import late_rows as kept_late
 from tidemark.streaming.stages import Stage, run_stage, run_stages
+from tidemark.streaming.upsert import UpsertTable
 from workload import views as w
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,9 +213,48 @@ def kpi_window_stream(spark, sf_dir):
 @query
 def kpi_upsert(spark, sf_dir):
     flow = Flow(spark, sf_dir, "kpi_upsert")
-    sink = BatchSink(by_batch(flow.path("kpi")))
-    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.by_arrival()), sink, "update"))
-    return r6(latest_per_key(spark, flow.path("kpi"), ["window_start", "window_end", "pickup_borough"]))
+    kind = "window_start timestamp_ntz, window_end timestamp_ntz, pickup_borough string, trip_count bigint, avg_total_amount double"
+    keys = ["window_start", "window_end", "pickup_borough"]
+    table = UpsertTable(spark, flow.path("kpi"), keys, StructType.fromDDL(kind), fold_every=16)
+    run_stage(flow.stage("kpi", lambda: flow.kpi(flow.by_arrival()), BatchSink(table), "update"))
+    return r6(table.read())
+
+
+@query
+def late_rows(spark, sf_dir):
+    """Rows whose window had closed when they came, kept by the stream that would drop them."""
+    flow = Flow(spark, sf_dir, "late_rows")
+    path = flow.path("split")
+    run_stage(flow.stage("split", flow.by_arrival, BatchSink(split_late(path, PICKUP, v.WATERMARK, v.KPI_WINDOW))))
+    late = kept_late(spark, path, flow.by_arrival().schema)
+    return k.without_zone(late, ["window_start", "window_end"]).select("trip_id", "batch_id", "window_start", "window_end")
+
+
+@query
+def stats_refresh(spark, sf_dir):
+    """Statistics after every micro-batch, and what they find odd in that batch."""
+    flow = Flow(spark, sf_dir, "stats_refresh")
+    key, value, out = "pickup_borough", "total_amount", flow.path("scored")
+
+    def score(rows: DataFrame, stats: DataFrame, batch_id: int) -> None:
+        odd = F.count_if(F.abs("z_score") > 3)
+        scored = q.z_score(rows, stats, key, value, flow.source.zone_size)
+        counts = scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), odd.alias("n_anomalies")).withColumnRenamed(key, "_at")
+        found = stats.join(counts, F.col(key) == F.col("_at"), "left").drop("_at").na.fill(0, ["n_rows", "n_anomalies"])
+        found.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    sink = BatchSink(refresh_statistics(flow.path("moments"), key, value, q.clean_rows(), score))
+    run_stage(flow.stage("stats", flow.by_arrival, sink))
+    return r6(spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint")))
+
+
+@query
+def ratio_assertion_stream(spark, sf_dir):
+    """Range checks of every micro-batch, observed while it was written."""
+    flow = Flow(spark, sf_dir, "ratio_assertion_stream")
+    stats = flow.store_stats(flow.source.silver)
+    build = lambda: q.observe_stream(flow.flagged_stream(flow.by_arrival(), stats), "ratios", _ratios())
+    return r6(stream_verdicts(run_stage(flow.stage("flagged", build)), "ratios", _ratios()))
 
 
 @query
@@ -507,12 +548,15 @@ def extra_rules(spark, sf_dir):
     return flagged.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
-def ratio_assertion(spark, sf_dir):
+def _ratios() -> q.Checks:
     valid = F.count_if(F.col("quality_flag") == v.VALIDE) / F.count(F.lit(1))
     located = F.count("pickup_borough") / F.count(F.lit(1))
-    checks = {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
-    return r6(q.check_ranges(w.Source(spark, sf_dir).flagged, checks))
+    return {"valid_share": (valid, 0.70, 0.95), "located_share": (located, 0.85, 0.95)}
+
+
+@query
+def ratio_assertion(spark, sf_dir):
+    return r6(q.check_ranges(w.Source(spark, sf_dir).flagged, _ratios()))
 
 
 @query
@@ -620,7 +664,7 @@ def drift_history(spark, sf_dir):
 
     sink = BatchSink(write_drift_history(flow.path("psi"), "cluster_label", flow.path("baseline")))
     run_stage(flow.stage("psi", classify, sink))
-    return r6(read_drift_history(spark, flow.path("psi")))
+    return r6(read_drift_history(spark, flow.path("psi")).drop("run"))
 
 
 # -- clustering -------------------------------------------------------------------------------
