@@ -128,6 +128,19 @@ def test_align_corpus(spark, vector_pairs):
     assert al.align_corpus(docs.limit(0), A, B, vector_pairs).collect() == []
 
 
+SPACED = st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\u00a0", "\u3000", "a", "B1", "don't", "é", "▁", ".", "<s>", "ing", "日"]), max_size=14)
+
+
+@given(st.lists(SPACED, min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_words_give_the_ids_of_whole_texts(parts):
+    texts = [t for t in map("".join, parts) if t]
+    for side in sides():
+        flat, counts = side.ids(texts)
+        want = side.encode(texts)
+        assert counts.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
+
+
 def test_query(spark, small):
     import __spark_entry__ as entry_point
 

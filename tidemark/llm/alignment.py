@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import slices
+from tidemark.llm.units import IdPool, slices
 from tidemark.plans.bounds import stored
 
 #: Id pairs (16 bytes each) that every task is given; more are joined instead.
@@ -121,6 +123,7 @@ class Vocabulary:
         self.length = np.array([len(t) for t in tokens], np.int64)
         self.first = np.cumsum(self.length) - self.length
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.spaced = np.array([t.startswith(b" ") for t in tokens])
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all tokens, one after the other."""
@@ -136,10 +139,52 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class ByteLevelTokenizer:
+#: A space that other white space follows, or that ends or begins a text: neither vocabulary parts there alone.
+_ODD_SPACE = re.compile(r" (?=\s|$)|^ ").search
+
+
+class Side:
+    """A tokenizer that parts at every single space before a word, so that words are encoded once and looked up after."""
+
+    vocabulary: Vocabulary
+
+    def __init__(self):
+        self.pool = IdPool(self._words)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words: many go to the tokenizer as one text, where a token that starts with a space starts a word."""
+        runs = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+        flat, counts = _as_array(self.encode(runs))
+        first = np.flatnonzero(self.vocabulary.spaced[flat])
+        if len(first) != len(words) or "" in words or not np.isin(np.cumsum(counts) - counts, first).all():
+            return _as_array(self.encode(words))
+        return flat, np.diff(np.append(first, len(flat)))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each), as ``encode`` gives them; texts with other spaces are encoded whole."""
+        odd = [i for i, t in enumerate(texts) if _ODD_SPACE(t)]
+        whole = set(odd)
+        plain = [i for i in range(len(texts)) if i not in whole]
+        parts = [self.pool([texts[i].split(" ") for i in plain]), _as_array(self.encode([texts[i] for i in odd]))]
+        if not odd:
+            return parts[0][0].astype(np.int64), parts[0][1]
+        length = np.zeros(len(texts), np.int64)
+        length[plain], length[odd] = parts[0][1], parts[1][1]
+        start = np.cumsum(length) - length
+        out = np.zeros(int(length.sum()), np.int64)
+        for rows, (flat, n) in zip((plain, odd), parts):
+            out[np.repeat(start[rows] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+        return out, length
+
+
+class ByteLevelTokenizer(Side):
     """Side A: ``tokenizers`` over a space and the text."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -155,10 +200,11 @@ class ByteLevelTokenizer:
         return [e.ids for e in self.model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
-class PieceTokenizer:
+class PieceTokenizer(Side):
     """Side B: ``sentencepiece``, which puts the space before the text itself."""
 
     def __init__(self, path: str):
+        super().__init__()
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -183,7 +229,7 @@ def _tokenizers(a: str, b: str) -> tuple[ByteLevelTokenizer, PieceTokenizer]:
 
 def _as_array(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
     return flat, counts
 
 
@@ -243,8 +289,8 @@ def align(texts: list[bytes], side_a: ByteLevelTokenizer, side_b: PieceTokenizer
     """The alignment of those texts that can be aligned, and their places in ``texts``."""
     plain = [i for i, t in enumerate(texts) if t]
     given = [texts[i].decode() for i in plain]
-    a_ids, a_n = _as_array(side_a.encode(given))
-    b_ids, b_n = _as_array(side_b.encode(given))
+    a_ids, a_n = side_a.ids(given)
+    b_ids, b_n = side_b.ids(given)
     want = [b" " + texts[i] for i in plain]
     own = np.repeat(np.arange(len(plain)), a_n), np.repeat(np.arange(len(plain)), b_n)
     same = np.ones(len(plain), bool)
@@ -308,6 +354,9 @@ def _describe(path_a: str, path_b: str, slice_bytes: int):
                      pa.array(digest, pa.string()), _lists(pair_a, per_text), _lists(pair_b, per_text), _lists(times, per_text)],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "overlap_bytes", "groups_sha256", "pair_a", "pair_b", "times"],
                 )
+        # What was kept of this task's words is given back: workers live on.
+        side_a.pool.clear()
+        side_b.pool.clear()
 
     return describe
 
