@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -195,8 +196,16 @@ def _pool(vocabulary: str) -> IdPool:
     return _pools[vocabulary]
 
 
+#: Python parts words at these, the tokenizer does not.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
 def _units(text: str | None) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
+    if not text:
+        return []
+    if any(c in text for c in _SEPARATORS):
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    return text.split()
 
 
 def _write_files(vocabulary: str, path: str, end_id: int, share: float, file_ids: int):
@@ -220,12 +229,12 @@ def _write_files(vocabulary: str, path: str, end_id: int, share: float, file_ids
         for batch in batches:
             texts = batch.column("text")
             ids = batch.column("doc_id").to_pylist()
+            upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
             begin = 0
             while begin < len(ids):
-                end, size = begin, 0
-                while end < len(ids) and (end == begin or size < SLICE_BYTES):
-                    size += len(texts[end].as_py() or "")
-                    end += 1
+                # Documents up to the one that reaches the size of a slice.
+                before = int(upto[begin - 1]) if begin else 0
+                end = min(len(ids), int(np.searchsorted(upto, before + SLICE_BYTES)) + 1)
                 flat, n = pool([_units(t) for t in texts.slice(begin, end - begin).to_pylist()])
                 # The end id goes after every document.
                 with_end = np.full(len(flat) + len(n), end_id, np.uint32)
