@@ -342,6 +342,10 @@ def test_jaccard_edges(spark, odd, empty):
     assert jaccard.link_groups(empty).collect() == []
     got = jaccard.link_groups(odd, extra=("row", "size")).collect()
     assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(texts_of(odd))))
+    # The caller's columns come back as they are, whatever their names.
+    assert sorted(key((r["row"], r["size"])) for r in got) == sorted(key((r["row"], r["size"])) for r in odd.collect())
+    clash = odd.select("doc_id", "text", F.col("size").alias("n"), F.lit("k").alias("key"), F.lit(1).alias("parts"))
+    assert {r["key"] for r in jaccard.link_groups(clash, extra=("n", "key", "parts")).collect()} == {"k"}
 
 
 @pytest.mark.parametrize("same", [None, 7])
@@ -350,29 +354,54 @@ def test_texts_of_one_id_are_not_crossed(spark, monkeypatch, same):
     rng = random.Random(8)
     texts = [t for _ in range(12) for t in _near(rng, [f"w{i}" for i in range(400)], 60)]
     rows = [(same, t) for t in texts]
-    seen, plain = [], jaccard.described
+    seen, plain = [], jaccard._compared
 
-    def counted(docs, *args, **more):
-        seen.append(docs.count())
-        return plain(docs, *args, **more)
+    def counted(members, sets, percent):
+        seen.append((sets.count(), sets.select("row").distinct().count()))
+        return plain(members, sets, percent)
 
-    monkeypatch.setattr(jaccard, "described", counted)
+    monkeypatch.setattr(jaccard, "_compared", counted)
     got = jaccard.link_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(rows)))
     assert sum(r["keep"] for r in got) == brute.groups(rows, count=True)
-    assert seen[0] == len(rows) and 2 <= seen[1] <= len(rows)
-
-
-def test_frequent_fragments_are_summed_before_they_are_moved(spark, monkeypatch):
-    rows = [(i, [7, 1000 + i, 5000 + i // 2, 5000 + i // 2]) for i in range(400)] + [(400, [9]), (401, [])]
-    df = spark.createDataFrame(rows, "row bigint, parts array<bigint>")
-    whole = lambda: sorted(map(tuple, jaccard._met(df).collect()))
-    windowed = whole()
-    assert len(windowed) == 1200 and {c for _, c, _ in windowed} == {400, 4}
-    monkeypatch.setattr(jaccard, "HOT_ROWS", 100)
-    monkeypatch.setattr(jaccard, "HOT_SAMPLE", 2)
-    assert [r["sig"] for r in jaccard._frequent(df).collect()] == [7]
-    assert whole() == windowed
+    assert seen[0][0] == seen[0][1] and 2 <= seen[0][0] <= len(rows)
+
+
+def test_packed_signatures_meet(spark, monkeypatch):
+    """Every bucket count, frequent fragments on a path of their own or not: the nodes that meet are those of all pairs."""
+    rng = random.Random(3)
+    texts = [t for _ in range(20) for t in _near(rng, [f"w{i}" for i in range(300)], 50)] + ["tiny text"] * 3 + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "_text string").repartition(5)
+    pairs = set()
+    for t in texts:
+        sign, node = jaccard._signed([(t or "").encode()], 3, jaccard.Levels(90), jaccard.NODE_SHIFT)
+        pairs |= set(zip(sign.tolist(), node.tolist()))
+    by_sign = {}
+    for sign, node in pairs:
+        by_sign.setdefault(sign, set()).add(node)
+    want = sorted((node, len(nodes)) for nodes in by_sign.values() if len(nodes) > 1 for node in nodes)
+    for hot in (None, 4):
+        if hot:
+            monkeypatch.setattr(jaccard, "HOT_ROWS", hot)
+            monkeypatch.setattr(jaccard, "HOT_SAMPLE", 1)
+            assert len(jaccard._frequent(docs, 3, 90, 10**4)) > 0
+        for signs in (1, 10**8 // 2):
+            monkeypatch.setattr(jaccard, "BUCKET_SIGNS", 10**7)
+            met = jaccard._met(docs, 3, 90, signs if hot is None else 10**4)
+            assert sorted((r["row"], r["c"]) for r in met.collect()) == want
+            # Nodes that meet in the same fragment have the same joint digest.
+            assert met.groupBy("g").agg(F.count_distinct("c").alias("n")).where("n > 1").count() == 0
+
+
+def test_sets_of_one_node_are_compared(spark, monkeypatch):
+    """Digests that agree in what stands for a set: nothing is lost, and nothing linked by it."""
+    rng = random.Random(5)
+    rows = list(enumerate(t for n in (10, 30, 60) for t in _near(rng, [f"w{i}" for i in range(200)], n)))
+    rows = [(i, t) for i, t in rows] + [(100 + i, t + " more") for i, t in rows]
+    for shift in (61, 63):
+        monkeypatch.setattr(jaccard, "NODE_SHIFT", shift)
+        got = jaccard.link_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 90).collect()
+        assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(rows, 3, 90)))
 
 
 def test_overlaps_in_fragments():

@@ -8,7 +8,9 @@ What shares fewer is not compared. Overlaps are then counted over whole sets in
 Vertical partitioning proper would count them by fragment and pair and sum those rows per pair, a number that grows with
 the square of a family (figures in the README); here fragments are signatures, and Spark partitions by block.
 
-Equal sets are one class and are joined once. Proposed documents are gathered around the one they share most
+Equal sets are one class and are joined once. A set is proposed as a node of 32 bits of its digest; signatures are packed
+by bucket with the nodes, so that a move takes about 8 bytes for each, and those nobody shares end there. Texts are read
+again where they lie for the sets that meet others; neither texts nor signatures are joined to rows. Proposed documents are gathered around the one they share most
 fragments with; such a family, and every group with an equal fragment that several families meet in, is compared in
 blocks of bounded size, whose tasks return a spanning forest of the links they find and never the pairs. All links
 between different sets are found, whatever the size of a group; the rows copied for a family grow with its square
@@ -22,16 +24,17 @@ copies share a class; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import ADDRESS, addressed
 from tidemark.llm.units import Words, mix64, slices
-from tidemark.plans.bounds import fits_broadcast, stored
+from tidemark.plans.bounds import stored
 
 WORDS, PERCENT = 3, 90
 #: Sizes up to the next power of this share their fragments.
@@ -42,8 +45,15 @@ SHARED = 3
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 #: Shingles of one fragment of the order when overlaps are counted.
 COLUMNS = 4096
-#: A fragment that so many rows share is summed by its own path; one of so many rows is looked at to find it.
-HOT_ROWS, HOT_SAMPLE = 4096, 16
+#: Signatures that a task packs together, and that one bucket holds.
+RECORD_SIGNS, BUCKET_SIGNS = 1_000_000, 1_000_000
+#: A fragment that so many rows share is summed by its own path; one of so many rows is looked at to find it. At most
+#: HOT_LIST fragments are given to all tasks: with more signatures, more rows make a fragment frequent.
+HOT_ROWS, HOT_SAMPLE, HOT_LIST = 65_536, 16, 50_000
+#: A node is a digest without so many of its last bits.
+NODE_SHIFT = 32
+#: Bits of the filter that tells which texts are needed again.
+FILTER_BITS = 1 << 25
 _ODD = np.uint64(0xA24BAED4963EE407)
 
 
@@ -83,6 +93,12 @@ class Levels:
             self.top.append(int(self.top[-1] * self.ratio) + 1)
         return int(np.searchsorted(self.top, size))
 
+    def most(self, size: int) -> int:
+        """About as many signatures as a set of this size has; for cutting work, not for results."""
+        largest = 100 * size // self.percent
+        tops = [self.top[i] for i in range(self.of(size), self.of(largest) + 1)] if size else []
+        return sum(difference(size, min(top, largest), self.percent) + SHARED for top in tops)
+
     def signatures(self, s: np.ndarray) -> list[np.ndarray]:
         """Signatures of one set: at its own level, and at those where larger partners are."""
         n = len(s)
@@ -114,39 +130,186 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _describe(n: int, percent: int, with_set: bool, extra: list[str]):
-    """Tasks turn texts into (doc_id, size, two digests, signatures or shingles, extra columns as they are)."""
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    return np.array([[mix64(s).sum(), mix64(s ^ _ODD).sum()] for s in sets], np.uint64).reshape(-1, 2)
+
+
+def _node(hi: np.ndarray, shift: int) -> np.ndarray:
+    """What stands for a set while pairs are proposed: the first bits of its digest. Sets that share them are proposed together."""
+    return (hi >> np.uint64(shift)).astype(np.uint32)
+
+
+def _key_rows(n: int, percent: int, extra: list[str]):
+    """Tasks turn texts into (doc_id, size, two digests, number of signatures, extra columns as they are)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(percent)
         for batch in batches:
-            ids = batch.column("doc_id")
-            for start, texts in slices(batch.column("text").to_pylist()):
+            ids = batch.column("_doc")
+            for start, texts in slices(batch.column("_text").to_pylist()):
                 sets = shingle_sets(texts, n)
-                values = sets if with_set else [
-                    np.concatenate(parts) if (parts := levels.signatures(s)) else np.zeros(0, np.uint64) for s in sets
-                ]
                 size = np.array([len(s) for s in sets], np.int64)
-                digest = np.array([[mix64(s).sum(), mix64(s ^ _ODD).sum()] for s in sets], np.uint64).reshape(-1, 2)
-                bound = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-                flat = np.concatenate([*values, np.zeros(0, np.uint64)])
+                digest = _digests(sets)
+                signs = np.array([levels.most(len(s)) for s in sets], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, len(sets)), pa.array(size), pa.array(_as_long(digest[:, 0].copy())),
-                     pa.array(_as_long(digest[:, 1].copy())), pa.ListArray.from_arrays(bound, pa.array(_as_long(flat))),
-                     *(batch.column(c).slice(start, len(sets)) for c in extra)],
-                    ["doc_id", "n", "hi", "lo", "parts", *extra],
+                     pa.array(_as_long(digest[:, 1].copy())), pa.array(signs), *(batch.column(c).slice(start, len(sets)) for c in extra)],
+                    ["_doc", "_n", "_hi", "_lo", "_signs", *extra],
                 )
 
     return describe
 
 
-_DESCRIBED = "doc_id bigint, n bigint, hi bigint, lo bigint, parts array<bigint>"
+_KEYS = "_doc bigint, _n bigint, _hi bigint, _lo bigint, _signs bigint"
 
 
-def described(docs: DataFrame, words: int, percent: int, with_set: bool, extra: tuple[str, ...] = ()) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *extra)
+def keyed(docs: DataFrame, words: int, percent: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").alias("_text"), *extra)
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
-    return rows.mapInArrow(_describe(words, percent, with_set, list(extra)), _DESCRIBED + kinds)
+    return rows.mapInArrow(_key_rows(words, percent, list(extra)), _KEYS + kinds)
+
+
+#: Bits of a signature that are compared; what falls together by chance is told apart by the overlaps.
+SIGN_BITS = 46
+
+
+def _signed(texts: list[bytes], n: int, levels: Levels, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures, nodes) of all texts with a set, each pair once."""
+    sets = [s for s in shingle_sets(texts, n) if len(s)]
+    values = [np.concatenate(parts) if (parts := levels.signatures(s)) else np.zeros(0, np.uint64) for s in sets]
+    if not values:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    nodes = np.repeat(_node(_digests(sets)[:, 0], shift), [len(v) for v in values])
+    return np.concatenate(values) >> np.uint64(64 - SIGN_BITS), nodes
+
+
+def _unique_pairs(sign: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((node, sign))
+    sign, node = sign[order], node[order]
+    new = np.ones(len(sign), bool)
+    new[1:] = (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])
+    return sign[new], node[new]
+
+
+def _pack(words: int, percent: int, buckets: int, frequent: np.ndarray, only: bool):
+    """Tasks pack signatures into records of (bucket, gaps between the sorted signatures, nodes), copies left out.
+
+    Signatures of ``frequent`` are left out; with ``only`` they alone are returned, as rows of (sign, node).
+    """
+
+    shift = NODE_SHIFT
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, held, size = Levels(percent), [], 0
+
+        def records() -> pa.RecordBatch:
+            sign, node = _unique_pairs(*(np.concatenate(x) for x in zip(*held)))
+            hot = np.isin(sign, frequent) if len(frequent) else np.zeros(len(sign), bool)
+            if only:
+                return pa.RecordBatch.from_arrays([pa.array(sign[hot].astype(np.int64)), pa.array(node[hot].astype(np.int64))], ["sign", "node"])
+            sign, node = sign[~hot], node[~hot]
+            bucket = _bucket(sign, buckets)
+            start = np.flatnonzero(np.concatenate([np.ones(min(1, len(sign)), bool), bucket[1:] != bucket[:-1]]))
+            out = []
+            for low, high in zip(start.tolist(), [*start[1:].tolist(), len(sign)]):
+                gaps = np.diff(sign[low:high], prepend=np.uint64(0))
+                first, rest = int(gaps[0]), gaps[1:]
+                wide = bool(len(rest)) and int(rest.max()) >= 1 << 32
+                out.append((int(bucket[low]), first, rest.astype("<u8" if wide else "<u4").tobytes(), node[low:high].astype("<u4").tobytes()))
+            columns = list(zip(*out)) or [()] * 4
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "first", "gaps", "nodes"])
+
+        for batch in batches:
+            for _, texts in slices(batch.column("_text").to_pylist()):
+                held.append(_signed(texts, words, levels, shift))
+                size += len(held[-1][0])
+                if size >= RECORD_SIGNS:
+                    yield records()
+                    held, size = [], 0
+        if held:
+            yield records()
+
+    return pack
+
+
+_PACKED = "bucket int, first bigint, gaps binary, nodes binary"
+
+
+def _bucket(sign: np.ndarray, buckets: int) -> np.ndarray:
+    top = (sign >> np.uint64(SIGN_BITS - 24)).astype(np.int64)
+    return (top * buckets) >> 24
+
+
+def _unpacked(first: int, gaps: bytes, nodes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    node = np.frombuffer(nodes, "<u4")
+    rest = np.frombuffer(gaps, "<u8" if len(gaps) == 8 * (len(node) - 1) and gaps else "<u4").astype(np.uint64)
+    return np.cumsum(np.concatenate([[np.uint64(first)], rest]), dtype=np.uint64), node
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tasks take bucket after bucket and return (row, c, g) of every node and signature that another node shares."""
+    key, held = None, []
+
+    def found() -> pa.RecordBatch:
+        sign, node = _unique_pairs(*(np.concatenate(x) for x in zip(*held)))
+        start = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
+        count = np.diff(np.append(start, len(sign)))
+        joint = np.bitwise_xor.reduceat(mix64(node.astype(np.uint64) + _ODD), start)
+        several = np.repeat(count > 1, count)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(node[several].astype(np.int64)), pa.array(np.repeat(count, count)[several].astype(np.int64)),
+             pa.array(_as_long(np.repeat(joint, count)[several]))], ["row", "c", "g"])
+
+    for batch in batches:
+        for record in batch.to_pylist():
+            if record["bucket"] != key and held:
+                yield found()
+                held.clear()
+            key = record["bucket"]
+            held.append(_unpacked(record["first"], record["gaps"], record["nodes"]))
+    if held:
+        yield found()
+
+
+_SETS = "_n bigint, parts array<bigint>"
+
+
+def _wanted_sets(n: int, bits: np.ndarray | None):
+    """Tasks turn texts into sets, for rows that the filter ``bits`` may hold; addresses as they are."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if bits is not None:
+                slot = batch.column("_slot").to_numpy()
+                batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+            for start, texts in slices(batch.column("_text").to_pylist()):
+                sets = shingle_sets(texts, n)
+                bound = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.diff(bound).astype(np.int64)), pa.ListArray.from_arrays(bound, pa.array(_as_long(flat))),
+                     *(batch.column(c).slice(start, len(sets)) for c in ADDRESS)], ["_n", "parts", *ADDRESS])
+
+    return describe
+
+
+def _slot(bits: int):
+    return F.pmod(F.xxhash64(*ADDRESS), F.lit(bits))
+
+
+def address_filter(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit for every address's slot: a filter of fixed size that lets each address pass, and few others.
+
+    Spark adds the bits up in pieces of 4 KB; the more rows, the more others pass, but its size stays.
+    """
+    # Pieces number their slots from 1.
+    slot = rows.select((_slot(bits) + 1).alias("_slot"))
+    pieces = slot.groupBy(F.expr("bitmap_bucket_number(_slot)").alias("piece")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_slot))").alias("set"))
+    out = np.zeros(bits // 8 + 4096, np.uint8)
+    for row in pieces.toLocalIterator():
+        out[(row["piece"] - 1) * 4096 : row["piece"] * 4096] = np.frombuffer(row["set"], np.uint8)
+    return out
 
 
 def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
@@ -223,19 +386,23 @@ def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
 
+def _stored_moves(step: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``step`` as stored, and how many of its rows moved, counted while it was written."""
+    seen = Observation()
+    out = stored(step.observe(seen, F.count_if("moved").alias("moved")), name)
+    return out.drop("moved"), seen.get["moved"] or 0
+
+
 def roots(pointers: DataFrame) -> DataFrame:
     """Follow (row, to) pointers, which have no cycles, to their ends; doubles the reach with every pass."""
-    while True:
+    moved = 1
+    while moved:
         ahead = pointers.select(F.col("row").alias("_row"), F.col("to").alias("_to"))
-        step = stored(
-            pointers.join(ahead, F.col("to") == F.col("_row"), "left").select(
-                "row", F.coalesce("_to", "to").alias("to"), (F.coalesce("_to", "to") != F.col("to")).alias("moved")
-            ),
-            "jaccard_roots",
+        step = pointers.join(ahead, F.col("to") == F.col("_row"), "left").select(
+            "row", F.coalesce("_to", "to").alias("to"), (F.coalesce("_to", "to") != F.col("to")).alias("moved")
         )
-        pointers = step.select("row", "to")
-        if not step.where("moved").limit(1).count():
-            return pointers
+        pointers, moved = _stored_moves(step, "jaccard_roots")
+    return pointers
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,49 +411,63 @@ def components(links: DataFrame) -> DataFrame:
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard_links"
     )
     labels = both.groupBy("a").agg(F.min("b").alias("_b")).select(F.col("a").alias("row"), F.least("a", "_b").alias("to"))
-    labels = stored(labels, "jaccard_labels")
-    while True:
+    labels, moved = stored(labels, "jaccard_labels"), 1
+    while moved:
         far = labels.select(F.col("row").alias("b"), F.col("to").alias("_to"))
         seen = both.join(far, "b").groupBy("a").agg(F.min("_to").alias("_near"))
         spread = labels.join(seen, F.col("row") == F.col("a")).select("row", "to", F.least("to", "_near").alias("next"))
         jump = labels.select(F.col("row").alias("_row"), F.col("to").alias("_to"))
-        step = stored(
-            spread.join(jump, F.col("next") == F.col("_row"), "left").select(
-                "row", F.least("next", "_to").alias("to"), (F.least("next", "_to") < F.col("to")).alias("moved")
-            ),
-            "jaccard_labels",
+        step = spread.join(jump, F.col("next") == F.col("_row"), "left").select(
+            "row", F.least("next", "_to").alias("to"), (F.least("next", "_to") < F.col("to")).alias("moved")
         )
-        labels = step.select("row", "to")
-        if not step.where("moved").limit(1).count():
-            return labels.withColumnRenamed("to", "root")
+        labels, moved = _stored_moves(step, "jaccard_labels")
+    return labels.withColumnRenamed("to", "root")
+
 
+def _frequent(texts: DataFrame, words: int, percent: int, signs: int) -> np.ndarray:
+    """Signatures that about HOT_ROWS nodes or more share, found in one of HOT_SAMPLE texts. It only chooses how they are counted."""
+    least = max(HOT_ROWS, -(-signs // HOT_LIST)) // HOT_SAMPLE
+    if signs < least:
+        return np.zeros(0, np.uint64)
 
-def _frequent(rows: DataFrame) -> DataFrame:
-    """Fragments that about HOT_ROWS rows or more share, found in one of HOT_SAMPLE rows. It only chooses how they are counted."""
-    some = rows.where(F.pmod(F.xxhash64("row"), F.lit(HOT_SAMPLE)) == 0).select(F.explode("parts").alias("sig"))
-    return some.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_SAMPLE >= HOT_ROWS).select("sig")
+    shift, one_of = NODE_SHIFT, HOT_SAMPLE
 
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = Levels(percent)
+        for batch in batches:
+            for _, part in slices(batch.column("_text").to_pylist()):
+                # Copies stay together, so that they count once.
+                part = [t for t in part if zlib.crc32(t) % one_of == 0]
+                sign, node = _unique_pairs(*_signed(part, words, levels, shift)) if part else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+                yield pa.RecordBatch.from_arrays([pa.array(sign.astype(np.int64)), pa.array(node.astype(np.int64))], ["sign", "node"])
 
-def _met(reps: DataFrame) -> DataFrame:
-    """(row, c, g) of every row and fragment that another row shares: the rows that do, and their joint digest."""
-    signed = reps.select("row", F.explode("parts").alias("sig"))
-    number, digest = F.count(F.lit(1)), F.bit_xor(F.xxhash64("row"))
-    by = Window.partitionBy("sig")
-    frequent = stored(_frequent(reps), "jaccard_frequent")
-    if not frequent.limit(1).count():
-        return signed.select("row", number.over(by).alias("c"), digest.over(by).alias("g")).where("c > 1")
-    # A fragment that many rows share is summed before it is moved; its few sums go to the rows, not its rows to one task.
-    few = F.broadcast if fits_broadcast(frequent) else lambda df: df
-    rare = signed.join(few(frequent), "sig", "left_anti").select("row", number.over(by).alias("c"), digest.over(by).alias("g"))
-    sums = signed.join(few(frequent), "sig").groupBy("sig").agg(number.alias("c"), digest.alias("g"))
-    sums = stored(sums, "jaccard_frequent")
-    return rare.unionByName(signed.join(few(sums), "sig").select("row", "c", "g")).where("c > 1")
+    pairs = texts.mapInArrow(some, "sign bigint, node bigint").distinct()
+    many = pairs.groupBy("sign").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(1, least)).select("sign")
+    return np.sort(np.array([r["sign"] for r in many.collect()], np.uint64))
 
 
-def _proposals(reps: DataFrame) -> DataFrame:
-    """(g, row, weight): groups of rows with an equal fragment; groups with the same rows are one, with their number."""
-    groups = stored(_met(reps).groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups")
-    return _with_partners(groups)
+def _met(texts: DataFrame, words: int, percent: int, signs: int) -> DataFrame:
+    """(row, c, g) of every node and fragment that another node shares: the nodes that do, and their joint digest.
+
+    Signatures go to their buckets packed, about 8 bytes each, and only those that meet come out.
+    """
+    frequent = _frequent(texts, words, percent, signs)
+    buckets = max(texts.sparkSession.sparkContext.defaultParallelism, -(-signs // BUCKET_SIGNS))
+    packed = texts.mapInArrow(_pack(words, percent, buckets, frequent, False), _PACKED).repartition(buckets, "bucket")
+    rare = packed.sortWithinPartitions("bucket").mapInArrow(_meet, "row bigint, c bigint, g bigint")
+    if not len(frequent):
+        return rare
+    # A fragment that many nodes share is summed before it is moved; its few sums go to the nodes, not its nodes to one task.
+    hot = stored(texts.mapInArrow(_pack(words, percent, buckets, frequent, True), "sign bigint, node bigint").distinct(), "jaccard_frequent")
+    digest = F.bit_xor(F.xxhash64("node"))
+    sums = stored(hot.groupBy("sign").agg(F.count(F.lit(1)).alias("c"), digest.alias("g")), "jaccard_frequent")
+    # At most HOT_LIST rows, up to chance.
+    return rare.unionByName(hot.join(F.broadcast(sums), "sign").select(F.col("node").alias("row"), "c", "g")).where("c > 1")
+
+
+def _proposals(met: DataFrame) -> DataFrame:
+    """(g, c, row, weight): groups of nodes with an equal fragment; groups with the same nodes are one, with their number."""
+    return _with_partners(stored(met.groupBy("g", "c", "row").agg(F.count(F.lit(1)).alias("weight")), "jaccard_groups"))
 
 
 def _with_partners(groups: DataFrame) -> DataFrame:
@@ -341,33 +522,43 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ext
     if not set(ADDRESS) <= set(docs.columns):
         docs = addressed(docs.select("doc_id", "text", *extra))
     carried = tuple(dict.fromkeys([*extra, *ADDRESS]))
-    rows = described(docs, words, percent, with_set=False, extra=carried).withColumn("row", F.monotonically_increasing_id())
-    # Row numbers are fixed once the rows are written.
+    rows = keyed(docs, words, percent, extra=carried).withColumn("_row", F.monotonically_increasing_id())
+    # Row numbers are fixed once the rows are written; they are short, without texts, sets or signatures.
     rows = stored(rows, "jaccard_rows")
-    key = ["n", "hi", "lo"]
-    classes = rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("least"), F.count(F.lit(1)).alias("copies"))
-    classes = stored(classes, "jaccard_classes")
-    again = rows.select("row", *key).join(classes.where("copies > 1"), key).where("row <> rep").select("row")
-    reps = rows.where("n > 0").join(again, "row", "left_anti")
-
-    groups = _proposals(reps)
+    key = ["_n", "_hi", "_lo"]
+    first = F.min(F.struct("_row", *ADDRESS))
+    least = F.min(F.struct(F.col("_doc").isNull().alias("null"), F.col("_doc").alias("doc"), F.col("_row").alias("row")))
+    classes = stored(rows.where("_n > 0").groupBy(*key).agg(first.alias("_first"), least.alias("least")), "jaccard_classes")
+    reps = classes.select(F.col("_first._row").alias("rep"), F.shiftrightunsigned("_hi", NODE_SHIFT).alias("node"), *[F.col(f"_first.{c}").alias(c) for c in ADDRESS])
+    signs = rows.agg(F.coalesce(F.sum("_signs"), F.lit(0))).first()[0]
+
+    texts = docs.select(F.col("text").alias("_text"))
+    groups = _proposals(_met(texts, words, percent, signs))
     families = _families(groups)
-    involved = stored(rows.join(families.select("row"), "row").select("row", *ADDRESS), "jaccard_involved")
-    # Texts meet the rows that need their sets once, by where they are stored: ids may be null or repeat. A merge
-    # join at every size, so that small tables show what large ones need.
-    wanted = docs.select("doc_id", "text", *ADDRESS).join(involved.hint("merge"), list(ADDRESS)).select("doc_id", "text", "row")
-    sets = described(wanted, words, percent, with_set=True, extra=("row",))
-    sets = stored(sets.select("row", "n", "parts"), "jaccard_sets")
+    # Different sets of one node have met nobody in each other: they are compared as a group of their own.
+    twins = stored(reps.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("node"), "jaccard_twins")
+    # From nodes to the rows that stand for their sets, one per class.
+    nodes = families.select(F.col("row").alias("node")).union(twins).distinct()
+    involved = stored(reps.join(nodes, "node").select("rep", "node", *ADDRESS), "jaccard_involved")
+    # Texts are read again where they lie; a filter of fixed size leaves the rows that may be needed, and only their
+    # sets move. They meet by where they are stored: ids may be null or repeat. A merge join at every size, so that
+    # small tables show what large ones need.
+    again = docs.select(F.col("text").alias("_text"), _slot(FILTER_BITS).alias("_slot"), *ADDRESS)
+    address = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ADDRESS)
+    sets = again.mapInArrow(_wanted_sets(words, address_filter(involved)), f"{_SETS}, {address}")
+    sets = stored(sets.join(involved.hint("merge"), list(ADDRESS)).select(F.col("rep").alias("row"), F.col("_n").alias("n"), "parts"), "jaccard_sets")
 
     members = families.select(F.col("family").alias("key"), "row").unionByName(_mixed(groups, families))
+    members = members.unionByName(twins.select((-1 - F.col("node")).alias("key"), F.col("node").alias("row")))
+    members = members.join(involved.select("rep", F.col("node").alias("row")), "row").select("key", F.col("rep").alias("row"))
     labels = components(_compared(members, sets, percent))
     # From rows to classes to components; a component's id is the smallest id of all its rows.
-    whole = classes.join(labels, F.col("rep") == F.col("row"), "left").select(*key, "least", F.coalesce("root", "rep").alias("root"))
+    rep = F.col("_first._row")
+    whole = classes.join(labels, rep == F.col("row"), "left").select(*key, "least", F.coalesce("root", rep).alias("root"))
     whole = stored(whole, "jaccard_wholes")
     least = whole.groupBy("root").agg(F.min("least").alias("of_all"))
-    named = whole.join(least, "root").select(*key, F.col("of_all.doc_id").alias("component_id"), F.col("of_all.row").alias("first"))
-    plain = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keep"), *extra)
-    grouped = rows.where("n > 0").select("doc_id", "row", *key, *extra).join(named, key)
-    return grouped.select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first")).alias("keep"), *extra
-    ).unionByName(plain)
+    named = whole.join(least, "root").select(*key, F.col("of_all.doc").alias("_component"), F.col("of_all.row").alias("_kept"))
+    plain = rows.where("_n = 0").select("_doc", "_n", F.col("_doc").alias("_component"), F.lit(True).alias("_keep"), *extra)
+    grouped = rows.where("_n > 0").join(named, key).select("_doc", "_n", "_component", (F.col("_row") == F.col("_kept")).alias("_keep"), *extra)
+    names = {"_doc": "doc_id", "_n": "n_shingles", "_component": "component_id", "_keep": "keep"}
+    return grouped.unionByName(plain).select(*[F.col(c).alias(name) for c, name in names.items()], *extra)
