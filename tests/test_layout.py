@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import zorder_key
 from tidemark.plans.bounds import measure
-from tidemark.plans.layout import file_stats, zorder_rewrite
+from tidemark.plans import layout
+from tidemark.plans.layout import compact, data_files, file_stats, layer_of, packed_files, write_lookup_layer, zorder_rewrite
 from workload import views as w
 
 COLS = ["tpep_pickup_datetime", "PULocationID"]
@@ -71,3 +72,130 @@ def test_cached_dimension_is_reused(spark, small):
         assert "InMemoryTableScan" in zones.select("Zone")._jdf.queryExecution().executedPlan().toString()
     finally:
         zones.unpersist()
+
+
+# -- compaction -------------------------------------------------------------------------------
+
+
+def names(spark, path):
+    rows = data_files(spark, path, ["p"]).collect()
+    return {p: {r["_file"] for r in rows if r["p"] == p} for p in {r["p"] for r in rows}}
+
+
+@pytest.fixture
+def layer(spark, tmp_path):
+    """Folder 05 and the null folder have eight small files, folder b has one."""
+    path = f"{tmp_path}/layer"
+    many = spark.range(800, numPartitions=8).selectExpr("id", "IF(id % 2 = 0, '05', NULL) AS p")
+    many.write.partitionBy("p").parquet(path)
+    spark.range(800, 900, numPartitions=1).selectExpr("id", "'b' AS p").write.mode("append").partitionBy("p").parquet(path)
+    return path
+
+
+def test_only_partitions_with_small_files_are_replaced(spark, layer):
+    before = {tuple(r) for r in spark.read.parquet(layer).collect()}
+    old = names(spark, layer)
+    assert compact(spark, layer, ["p"]) == 2
+    new = names(spark, layer)
+    assert new["b"] == old["b"] and not new["05" if "05" in new else 5] & old.get("05", old.get(5))
+    assert sorted(len(f) for f in new.values()) == [1, 1, 1]
+    assert {tuple(r) for r in spark.read.parquet(layer).collect()} == before and spark.read.parquet(layer).count() == 900
+    assert compact(spark, layer, ["p"]) == 0 and names(spark, layer) == new
+
+
+def test_files_are_filled_up_to_the_wanted_size(spark, layer):
+    sizes = [r["_bytes"] for r in data_files(spark, layer, ["p"]).where("p = 'b' OR p IS NULL").collect()]
+    full = 3 * max(sizes)
+    compact(spark, layer, ["p"], full)
+    counts = sorted(len(f) for f in names(spark, layer).values())
+    assert counts[0] == 1 and counts[1] == counts[2] and 2 <= counts[1] <= 4
+
+
+def test_a_run_that_died_is_finished_by_the_next(spark, layer, monkeypatch):
+    before = spark.read.parquet(layer).count()
+    real, calls = layout._replace, []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        real(*args)
+
+    monkeypatch.setattr(layout, "_replace", dies)
+    with pytest.raises(RuntimeError):
+        compact(spark, layer, ["p"])
+    monkeypatch.setattr(layout, "_replace", real)
+    # The worst moment: the old files of a partition are gone already.
+    spark.createDataFrame([(-1, "05")], "id bigint, p string").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("p").parquet(layer)
+    assert compact(spark, layer, ["p"]) == 0
+    rows = spark.read.parquet(layer)
+    assert rows.count() == before and rows.where("id < 0").count() == 0
+    assert all(len(f) == 1 for f in names(spark, layer).values())
+
+
+def test_bins_are_cut_by_length(spark):
+    files = [("a", f"f{i}", n) for i, n in enumerate([10, 10, 10, 60, 250])] + [("b", "g", 500), ("c", "h", 90), ("c", "i", 90)]
+    got = packed_files(spark.createDataFrame(files, "p string, _file string, _bytes long"), ["p"], 100).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault((r["p"], r["_bin"]), set()).add(r["_file"])
+    # A lone file has nothing to join; the long file begins within the first hundred bytes.
+    assert set(map(frozenset, bins.values())) == {frozenset({"f0", "f1", "f2", "f3", "f4"}), frozenset({"h", "i"})}
+    assert sorted({b for _, b in bins}) == list(range(len(bins)))
+
+
+# -- layers and lookups -----------------------------------------------------------------------
+
+
+def scanned(df):
+    """Rows that the scan handed on, after it skipped row groups."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.head().metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filter_skips_an_absent_key_inside_the_range(spark, tmp_path):
+    # Even numbers only, so an odd one lies within least and greatest; no dictionary that could exclude it.
+    df = spark.range(0, 20_000, 2).selectExpr("id", "id % 7 AS x")
+    with_filter, without = f"{tmp_path}/bloom", f"{tmp_path}/plain"
+    spark.conf.set("parquet.enable.dictionary", "false")
+    try:
+        write_lookup_layer(df, {"id": 10_000}, with_filter, 2)
+        df.repartition(2, "id").write.option("parquet.enable.dictionary", "false").parquet(without)
+    finally:
+        spark.conf.unset("parquet.enable.dictionary")
+    for path, absent in ((with_filter, 0), (without, 10_000)):
+        stored = spark.read.parquet(path)
+        assert scanned(stored.where("id = 7777")) == absent
+        assert [r["id"] for r in stored.where("id = 7778").collect()] == [7778]
+    assert 0 < scanned(spark.read.parquet(with_filter).where("id = 7778")) < 10_000
+
+
+def test_a_layer_is_written_once_until_its_source_changes(spark, tmp_path):
+    source, calls = f"{tmp_path}/source", []
+
+    def write(path):
+        calls.append(path)
+        spark.read.parquet(source).write.mode("overwrite").parquet(path)
+
+    spark.range(5).write.parquet(source)
+    first = layer_of(spark, "t", source, write)
+    assert layer_of(spark, "t", source, write) == first and calls == [first]
+    spark.range(5, 9).write.mode("append").parquet(source)
+    second = layer_of(spark, "t", source, write)
+    assert second != first and spark.read.parquet(second).count() == 9
+
+
+def test_a_half_written_layer_is_written_again(spark, tmp_path):
+    source = f"{tmp_path}/source"
+    spark.range(5).write.parquet(source)
+
+    def half(path):
+        spark.range(2).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("overwrite").parquet(path)
+
+    path = layer_of(spark, "h", source, half)
+    assert spark.read.parquet(path).count() == 2
+    assert layer_of(spark, "h", source, lambda p: spark.range(5).write.mode("overwrite").parquet(p)) == path
+    assert spark.read.parquet(path).count() == 5

@@ -23,7 +23,7 @@ from tidemark.streaming.sinks import (
     write_drift_history,
     write_version,
 )
-from tidemark.streaming.stages import ROCKSDB_STATE, Stage, run_stage, start_stage, stop_started
+from tidemark.streaming.stages import ROCKSDB_STATE, Stage, run_continuously, run_stage, start_stage, stop_started
 
 T0 = datetime(2024, 1, 1, 12)
 DDL = "id int, ts timestamp, x double"
@@ -311,3 +311,28 @@ def test_lateness_what_if_by_brute_force(spark):
             seen = [t for c, t in rows if c < b]
             late += bool(seen) and ts < max(seen) - timedelta(minutes=minutes)
         assert got[delay] == late
+
+
+# -- continuous trigger -----------------------------------------------------------------------
+
+
+def test_continuous_run_gives_the_rows_of_available_now(box, tmp_path):
+    for name, rows in {"a": [at(38, 1)], "b": [at(31, 2), at(29, 3)], "c": [at(60, 4)]}.items():
+        box.add(name, rows)
+    progress = run_continuously(box.stage(box.windows, name="on"), "0 seconds")
+    run_stage(box.stage(box.windows, name="now"))
+    on, now = (sorted(map(tuple, box.read(n).collect())) for n in ("on", "now"))
+    assert on == now and len(on) == 2
+    assert progress.groupBy().sum("num_input_rows").first()[0] == 4 and not box.spark.streams.active
+    files = [f.name for f in (tmp_path / "_cp" / "on" / "state").rglob("*")]
+    assert any(f.endswith(".changelog") for f in files) and not any(f.endswith(".delta") for f in files)
+
+
+def test_continuous_run_goes_on_where_it_stopped(box):
+    box.add("a", [at(38, 1)])
+    stage = box.stage(box.windows, name="on")
+    run_continuously(stage, "0 seconds", seconds=4)
+    box.add("b", [at(31, 2), at(29, 3)])
+    box.add("c", [at(60, 4)])
+    run_continuously(stage, "0 seconds")
+    assert sum(r["n"] for r in box.read("on").collect()) == 2 and not box.spark.streams.active

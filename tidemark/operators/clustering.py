@@ -28,11 +28,6 @@ def trip_features(df: DataFrame, keep: tuple[str, ...] = (), columns: tuple[str,
     )
 
 
-def first_rows(df: DataFrame, order: str, rows: int = 200) -> DataFrame:
-    """Deterministic sample: the first rows by ``order``; each task keeps at most ``rows``."""
-    return df.orderBy(order).limit(rows)
-
-
 def feature_moments(df: DataFrame, columns: tuple[str, ...] = TRIP_FEATURES) -> DataFrame:
     """One row with ``mean_`` and ``std_`` of every feature; the deviation is made safe to divide by."""
     return df.agg(

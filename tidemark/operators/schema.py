@@ -6,21 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def schema_signature(df: DataFrame) -> dict[str, str]:
-    """Column name to Spark type name."""
-    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-
 def _described(df: DataFrame, side: str) -> DataFrame:
     # One aggregate row holds the filled count of every column; it is turned into one row per column.
     wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
     rows = [
         F.struct(
-            F.lit(name).alias("name"),
-            F.lit(kind).alias(f"{side}_type"),
-            F.col(f"`{name}`").alias(f"{side}_filled"),
+            F.lit(field.name).alias("name"),
+            F.lit(field.dataType.simpleString()).alias(f"{side}_type"),
+            F.col(f"`{field.name}`").alias(f"{side}_filled"),
         )
-        for name, kind in schema_signature(df).items()
+        for field in df.schema.fields
     ]
     return wide.select(F.inline(F.array(*rows)))
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,28 +23,13 @@ from pyspark.sql.types import (
 
 from tidemark.operators.drift import psi_against, share_by_batch
 from tidemark.operators.moments import as_statistics, merged, moments
+from tidemark.plans.bounds import settings
 from tidemark.streaming.carry import Carry, run_id, run_number
 from tidemark.vocabulary import PSI_DRIFT, PSI_EPS, RETRAIN_AFTER
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """Session settings for the start of one query, which copies them; put back right after."""
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 @dataclass(frozen=True)
 class FileSink:
     """Append to a directory; the sink's own log makes reads exactly-once."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,9 @@ ROCKSDB_STATE = {
     )
 }
 
+# The same, with a checkpoint of only the changes after each micro-batch: short intervals do not upload whole state files.
+CHANGELOG_STATE = {**ROCKSDB_STATE, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
 _started: set[str] = set()
 
 
@@ -60,13 +63,41 @@ def run_stage(stage: Stage, progress_path: str | None = None) -> DataFrame:
 
     With ``progress_path`` the progress is also added to the table stored there.
     """
+    return _followed(stage, lambda query: query.awaitTermination(), progress_path)
+
+
+def run_continuously(
+    stage: Stage, every: str = "1 second", seconds: float | None = None, progress_path: str | None = None
+) -> DataFrame:
+    """Run a stage on a processing-time trigger and stop it: after ``seconds``, else when it has caught up with its input.
+
+    State is held by RocksDB with changelog checkpoints unless the stage's ``conf`` says otherwise. The state store is
+    fixed at the first start, so run a checkpoint always by this function or always by ``run_stage``. A micro-batch
+    that is running when ``seconds`` are over is given up; the next run does it again. Returns the progress.
+    """
+
+    def wait(query: StreamingQuery) -> None:
+        try:
+            if seconds is None:
+                query.processAllAvailable()
+            else:
+                query.awaitTermination(seconds)
+        finally:
+            query.stop()
+
+    stage = replace(stage, trigger={"processingTime": every}, conf={**CHANGELOG_STATE, **stage.conf})
+    return _followed(stage, wait, progress_path)
+
+
+def _followed(stage: Stage, wait: Callable[[StreamingQuery], object], progress_path: str | None) -> DataFrame:
+    """Start a stage, wait for it as told, and return what a listener heard of it."""
     spark = SparkSession.active()
     log = ProgressLog(spark)
     spark.streams.addListener(log)
     try:
         query = start_stage(stage)
         log.follow(query)
-        query.awaitTermination()
+        wait(query)
         progress = log.frame(query)
     finally:
         spark.streams.removeListener(log)

@@ -261,6 +261,21 @@ def oracle_sql() -> dict[str, str]:
   CASE event_id % 7 WHEN 0 THEN CAST(json_extract(props, '$.k') AS INT) WHEN 2 THEN 5 END AS k,
   CASE event_id % 7 WHEN 1 THEN '{"k":"x"}' WHEN 2 THEN '{"extra":"{\\"a\\":[1,2]}"}' WHEN 4 THEN 'not json'
     WHEN 6 THEN '{"k":"99999999999"}' END AS _rescued_data FROM events""",
+        "rescued_variant": """SELECT event_id,
+  CASE WHEN day(ts) <= 15 OR event_id % 7 = 0 THEN CAST(json_extract(props, '$.k') AS INT) WHEN event_id % 7 = 2 THEN 5 END AS k,
+  CASE WHEN day(ts) > 15 AND event_id % 7 = 2 THEN 1 END AS first_extra,
+  CASE WHEN day(ts) > 15 THEN CASE event_id % 7 WHEN 1 THEN '{"k":"x"}' WHEN 2 THEN '{"extra":{"a":[1,2]}}'
+    WHEN 4 THEN '"not json"' WHEN 6 THEN '{"k":99999999999}' END END AS _rescued_data FROM events""",
+        "dimension_stored_once": "SELECT * FROM zones",
+        "stopped_streams": """SELECT name, count(*) AS n_rows FROM trips, (VALUES ('endless_a'), ('endless_b')) v(name)
+  GROUP BY name""",
+        "crash_replayed": """SELECT batch_id, count(*) AS n_rows, round(sum(total_amount), 6) AS amount
+  FROM trips JOIN numbered USING (trip_id) GROUP BY batch_id""",
+        "zone_model_check": """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off, CAST(4 AS BIGINT) AS n_clusters FROM (
+  SELECT DISTINCT PULocationID FROM trips
+  WHERE PULocationID IS NOT NULL AND trip_distance > 0 AND trip_distance < 100)""",
+        "trip_model_check": """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off, CAST(4 AS BIGINT) AS n_clusters,
+  CAST(0 AS BIGINT) AS n_differ FROM features""",
         "ingest_totals": """SELECT count(DISTINCT event_id % 125) AS micro_batches, count(*) AS rows,
   CAST(0 AS BIGINT) AS dropped_by_watermark FROM events""",
         "classified_stream": "SELECT trip_id, PULocationID, prediction, cluster_label FROM classified",
@@ -276,6 +291,8 @@ def oracle_sql() -> dict[str, str]:
         "dim_zones_csv": "SELECT * FROM zones",
         "silver_stream": f"SELECT {COLS}, pickup_borough, pickup_zone FROM silver",
         "kpi_window_stream": _rounded("arrived") + """ WHERE window_end <=
+  (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM trips)""",
+        "kpi_continuous": _rounded("arrived") + """ WHERE window_end <=
   (SELECT max(tpep_pickup_datetime) - INTERVAL '5 minutes' FROM trips)""",
         "late_rows": """SELECT trip_id, batch_id, time_bucket(INTERVAL '10 minutes', ts) AS window_start,
   time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end
@@ -323,6 +340,8 @@ def oracle_sql() -> dict[str, str]:
   round(CASE WHEN sum(billed) > 0 THEN sum(airport_fee + cbd_congestion_fee) / sum(billed) ELSE 0 END, 6) AS fee_rate
   FROM bill GROUP BY pickup_borough""",
         "point_lookup_count": "SELECT count(*) AS n FROM trips WHERE PULocationID = 24",
+        "point_lookup_trips": f"""SELECT trip_id, tpep_pickup_datetime, PULocationID, {_r('total_amount')} FROM trips
+  WHERE trip_id IN (7, 778, -5)""",
         "lookup_large": """SELECT l_orderkey, l_linenumber, wanted, o_custkey, o_orderstatus FROM (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL
     WHEN l_linenumber = 5 THEN -l_orderkey ELSE l_orderkey END AS wanted FROM lineitem) LEFT JOIN orders ON wanted = o_orderkey""",
@@ -417,6 +436,9 @@ def oracle_sql() -> dict[str, str]:
         "trip_sample": f"SELECT trip_id, {_r(*FEATURES[:4])}, passenger_count FROM features",
         "feature_moments": f"SELECT {_r(*[f'{p}_{c}' for p in ('mean', 'std') for c in FEATURES])} FROM moments",
         "zorder_compact": BUSINESS,
+        "layer_compacted": """SELECT sim_batch_id, count(*) AS n_rows, round(sum(total_amount), 6) AS amount,
+  sim_batch_id % 2 = 1 AND count(*) FILTER (trip_id % 4 = 0) > 0 AND count(*) FILTER (trip_id % 4 <> 0) > 0 AS replaced
+  FROM trips GROUP BY sim_batch_id""",
         "file_stats": """SELECT 'before' AS layout, CAST(ceil(count(*) / 250.0) AS BIGINT) AS n_files, count(*) AS n_rows
   FROM trips UNION ALL SELECT 'after', CAST(ceil(count(*) / 100000.0) AS BIGINT), count(*) FROM trips""",
     }

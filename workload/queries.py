@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -22,13 +27,15 @@ from tidemark.plans import layout as lay
 from tidemark.plans.bounds import cut, run_dir
 from tidemark.plans.ordered import rolling_mean
 from tidemark.sources.files import ingest, read_csv_dimension, stream_dir, stream_table
-from tidemark.sources.rescue import rescue, rescue_json
+from tidemark.sources.rescue import RESCUED, rescue, rescue_json, rescue_variant
 from tidemark.streaming.metrics import ingest_totals as totals
 from tidemark.streaming.metrics import lateness_what_if, stream_verdicts
 from tidemark.streaming.sinks import (
     BatchSink,
     FileSink,
     TableSink,
+    by_batch,
+    committed,
     read_drift_history,
     read_latest_version,
     refresh_statistics,
@@ -38,7 +45,7 @@ from tidemark.streaming.sinks import (
     write_version,
 )
 from tidemark.streaming.sinks import late_rows as kept_late
-from tidemark.streaming.stages import Stage, run_stage, run_stages
+from tidemark.streaming.stages import Stage, run_continuously, run_stage, run_stages, start_stage, stop_started
 from tidemark.streaming.upsert import UpsertTable
 from workload import views as w
 
@@ -189,6 +196,22 @@ def rescued_json(spark, sf_dir):
     return rescue_json(payload, "props", spark.createDataFrame([], "k int").schema)
 
 
+@query
+def rescued_variant(spark, sf_dir):
+    """Payloads whose keys and kinds change in mid-stream; the old files are read with the new ones."""
+    flow = Flow(spark, sf_dir, "rescued_variant")
+    events = w.table(spark, sf_dir, "events").select("event_id", "ts", "props")
+    late = F.expr(w.SECOND_HALF)
+    parts = [events.where(~late), events.where(late).withColumn("props", F.expr(w.PAYLOAD))]
+    pinned = StructType.fromDDL("k int")
+    build = lambda: rescue_variant(ingest(spark, flow.path("in"), events.schema), "props", pinned)
+    for part in parts:
+        part.write.mode("append").parquet(flow.path("in"))
+        run_stage(flow.stage("rescued", build))
+    first = F.try_variant_get(RESCUED, "$.extra.a[0]", "int")
+    return flow.read("rescued").select("event_id", "k", first.alias("first_extra"), F.to_json(RESCUED).alias(RESCUED))
+
+
 @query
 def dim_zones_csv(spark, sf_dir):
     path, dim = run_dir(spark, "zones_csv"), w.Source(spark, sf_dir).zones
@@ -196,6 +219,17 @@ def dim_zones_csv(spark, sf_dir):
     return read_csv_dimension(spark, path, dim.schema)
 
 
+@query
+def dimension_stored_once(spark, sf_dir):
+    """The second call takes the stored table: it does not see a row that the CSV files got meanwhile."""
+    path, dim = run_dir(spark, "zones_once"), w.Source(spark, sf_dir).zones
+    table = f"zones_once_{uuid.uuid4().hex}"
+    dim.write.option("header", True).csv(path)
+    read_csv_dimension(spark, path, dim.schema, table)
+    dim.selectExpr("CAST(-1 AS INT) AS LocationID", "Borough", "Zone", "service_zone").write.mode("append").option("header", True).csv(path)
+    return read_csv_dimension(spark, path, dim.schema, table)
+
+
 @query
 def silver_stream(spark, sf_dir):
     flow = Flow(spark, sf_dir, "silver_stream")
@@ -210,6 +244,14 @@ def kpi_window_stream(spark, sf_dir):
     return r6(flow.read("kpi"))
 
 
+@query
+def kpi_continuous(spark, sf_dir):
+    """The same windows from a stream on a processing-time trigger, stopped when it has caught up."""
+    flow = Flow(spark, sf_dir, "kpi_continuous")
+    run_continuously(flow.stage("kpi", lambda: flow.kpi(flow.by_arrival())), "0 seconds")
+    return r6(flow.read("kpi"))
+
+
 @query
 def kpi_upsert(spark, sf_dir):
     flow = Flow(spark, sf_dir, "kpi_upsert")
@@ -248,6 +290,41 @@ def stats_refresh(spark, sf_dir):
     return r6(spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint")))
 
 
+@query
+def stopped_streams(spark, sf_dir):
+    """Two endless streams of trips, stopped by the library when they have caught up; what each had stored."""
+    flow = Flow(spark, sf_dir, "stopped_streams")
+    names = ["endless_a", "endless_b"]
+    trips = lambda: w.trip_stream(spark, sf_dir).select("trip_id", "total_amount")
+    endless = [replace(flow.stage(name, trips), trigger={"processingTime": "1 second"}) for name in names]
+    for running in [start_stage(stage) for stage in endless]:
+        running.processAllAvailable()
+    stopped = [name for name in stop_started(spark) if name in names]
+    stored = [flow.read(name).select(F.lit(name).alias("name"), "trip_id") for name in stopped]
+    return reduce(DataFrame.unionByName, stored).groupBy("name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def crash_replayed(spark, sf_dir):
+    """A run that dies after it wrote a batch and before it committed it, and the run after it: every row once."""
+    flow = Flow(spark, sf_dir, "crash_replayed")
+    write, seen = by_batch(flow.path("out")), []
+
+    def dies_once(rows: DataFrame, batch_id: int) -> None:
+        write(rows.select("trip_id", "total_amount"), batch_id)
+        seen.append(batch_id)
+        if seen == [0, 1, 2]:
+            raise RuntimeError("the process is lost here")
+
+    stage = flow.stage("trips", flow.by_arrival, BatchSink(dies_once))
+    try:
+        run_stage(stage)
+    except StreamingQueryException:
+        run_stage(stage)
+    rows = committed(spark, flow.path("out")).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return r6(rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_amount").alias("amount")))
+
+
 @query
 def ratio_assertion_stream(spark, sf_dir):
     """Range checks of every micro-batch, observed while it was written."""
@@ -441,11 +518,28 @@ def tip_rate_by_borough(spark, sf_dir):
 @query
 def point_lookup_count(spark, sf_dir):
     # On the stored, Z-ordered layer, where the filter reaches the scan and skips row groups.
-    path, trips = run_dir(spark, "point_lookup"), w.Source(spark, sf_dir).trips
-    lay.zorder_rewrite(trips, [PICKUP, "PULocationID"], path, files=_files(trips, FULL_FILE_ROWS))
+    trips = w.Source(spark, sf_dir).trips
+
+    def write(path: str) -> None:
+        lay.zorder_rewrite(trips, [PICKUP, "PULocationID"], path, files=_files(trips, FULL_FILE_ROWS), mode="overwrite")
+
+    path = lay.layer_of(spark, "trips_zorder", f"{sf_dir}/events.parquet", write)
     return spark.read.parquet(path).where("PULocationID = 24").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def point_lookup_trips(spark, sf_dir):
+    """Three trips by their id, one of them absent, from files that hash and Bloom filters make skippable."""
+    trips = w.Source(spark, sf_dir).trips
+
+    def write(path: str) -> None:
+        lay.write_lookup_layer(trips, {"trip_id": FULL_FILE_ROWS}, path, _files(trips, FULL_FILE_ROWS))
+
+    path = lay.layer_of(spark, "trips_by_id", f"{sf_dir}/events.parquet", write)
+    found = spark.read.parquet(path).where(F.col("trip_id").isin(7, 778, -5))
+    return r6(found.select("trip_id", PICKUP, "PULocationID", "total_amount"))
+
+
 @query
 def lookup_large(spark, sf_dir):
     """Lookup of a dimension that is not broadcast; one key holds a quarter of the facts, others have none or no match."""
@@ -622,8 +716,11 @@ def score_validation(spark, sf_dir):
 
 @query
 def latest_batch_dist(spark, sf_dir):
-    counts = w.Source(spark, sf_dir).classified.groupBy(BATCH, "cluster_label").agg(F.count(F.lit(1)).alias("n"))
-    return dr.latest_batch(cut(counts), BATCH)
+    # Stored by batch, so that only the newest batch's folder is read.
+    classified = w.Source(spark, sf_dir).classified.select(BATCH, "cluster_label")
+    path = lay.layer_of(spark, "classified", sf_dir, lambda to: classified.write.mode("overwrite").partitionBy(BATCH).parquet(to))
+    latest = dr.latest_batch(spark.read.parquet(path), BATCH)
+    return latest.groupBy(BATCH, "cluster_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -681,10 +778,19 @@ def _scaled(spark, sf_dir):
 
 
 def _lloyd(spark, sf_dir):
-    scaled, moments = _scaled(spark, sf_dir)
-    init = cl.first_centres(scaled, "trip_id", cl.TRIP_FEATURES, 4)
-    centres, assigned = cl.lloyd(scaled, cl.TRIP_FEATURES, init, max_iter=LLOYD_PASSES)
-    return centres, assigned, moments
+    """Centres, assigned rows and moments of one training, stored for all queries that read them."""
+
+    def train(path: str) -> None:
+        scaled, moments = _scaled(spark, sf_dir)
+        init = cl.first_centres(scaled, "trip_id", cl.TRIP_FEATURES, 4)
+        centres, assigned = cl.lloyd(scaled, cl.TRIP_FEATURES, init, max_iter=LLOYD_PASSES)
+        cl.centre_frame(assigned, cl.TRIP_FEATURES, centres).write.mode("overwrite").parquet(f"{path}-centres")
+        spark.createDataFrame([moments], cl.feature_moments(scaled).schema).write.mode("overwrite").parquet(f"{path}-moments")
+        # Last: the layer counts as there from here on.
+        assigned.write.mode("overwrite").parquet(path)
+
+    path = lay.layer_of(spark, "lloyd", f"{sf_dir}/events.parquet", train)
+    return spark.read.parquet(f"{path}-centres"), spark.read.parquet(path), spark.read.parquet(f"{path}-moments").first()
 
 
 @query
@@ -717,8 +823,8 @@ def kmeans_distribution(spark, sf_dir):
 
 @query
 def kmeans_centroids(spark, sf_dir):
-    centres, assigned, moments = _lloyd(spark, sf_dir)
-    return r6(cl.destandardise(cl.centre_frame(assigned, cl.TRIP_FEATURES, centres), moments))
+    centres, _, moments = _lloyd(spark, sf_dir)
+    return r6(cl.destandardise(centres, moments))
 
 
 @query
@@ -760,6 +866,45 @@ def score_model_stream(spark, sf_dir):
     return flow.read("scored")
 
 
+def _off_centre(scored: DataFrame, model: PipelineModel, vector: str, prediction: str) -> DataFrame:
+    """Rows that are not with their nearest stored centre, told by plain distance expressions."""
+    centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+    places = [f"_v{i}" for i in range(len(centres[0]))]
+    parts = vector_to_array(vector)
+    flat = scored.withColumns({p: parts[i] for i, p in enumerate(places)})
+    return cl.assign(flat, tuple(places), centres).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("cluster") != F.col(prediction)).alias("n_off"),
+        F.countDistinct(prediction).cast("bigint").alias("n_clusters"),
+    )
+
+
+@query
+def zone_model_check(spark, sf_dir):
+    """The zone model drops no zone and puts each at its nearest stored centre."""
+    features = cut(cl.zone_features(w.Source(spark, sf_dir).trips, clean=True))
+    path = run_dir(spark, "zone_model")
+    cl.train_zone_model(features).write().save(path)
+    model = PipelineModel.load(path)
+    return _off_centre(model.transform(features), model, "pca", "cluster_pca")
+
+
+@query
+def trip_model_check(spark, sf_dir):
+    """A stored trip model on a stream: rows as in the table, same clusters, each row at its nearest centre."""
+    flow = Flow(spark, sf_dir, "trip_model_check")
+    features = _features(spark, sf_dir)
+    cl.train_trip_model(features).write().save(flow.path("model"))
+    model = PipelineModel.load(flow.path("model"))
+    build = lambda: model.transform(cl.trip_features(w.trip_stream(spark, sf_dir), keep=("trip_id",))).select("trip_id", "prediction")
+    run_stage(flow.stage("scored", build))
+    table = model.transform(features)
+    streamed = flow.read("scored").select(F.col("trip_id").alias("_id"), F.col("prediction").alias("_streamed"))
+    both = table.join(streamed, F.col("trip_id") == F.col("_id"), "full_outer")
+    differ = both.agg(F.count_if(~F.col("prediction").eqNullSafe(F.col("_streamed"))).alias("n_differ"))
+    return _off_centre(table, model, "scaled", "prediction").withColumn("n_differ", differ.scalar())
+
+
 # -- layout -----------------------------------------------------------------------------------
 
 
@@ -792,3 +937,19 @@ def file_stats(spark, sf_dir):
         for tag, p in (("before", before), ("after", after))
     ]
     return rows[0].unionByName(rows[1])
+
+
+@query
+def layer_compacted(spark, sf_dir):
+    """A layer by day, compacted in place; later rows of the odd days come in, and only these days are replaced."""
+    path, trips = run_dir(spark, "layer_compacted"), w.Source(spark, sf_dir).trips
+    later = F.expr(f"{BATCH} % 2 = 1 AND trip_id % 4 = 0")
+    for rows in (trips.where(~later), trips.where(later)):
+        rows.write.mode("append").partitionBy(BATCH).parquet(path)
+        before = cut(lay.data_files(spark, path, [BATCH]))
+        lay.compact(spark, path, [BATCH])
+    after = lay.data_files(spark, path, [BATCH]).select("_file", F.lit(1).alias("_still"))
+    kept = before.join(after, "_file", "left").groupBy(F.col(BATCH).alias("_day")).agg(F.count("_still").alias("n_kept"))
+    rows = spark.read.parquet(path).groupBy(BATCH).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_amount").alias("amount"))
+    joined = rows.join(kept, F.col(BATCH) == F.col("_day"))
+    return r6(joined.select(BATCH, "n_rows", "amount", (F.col("n_kept") == 0).alias("replaced")))

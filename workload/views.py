@@ -80,6 +80,9 @@ PAYLOAD = """CASE event_id % 7 WHEN 1 THEN '{"k": "x"}' WHEN 2 THEN '{"k": 5, "e
     WHEN 3 THEN '{"k": null}' WHEN 4 THEN 'not json' WHEN 5 THEN CAST(NULL AS STRING)
     WHEN 6 THEN '{"k": 99999999999}' ELSE props END"""
 
+# Events of the days from which on payloads change.
+SECOND_HALF = "day(ts) > 15"
+
 # A larger batch history with wider ids, standing beside the stream.
 HISTORY = {
     "PULocationID": "CAST(l_suppkey % 30 AS BIGINT)",
