@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -457,6 +458,16 @@ def test_bad_labels_move_the_threshold():
     assert anomalies.calibrated([], 0.2) == anomalies.BINS
 
 
+def test_markup_is_read_by_attribute():
+    read = language.markup_language
+    assert read('<html data-lang="xx" lang="de">') == "de" and read("<HTML LANG=pt-BR>") == "pt" and read("<html xml:lang='fr'>") is None
+    assert read('<html title="lang=xx" lang = "en_US">') == "en" and read("<html><p lang='de'>") is None and read("") is None
+    assert read("<!-- <html lang='de'> --><html lang='fr'>") == "fr" and read("<html lang='english'>") is None
+    assert read("<html lang='de") is None and read("<html lang>") is None
+    assert language.visible_text("a<!-- b > c <p>d</p> -->e<p>f</p>").split() == ["a", "e", "f"]
+    assert language.visible_text("a<!-- b").split() == ["a"]
+
+
 # -- mixing -----------------------------------------------------------------------------------
 
 
@@ -489,6 +500,30 @@ def test_mix_meets_its_targets_and_repeats(spark, odd, empty, medium):
     assert applied.count() == mixed.agg(F.sum("times")).first()[0]
 
 
+@pytest.mark.parametrize("cells", [1, 60])
+def test_gaps_are_filled_in_key_order(spark, small, medium, cells):
+    """No source misses its target by more than its smallest document left out; whatever the cells, the mix is one."""
+    for sf in (small, medium):
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
+        quality = mixing.document_quality(spark.read.parquet(f"{sf}/labels.parquet"))
+        rows = mixing.mix(docs, quality=quality, cells=cells).collect()
+        for source in {r["source"] for r in rows}:
+            own = [r for r in rows if r["source"] == source]
+            epochs = int(own[0]["target"] // max(own[0]["source_size"], 1))
+            left_out = [r["size"] for r in own if r["times"] == epochs and r["size"]]
+            miss = abs(sum(r["taken"] for r in own) - own[0]["target"])
+            assert miss < min(left_out, default=1)
+        got = sorted((r["doc_id"], r["times"]) for r in rows)
+        assert got == sorted((r["doc_id"], r["times"]) for r in mixing.mix(docs, quality=quality).collect())
+
+
+def test_a_cell_is_gone_through_in_order():
+    table = pa.table({"key": [3.0, 1.0, 2.0, 4.0], "doc_id": [None, 1, 2, 9], "size": [4, 50, 3, 1], "n": [3, 1, 2, 9], "start": [20] * 4})
+    got = mixing._in_order(table).to_pydict()
+    # 50 does not fit, two of 3, three of 4, then two of 1.
+    assert got["m"] == [0, 2, 3, 2] and set(got["rest"]) == {0}
+
+
 def test_better_documents_are_taken_first(spark):
     rows = [(i, "w " * 10, "a" if i < 400 else "b") for i in range(800)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

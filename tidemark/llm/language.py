@@ -47,13 +47,25 @@ _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
-_HTML_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.IGNORECASE)
+_HTML_TAG = re.compile(r"<html\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
+
+
+def markup_language(html: str) -> str | None:
+    """Primary subtag of the ``lang`` attribute of the first ``html`` tag, in lower case, outside comments."""
+    tag = _HTML_TAG.search(_COMMENT.sub(" ", html))
+    for m in _ATTRIBUTE.finditer(tag[1]) if tag else ():
+        if m[1].lower() == "lang":
+            primary = re.split(r"[-_]", (m[2] or m[3] or m[4] or "").strip().lower())[0]
+            return primary if re.fullmatch(r"[a-z]{2,3}", primary) else None
+    return None
 
 
 def visible_text(html: str) -> str:
-    """Text between tags, without scripts and styles; one pass."""
+    """Text between tags, without comments, scripts and styles; one pass."""
     out, skip = [], None
-    for i, part in enumerate(html.split("<")):
+    for i, part in enumerate(_COMMENT.sub(" ", html).split("<")):
         if not i:
             out.append(part)
             continue
@@ -117,9 +129,13 @@ class TextModel:
         n = rows.agg(F.count_distinct("lang")).first()[0]
         if n > MAX_LANGUAGES:
             raise ValueError(f"lang has {n} languages, more than {MAX_LANGUAGES}: is it a column of language tags?")
+        # Only hashes are ranked, and of these the lowest, about twice as many as are taken; at most MAX_LANGUAGES counts.
+        sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("_n"))
+        place = F.col("h").cast("double") / float(1 << 64) + 0.5
+        low = rows.join(F.broadcast(sizes), "lang").where(place * F.col("_n") < 2 * per_language).select("lang", "h")
         rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-        # Only hashes are ranked; the texts of the sample are joined by them.
-        chosen = rows.select("lang", "h").distinct().withColumn("r", rank).where(F.col("r") <= per_language).select("lang", "h")
+        # The texts of the sample are joined by their hashes.
+        chosen = low.distinct().withColumn("r", rank).where(F.col("r") <= per_language).select("lang", "h")
         sample = rows.select("lang", "h", "text").join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
         counted = sample.select("lang", "text").mapInArrow(_count_grams, "lang string, bucket int, n bigint")
         found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
@@ -147,8 +163,7 @@ def _evidence(model: TextModel, web: bool, extra: tuple[str, ...] = ()):
             hosts = batch.column("host").to_pylist()
             if web:
                 pages = [t or "" for t in texts]
-                found = [_HTML_LANG.search(p) for p in pages]
-                declared = [m[1].lower() if m else None for m in found]
+                declared = [markup_language(p) for p in pages]
                 texts = [visible_text(p) for p in pages]
                 hosts = [_host(u) for u in hosts]
             domain = [".".join(h.split(".")[-2:]) if h else None for h in hosts]

@@ -6,7 +6,8 @@ left of its target is filled by documents in the order of their exponential keys
 ``u`` comes from a digest of the document's id, so every run takes the same documents.
 
 Nulls and edge cases: a null text has no words; a null source is a source of its own, last in order; a null or
-non-positive quality counts as 1; documents without words are taken in every whole epoch and give no words;
+non-positive quality counts as 1; documents without words are taken in every whole epoch and wherever a source has
+room for a word, and give no words;
 a source without words has target 0; repeated rows with one id are separate documents with equal keys, ordered
 by size and then by a hash of where they are stored, and so are rows with a null id (with ``by_text``, only those
 whose texts are equal too); an empty table gives an empty result. Columns of the input that clash are not used.
@@ -14,6 +15,9 @@ whose texts are equal too); an empty table gives an empty result. Columns of the
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +27,9 @@ from tidemark.plans.bounds import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Cells that a source's key range is cut into before its documents are summed up. Only the one cell in which
-#: the budget ends is ordered by key, id and size.
-CELLS = 4096
+#: A source's key range is cut into cells of about this many documents of the corpus, CELLS at most, before its
+#: documents are summed up. Only cells in which a budget ends are gone through in order.
+CELL_ROWS, CELLS = 2048, 4096
 
 
 def word_count(text: str) -> Column:
@@ -96,14 +100,14 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     seed: int = 11,
-    cells: int = CELLS,
+    cells: int | None = None,
     by_text: bool = False,
 ) -> DataFrame:
     """How often every document is taken: (doc_id, source, size, source_size, target, times, taken) and its address.
 
-    ``quality`` has one row (doc_id, quality) per rated document; the others count as 1. A document enters the
-    fractional selection when at least half of it fits into what is left, so a source misses its target by half
-    a document at most. ``by_text`` derives the keys from id and text, so that null and repeated ids have keys of
+    ``quality`` has one row (doc_id, quality) per rated document; the others count as 1. The fractional selection goes
+    on in key order after a document that does not fit, and takes at last one more if that brings the source nearer to
+    its target; so a source misses it by less than the smallest document left out. ``by_text`` derives the keys from id and text, so that null and repeated ids have keys of
     their own. Addresses are those of ``docs`` if it has them (``addressed``).
     """
     if not set(ADDRESS) <= set(docs.columns):
@@ -122,9 +126,12 @@ def mix(
         rows = rows.withColumn("quality", F.lit(1.0))
     good = F.when(F.col("quality") > 0, F.col("quality")).otherwise(F.lit(1.0))
     key = -F.log(F.col("u")) / good
+    rows = stored(rows.withColumn("key", key).drop("quality", "u"), "mix_rows")
+    if cells is None:
+        cells = min(CELLS, max(1, rows.count() // CELL_ROWS))
     # The share of keys below this one if all had weight 1: cells hold about equally many documents.
     cell = F.least(F.floor((1 - F.exp(-F.col("key"))) * cells), F.lit(cells - 1)).cast("int")
-    rows = stored(rows.withColumn("key", key).withColumn("cell", cell).drop("quality", "u"), "mix_rows")
+    rows = rows.withColumn("cell", cell)
 
     per_cell = stored(rows.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix_cells")
     sizes = per_cell.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n_docs"))
@@ -133,25 +140,31 @@ def mix(
     plan = plan.withColumn("epochs", epochs.cast("bigint")).withColumn(
         "left", F.col("target") - F.col("epochs") * F.col("source_size")
     )
-
-    earlier = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells_before = per_cell.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
-    plan = plan.withColumnRenamed("source", "_source")
-    same = F.col("source").eqNullSafe(F.col("_source"))
-    # One row per source and cell: what lies before the cell, and whether the budget ends inside it.
-    edges = cells_before.join(plan, same).select(
-        F.col("source").alias("_source"), F.col("cell").alias("_cell"), "before", "source_size", "target", "epochs", "left",
-        ((F.col("before") < F.col("left")) & (F.col("before") + F.col("words") >= F.col("left"))).alias("cut"),
-    )
-    in_cell = same & (F.col("cell") == F.col("_cell"))
-    ends = _ends(rows.join(edges.where("cut"), in_cell))
-    joined = rows.join(edges, in_cell).join(ends, F.col("source").eqNullSafe(F.col("_of")), "left")
-    # What comes before the end is taken, what comes after is not; of the rows at the end, as many as fit.
-    place, end = F.struct(*_ORDER), F.struct(*[F.col(f"_end.{c}").alias(c) for c in _ORDER])
-    among = F.coalesce(F.col("cut") & (F.col("_end.m") > 0) & place.eqNullSafe(end), F.lit(False))
-    inside = F.col("_end").isNull() | (place < end)
-    sure = joined.where(~among).withColumn("extra", F.when(F.col("cut"), inside).otherwise(F.col("before") < F.col("left")))
-    some = _first_rows(joined.where(among), cells)
+    grid = per_cell.select("source", "cell")
+    rounds, picks = _fill(rows, grid, plan.select(F.col("source").alias("_of"), F.floor("left").cast("bigint").alias("room")))
+
+    # One row per source and cell: documents up to `most` words are taken; `rest` is what no document fits into.
+    same = F.col("source").eqNullSafe(F.col("_of"))
+    between = same & (F.col("cell") > F.col("after")) & (F.col("cell") < F.coalesce("cut", F.lit(cells)))
+    most = grid.join(rounds, between).select(F.col("source").alias("_s"), F.col("cell").alias("_c"), F.col("room").alias("most"))
+    rests = rounds.groupBy(F.col("_of")).agg(F.min("rest").alias("rest"))
+    of_source = plan.drop("weight", "n_docs").join(rests, same, "left").drop("_of").withColumnRenamed("source", "_of")
+    edges = grid.join(of_source, same).join(most, F.col("source").eqNullSafe(F.col("_s")) & (F.col("cell") == F.col("_c")), "left")
+    edges = edges.select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "source_size", "target", "epochs", "left", "rest", "most")
+    placed = rows.join(edges, F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell")))
+    whole = F.when(F.col("size") > 0, F.coalesce(F.col("size") <= F.col("most"), F.lit(False))).otherwise(F.col("left") >= 1)
+
+    # One more document of a source where that brings it nearer to its target.
+    gap = F.coalesce("rest", F.lit(0)) + F.col("left") - F.floor("left")
+    open_ = _picked(placed, picks).where(~whole & (F.col("size") > 0) & (F.coalesce("_m", F.lit(0)) < F.coalesce("_n", F.lit(1))))
+    nearer = open_.where(F.col("size") < 2 * gap).groupBy("source").agg(F.min(F.struct(*_ORDER)).alias("x"))
+    one = nearer.select("source", "x.*", F.lit(1).cast("bigint").alias("m"), F.lit(None).cast("bigint").alias("n"))
+    alike = ["source", *_ORDER]
+    merged = picks.unionByName(one).groupBy(*alike).agg(F.sum("m").alias("m"), F.max("n").alias("n"))
+    joined = _picked(placed, stored(merged, "mix_picks"))
+    among = F.col("_m").isNotNull() & (F.col("_n").isNull() | (F.col("_m") < F.col("_n")))
+    sure = joined.where(~among).withColumn("extra", whole | F.col("_m").isNotNull())
+    some = _first_rows(joined.where(among))
     times = F.col("epochs") + F.col("extra").cast("bigint")
     columns = ["doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"), *ADDRESS]
     return sure.select(*columns).unionByName(some.select(*columns))
@@ -160,35 +173,79 @@ def mix(
 _ORDER = ("key", "doc_id", "size")
 
 
-def _ends(inside: DataFrame) -> DataFrame:
-    """(_of, _end): the first rows of every source that do not all fit, and of how many of them (m) there is room.
+def _fill(rows: DataFrame, grid: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fill the room of every source in key order: a document that does not fit is left out, and the filling goes on.
 
-    Once a document does not fit, none after it does: half of it reaches beyond what is left. Rows that are alike in
-    key, id and size are counted, not ordered, so a key that many rows share is one row here.
+    A round sums up, by cell, the documents that would fit, up to the cell where the room ends. The cells before it are
+    taken whole; that one cell is gone through in order, and the next round begins after it with the room that is
+    left. Returns the rounds (_of, after, cut, room, rest): documents of at most ``room`` words in the cells between
+    ``after`` and ``cut`` are taken; and the documents taken in cut cells (source, key, doc_id, size, m of n alike).
     """
-    alike = inside.groupBy("source", "cell", *_ORDER).agg(
-        F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("left").alias("left")
-    )
-    upto = Window.partitionBy("source", "cell").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))
-    fits = lambda at: (at + F.col("size") / 2 <= F.col("left")) & (at < F.col("left"))
-    floor = F.floor(F.try_divide(F.col("left") - F.col("ahead") - F.col("size") / 2, F.col("size")))
-    most = F.greatest(F.coalesce(floor, F.lit(0)), F.lit(0))
-    room = most + fits(F.col("ahead") + most * F.col("size")).cast("bigint")
-    m = F.when(F.col("size") > 0, F.least(room, F.col("n"))).otherwise(F.when(fits(F.col("ahead")), F.col("n")).otherwise(F.lit(0)))
-    short = alike.withColumn("ahead", ahead).withColumn("m", m.cast("bigint")).where("m < n")
-    return short.groupBy(F.col("source").alias("_of")).agg(F.min(F.struct(*_ORDER, "m")).alias("_end"))
-
-
-def _first_rows(alike: DataFrame, cells: int) -> DataFrame:
-    """Mark ``_end.m`` of the rows of every source by the hash of their address, counted in cells of it."""
-    rows = alike.withColumn("_part", F.pmod(F.xxhash64(*ADDRESS), F.lit(cells)))
-    per_part = rows.groupBy(F.col("source").alias("_s"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_part.select("_s", "_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    number = F.row_number().over(Window.partitionBy("source", "_part").orderBy(*ADDRESS))
-    placed = rows.withColumn("_number", number).join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
-    return placed.withColumn("extra", F.col("_start") + F.col("_number") <= F.col("_end.m"))
+    spark = rows.sparkSession
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("source", "cell", *_ORDER))
+    in_cell = F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell"))
+    same = F.col("source").eqNullSafe(F.col("_of"))
+    sized, rounds, cuts = rows.where("size > 0"), [], []
+    state = stored(rooms.where("room >= 1").withColumn("after", F.lit(-1)), "mix_state")
+    while not state.isEmpty():
+        ahead = grid.join(state, same).where("cell > after").select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "room")
+        fitting = sized.join(ahead, in_cell).where("size <= room")
+        words = stored(fitting.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.first("room").alias("room")), "mix_words")
+        upto = words.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("cell")))
+        ends = upto.groupBy("source").agg(
+            F.min(F.when(F.col("upto") > F.col("room"), F.struct("cell", (F.col("room") - F.col("upto") + F.col("words")).alias("start")))).alias("e"),
+            F.sum("words").alias("all"),
+        )
+        ends = ends.select("source", F.col("e.cell").alias("cut"), F.col("e.start").alias("start"), "all")
+        turn = state.join(ends, same, "left").drop("source")
+        turn = stored(turn.withColumn("all", F.coalesce("all", F.lit(0))), "mix_turn")
+        edge = turn.where("cut IS NOT NULL").select(F.col("_of").alias("_source"), F.col("cut").alias("_cell"), "room", "start")
+        inside = sized.join(edge, in_cell).where("size <= room").groupBy("source", "cell", *_ORDER)
+        alike = inside.agg(F.count(F.lit(1)).alias("n"), F.first("start").alias("start"))
+        cut = stored(alike.groupBy("source", "cell").applyInArrow(_in_order, f"{kinds}, n bigint, m bigint, rest bigint"), "mix_cut")
+        cuts.append(cut.where("m > 0").select("source", *_ORDER, "m", "n"))
+        left = cut.groupBy("source").agg(F.first("rest").alias("left"))
+        done = turn.join(left, same, "left").drop("source")
+        done = stored(done.select("_of", "after", "cut", "room", F.coalesce("left", F.col("room") - F.col("all")).alias("rest")), "mix_round")
+        rounds.append(done)
+        state = done.where("cut IS NOT NULL AND rest >= 1").select("_of", F.col("rest").alias("room"), F.col("cut").alias("after"))
+    if not rounds:
+        of = rows.schema["source"].dataType.simpleString()
+        kind = f"_of {of}, after int, cut int, room bigint, rest bigint"
+        return spark.createDataFrame([], kind), rows.select("source", *_ORDER, F.col("size").alias("m"), F.col("size").alias("n")).where("false")
+    return reduce(DataFrame.unionByName, rounds), reduce(DataFrame.unionByName, cuts)
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    """One cell of one source in order: of every alike documents as many as fit into what is left."""
+    table = table.sort_by([(c, "ascending") for c in _ORDER])
+    rest, taken = table.column("start")[0].as_py(), []
+    for size, n in zip(table.column("size").to_pylist(), table.column("n").to_pylist(), strict=True):
+        taken.append(min(n, rest // size))
+        rest -= taken[-1] * size
+    table = table.drop_columns(["start"]).append_column("m", pa.array(taken, pa.int64()))
+    return table.append_column("rest", pa.array([rest] * len(taken), pa.int64()))
+
+
+def _picked(rows: DataFrame, picks: DataFrame) -> DataFrame:
+    """Add ``_m`` and ``_n``: of the documents alike, how many are taken, null where none of them was picked."""
+    names = {c: f"_p_{c}" for c in ("source", *_ORDER)}
+    on = [F.col(c).eqNullSafe(F.col(p)) for c, p in names.items()]
+    few = picks.withColumnsRenamed({**names, "m": "_m", "n": "_n"})
+    return rows.join(few, reduce(lambda a, b: a & b, on), "left").drop(*names.values())
+
+
+def _first_rows(alike: DataFrame, parts: int = CELLS) -> DataFrame:
+    """Mark ``_m`` of the rows alike by the hash of their address, counted in parts of it."""
+    by = ["source", *_ORDER, "_part"]
+    rows = alike.withColumn("_part", F.pmod(F.xxhash64(*ADDRESS), F.lit(parts)))
+    per_part = rows.groupBy(*[F.col(c).alias(f"_q_{c}") for c in by]).agg(F.count(F.lit(1)).alias("_count"))
+    earlier = Window.partitionBy(*[f"_q_{c}" for c in by[:-1]]).orderBy("_q__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.withColumn("_start", F.coalesce(F.sum("_count").over(earlier), F.lit(0)))
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(*ADDRESS))
+    on = [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in by]
+    placed = rows.withColumn("_number", number).join(starts, reduce(lambda a, b: a & b, on))
+    return placed.withColumn("extra", F.col("_start") + F.col("_number") <= F.col("_m"))
 
 
 def document_quality(labels: DataFrame) -> DataFrame:

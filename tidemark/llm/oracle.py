@@ -4,7 +4,7 @@ SQL: dict[str, str] = {}
 
 # Weighted sampling: the same digests, cells and half-document rule, written with plain windows.
 SQL["op9_exponential_mix"] = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 q AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 2.0 ELSE 0.5 END)::DOUBLE AS quality FROM labels GROUP BY doc_id),
@@ -31,12 +31,23 @@ t AS (
 e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 a AS (
-  SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS lft,
-    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
-  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+  SELECT k.doc_id, k.size, k.key, k.source, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS lft,
+    row_number() OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size) AS rn
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source),
+g AS (
+  SELECT source, 0::BIGINT AS rn, floor(any_value(lft))::BIGINT AS room, 0 AS extra FROM a GROUP BY source
+  UNION ALL
+  SELECT a.source, a.rn, g.room - CASE WHEN a.size <= g.room THEN a.size ELSE 0 END, CASE WHEN a.size <= g.room THEN 1 ELSE 0 END
+  FROM g JOIN a ON a.source IS NOT DISTINCT FROM g.source AND a.rn = g.rn + 1),
+rest AS (SELECT source, min(room) AS rest FROM g GROUP BY source),
+more AS (
+  SELECT a.source, min(a.rn) AS rn FROM a JOIN g ON a.source IS NOT DISTINCT FROM g.source AND a.rn = g.rn
+    JOIN rest ON a.source IS NOT DISTINCT FROM rest.source
+  WHERE g.extra = 0 AND a.size > 0 AND a.size < 2 * (rest + lft - floor(lft)) GROUP BY a.source)
 SELECT doc_id, size, source_size, target,
-  ((epochs + CASE WHEN ahead + size / 2 <= lft AND ahead < lft THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM a
+  ((epochs + CASE WHEN g.extra = 1 OR more.rn IS NOT NULL THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM a JOIN g ON a.source IS NOT DISTINCT FROM g.source AND a.rn = g.rn
+  LEFT JOIN more ON a.source IS NOT DISTINCT FROM more.source AND a.rn = more.rn
 """
 
 

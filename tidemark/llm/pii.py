@@ -254,7 +254,7 @@ def train(spans: DataFrame):
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, n_secret, base_sha256, spans) of every row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, n_secret, base_sha256, spans, n_spans) of every row."""
     found = candidates(docs)
     spans = stored(_free(placed(found)), "pii_spans")
     probability = train(spans)
@@ -274,6 +274,7 @@ def find(docs: DataFrame) -> DataFrame:
         *[F.coalesce(f"n_{k}", F.lit(0)).cast("bigint").alias(f"n_{k}") for k in (*BASE, ADDED)],
         F.sha2(F.coalesce(base, F.lit("")), 256).alias("base_sha256"),
         F.coalesce(text, F.lit("")).alias("spans"),
+        F.coalesce(F.size("all"), F.lit(0)).cast("bigint").alias("n_spans"),
     )
 
 
