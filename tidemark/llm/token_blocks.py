@@ -190,7 +190,7 @@ class WordEncoder(IdPool):
 
 
 def _pool(vocabulary: str) -> IdPool:
-    """The encoder of this worker."""
+    """The encoder of this worker. Later tasks of the worker find the words of earlier ones, within the pool's limit."""
     if vocabulary not in _pools:
         _pools[vocabulary] = word_encoder(vocabulary)
     return _pools[vocabulary]
@@ -245,8 +245,6 @@ def _write_files(vocabulary: str, path: str, end_id: int, share: float, file_ids
                     out, part = None, part + 1
         if out is not None:
             yield done()
-        # What was kept of this task's words is given back: workers live on.
-        pool.clear()
 
     return write
 
