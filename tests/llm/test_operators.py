@@ -433,9 +433,33 @@ def test_forest_on_held_out_labels(spark, medium):
     fit, held = labels.where("doc_id % 2 = 0"), {r["doc_id"]: r["quality"] for r in labels.where("doc_id % 2 = 1").collect()}
     judged = {r["doc_id"]: r for r in anomalies.judge(docs, fit).collect()}
     good = [i for i, q in held.items() if q == 1 and not judged[i]["base_failed"]]
-    bad = [i for i, q in held.items() if q == 0]
-    assert sum(judged[i]["kept"] for i in good) >= 0.97 * len(good)
-    assert sum(not judged[i]["kept"] for i in bad) >= 0.7 * len(bad)
+    # Bad rows that the base rule lets through: the forest alone decides on them.
+    bad = [i for i, q in held.items() if q == 0 and not judged[i]["base_failed"]]
+    assert len(bad) >= 10
+    assert sum(judged[i]["kept"] for i in good) >= 0.99 * len(good)
+    assert sum(not judged[i]["kept"] for i in bad) >= 0.9 * len(bad)
+
+
+def test_repeated_rows_do_not_change_the_forest(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    once = {r["doc_id"]: (r["score"], r["kept"]) for r in anomalies.judge(docs, labels, fit_rows=40).collect()}
+    thrice = anomalies.judge(docs.unionAll(docs).unionAll(docs), labels.unionAll(labels), fit_rows=40).collect()
+    assert len(thrice) == 3 * len(once) and all(once[r["doc_id"]] == (r["score"], r["kept"]) for r in thrice)
+
+
+def test_path_lengths_against_a_walk():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4))
+    forest = anomalies.grow_forest(x, trees=9, sample=64)
+    probe = np.vstack([x[:40], 10 * rng.normal(size=(20, 4))])
+    for row, got in zip(probe, anomalies.scores(probe, forest, 64)):
+        lengths = []
+        for feature, split, left, right, path, _ in forest:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] if row[feature[at]] <= split[at] else right[at]
+            lengths.append(path[at])
+        assert got == pytest.approx(2 ** (-np.mean(lengths) / anomalies.average_path(64)))
 
 
 def test_forest_sets_odd_rows_apart():

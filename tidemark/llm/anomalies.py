@@ -1,15 +1,16 @@
 """Quality rules with an isolation forest over their statistics.
 
 One pass counts what the rules need in every whole text. Trees of random splits are grown over the statistics of a
-bounded sample of documents labelled good; a document that few splits set apart is unlike them. The score is not the
-forest's alone: values more than three times the spread of the sample from its middle, which no split tells apart,
-add up to 0.35 by their distance. The threshold is calibrated on all labelled rows, good and bad: a given share of the
-good ones may be lost, more only for many bad ones each. A document is kept when the base rule holds and its score is
-not above the threshold.
+bounded sample of documents labelled good; a document that few splits set apart is unlike them. Splits are drawn from a
+box wider than the sample, so the empty space around it is cut too: a document far out comes into a leaf without rows
+after few splits, one just outside after more. The path lengths alone make the score. The threshold is calibrated on all
+labelled rows, good and bad: a given share of the good ones may be lost, more only for many bad ones each. A document is
+kept when the base rule holds and its score is not above the threshold.
 
 Nulls and edge cases: a null or empty text has no words and fails the base rule; labels without a document or with a
 null quality are not used; several labels of one id count as good if one is; without good labels the forest judges
-nothing and the base rule decides; repeated rows are judged alike; an empty table gives an empty result.
+nothing and the base rule decides; repeated rows are judged alike, and equal rows count once in the sample; an empty table gives an empty result; other
+columns of the documents are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 WINDOW = 8
 TREES, SAMPLE = 128, 256
-#: Labelled documents that the forest is fitted on at most: those with the smallest hash of their id.
+#: How far splits go beyond the rows of a tree, on either side, as a multiple of their range.
+BEYOND = 3.0
+#: Distinct labelled rows that the forest is fitted on at most: those with the smallest hash.
 FIT_ROWS = 16_384
 LOSS = 0.002
 #: Bad rows that the threshold must set apart for every good row it loses beyond LOSS.
@@ -105,30 +108,34 @@ def features(stats: pd.DataFrame) -> np.ndarray:
     ])
 
 
-def grow_forest(x: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 5) -> list[tuple]:
-    """Trees as (feature, split, left, right, path length at leaf) arrays, every one over a random part of ``x``."""
+def grow_forest(x: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 5, beyond: float = BEYOND) -> list[tuple]:
+    """Trees as (feature, split, left, right, path length at leaf) arrays, every one over a random part of ``x``.
+
+    A node is a box; a split cuts it at a random place of a random feature, whether or not rows lie on both sides.
+    """
     rng = np.random.default_rng(seed)
     depth = int(np.ceil(np.log2(max(2, min(sample, len(x))))))
     forest = []
     for _ in range(trees):
         rows = x[rng.choice(len(x), min(sample, len(x)), replace=False)]
+        margin = beyond * np.maximum(np.ptp(rows, axis=0), 1e-3)
         nodes: list[list[float]] = []
-        todo = [(rows, 0, -1, 0)]
+        todo = [(rows, rows.min(axis=0) - margin, rows.max(axis=0) + margin, 0, -1, 0)]
         while todo:
-            part, level, parent, side = todo.pop()
+            part, low, high, level, parent, side = todo.pop()
             at = len(nodes)
             if parent >= 0:
                 nodes[parent][2 + side] = at
-            spread = np.ptp(part, axis=0) if len(part) else np.zeros(x.shape[1])
-            open_ = np.flatnonzero(spread > 0)
-            if level >= depth or len(part) <= 1 or not len(open_):
+            if level >= depth or len(part) <= 1:
                 nodes.append([-1, 0.0, at, at, level + average_path(len(part))])
                 continue
-            j = int(rng.choice(open_))
-            low = part[:, j].min()
-            cut = low + rng.random() * spread[j]
+            j = int(rng.integers(x.shape[1]))
+            cut = low[j] + rng.random() * (high[j] - low[j])
             nodes.append([j, cut, 0, 0, 0.0])
-            todo += [(part[part[:, j] <= cut], level + 1, at, 0), (part[part[:, j] > cut], level + 1, at, 1)]
+            below, above = high.copy(), low.copy()
+            below[j] = above[j] = cut
+            under = part[:, j] <= cut
+            todo += [(part[under], low, below, level + 1, at, 0), (part[~under], above, high, level + 1, at, 1)]
         a = np.array(nodes)
         forest.append((a[:, 0].astype(np.int64), a[:, 1], a[:, 2].astype(np.int64), a[:, 3].astype(np.int64), a[:, 4], depth))
     return forest
@@ -140,7 +147,7 @@ def average_path(n: int) -> float:
 
 
 def scores(x: np.ndarray, forest: list[tuple], sample: int = SAMPLE) -> np.ndarray:
-    """Anomaly scores in (0, 1); higher is odder. Values beyond what a tree has seen are set apart at once."""
+    """Anomaly scores in (0, 1); higher is odder."""
     total = np.zeros(len(x))
     for feature, split, left, right, path, depth in forest:
         at = np.zeros(len(x), np.int64)
@@ -175,9 +182,13 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, loss: fl
     rated = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     stats = stats.withColumn("base_failed", base)
-    good = stats.where(~base).join(rated.where("quality = 1"), "doc_id")
-    # A bounded sample: the threshold below still sees every labelled row.
-    sample = good.orderBy(F.xxhash64("doc_id"), *STATS).limit(fit_rows).select(*STATS).toPandas()
+    good = stats.where(~base).join(rated.where("quality = 1"), "doc_id").select("doc_id", *STATS).distinct()
+    good = stored(good.withColumn("_h", F.xxhash64("doc_id", *STATS)), "rule_good")
+    # A bounded sample: the threshold below still sees every labelled row. About twice as many as are taken are ordered,
+    # whatever the number of tasks.
+    place = F.col("_h").cast("double") / float(1 << 64) + 0.5
+    low = good.where(place * good.count() < 2 * fit_rows)
+    sample = low.orderBy("_h", "doc_id", *STATS).limit(fit_rows).select(*STATS).toPandas()
     if not len(sample):
         return stats.withColumns({"score": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
     x = features(sample)
@@ -187,10 +198,7 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, loss: fl
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            z = (features(batch) - middle) / scale
-            # The forest cannot tell values beyond its rows' range apart, so far ones count by their distance too.
-            far = np.abs(z).max(axis=1, initial=0.0)
-            yield batch.assign(score=scores(z, forest) + np.clip(far - 3, 0, 7) / 20)
+            yield batch.assign(score=scores((features(batch) - middle) / scale, forest))
 
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields)
     scored = stored(stats.mapInPandas(score, f"{kind}, score double"), "rule_scores")
