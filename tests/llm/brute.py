@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small inputs."""
 
+import math
 import hashlib
 import re
 
@@ -101,3 +102,40 @@ def best_path(nodes, parent, score):
         if best is None or key > best[0]:
             best = (key, path[::-1])
     return best and best[1]
+
+
+def fused(rows, languages, smooth=5.0, sure=0.6):
+    """(lang, confidence, text_lang, kept) of evidence rows, each judged by sums over all other rows."""
+    k = len(languages)
+
+    def softmax(logs):
+        weights = [math.exp(x - max(logs)) for x in logs]
+        return [w / sum(weights) for w in weights]
+
+    def shares(sums, base):
+        total = sum(sums)
+        return [(s + smooth * b) / (total + smooth) for s, b in zip(sums, base)]
+
+    known = [r["n"] > 0 and max(r["ratio"]) > 0 for r in rows]
+    p = [softmax(r["ratio"]) if ok else [0.0] * k for r, ok in zip(rows, known)]
+    whole = [sum(x[i] for x in p) for i in range(k)]
+    corpus = [(x + 1) / (sum(whole) + k) for x in whole]
+    out = []
+    for at, r in enumerate(rows):
+        def others(key):
+            alike = [p[j] for j, o in enumerate(rows) if j != at and o[key] == r[key]]
+            return [sum(x[i] for x in alike) for i in range(k)]
+
+        host = shares(others("host"), shares(others("domain"), corpus))
+        logs = [(x if r["n"] > 0 else 0.0) + math.log(h) for x, h in zip(r["ratio"], host)]
+        for key in ("declared", "suffix"):
+            lift = [a / b for a, b in zip(shares(others(key), corpus), corpus)]
+            logs = [a + math.log(b) for a, b in zip(logs, lift)]
+        posterior = softmax(logs)
+        sure_of = max(posterior)
+        explained = known[at] or (0 < r["n"] < 10 and r["declared"] in languages)
+        out.append((
+            languages[posterior.index(sure_of)] if explained else "und", sure_of,
+            languages[p[at].index(max(p[at]))] if known[at] else "und", explained and sure_of >= sure,
+        ))
+    return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from llm import brute
 from tidemark.llm import anomalies, chat, fingerprints, jaccard, language, mixing, pieces, pii, sharding, token_blocks, units
+from tidemark.plans.bounds import stored
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, size int, kept boolean"
 LONG = " ".join(f"word{i % 997} é{i}" for i in range(30_000))
@@ -482,6 +483,25 @@ def test_bad_labels_move_the_threshold():
     assert anomalies.calibrated([], 0.2) == anomalies.BINS
 
 
+def test_posterior_against_brute_force(spark, small, odd):
+    docs, pages = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "pages"))
+    model = language.TextModel.fit(docs)
+    declared = docs.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
+    for evidence in (language.page_evidence(pages.limit(300), model), language.document_evidence(declared, model), language.document_evidence(odd, model)):
+        evidence = stored(evidence, "language_test")
+        rows = evidence.collect()
+        want = brute.fused(rows, model.languages)
+        got = language.fuse(evidence, model).collect()
+        # Rows of one id may be repeated: they are compared in order of all they hold.
+        sides = (
+            sorted((key((r["id"], r["n"], r["host"])), w[1], w[0], w[2], w[3]) for r, w in zip(rows, want)),
+            sorted((key((r["id"], r["n"], r["host"])), r["confidence"], r["lang"], r["text_lang"], r["kept"]) for r in got),
+        )
+        assert len(rows) > 3 and len(sides[0]) == len(sides[1])
+        for w, g in zip(*sides):
+            assert w[0] == g[0] and w[2:] == g[2:] and w[1] == pytest.approx(g[1], abs=1e-9)
+
+
 def test_markup_is_read_by_attribute():
     read = language.markup_language
     assert read('<html data-lang="xx" lang="de">') == "de" and read("<HTML LANG=pt-BR>") == "pt" and read("<html xml:lang='fr'>") is None
