@@ -139,3 +139,24 @@ def fused(rows, languages, smooth=5.0, sure=0.6):
             languages[p[at].index(max(p[at]))] if known[at] else "und", explained and sure_of >= sure,
         ))
     return out
+
+
+def reliabilities(patterns, labelers, tolerance):
+    """Prior and vote tables by expectation-maximisation over counted vote patterns (dicts with n and a vote per labeler)."""
+    prior, before, count = 0.5, -math.inf, sum(r["n"] for r in patterns)
+    says = {name: {1: (0.5, 0.15), 0: (0.35, 0.35), -1: (0.15, 0.5)} for name in labelers}
+    while True:
+        weight, fit = [], 0.0
+        for r in patterns:
+            a = prior * math.prod(says[name][r[name]][0] for name in labelers)
+            b = (1 - prior) * math.prod(says[name][r[name]][1] for name in labelers)
+            weight.append(r["n"] * a / (a + b))
+            fit += r["n"] * math.log(a + b) / count
+        if abs(fit - before) < tolerance:
+            return prior, says
+        yes, before = sum(weight), fit
+        prior = yes / count
+        says = {name: {vote: (
+            (sum(w for w, r in zip(weight, patterns) if r[name] == vote) + 1) / (yes + 3),
+            (sum(r["n"] - w for w, r in zip(weight, patterns) if r[name] == vote) + 1) / (count - yes + 3),
+        ) for vote in (1, 0, -1)} for name in labelers}

@@ -122,6 +122,49 @@ def test_labelers_are_weighed_and_secrets_found(spark, medium):
     assert all(sum(c.isdigit() for c in h[12:]) >= 2 for h in hits)
 
 
+def test_reliabilities_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    # Three good labelers, one that guesses, one that mostly abstains.
+    truth = rng.random(4000) < 0.3
+    wrong, silent = (0.1, 0.15, 0.2, 0.5, 0.1), (0.1, 0.1, 0.3, 0.1, 0.9)
+    cast = np.array([np.where(rng.random(4000) < q, 0, np.where(rng.random(4000) < w, 1 - 2 * truth, 2 * truth - 1)) for w, q in zip(wrong, silent)]).T
+    votes, n = np.unique(cast, axis=0, return_counts=True)
+    rows = [(*map(int, v), int(c)) for v, c in zip(votes, n)]
+    patterns = spark.createDataFrame(rows, [*pii.LABELERS, "n"])
+    prior, says = pii.reliabilities(patterns)
+    want = brute.reliabilities([dict(zip([*pii.LABELERS, "n"], r)) for r in rows], pii.LABELERS, pii.TOLERANCE)
+    assert prior == pytest.approx(want[0], abs=1e-9) and abs(prior - 0.3) < 0.03
+    for name in pii.LABELERS:
+        for vote in (1, 0, -1):
+            assert says[name][vote] == pytest.approx(want[1][name][vote], abs=1e-9)
+    odds = [says[name][1][0] / says[name][1][1] for name in pii.LABELERS]
+    assert min(odds[:3]) > 2 > max(odds[3], 1 / odds[3])
+    assert pii.reliabilities(patterns.limit(0)) is None
+
+
+def test_recall_of_added_spans(spark, medium):
+    """Planted by kind: every kind is found whole in nine of ten cases, ordinary numbers are left alone."""
+    rng = np.random.default_rng(7)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    planted = {}
+    for i in range(30):
+        for k, (shape, hit) in enumerate({
+            "the token = {} was set": draw("0123456789abcdef", 32), "use apikey: {} there": draw(letters + "0123456789", 24) + "7",
+            "my account number {} is new": draw("123456789", 11), f"see page {i + 1} of chapter {i % 9 + 1} from 19{i + 10}": "",
+        }.items()):
+            planted[10_000_000 + 10 * i + k] = (k, shape.format(hit), hit)
+    docs = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text")
+    both = docs.unionByName(spark.createDataFrame([(i, text) for i, (_, text, _) in planted.items()], docs.schema))
+    right = [0] * 4
+    for r in pii.find(both).where("doc_id >= 10000000").collect():
+        kind, text, hit = planted[r["doc_id"]]
+        spans = [s.split(":") for s in r["spans"].split(",") if s]
+        assert r["n_spans"] == len(spans)
+        right[kind] += [text[int(a) : int(b)] for _, a, b in spans] == ([hit] if hit else [])
+    assert min(right) >= 27
+
+
 def test_redaction(spark, odd):
     out = pii.redact(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

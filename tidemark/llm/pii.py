@@ -17,6 +17,7 @@ classes apart, nothing is added; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
@@ -40,7 +41,8 @@ PATTERNS = {
 TELLING = ("password", "passwd", "pwd", "token", "secret", "apikey", "key", "pin", "ssn", "passport", "iban", "account", "login", "card", "tel", "phone", "mobile", "fax", "mail", "contact")
 ORDINARY = ("page", "chapter", "section", "version", "figure", "table", "year", "no", "vol", "line", "item", "step", "part", "license", "copyright")
 CONTEXT = 32
-PASSES = 15
+#: Expectation-maximisation ends when a pass changes the mean log likelihood of a span's votes by less than this.
+TOLERANCE = 1e-5
 #: Added spans need this probability.
 SURE = 0.9
 LABELERS = ("shape", "length", "digits", "before", "gazetteer")
@@ -177,9 +179,10 @@ def _free(spans: DataFrame) -> DataFrame:
     return checked.withColumn("clear", clear).where(F.col("base") | F.col("clear")).drop("clear")
 
 
-def reliabilities(patterns: DataFrame, passes: int = PASSES) -> tuple[float, dict[str, dict[int, tuple[float, float]]]] | None:
+def reliabilities(patterns: DataFrame, tolerance: float = TOLERANCE) -> tuple[float, dict[str, dict[int, tuple[float, float]]]] | None:
     """Expectation-maximisation over counted vote patterns: the share of personal data, and per labeler and vote its
     probability for (personal, other) spans. One aggregation to one row per pass; at most 3**labelers rows in all.
+    Passes go on until the likelihood stands still, however many that takes.
     """
     count = patterns.agg(F.sum("n")).first()[0]
     if not count:
@@ -187,15 +190,22 @@ def reliabilities(patterns: DataFrame, passes: int = PASSES) -> tuple[float, dic
     prior = 0.5
     # Labelers start out better than chance, which also says which class is which.
     says = {name: {1: (0.5, 0.15), 0: (0.35, 0.35), -1: (0.15, 0.5)} for name in LABELERS}
-    for _ in range(passes):
-        p = likelihood(prior, says, {name: F.col(name) for name in LABELERS})
-        sums = [F.sum(F.col("n") * p).alias("yes")]
+    before = -math.inf
+    while True:
+        yes, no = _sides(prior, says, {name: F.col(name) for name in LABELERS})
+        # Named columns first: in every one of the sums the products would be a large program.
+        weighed = patterns.withColumns({"_p": yes / (yes + no), "_fit": F.log(yes + no)})
+        p = F.col("_p")
+        sums = [F.sum(F.col("n") * p).alias("yes"), F.sum(F.col("n") * F.col("_fit")).alias("fit")]
         for name in LABELERS:
             for vote in (1, 0, -1):
                 here = F.when(F.col(name) == vote, F.col("n")).otherwise(0)
                 sums += [F.sum(here * p).alias(f"{name}_{vote}_p"), F.sum(here * (1 - p)).alias(f"{name}_{vote}_q")]
-        row = patterns.agg(*sums).first()
-        yes = row["yes"]
+        row = weighed.agg(*sums).first()
+        fit, yes = row["fit"] / count, row["yes"]
+        if abs(fit - before) < tolerance:
+            return prior, says
+        before = fit
         prior = min(max(yes / count, 1e-6), 1 - 1e-6)
         # One vote of each kind is added, so that none is held impossible.
         says = {
@@ -205,11 +215,10 @@ def reliabilities(patterns: DataFrame, passes: int = PASSES) -> tuple[float, dic
             }
             for name in LABELERS
         }
-    return prior, says
 
 
-def likelihood(prior: float, says: dict, vote: dict[str, Column]) -> Column:
-    """Probability of personal data given the votes, as a column."""
+def _sides(prior: float, says: dict, vote: dict[str, Column]) -> tuple[Column, Column]:
+    """Probability of the votes together with personal data, and with other spans."""
 
     def product(side: int, start: float) -> Column:
         out = F.lit(start)
@@ -217,7 +226,12 @@ def likelihood(prior: float, says: dict, vote: dict[str, Column]) -> Column:
             out = out * F.when(vote[name] == 1, table[1][side]).when(vote[name] == -1, table[-1][side]).otherwise(table[0][side])
         return out
 
-    yes, no = product(0, prior), product(1, 1 - prior)
+    return product(0, prior), product(1, 1 - prior)
+
+
+def likelihood(prior: float, says: dict, vote: dict[str, Column]) -> Column:
+    """Probability of personal data given the votes, as a column."""
+    yes, no = _sides(prior, says, vote)
     return yes / (yes + no)
 
 
