@@ -449,6 +449,25 @@ def test_sets_of_one_node_are_compared(spark, monkeypatch):
         assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(rows, 3, 90)))
 
 
+def _thue_morse(n):
+    return "".join("ab"[i.bit_count() % 2] for i in range(n)), "".join("ba"[i.bit_count() % 2] for i in range(n))
+
+
+def test_long_words_that_sums_of_powers_confuse(spark):
+    """Words whose bytes give one sum at any step, alone, in a shingle twice, and between equal words."""
+    rows = []
+    for n in (63, 64, 65, 128, 1024, 2048, 4096):
+        x, y = _thue_morse(n)
+        line = " ".join(f"w{n}x{i}" for i in range(5))
+        for text in (x, y, f"{line} {x} {line}", f"{line} {y} {line}", f"one {x} two {y}", f"one {x} two {x}", f"{x} {y} {x} {y} {x}", f"{x[:-1]} {y[:-1]} a b"):
+            rows.append((len(rows), text))
+    got = jaccard.link_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(key((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(key, brute.groups(rows)))
+    for n in (1024, 4096):
+        x, y = _thue_morse(n)
+        assert len(set(units.Words([f"{x} {y} {x}a {y}a a{x} a{y}".encode()]).hashes().tolist())) == 6
+
+
 def test_overlaps_in_fragments():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]

@@ -18,6 +18,9 @@ _LOWER[65:91] += 32
 # One random number per byte value; words are summed up with powers of an odd number, then mixed.
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word that are summed up at once. In 64 bits such sums agree for words as short as 1,024 bytes, whatever the
+#: step (Thue-Morse words), so longer words are mixed piece by piece.
+PIECE_BYTES = 64
 
 
 def slices(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -62,10 +65,18 @@ class Words:
         if not len(self.start):
             return np.zeros(0, np.uint64)
         length = self.end - self.start
-        first = np.concatenate([[0], np.cumsum(length)[:-1]])
-        place = np.arange(int(length.sum())) - np.repeat(first, length)
-        power = np.cumprod(np.full(int(length.max()), _STEP, np.uint64))
-        return mix64(np.add.reduceat(_BYTE[self.buf[self.inside]] * power[place], first) + length.astype(np.uint64))
+        pieces = -(-length // PIECE_BYTES)
+        first = np.cumsum(pieces) - pieces
+        nth = np.arange(int(pieces.sum())) - np.repeat(first, pieces)
+        size = np.minimum(np.repeat(length, pieces) - nth * PIECE_BYTES, PIECE_BYTES)
+        begin = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(begin, size)
+        power = np.cumprod(np.full(int(size.max()), _STEP, np.uint64))
+        part = np.add.reduceat(_BYTE[self.buf[self.inside]] * power[place], begin)
+        part = mix64(part + np.repeat(length, pieces).astype(np.uint64))
+        later = nth > 0
+        part[later] = mix64(part[later] + nth[later].astype(np.uint64) * _STEP)
+        return np.add.reduceat(part, first)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, index of the first word) of all runs of ``n`` words inside one text."""
