@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
@@ -57,6 +57,8 @@ PICKUP = "tpep_pickup_datetime"
 LLOYD_PASSES = 20
 #: Rows of a full file and of the small files that micro-batches leave.
 FULL_FILE_ROWS, SMALL_FILE_ROWS = 100_000, 250
+#: Small files that one task writes.
+TASK_FILES = 32
 
 _registry: dict[str, Query] = {}
 
@@ -913,9 +915,20 @@ def _files(df: DataFrame, rows: int) -> int:
 
 
 def _scattered(spark, sf_dir, name: str) -> str:
-    """Trips stored the way many micro-batches leave them: in many small files."""
+    """Trips stored the way many micro-batches leave them: in many small files.
+
+    A task for every file takes longer to start and commit than to write. So a task gets the rows of many files, by their
+    numbers in the table's own files, and only the last file of all is not full. Tasks commit their files themselves.
+    """
     path, trips = run_dir(spark, name), w.Source(spark, sf_dir).trips
-    trips.repartition(_files(trips, SMALL_FILE_ROWS)).write.parquet(path)
+    rows = trips.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    # The driver lists the table's files anyway: their row counts are summed up in one window.
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", before.alias("_start"))
+    task = F.floor((F.col("_start") + F.col("_index")) / F.lit(SMALL_FILE_ROWS * TASK_FILES)).cast("int")
+    dealt = rows.join(F.broadcast(starts), "_file").repartitionById(math.ceil(_files(trips, SMALL_FILE_ROWS) / TASK_FILES), task)
+    files = dealt.select(*trips.columns).write.option("maxRecordsPerFile", SMALL_FILE_ROWS)
+    files.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
     return path
 
 
