@@ -151,6 +151,8 @@ def mix(
     of_source = plan.drop("weight", "n_docs").join(rests, same, "left").drop("_of").withColumnRenamed("source", "_of")
     edges = grid.join(of_source, same).join(most, F.col("source").eqNullSafe(F.col("_s")) & (F.col("cell") == F.col("_c")), "left")
     edges = edges.select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "source_size", "target", "epochs", "left", "rest", "most")
+    # Stored, for every later step joins it: else each of them plans and broadcasts all rounds anew, in the driver's memory.
+    edges = stored(edges, "mix_edges")
     placed = rows.join(edges, F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell")))
     whole = F.when(F.col("size") > 0, F.coalesce(F.col("size") <= F.col("most"), F.lit(False))).otherwise(F.col("left") >= 1)
 
@@ -213,7 +215,8 @@ def _fill(rows: DataFrame, grid: DataFrame, rooms: DataFrame) -> tuple[DataFrame
         of = rows.schema["source"].dataType.simpleString()
         kind = f"_of {of}, after int, cut int, room bigint, rest bigint"
         return spark.createDataFrame([], kind), rows.select("source", *_ORDER, F.col("size").alias("m"), F.col("size").alias("n")).where("false")
-    return reduce(DataFrame.unionByName, rounds), reduce(DataFrame.unionByName, cuts)
+    # One table each, not a branch for every round in the plans that follow.
+    return stored(reduce(DataFrame.unionByName, rounds), "mix_rounds"), stored(reduce(DataFrame.unionByName, cuts), "mix_cuts")
 
 
 def _in_order(table: pa.Table) -> pa.Table:
