@@ -6,6 +6,7 @@ from tidemark.functions.columns import zorder_key
 from tidemark.plans.bounds import measure
 from tidemark.plans import layout
 from tidemark.plans.layout import compact, data_files, file_stats, layer_of, packed_files, write_lookup_layer, zorder_rewrite
+from workload import queries as q
 from workload import views as w
 
 COLS = ["tpep_pickup_datetime", "PULocationID"]
@@ -199,3 +200,17 @@ def test_a_half_written_layer_is_written_again(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     assert layer_of(spark, "h", source, lambda p: spark.range(5).write.mode("overwrite").parquet(p)) == path
     assert spark.read.parquet(path).count() == 5
+
+
+def test_small_files_are_written_many_a_task(spark, small, tmp_path):
+    """Tables of several files, none of whole small files, ids null or repeated: as many files as full ones hold the rows."""
+    events = spark.read.parquet(f"{small}/events.parquet").withColumn("event_id", F.expr("CASE WHEN event_id % 5 > 0 THEN event_id % 90 END"))
+    for n in (3001, 7, 777, 9000):
+        events.crossJoin(spark.range(10)).drop("id").limit(n).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    path = q._scattered(spark, str(tmp_path), "scattered")
+    trips, back = w.Source(spark, str(tmp_path)).trips, spark.read.parquet(path)
+    sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sorted(sizes)[0] == trips.count() % 250 and sorted(sizes)[1:] == [250] * (trips.count() // 250)
+    assert trips.exceptAll(back).isEmpty() and back.exceptAll(trips).isEmpty()
+    tasks = {r[0] for r in back.select(F.regexp_extract(F.col("_metadata.file_path"), r"part-(\d+)-", 1)).distinct().collect()}
+    assert len(tasks) == -(-len(sizes) // q.TASK_FILES)

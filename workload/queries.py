@@ -24,7 +24,7 @@ from tidemark.operators import schema as sch
 from tidemark.operators import scoring as sc
 from tidemark.operators.joins import enrich
 from tidemark.plans import layout as lay
-from tidemark.plans.bounds import cut, run_dir
+from tidemark.plans.bounds import cut, run_dir, settings
 from tidemark.plans.ordered import rolling_mean
 from tidemark.sources.files import ingest, read_csv_dimension, stream_dir, stream_table
 from tidemark.sources.rescue import RESCUED, rescue, rescue_json, rescue_variant
@@ -944,7 +944,9 @@ def zorder_compact(spark, sf_dir):
 def file_stats(spark, sf_dir):
     before, after = _scattered(spark, sf_dir, "layout"), run_dir(spark, "layout")
     stored = spark.read.parquet(before)
-    lay.zorder_rewrite(stored, [PICKUP, "PULocationID"], after, files=_files(stored, FULL_FILE_ROWS))
+    # A task reads hundreds of the small files, not 32: each pass has fewer tasks, and fewer sketches to merge.
+    with settings(spark, {"spark.sql.files.openCostInBytes": str(256 * 1024)}):
+        lay.zorder_rewrite(stored, [PICKUP, "PULocationID"], after, files=_files(stored, FULL_FILE_ROWS))
     rows = [
         lay.file_stats(spark, p).select(F.lit(tag).alias("layout"), "n_files", "n_rows")
         for tag, p in (("before", before), ("after", after))
