@@ -11,6 +11,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 import public_tokenizers
 from llm import brute
+from tidemark.llm import mixing
 from tidemark.llm.rows import addressed, without
 
 
@@ -139,3 +140,13 @@ def test_rest_works_without_this_package(tmp_path):
                 (to / f).write_text(open(os.path.join(folder, f)).read())
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 60 and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, timeout=120).returncode == 0
+
+
+def test_mix_plans_do_not_grow_with_the_rounds(spark):
+    """Sources that are filled in several rounds: what reads the result plans one table of rounds, not a branch for each."""
+    rows = [(i, " ".join(["w"] * (1 + i * 37 % 90)), "abc"[i % 3]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    mixed = mixing.mix(docs, cells=16)
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") <= 1
+    assert mixed.count() == 300
