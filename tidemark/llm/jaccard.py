@@ -41,6 +41,8 @@ WORDS, PERCENT = 3, 90
 LEVEL_RATIO = 1.25
 #: Equal fragments that linked sets share at least; fewer are chance, such as a passage that many documents have.
 SHARED = 3
+#: Bytes of text that a task takes at once; arrays over them take up to 40 times as much.
+SLICE = 512 << 10
 #: Documents and shingles of one side of a block.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 #: Shingles of one fragment of the order when overlaps are counted.
@@ -146,7 +148,7 @@ def _key_rows(n: int, percent: int, extra: list[str]):
         levels = Levels(percent)
         for batch in batches:
             ids = batch.column("_doc")
-            for start, texts in slices(batch.column("_text").to_pylist()):
+            for start, texts in slices(batch.column("_text").to_pylist(), SLICE):
                 sets = shingle_sets(texts, n)
                 size = np.array([len(s) for s in sets], np.int64)
                 digest = _digests(sets)
@@ -221,7 +223,7 @@ def _pack(words: int, percent: int, buckets: int, frequent: np.ndarray, only: bo
                 [pa.array(c, kind) for c, kind in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "first", "gaps", "nodes"])
 
         for batch in batches:
-            for _, texts in slices(batch.column("_text").to_pylist()):
+            for _, texts in slices(batch.column("_text").to_pylist(), SLICE):
                 held.append(_signed(texts, words, levels, shift))
                 size += len(held[-1][0])
                 if size >= RECORD_SIGNS:
@@ -283,7 +285,7 @@ def _wanted_sets(n: int, bits: np.ndarray | None):
             if bits is not None:
                 slot = batch.column("_slot").to_numpy()
                 batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7) & 1).astype(bool)))
-            for start, texts in slices(batch.column("_text").to_pylist()):
+            for start, texts in slices(batch.column("_text").to_pylist(), SLICE):
                 sets = shingle_sets(texts, n)
                 bound = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -435,7 +437,7 @@ def _frequent(texts: DataFrame, words: int, percent: int, signs: int) -> np.ndar
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(percent)
         for batch in batches:
-            for _, part in slices(batch.column("_text").to_pylist()):
+            for _, part in slices(batch.column("_text").to_pylist(), SLICE):
                 # Copies stay together, so that they count once.
                 part = [t for t in part if zlib.crc32(t) % one_of == 0]
                 sign, node = _unique_pairs(*_signed(part, words, levels, shift)) if part else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
