@@ -318,6 +318,34 @@ def test_words_encode_as_whole_texts_do():
     assert ids.tolist() == [i for x in whole for i in x] and n.tolist() == list(map(len, whole))
 
 
+def test_words_parted_together():
+    texts = [None, "", " ", "a b", " c\n\nd\t", "x", "y z é\rü\x0bw", "\n", "a  a", None]
+    for kind in (pa.string(), pa.large_string()):
+        for first in range(len(texts) + 1):
+            words, n = units.parted(pa.array(texts, kind).slice(first))
+            want = [[u for u in token_blocks._units(t) if u] for t in texts[first:]]
+            assert words.to_pylist() == [u for x in want for u in x] and n.tolist() == [len(x) for x in want]
+
+
+def test_words_of_many_texts_are_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *given):
+            Counted.asked += 1
+            return super().get(*given)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["it's 12ab, Éa x-y\n<|endoftext|>z Σ ", None, *["the same few words, it's 12ab"] * 500, "w" * 60]
+    pool = token_blocks.word_encoder(path)
+    want = token_blocks.word_encoder(path)([token_blocks._units(t) for t in texts])
+    pool.at = Counted()
+    for _ in range(2):
+        ids, n = pool.of_words(*units.parted(pa.array(texts)))
+        assert ids.tolist() == want[0].tolist() and n.tolist() == want[1].tolist()
+    assert Counted.asked == 2 * len({u for t in texts for u in token_blocks._units(t) if u})
+
+
 # -- pieces -----------------------------------------------------------------------------------
 
 

@@ -35,13 +35,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import SLICE_BYTES, IdPool
+from tidemark.llm.units import IdPool, parted, strings
 from tidemark.plans.bounds import run_dir
 
 BLOCK = 4096
 WIDTH_SHARE = 0.97
 END_ID = 2
 MAGIC = b"PFR1"
+#: Texts of about this size are encoded at once: more of them share their words.
+SLICE_BYTES = 6 << 20
 _HEAD = struct.Struct("<HBHI")
 
 
@@ -130,7 +132,9 @@ def read_ids(data: bytes, first: int, last: int, block: int = BLOCK) -> np.ndarr
 _pools: dict[str, IdPool] = {}
 #: Words of these characters only are lower-cased and parted here as the tokenizer does it; others go to it whole.
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+_ALL_PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ\n]*").fullmatch
+#: Parts of words that stand one to a line; the line ends are parts too.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n").findall
 
 
 def word_encoder(vocabulary: str) -> IdPool:
@@ -160,12 +164,27 @@ def word_encoder(vocabulary: str) -> IdPool:
 
     pieces = IdPool(together)
 
+    def by_parts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        coded = pa.array(_PARTS("\n".join(words).lower()), pa.large_string()).dictionary_encode()
+        distinct, code = strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+        gap = distinct.index("\n") if len(words) > 1 else -1
+        ends = np.flatnonzero(code == gap)
+        upto = np.concatenate([[-1], ends, [len(code)]])
+        if gap >= 0:
+            distinct[gap] = distinct[gap - 1]  # No part; this number is not used.
+        if pieces.used > pieces.limit:
+            pieces.clear()
+        return pieces.of_numbers(pieces.numbers(distinct)[code[code != gap]], np.diff(upto) - 1)
+
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = "\n".join(words)
+        if "<|" not in joined and _ALL_PLAIN(joined) and joined.count("\n") == len(words) - 1 and "" not in words:
+            return by_parts(words)
         plain = [i for i, w in enumerate(words) if _PLAIN(w) and "<|" not in w]
-        if len(plain) == len(words):
-            return pieces([_PARTS(w.lower()) for w in words])
         odd = sorted(set(range(len(words))) - set(plain))
-        flat = [pieces([_PARTS(words[i].lower()) for i in plain]), whole([words[i] for i in odd])]
+        flat = [by_parts([words[i] for i in plain]), whole([words[i] for i in odd])]
         length = np.zeros(len(words), np.int64)
         length[plain], length[odd] = flat[0][1], flat[1][1]
         start = np.cumsum(length) - length
@@ -197,6 +216,7 @@ def _pool(vocabulary: str) -> IdPool:
 
 
 def _units(text: str | None) -> list[str]:
+    """The words of one text, and empty ones between white space; ``parted`` takes many texts."""
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
 
 
@@ -227,7 +247,7 @@ def _write_files(vocabulary: str, path: str, end_id: int, share: float, file_ids
                 # Documents up to the one that reaches the size of a slice.
                 before = int(upto[begin - 1]) if begin else 0
                 end = min(len(ids), int(np.searchsorted(upto, before + SLICE_BYTES)) + 1)
-                flat, n = pool([_units(t) for t in texts.slice(begin, end - begin).to_pylist()])
+                flat, n = pool.of_words(*parted(texts.slice(begin, end - begin)))
                 # The end id goes after every document.
                 with_end = np.full(len(flat) + len(n), end_id, np.uint32)
                 spot = np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)

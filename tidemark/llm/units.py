@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+from pyarrow import compute as pc
 
 SLICE_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
@@ -131,22 +133,25 @@ class IdPool:
         self.units += len(new)
         return first
 
-    def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per text) of texts given as lists of units."""
-        if self.used > self.limit:
-            self.clear()
-        flat = [u for units in texts for u in units]
-        number = np.fromiter(map(self.at.get, flat, repeat(-1)), np.int64, len(flat))
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The number of every unit; units not seen are encoded first. Numbers hold until ``clear``."""
+        number = np.fromiter(map(self.at.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(number < 0)
         if len(missing):
-            unseen = [flat[i] for i in missing.tolist()]
+            unseen = [units[i] for i in missing.tolist()]
             new = list(dict.fromkeys(unseen))
             first = self._add(new)
             self.at.update(zip(new, range(first, first + len(new))))
-            number[missing] = np.fromiter(map(self.at.__getitem__, unseen), np.int64, len(missing))
+            if len(new) == len(unseen):
+                number[missing] = np.arange(first, first + len(new))
+            else:
+                number[missing] = np.fromiter(map(self.at.__getitem__, unseen), np.int64, len(missing))
             for u in [u for u in new if len(u) > self.longest]:
                 del self.at[u]
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
+        return number
+
+    def of_numbers(self, number: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per text) of texts given as numbers of units, ``counts`` of them each."""
         length = self.length[number]
         total = int(length.sum())
         begin = np.cumsum(length) - length
@@ -154,3 +159,45 @@ class IdPool:
         upto = np.concatenate([[0], np.cumsum(length)])
         bound = np.concatenate([[0], np.cumsum(counts)])
         return ids, upto[bound[1:]] - upto[bound[:-1]]
+
+    def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per text) of texts given as lists of units."""
+        if self.used > self.limit:
+            self.clear()
+        number = self.numbers([u for units in texts for u in units])
+        return self.of_numbers(number, np.fromiter(map(len, texts), np.int64, len(texts)))
+
+    def of_words(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts given as one array of all their units: only the distinct ones are looked up."""
+        if self.used > self.limit:
+            self.clear()
+        coded = words.dictionary_encode()
+        number = self.numbers(strings(coded.dictionary))
+        return self.of_numbers(number[coded.indices.to_numpy(zero_copy_only=False)], counts)
+
+
+def strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+_PARTING = np.zeros(256, bool)
+_PARTING[[9, 10, 13, 32]] = True
+
+
+def parted(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(all words, words per text) of texts parted at blanks, tabs and line ends; nulls have no words."""
+    whole = pc.fill_null(texts, "").cast(pa.large_string())
+    whole = pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)
+    data = pc.binary_join(whole, pa.scalar("\n", pa.large_string())).buffers()[2]
+    letters = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    gap = _PARTING[letters]
+    gaps = np.flatnonzero(gap)
+    first, last = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(letters)]])
+    full = last > first
+    # Where words start once the gaps are gone.
+    offsets = np.concatenate([(first - np.arange(len(first)))[full], [len(letters) - len(gaps)]])
+    words = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(letters[~gap]))
+    # The end of every text is a gap, or the end of all.
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.searchsorted(last, np.cumsum(sizes) + np.arange(len(texts)))
+    return words, np.diff(np.concatenate([[0], np.cumsum(full)[ends]])) if len(texts) else np.zeros(0, np.int64)
