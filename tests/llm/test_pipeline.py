@@ -150,3 +150,17 @@ def test_mix_plans_do_not_grow_with_the_rounds(spark):
     plan = mixed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Union") <= 1
     assert mixed.count() == 300
+
+
+def test_a_round_of_the_mix_stores_three_tables(spark, monkeypatch):
+    """Every job costs the driver buffers and threads: a round stores its turn, its cut cells and its end, and asks nothing more."""
+    names, asked = [], []
+    frame = type(spark.range(1))
+    store, empty = mixing.stored, frame.isEmpty
+    monkeypatch.setattr(mixing, "stored", lambda df, name: names.append(name) or store(df, name))
+    monkeypatch.setattr(frame, "isEmpty", lambda df: asked.append(1) or empty(df))
+    rows = [(i, " ".join(["w"] * (1 + i * 37 % 90)), "abc"[i % 3]) for i in range(300)]
+    mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), cells=16)
+    rounds = names.count("mix_round")
+    assert rounds > 1 and not asked
+    assert sum(n in ("mix_words", "mix_turn", "mix_cut", "mix_round") for n in names) == 3 * rounds

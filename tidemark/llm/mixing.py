@@ -18,7 +18,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.rows import ADDRESS, addressed, plain_scan
@@ -135,7 +135,8 @@ def mix(
 
     per_cell = stored(rows.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix_cells")
     sizes = per_cell.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n_docs"))
-    plan = stored(targets(ranked_sources(stored(sizes, "mix_sizes"), weights), max_epochs), "mix_plan")
+    # The ranking is stored, else every pass of the targets ranks and broadcasts anew.
+    plan = stored(targets(stored(ranked_sources(sizes, weights), "mix_ranks"), max_epochs), "mix_plan")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = plan.withColumn("epochs", epochs.cast("bigint")).withColumn(
         "left", F.col("target") - F.col("epochs") * F.col("source_size")
@@ -188,11 +189,14 @@ def _fill(rows: DataFrame, grid: DataFrame, rooms: DataFrame) -> tuple[DataFrame
     in_cell = F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell"))
     same = F.col("source").eqNullSafe(F.col("_of"))
     sized, rounds, cuts = rows.where("size > 0"), [], []
-    state = stored(rooms.where("room >= 1").withColumn("after", F.lit(-1)), "mix_state")
-    while not state.isEmpty():
+    # How many sources go on is counted while they are stored: every job more costs the driver buffers and threads.
+    going = Observation()
+    opened = rooms.where("room >= 1").withColumn("after", F.lit(-1))
+    state = stored(opened.observe(going, F.count(F.lit(1)).alias("n")), "mix_state")
+    while going.get["n"]:
         ahead = grid.join(state, same).where("cell > after").select(F.col("source").alias("_source"), F.col("cell").alias("_cell"), "room")
         fitting = sized.join(ahead, in_cell).where("size <= room")
-        words = stored(fitting.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.first("room").alias("room")), "mix_words")
+        words = fitting.groupBy("source", "cell").agg(F.sum("size").alias("words"), F.first("room").alias("room"))
         upto = words.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("cell")))
         ends = upto.groupBy("source").agg(
             F.min(F.when(F.col("upto") > F.col("room"), F.struct("cell", (F.col("room") - F.col("upto") + F.col("words")).alias("start")))).alias("e"),
@@ -208,9 +212,11 @@ def _fill(rows: DataFrame, grid: DataFrame, rooms: DataFrame) -> tuple[DataFrame
         cuts.append(cut.where("m > 0").select("source", *_ORDER, "m", "n"))
         left = cut.groupBy("source").agg(F.first("rest").alias("left"))
         done = turn.join(left, same, "left").drop("source")
-        done = stored(done.select("_of", "after", "cut", "room", F.coalesce("left", F.col("room") - F.col("all")).alias("rest")), "mix_round")
+        done = done.select("_of", "after", "cut", "room", F.coalesce("left", F.col("room") - F.col("all")).alias("rest"))
+        going, more = Observation(), F.expr("cut IS NOT NULL AND rest >= 1")
+        done = stored(done.observe(going, F.count_if(more).alias("n")), "mix_round")
         rounds.append(done)
-        state = done.where("cut IS NOT NULL AND rest >= 1").select("_of", F.col("rest").alias("room"), F.col("cut").alias("after"))
+        state = done.where(more).select("_of", F.col("rest").alias("room"), F.col("cut").alias("after"))
     if not rounds:
         of = rows.schema["source"].dataType.simpleString()
         kind = f"_of {of}, after int, cut int, room bigint, rest bigint"
