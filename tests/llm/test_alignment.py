@@ -141,6 +141,35 @@ def test_words_give_the_ids_of_whole_texts(parts):
         assert counts.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
 
 
+def test_words_of_a_slice_are_parted_once_and_looked_up_once_each(monkeypatch):
+    """The time of a slice goes with its distinct words, not with all of them, and both sides take the same words."""
+    texts = ["the cat sat on the mat " * 200 + str(i % 3) for i in range(60)] + [" odd  one", "tab \tafter", "end "]
+    fresh = al.ByteLevelTokenizer(A), al.PieceTokenizer(B)
+    asked, cuts, cut = [], [], al.parted
+    monkeypatch.setattr(al, "parted", lambda given: cuts.append(len(given)) or cut(given))
+    for side in fresh:
+        numbers = side.pool.numbers
+        monkeypatch.setattr(side.pool, "numbers", lambda units, f=numbers: asked.append(list(units)) or f(units))
+    whole, at = al.align([t.encode() for t in texts], *fresh)
+    assert cuts == [len(texts)] and [sorted(x) for x in asked] == [sorted({"the", "cat", "sat", "on", "mat", "0", "1", "2"})] * 2
+    assert at.tolist() == list(range(len(texts)))
+    for ids, owner, side in ((whole.a_ids, whole.a_text, fresh[0]), (whole.b_ids, whole.b_text, fresh[1])):
+        assert ids.tolist() == [i for x in side.encode(texts) for i in x]
+        assert np.bincount(owner).tolist() == list(map(len, side.encode(texts)))
+
+
+@given(st.lists(st.lists(st.integers(0, 123456), min_size=1, max_size=5), min_size=1, max_size=5), st.data())
+@settings(max_examples=60, deadline=None)
+def test_group_strings(groups, data):
+    others = [data.draw(st.lists(st.integers(0, 123456), min_size=1, max_size=3)) for _ in groups]
+    flat = lambda x: np.array([i for g in x for i in g], np.int64)
+    group = lambda x: np.repeat(np.arange(len(x)), list(map(len, x)))
+    first = np.array(sorted({0, data.draw(st.integers(0, len(groups) - 1))}))
+    lines = al.group_strings(flat(groups), group(groups), flat(others), group(others), len(groups), first, 123457)
+    each = [",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in zip(groups, others)]
+    assert lines == [";".join(each[i:j]).encode() for i, j in zip(first, [*first[1:], len(each)])]
+
+
 def test_query(spark, small):
     import __spark_entry__ as entry_point
 

@@ -20,17 +20,18 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.units import IdPool, slices
+from tidemark.llm.units import IdPool, slices, strings
 from tidemark.plans.bounds import stored
 
 #: Id pairs (16 bytes each) that every task is given; more are joined instead.
@@ -107,8 +108,10 @@ def _joined(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def groups_of(a_length: np.ndarray, b_length: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(group of every A token, of every B token, groups): byte offsets where tokens of both sides end cut the groups."""
     a_end, b_end = np.cumsum(a_length), np.cumsum(b_length)
-    both = a_end[np.isin(a_end, b_end, assume_unique=True)]
-    return np.searchsorted(both, a_end), np.searchsorted(both, b_end), len(both)
+    a_ends, b_ends = np.zeros((2, max(a_end[-1:].sum(), b_end[-1:].sum()) + 1), bool)
+    a_ends[a_end], b_ends[b_end] = True, True
+    a_cut, b_cut = b_ends[a_end], a_ends[b_end]
+    return np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut, int(a_cut.sum())
 
 
 def group_links(a_group: np.ndarray, b_group: np.ndarray, n_groups: int):
@@ -139,8 +142,34 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-#: A space that other white space follows, or that ends or begins a text: neither vocabulary parts there alone.
-_ODD_SPACE = re.compile(r" (?=\s|$)|^ ").search
+class Parted(NamedTuple):
+    """Texts parted at every single space: the distinct words of ``plain`` texts, the words' numbers and how many each has.
+
+    At a space that other white space follows, or that ends or begins a text, neither vocabulary parts alone: such
+    texts are ``odd``, and their words are not among the others.
+    """
+
+    plain: np.ndarray
+    odd: np.ndarray
+    words: list[str]
+    number: np.ndarray
+    counts: np.ndarray
+
+
+def parted(texts: list[str]) -> Parted:
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    coded = lists.flatten().dictionary_encode()
+    words, number = strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    head = pc.utf8_slice_codeunits(coded.dictionary, 0, 1).dictionary_encode()
+    strange = np.array([not c or c.isspace() for c in strings(head.dictionary)], bool)[head.indices.to_numpy(zero_copy_only=False)]
+    is_odd = np.zeros(len(texts), bool)
+    if strange.any():
+        owner = np.repeat(np.arange(len(texts)), counts)
+        is_odd[owner[strange[number]]] = True
+        used, number = np.unique(number[~is_odd[owner]], return_inverse=True)
+        words = [words[i] for i in used.tolist()]
+    return Parted(np.flatnonzero(~is_odd), np.flatnonzero(is_odd), words, number, counts[~is_odd])
 
 
 class Side:
@@ -163,19 +192,20 @@ class Side:
     def encode(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids of each), as ``encode`` gives them; texts with other spaces are encoded whole."""
-        odd = [i for i, t in enumerate(texts) if _ODD_SPACE(t)]
-        whole = set(odd)
-        plain = [i for i in range(len(texts)) if i not in whole]
-        parts = [self.pool([texts[i].split(" ") for i in plain]), _as_array(self.encode([texts[i] for i in odd]))]
-        if not odd:
+    def ids(self, texts: list[str], at: Parted | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each), as ``encode`` gives them; texts with other spaces are encoded whole.
+
+        ``at`` is what ``parted`` returns for them, where it is known: both sides part alike.
+        """
+        at = at or parted(texts)
+        parts = [self.pool.of_coded(at.words, at.number, at.counts), _as_array(self.encode([texts[i] for i in at.odd.tolist()]))]
+        if not len(at.odd):
             return parts[0][0].astype(np.int64), parts[0][1]
         length = np.zeros(len(texts), np.int64)
-        length[plain], length[odd] = parts[0][1], parts[1][1]
+        length[at.plain], length[at.odd] = parts[0][1], parts[1][1]
         start = np.cumsum(length) - length
         out = np.zeros(int(length.sum()), np.int64)
-        for rows, (flat, n) in zip((plain, odd), parts):
+        for rows, (flat, n) in zip((at.plain, at.odd), parts):
             out[np.repeat(start[rows] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
         return out, length
 
@@ -242,15 +272,21 @@ def _cut(flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[edge[i] : edge[i + 1]] for i in range(len(counts))]
 
 
-#: Decimal digits of a token id.
-_DIGITS = 6
-_POWERS = 10 ** np.arange(_DIGITS - 1, -1, -1)
+@lru_cache(4)
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digits of the numbers below ``n`` with room for a mark behind, and which of these bytes are written."""
+    power = 10 ** np.arange(len(str(max(n - 1, 0))) - 1, -1, -1)
+    number = np.arange(n)[:, None]
+    written = number >= power
+    written[:, -1] = True
+    digits = (number // power % 10 + ord("0")).astype(np.uint8)
+    return np.column_stack([digits, np.zeros(n, np.uint8)]), np.column_stack([written, np.ones(n, bool)])
 
 
-def group_strings(a_ids, a_group, b_ids, b_group, n_groups: int, first_group: np.ndarray) -> list[bytes]:
+def group_strings(a_ids, a_group, b_ids, b_group, n_groups: int, first_group: np.ndarray, n_ids: int) -> list[bytes]:
     """``a1,a2|b1;a3|b2,b3`` of every document; ``first_group`` has the first group of each document.
 
-    The ids of both sides are brought into one order by counting, then written as digits, all at once.
+    The ids of both sides, all below ``n_ids``, are brought into one order by counting, then written as digits, all at once.
     """
     a_of, b_of = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
     # A token comes after all of its side, and after those of the other side in earlier groups (B: and in its own).
@@ -260,13 +296,11 @@ def group_strings(a_ids, a_group, b_ids, b_group, n_groups: int, first_group: np
     ids[a_at], ids[b_at] = a_ids, b_ids
     mark[a_at[np.cumsum(a_of) - 1]] = ord("|")
     mark[b_at[np.cumsum(b_of) - 1]] = ord(";")
-    digits = (ids[:, None] // _POWERS % 10 + ord("0")).astype(np.uint8)
-    shown = ids[:, None] >= _POWERS
-    shown[:, -1] = True
-    cells = np.column_stack([digits, mark])
-    written = np.column_stack([shown, np.ones(len(ids), bool)])
-    width = np.concatenate([[0], np.cumsum(written.sum(axis=1))])
-    raw = cells[written].tobytes()
+    digits, written = _decimals(n_ids)
+    cells, shown = digits[ids], written[ids]
+    cells[:, -1] = mark
+    width = np.concatenate([[0], np.cumsum(written.sum(axis=1)[ids])])
+    raw = cells[shown].tobytes()
     upto = np.concatenate([[0], np.cumsum(a_of + b_of)])
     edge = width[upto[np.append(first_group, n_groups)]]
     # Without the mark after the last group.
@@ -282,6 +316,7 @@ class Aligned(NamedTuple):
     b_group: np.ndarray
     n_groups: int
     a_text: np.ndarray
+    b_text: np.ndarray
     first_group: np.ndarray
 
 
@@ -289,8 +324,9 @@ def align(texts: list[bytes], side_a: ByteLevelTokenizer, side_b: PieceTokenizer
     """The alignment of those texts that can be aligned, and their places in ``texts``."""
     plain = [i for i, t in enumerate(texts) if t]
     given = [texts[i].decode() for i in plain]
-    a_ids, a_n = side_a.ids(given)
-    b_ids, b_n = side_b.ids(given)
+    words = parted(given)
+    a_ids, a_n = side_a.ids(given, words)
+    b_ids, b_n = side_b.ids(given, words)
     want = [b" " + texts[i] for i in plain]
     own = np.repeat(np.arange(len(plain)), a_n), np.repeat(np.arange(len(plain)), b_n)
     same = np.ones(len(plain), bool)
@@ -301,9 +337,9 @@ def align(texts: list[bytes], side_a: ByteLevelTokenizer, side_b: PieceTokenizer
     kept = np.flatnonzero(same)
     a_length, b_length = side_a.vocabulary.length[a_ids], side_b.vocabulary.length[b_ids]
     a_group, b_group, n_groups = groups_of(a_length, b_length)
-    a_text = np.repeat(np.arange(len(kept)), a_n[kept])
-    first = np.searchsorted(a_text, np.arange(len(kept)))
-    whole = Aligned(a_ids, b_ids, a_group, b_group, n_groups, a_text, a_group[first] if len(kept) else np.zeros(0, np.int64))
+    a_text, b_text = (np.repeat(np.arange(len(kept)), n[kept]) for n in (a_n, b_n))
+    first = np.cumsum(a_n[kept]) - a_n[kept]
+    whole = Aligned(a_ids, b_ids, a_group, b_group, n_groups, a_text, b_text, a_group[first] if len(kept) else np.zeros(0, np.int64))
     return whole, np.array(plain, np.int64)[kept]
 
 
@@ -324,7 +360,7 @@ def _describe(path_a: str, path_b: str, slice_bytes: int):
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side_a, side_b = _tokenizers(path_a, path_b)
-        n_b_ids = len(side_b.vocabulary.length)
+        n_a_ids, n_b_ids = len(side_a.vocabulary.length), len(side_b.vocabulary.length)
         for batch in batches:
             ids = batch.column("doc_id")
             for start, texts in slices(batch.column("text").to_pylist(), slice_bytes):
@@ -336,21 +372,20 @@ def _describe(path_a: str, path_b: str, slice_bytes: int):
                 n_shared = np.zeros(n, np.int64)
                 for row, _, _ in group_links(x.a_group, x.b_group, x.n_groups):
                     n_shared += count(x.a_text[row])
-                code = (text * len(side_a.vocabulary.length) + x.a_ids[link_a]) * n_b_ids + x.b_ids[link_b]
+                code = (text * n_a_ids + x.a_ids[link_a]) * n_b_ids + x.b_ids[link_b]
                 code, times = np.unique(code, return_counts=True)
                 of_text, pair_b = code // n_b_ids, code % n_b_ids
-                of_text, pair_a = of_text // len(side_a.vocabulary.length), of_text % len(side_a.vocabulary.length)
-                strings = group_strings(x.a_ids, x.a_group, x.b_ids, x.b_group, x.n_groups, x.first_group)
+                of_text, pair_a = of_text // n_a_ids, of_text % n_a_ids
+                lines = group_strings(x.a_ids, x.a_group, x.b_ids, x.b_group, x.n_groups, x.first_group, max(n_a_ids, n_b_ids))
                 groups = np.diff(np.append(x.first_group, x.n_groups))
-                b_text = np.searchsorted(x.first_group, x.b_group, "right") - 1
                 whole = lambda v: _spread(v, at, len(texts))
                 digest = [""] * len(texts)
-                for i, s in zip(at.tolist(), strings):
+                for i, s in zip(at.tolist(), lines):
                     digest[i] = hashlib.sha256(s).hexdigest()
                 per_text = whole(count(of_text))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, len(texts)), *(pa.array(whole(v)) for v in (
-                        count(x.a_text), count(b_text), groups, count(text), n_shared, count(text, shared))),
+                        count(x.a_text), count(x.b_text), groups, count(text), n_shared, count(text, shared))),
                      pa.array(digest, pa.string()), _lists(pair_a, per_text), _lists(pair_b, per_text), _lists(times, per_text)],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "overlap_bytes", "groups_sha256", "pair_a", "pair_b", "times"],
                 )

@@ -169,11 +169,14 @@ class IdPool:
 
     def of_words(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same of texts given as one array of all their units: only the distinct ones are looked up."""
+        coded = words.dictionary_encode()
+        return self.of_coded(strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), counts)
+
+    def of_coded(self, units: list[str], code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts given as places in a list of distinct units."""
         if self.used > self.limit:
             self.clear()
-        coded = words.dictionary_encode()
-        number = self.numbers(strings(coded.dictionary))
-        return self.of_numbers(number[coded.indices.to_numpy(zero_copy_only=False)], counts)
+        return self.of_numbers(self.numbers(units)[code], counts)
 
 
 def strings(array: pa.Array) -> list[str]:
