@@ -1,6 +1,7 @@
 """The ten operators against plain versions, laws and round trips, with the rows that break things."""
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -496,6 +497,48 @@ def test_long_words_that_sums_of_powers_confuse(spark):
         assert len(set(units.Words([f"{x} {y} {x}a {y}a a{x} a{y}".encode()]).hashes().tolist())) == 6
 
 
+@pytest.mark.parametrize("rows_of_block", [3, 512])
+def test_only_rows_that_share_enough_go_on_from_mixed_groups(spark, monkeypatch, rows_of_block):
+    """Every pair of two families that shares three fragments meets, and no row without such a partner is copied."""
+    rng = random.Random(9)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", rows_of_block)
+    family = {row: rng.randrange(40) for row in range(300)}
+    groups = {g: (rng.randrange(1, 3), rng.sample(sorted(family), rng.choice([3, 8, 20]))) for g in range(30)}
+    groups |= {100 + g: (rng.randrange(1, 4), rng.sample(groups[g][1], 2)) for g in range(30)}
+    frame = spark.createDataFrame([(g, len(m), r, w) for g, (w, m) in groups.items() for r in m], "g bigint, c bigint, row bigint, weight bigint")
+    got = jaccard._mixed(frame, spark.createDataFrame(list(family.items()), "row bigint, family bigint")).collect()
+    shared = {}
+    for weight, members in groups.values():
+        for a, b in itertools.permutations(members, 2):
+            if family[a] != family[b]:
+                shared[a, b] = shared.get((a, b), 0) + weight
+    near = {pair for pair, n in shared.items() if n >= jaccard.SHARED}
+    together = {}
+    for r in got:
+        together.setdefault(r["key"], set()).add(r["row"])
+    met = {(a, b) for rows in together.values() for a, b in itertools.permutations(rows, 2)}
+    assert near and near <= met
+    assert all(any((a, b) in near for b in rows) for rows in together.values() for a in rows)
+    # A pair is compared in one place.
+    assert len(got) == len({tuple(r) for r in got}) <= len(near) < sum(len(m) for _, m in groups.values()) / 2
+
+
+def test_sets_move_to_their_blocks_once(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = list(enumerate(t for _ in range(8) for t in _near(rng, [f"w{i}" for i in range(300)], 50)))
+    plans, plain = {}, jaccard.stored
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(jaccard, "stored", kept)
+    assert jaccard.link_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == len(rows)
+    # Described, and compared, by one step each; by address and to the blocks, and not stored between.
+    assert plans["jaccard_links"].count("MapInArrow") == 2 and plans["jaccard_links"].count("REPARTITION_BY_COL") == 1
+    assert "jaccard_sets" not in plans
+
+
 def test_overlaps_in_fragments():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]

@@ -11,8 +11,10 @@ the square of a family (figures in the README); here fragments are signatures, a
 Equal sets are one class and are joined once. A set is proposed as a node of 32 bits of its digest; signatures are packed
 by bucket with the nodes, so that a move takes about 8 bytes for each, and those nobody shares end there. Texts are read
 again where they lie for the sets that meet others; neither texts nor signatures are joined to rows. Proposed documents are gathered around the one they share most
-fragments with; such a family, and every group with an equal fragment that several families meet in, is compared in
-blocks of bounded size, whose tasks return a spanning forest of the links they find and never the pairs. All links
+fragments with; such a family is compared in blocks of bounded size, whose tasks return a spanning forest of the links
+they find and never the pairs. Groups with an equal fragment that several families meet in are sifted first, by lists of
+the groups that each row is in: of a group, those rows go on that share three fragments with a row of another family,
+and every pair only in one of the groups that it shares. So a set is copied for few of its groups. All links
 between different sets are found, whatever the size of a group; the rows copied for a family grow with its square
 over the block size.
 
@@ -317,6 +319,8 @@ def address_filter(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
     """Sizes of all intersections, summed over slices of the hash order that bound the memory."""
     flat = np.concatenate(sets)
+    if not len(flat):
+        return np.zeros((len(sets), len(sets)), np.float32)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
@@ -335,13 +339,10 @@ def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
     return total
 
 
-def spanning_links(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A forest that joins the same rows as all links among the sets of one block."""
-    size = np.array([len(s) for s in sets], np.float64)
-    shared = overlaps(sets).astype(np.float64)
-    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
-    todo, out = np.ones(len(rows), bool), []
-    for i in range(len(rows)):
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest, from the roots on."""
+    todo, out = np.ones(len(linked), bool), []
+    for i in range(len(linked)):
         if not todo[i]:
             continue
         todo[i] = False
@@ -351,41 +352,81 @@ def spanning_links(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> li
             near = np.flatnonzero(linked[at] & todo)
             todo[near] = False
             edge += near.tolist()
-            out += [(int(rows[i]), int(rows[j])) for j in near]
+            out += [(at, j) for j in near.tolist()]
     return out
 
 
-def _compare(percent: int):
-    """Tasks take the rows of one block after the other from their sorted partition."""
+def spanning_links(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A forest that joins the same rows as all links among the sets of one block."""
+    size = np.array([len(s) for s in sets], np.float64)
+    shared = overlaps(sets).astype(np.float64)
+    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    return [(int(rows[i]), int(rows[j])) for i, j in _forest(linked)]
+
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, sets, found = None, [], [], []
+def sifted(block: tuple[int, int, int], rows: np.ndarray, own: np.ndarray, groups: list[np.ndarray], weights: list[np.ndarray], families: np.ndarray) -> list[tuple[int, int]]:
+    """(key, row) of the rows of one block that share SHARED fragments with a row of another family; such rows share a key.
+
+    ``groups`` are the groups that each row is in, with their numbers of fragments; ``own`` is its chunk. A pair counts in
+    the smallest of its common groups alone, and in one block of that, so that it is compared once.
+    """
+    key, i, j = block
+    several = [np.concatenate([mix64(g[w > n] + np.uint64(n) * _ODD) for n in range(SHARED)]) for g, w in zip(groups, weights)]
+    near = (overlaps(several) >= SHARED) & (families[:, None] != families[None, :])
+    if i != j:
+        near &= own[:, None] != own[None, :]
+    if not near.any():
+        return []
+    near &= overlaps([g[g < np.int64(key).view(np.uint64)] for g in groups]) == 0
+    of, met = np.arange(len(rows)), np.zeros(len(rows), bool)
+    for a, b in _forest(near):
+        of[b] = of[a]
+        met[[a, b]] = True
+    place = np.array([key, i, j], np.int64).view(np.uint64)
+    names = mix64(mix64(mix64(place[:1] + _ODD) + place[1:2]) + place[2:]) + mix64(rows.view(np.uint64))
+    return [(int(k), int(r)) for k, r in zip(_as_long(names[of[met]]), rows[met])]
+
+
+def _by_block(out: list[str], columns: list[str], take):
+    """Tasks take the rows of one block after the other from their sorted partition; ``take`` makes pairs ``out`` of them."""
+
+    def pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, own, held, found = None, [], [], [], []
 
         def close() -> None:
             if len(rows) > 1:
-                found.extend(spanning_links(np.array(rows), sets, percent))
+                found.extend(take(key, np.array(rows, np.int64), np.array(own), *map(list, zip(*held))))
 
         for batch in batches:
             keys = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
-            parts = batch.column("parts")
-            for at, (k, row) in enumerate(zip(keys, batch.column("row").to_pylist())):
+            values = [batch.column(c) for c in columns]
+            for at, (k, row, chunk) in enumerate(zip(keys, batch.column("row").to_pylist(), batch.column("own").to_pylist())):
                 if k != key:
                     close()
-                    key, rows, sets = k, [], []
+                    key, rows, own, held = k, [], [], []
                 rows.append(row)
-                sets.append(parts[at].values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+                own.append(chunk)
+                # Copied, so that what is held does not keep its batch.
+                held.append([v[at].values.to_numpy(zero_copy_only=False).astype(np.int64) for v in values])
             if len(found) > 10_000:
-                yield _links(found)
+                yield pairs(found)
                 found.clear()
         close()
-        yield _links(found)
+        yield pairs(found)
+
+    return run
 
-    return compare
+
+def _compare(percent: int):
+    return _by_block(["a", "b"], ["parts"], lambda _, rows, own, sets: spanning_links(rows, [s.view(np.uint64) for s in sets], percent))
 
 
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+def _sift(block: tuple[int, int, int], rows: np.ndarray, own: np.ndarray, groups: list[np.ndarray], weights: list[np.ndarray], families: list[np.ndarray]) -> list[tuple[int, int]]:
+    return sifted(block, rows, own, [g.view(np.uint64) for g in groups], weights, np.concatenate(families))
 
 
 def _stored_moves(step: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -409,9 +450,9 @@ def roots(pointers: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(row, root): the smallest row that links lead to. Minimum labels spread along links and along themselves."""
-    both = stored(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard_links"
-    )
+    # Links are read once: a union of both directions would find them twice.
+    either = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = stored(links.select(either.alias("_link")).select("_link.a", "_link.b").distinct(), "jaccard_links")
     labels = both.groupBy("a").agg(F.min("b").alias("_b")).select(F.col("a").alias("row"), F.least("a", "_b").alias("to"))
     labels, moved = stored(labels, "jaccard_labels"), 1
     while moved:
@@ -495,24 +536,38 @@ def _families(groups: DataFrame) -> DataFrame:
 
 
 def _mixed(groups: DataFrame, families: DataFrame) -> DataFrame:
-    """(key, row) of the groups whose rows are of several families."""
+    """(key, row) of rows that share fragments across families, from the groups whose rows are of several families."""
     member = groups.join(families, "row")
     several = member.groupBy("g", "c").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y")
-    mixed = _with_partners(member.join(several, ["g", "c"]).select("g", "c", "row", "weight"))
-    return mixed.select(F.xxhash64("g", "c").alias("key"), "row")
+    mixed = _with_partners(member.join(several, ["g", "c"]).select("g", "c", "row", "weight", "family"))
+    # A row's list has a number for every group that it is in, so it is shorter than the row's signatures.
+    held = F.collect_list(F.struct(F.xxhash64("g", "c").alias("key"), "weight"))
+    lists = stored(mixed.groupBy("row").agg(held.alias("held"), F.collect_set("family").alias("family")), "jaccard_lists")
+    lists = lists.select("row", F.col("held.key").alias("groups"), F.col("held.weight").alias("weights"), "family")
+    members = lists.select(F.explode("groups").alias("key"), "row", F.size("groups").cast("bigint").alias("n"))
+    return _blocks(members, lists, ["row"]).mapInArrow(_by_block(["key", "row"], ["groups", "weights", "family"], _sift), "key bigint, row bigint")
 
 
-def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among the rows of every key, from blocks of chunk pairs; a chunk is bounded in rows and in shingles."""
-    sized = stored(members.join(sets.select("row", "n"), "row"), "jaccard_members")
+def _blocks(members: DataFrame, described: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of every key with what describes them, sorted into blocks of chunk pairs; a chunk is bounded in rows and in shingles.
+
+    ``members`` are (key, row, n) and the columns ``on``, by which ``described`` is joined.
+    """
+    sized = stored(members, "jaccard_members")
     chunks = sized.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("m > 1")
     number = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
-    placed = sized.select("key", "row").join(chunks.select("key", number.alias("k")), "key")
+    placed = sized.drop("n").join(chunks.select("key", number.alias("k")), "key")
     own = F.pmod(F.xxhash64("row"), F.col("k")).cast("int")
     spread = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    keyed = spread.select("row", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    blocks = keyed.join(sets.select("row", "parts"), "row").repartition("key", "i", "j")
-    return blocks.sortWithinPartitions("key", "i", "j").mapInArrow(_compare(percent), "a bigint, b bigint")
+    keyed = spread.select("row", "own", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *[c for c in on if c != "row"])
+    # A merge join at every size, as all sets are moved by ``on`` once, whatever joins them there.
+    blocks = keyed.hint("merge").join(described, on).drop(*(c for c in on if c != "row")).repartition("key", "i", "j")
+    return blocks.sortWithinPartitions("key", "i", "j")
+
+
+def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the rows of every key; sets go from where their texts lie to their blocks."""
+    return _blocks(members, sets.select("parts", *ADDRESS), list(ADDRESS)).mapInArrow(_compare(percent), "a bigint, b bigint")
 
 
 def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -531,7 +586,7 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ext
     first = F.min(F.struct("_row", *ADDRESS))
     least = F.min(F.struct(F.col("_doc").isNull().alias("null"), F.col("_doc").alias("doc"), F.col("_row").alias("row")))
     classes = stored(rows.where("_n > 0").groupBy(*key).agg(first.alias("_first"), least.alias("least")), "jaccard_classes")
-    reps = classes.select(F.col("_first._row").alias("rep"), F.shiftrightunsigned("_hi", NODE_SHIFT).alias("node"), *[F.col(f"_first.{c}").alias(c) for c in ADDRESS])
+    reps = classes.select(F.col("_first._row").alias("rep"), F.shiftrightunsigned("_hi", NODE_SHIFT).alias("node"), F.col("_n").alias("n"), *[F.col(f"_first.{c}").alias(c) for c in ADDRESS])
     signs = rows.agg(F.coalesce(F.sum("_signs"), F.lit(0))).first()[0]
 
     texts = docs.select(F.col("text").alias("_text"))
@@ -541,18 +596,18 @@ def link_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ext
     twins = stored(reps.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("node"), "jaccard_twins")
     # From nodes to the rows that stand for their sets, one per class.
     nodes = families.select(F.col("row").alias("node")).union(twins).distinct()
-    involved = stored(reps.join(nodes, "node").select("rep", "node", *ADDRESS), "jaccard_involved")
+    involved = stored(reps.join(nodes, "node").select("rep", "node", "n", *ADDRESS), "jaccard_involved")
     # Texts are read again where they lie; a filter of fixed size leaves the rows that may be needed, and only their
-    # sets move. They meet by where they are stored: ids may be null or repeat. A merge join at every size, so that
-    # small tables show what large ones need.
+    # sets move: once to where they meet by address, as ids may be null or repeat, and on to their blocks. A merge join
+    # at every size, so that small tables show what large ones need.
     again = docs.select(F.col("text").alias("_text"), _slot(FILTER_BITS).alias("_slot"), *ADDRESS)
     address = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ADDRESS)
     sets = again.mapInArrow(_wanted_sets(words, address_filter(involved)), f"{_SETS}, {address}")
-    sets = stored(sets.join(involved.hint("merge"), list(ADDRESS)).select(F.col("rep").alias("row"), F.col("_n").alias("n"), "parts"), "jaccard_sets")
+    sets = sets.join(involved.hint("merge"), list(ADDRESS)).select(F.col("rep").alias("row"), "parts", *ADDRESS)
 
     members = families.select(F.col("family").alias("key"), "row").unionByName(_mixed(groups, families))
     members = members.unionByName(twins.select((-1 - F.col("node")).alias("key"), F.col("node").alias("row")))
-    members = members.join(involved.select("rep", F.col("node").alias("row")), "row").select("key", F.col("rep").alias("row"))
+    members = members.join(involved.select("rep", "n", F.col("node").alias("row"), *ADDRESS), "row").select("key", F.col("rep").alias("row"), "n", *ADDRESS)
     labels = components(_compared(members, sets, percent))
     # From rows to classes to components; a component's id is the smallest id of all its rows.
     rep = F.col("_first._row")
